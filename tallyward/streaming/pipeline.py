@@ -1,0 +1,79 @@
+"""The scoring stream: envelopes in; stored rows, alerts, rejects and summaries out.
+
+Every sink writes into a folder named after the micro-batch, so a batch that is
+run again after a failure replaces its own output: at-least-once delivery gives
+each result once.
+"""
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tallyward.operators import alerts, store
+from tallyward.sources import envelopes
+from tallyward.streaming import profile
+from tallyward.streaming.scorer import Scorer, stats_of
+
+
+@dataclass
+class Places:
+    """Folders of one stream, all below one root on shared storage."""
+
+    root: str
+
+    def at(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+
+def one_per_id(rows: DataFrame) -> DataFrame:
+    """Inside one batch the row with the latest time stands for its id."""
+    order = Window.partitionBy("transaction_id").orderBy(F.desc("timestamp"), F.desc("amount"))
+    return rows.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
+
+
+def handle(
+    batch: DataFrame, batch_id: int, places: Places, scorer: Scorer, now: Column | None = None,
+    learn: bool = False,
+) -> None:
+    """All work of one micro-batch. With ``learn`` its rows also feed the user statistics."""
+    spark = batch.sparkSession
+    decoded = envelopes.decode(batch).persist()
+    try:
+        transactions = envelopes.accepted(decoded)
+        earlier = stats_of(transactions, spark.read.parquet(places.at("user_stats")))
+        scored = scorer.score(transactions, earlier, now).persist()
+        try:
+            store.append(one_per_id(scored), batch_id, places.at("store"))
+            sink = f"batch_id={batch_id}"
+            alerts.alerts(scored).write.mode("overwrite").json(f"{places.at('alerts')}/{sink}")
+            envelopes.rejected(decoded).write.mode("overwrite").json(f"{places.at('rejects')}/{sink}")
+            store.summary(scored).coalesce(1).write.mode("overwrite").json(f"{places.at('summaries')}/{sink}")
+            if learn:
+                profile.append(transactions, batch_id, places.at("profile"))
+        finally:
+            scored.unpersist()
+    finally:
+        decoded.unpersist()
+
+
+def start(
+    spark: SparkSession, places: Places, scorer: Scorer, now: Column | None = None, learn: bool = False,
+    files_per_batch: int = 100, once: bool = False,
+) -> StreamingQuery:
+    """Start the stream; ``once`` works off what is there and stops."""
+    lines = envelopes.read_stream(spark, places.at("envelopes"), files_per_batch)
+    writer = (
+        lines.writeStream.option("checkpointLocation", places.at("checkpoint"))
+        .foreachBatch(lambda batch, batch_id: handle(batch, batch_id, places, scorer, now, learn))
+    )
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def replay(spark: SparkSession, places: Places, scorer: Scorer, now: Column | None = None,
+           files_per_batch: int = 100) -> DataFrame:
+    """Work the waiting envelopes off, then give the current stored rows."""
+    query = start(spark, places, scorer, now, files_per_batch=files_per_batch, once=True)
+    query.awaitTermination()
+    return store.read(spark, places.at("store"), now)
