@@ -1,54 +1,114 @@
-"""Pearson correlations, each pair over the rows where both values are present."""
+"""Pearson correlations, each pair over the rows where both values are present.
 
-from itertools import combinations
+One pass: a task makes its Arrow batches into a few small matrix products, because
+one aggregate expression per pair would be thousands of them, and gives one row of
+moments per pair. The moments of the tasks are then merged about their common mean.
+"""
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyward.session import local_table
+
+_PAIR = ["x", "y", "n", "mean_x", "mean_y", "m_xx", "m_yy", "m_xy"]
+_SCHEMA = "x int, y int, " + ", ".join(f"{c} double" for c in _PAIR[2:])
+_RESULT = pa.schema([("feature_x", pa.string()), ("feature_y", pa.string()), ("corr", pa.float64())])
 
-def pearson(x: str, y: str) -> Column:
-    """Null instead of an error when one side is constant."""
-    a, b = F.col(x).cast("double"), F.col(y).cast("double")
-    both = a.isNotNull() & b.isNotNull()
-    spread = F.stddev_pop(F.when(both, a)) * F.stddev_pop(F.when(both, b))
-    return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
 
+def _pair_moments():
+    """Moments over the rows of one task for every pair of columns.
+
+    An inner function, so that it travels to the tasks by value and the package need
+    not be installed there.
+    """
+    names = list(_PAIR)
 
-def _long(row: DataFrame, names: list[str]) -> DataFrame:
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("feature"), F.col(f"c{i}").alias("corr")) for i, n in enumerate(names)
-    ])))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, origin = None, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float)
+            there = (~np.isnan(values)).astype(float)
+            if origin is None:
+                origin = np.nan_to_num(values).sum(axis=0) / np.maximum(there.sum(axis=0), 1)
+            v = np.nan_to_num(values - origin, nan=0.0)
+            sx, sxx = v.T @ there, (v * v).T @ there
+            part = np.stack([there.T @ there, sx, sx.T, sxx, sxx.T, v.T @ v])
+            total = part if total is None else total + part
+        if total is None:
+            return
+        x, y = np.triu_indices(total.shape[1])
+        n, sx, sy, sxx, syy, sxy = (m[x, y] for m in total)
+        d = np.maximum(n, 1)
+        moments = [n, origin[x] + sx / d, origin[y] + sy / d, sxx - sx * sx / d, syy - sy * sy / d, sxy - sx * sy / d]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x, pa.int32()), pa.array(y, pa.int32()), *[pa.array(m) for m in moments]], names=names
+        )
 
+    return run
 
-def with_label(df: DataFrame, features: list[str], label: str = "is_fraud") -> DataFrame:
-    """(feature, corr) for every feature and the label itself, from one pass."""
-    work = df.withColumn("_label", F.col(label).cast("int"))
-    names = [label, *[f for f in features if f != label]]
-    cells = [pearson("_label" if n == label else n, "_label").alias(f"c{i}") for i, n in enumerate(names)]
-    return _long(work.agg(*cells), names)
+
+def pairwise(df: DataFrame, names: list[str]) -> DataFrame:
+    """(feature_x, feature_y, corr) of every ordered pair; null when a side is constant.
+
+    Booleans count as 0 and 1. One number per pair reaches the driver.
+    """
+    numbers = df.select(*[
+        (F.col(n).cast("int") if kind == "boolean" else F.col(n)).cast("double").alias(n)
+        for n, kind in df.select(*names).dtypes
+    ])
+    of_pair = Window.partitionBy("x", "y")
+    n = F.col("n")
+    merged = (
+        numbers.mapInArrow(_pair_moments(), _SCHEMA)
+        .filter(n > 0)
+        .withColumns({
+            "all_x": F.sum(n * F.col("mean_x")).over(of_pair) / F.sum(n).over(of_pair),
+            "all_y": F.sum(n * F.col("mean_y")).over(of_pair) / F.sum(n).over(of_pair),
+        })
+        .withColumns({"dx": F.col("mean_x") - F.col("all_x"), "dy": F.col("mean_y") - F.col("all_y")})
+        .groupBy("x", "y")
+        .agg(
+            F.sum("n").alias("n"), F.first("all_x").alias("mean_x"), F.first("all_y").alias("mean_y"),
+            F.sum(F.col("m_xx") + n * F.col("dx") * F.col("dx")).alias("m_xx"),
+            F.sum(F.col("m_yy") + n * F.col("dy") * F.col("dy")).alias("m_yy"),
+            F.sum(F.col("m_xy") + n * F.col("dx") * F.col("dy")).alias("m_xy"),
+        )
+    )
+    found = {(r.x, r.y): _pearson(r) for r in merged.collect()}
+    out = []
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            out.append((a, b, found.get((min(i, j), max(i, j)))))
+    return local_table(df.sparkSession, out, _RESULT)
+
+
+def _pearson(r) -> float | None:
+    # what rounding leaves of a constant column is no spread
+    if r.m_xx <= r.n * (1e-12 * r.mean_x) ** 2 or r.m_yy <= r.n * (1e-12 * r.mean_y) ** 2:
+        return None
+    return r.m_xy / float(np.sqrt(r.m_xx) * np.sqrt(r.m_yy))
+
+
+def with_label(pairs: DataFrame, label: str = "is_fraud") -> DataFrame:
+    """(feature, corr) for every feature and the label itself."""
+    return pairs.filter(F.col("feature_y") == label).select(F.col("feature_x").alias("feature"), "corr")
 
 
 def top(correlations: DataFrame, n: int = 15) -> DataFrame:
     return correlations.orderBy(F.desc_nulls_last("corr"), "feature").limit(n)
 
 
-def matrix(df: DataFrame, names: list[str], label: str = "is_fraud") -> DataFrame:
-    """(feature_x, feature_y, corr) of every ordered pair of ``names``, from one pass.
-
-    Each unordered pair is calculated once.
-    """
-    work = df.withColumn("_label", F.col(label).cast("int"))
-    real = {n: "_label" if n == label else n for n in names}
-    pairs = [*((n, n) for n in names), *combinations(names, 2)]
-    row = work.agg(*[pearson(real[x], real[y]).alias(f"c{i}") for i, (x, y) in enumerate(pairs)])
-    cells = []
-    for i, (x, y) in enumerate(pairs):
-        for a, b in {(x, y), (y, x)}:
-            cells.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(f"c{i}").alias("corr")))
-    return row.select(F.inline(F.array(*cells)))
-
-
-def top_matrix(df: DataFrame, features: list[str], n: int = 15, label: str = "is_fraud") -> DataFrame:
-    """Matrix among the ``n`` features that go with the label most; ``n`` names pass the driver."""
-    best = [r.feature for r in top(with_label(df, features, label), n).collect()]
-    return matrix(df, best, label)
+def top_matrix(pairs: DataFrame, n: int = 15, label: str = "is_fraud") -> DataFrame:
+    """The pairs among the ``n`` features that go with the label most."""
+    best = F.broadcast(top(with_label(pairs, label), n).select("feature"))
+    return (
+        pairs.join(best.withColumnRenamed("feature", "feature_x"), "feature_x", "left_semi")
+        .join(best.withColumnRenamed("feature", "feature_y"), "feature_y", "left_semi")
+        .select("feature_x", "feature_y", "corr")
+    )

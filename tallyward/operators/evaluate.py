@@ -4,12 +4,13 @@ Every input is one frame that carries label and score side by side, so nothing i
 matched by position.
 """
 
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward import schemas as S
-from tallyward.session import parallelism
+from tallyward.session import local_table, parallelism
 
 
 def predicted(score: Column, threshold: float = 0.5, strict: bool = False) -> Column:
@@ -205,7 +206,8 @@ def roc_points(df: DataFrame, label: str = "is_fraud", score: str = "score", thi
         share("fps", "all_neg").alias("fpr"),
         share("tps", "all_pos").alias("tpr"),
     )
-    origin = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
+    names = ("threshold", "fpr", "tpr")
+    origin = local_table(df.sparkSession, [(float("inf"), 0.0, 0.0)], pa.schema([(n, pa.float64()) for n in names]))
     return origin.unionByName(curve)
 
 

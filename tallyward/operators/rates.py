@@ -2,11 +2,13 @@
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward import schemas as S
-from tallyward.operators.skew import HEAVY_ROWS, attach, small_table
+from tallyward.operators.skew import HEAVY_ROWS, attach, small_rows
+from tallyward.session import local_table
 
 COLUMNS = list(S.RATE_FEATURES)
 _EVERY = "_every"
@@ -72,12 +74,11 @@ def fit(
         .agg(*[F.sum(c).alias(c) for c in ("rows", "labelled", "frauds")])
         .select("category", "value", _rate().alias("rate"))
     )
-    table = small_table(fitted, limit)
-    if table is None:
+    rows = small_rows(fitted, limit)
+    if rows is None:
         # too many values for the driver: keep the rates as a distributed table
         overall = df.agg(F.avg(F.col(label).cast("int"))).first()[0]
         return Rates(fitted.filter(F.col("category") != _EVERY), overall, False, {})
-    rows = table.collect()
     seen: dict[str, list[str]] = {c: [] for c in columns}
     overall = None
     kept = []
@@ -88,15 +89,28 @@ def fit(
             seen[r.category].append(r.value)
             kept.append((r.category, r.value, r.rate))
     return Rates(
-        spark.createDataFrame(kept, S.CATEGORY_RATE), overall, True, {c: sorted(v) for c, v in seen.items()}
+        _table(spark, kept), overall, True, {c: sorted(v) for c, v in seen.items()}
     )
 
 
+def _table(spark: SparkSession, rows: list[tuple[str, str, float]]) -> DataFrame:
+    return local_table(
+        spark, rows, pa.schema([("category", pa.string()), ("value", pa.string()), ("rate", pa.float64())])
+    )
+
+
+def of_rows(spark: SparkSession, rows: list, overall: float | None = None) -> Rates:
+    """Rates from the few rows of a rate table."""
+    seen: dict[str, list[str]] = {}
+    for category, value, _ in rows:
+        seen.setdefault(category, []).append(value)
+    return Rates(_table(spark, rows), overall, True, seen)
+
+
 def defaults(spark: SparkSession) -> Rates:
     """The built-in rates, for when no fitted table can be read."""
     rows = [(c, v, r) for c, by_value in S.DEFAULT_RATES.items() for v, r in by_value.items()]
-    seen = {c: list(by_value) for c, by_value in S.DEFAULT_RATES.items()}
-    return Rates(spark.createDataFrame(rows, S.CATEGORY_RATE), None, True, seen)
+    return of_rows(spark, rows)
 
 
 def encode(df: DataFrame, rates: Rates, heavy: int = HEAVY_ROWS) -> DataFrame:
@@ -131,7 +145,10 @@ def _lookup(df: DataFrame, rates: Rates, targets: dict[str, str], heavy: int) ->
 
 def with_location_risk(df: DataFrame) -> DataFrame:
     """Fixed 11-row lookup: a missing location is ``Unknown``, an unlisted one 0.7."""
-    table = df.sparkSession.createDataFrame(list(S.LOCATION_RISK.items()), "_place string, location_risk double")
+    table = local_table(
+        df.sparkSession, list(S.LOCATION_RISK.items()),
+        pa.schema([("_place", pa.string()), ("location_risk", pa.float64())]),
+    )
     place = F.coalesce(F.col("location"), F.lit(S.MISSING_CATEGORY["location"]))
     return (
         df.join(F.broadcast(table), place == F.col("_place"), "left")

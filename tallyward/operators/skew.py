@@ -6,7 +6,7 @@ looks like and may be broadcast. Only heavy keys are cut into parts; all other
 keys take part 0 and cost nothing more than in a plain join.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 HEAVY_ROWS = 5_000_000
@@ -51,12 +51,10 @@ def attach(
     return rows.join(copies, [key, "_part"], "left").drop("_part")
 
 
-def small_table(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame | None:
-    """``df`` as a local table when it has at most ``limit`` rows, else None.
+def small_rows(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> list[Row] | None:
+    """All rows when there are at most ``limit``, else None.
 
     The check never brings more than ``limit + 1`` rows to the driver.
     """
     rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return None if len(rows) > limit else rows

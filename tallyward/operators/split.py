@@ -1,120 +1,144 @@
 """Exact splits and samples by seeded hash.
 
 Rows are ordered within their class by ``md5(id:seed)``. An exact quota is then a
-single cutoff key per class, and the split is a comparison with it: the rows
-themselves are never shuffled or sorted. The cutoff is found in two steps, first
-the hash bucket it falls in (a bounded histogram), then the key in that bucket.
+single cutoff key per class, and the split is a comparison with literals: rows are
+never sorted, shuffled or ranked, however many there are. The cutoff is found by
+counting rows per leading hash digits, then per the next digits inside the one
+bucket the quota ends in, until that bucket is small. Each count is a pass over two
+columns that brings at most 4,096 numbers per class to the driver.
 
 Ids are expected to be unique; rows that share an id fall on the same side.
 """
 
+from collections.abc import Callable
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKET_DIGITS = 4  # leading hex digits of the hash: 65,536 buckets
+_DIGITS = 3  # hex digits per counting step: 4,096 buckets
+_MAX_DIGITS = 12
+_SMALL_BUCKET = 100_000
+_MAX_CLASSES = 100
+
+Quota = Callable[[dict], dict]
 
 
 def hash_key(id_column: str, seed: str) -> Column:
     return F.md5(F.concat(F.col(id_column), F.lit(f":{seed}")))
 
 
-def proportional_quota(totals: DataFrame, share: float) -> DataFrame:
-    """Rows to take per class: ``ceil(share * N)`` in all, shared by class size.
-
-    ``totals`` has one row per class (``_class``, ``_size``); what rounding down
-    leaves over goes to the largest fractions.
-    """
-    every = Window.partitionBy()
-    whole = "decimal(19,0)"  # products of two counts do not fit a long
-    n = F.sum("_size").over(every)
-    take = F.ceil(n * F.lit(share))
-    shares = (
-        totals.withColumns({"_n": n.cast("long"), "_take": take.cast("long")})
-        .withColumn("_product", F.col("_take").cast(whole) * F.col("_size").cast(whole))
-        .withColumn("_rest", F.col("_product") % F.col("_n"))
-        .withColumn("_floor", ((F.col("_product") - F.col("_rest")) / F.col("_n")).cast("long"))
+def proportional(share: float) -> Quota:
+    """``ceil(share * N)`` rows in all, shared by class size; what rounding down leaves
+    over goes to the largest fractions."""
+
+    def quota(sizes: dict) -> dict:
+        n = sum(sizes.values())
+        take = ceil(n * share)
+        floors = {c: take * size // n for c, size in sizes.items()}
+        left = take - sum(floors.values())
+        order = sorted(sizes, key=lambda c: (-(take * sizes[c] % n), c is None, c))
+        return {c: floors[c] + (place < left) for place, c in enumerate(order)}
+
+    return quota
+
+
+def _cutoffs(keyed: DataFrame, quota: Quota) -> dict:
+    """Per class the last (hash, id) that still belongs to the quota; None takes all rows."""
+    prefix, left, small = None, {}, False
+    found: dict = {}
+    depth = 0
+    while not small and depth < _MAX_DIGITS:
+        rows = _within(keyed, prefix).groupBy("c", F.substring("h", depth + 1, _DIGITS).alias("d")).count()
+        counts: dict = {}
+        for r in rows.collect():
+            counts.setdefault(r.c, {})[r.d] = r["count"]
+        if prefix is None:
+            if len(counts) > _MAX_CLASSES:
+                raise ValueError(f"too many classes to split by: {len(counts)}")
+            sizes = {c: sum(by_digits.values()) for c, by_digits in counts.items()}
+            left = quota(sizes)
+            found = {c: None for c in sizes if left[c] >= sizes[c]}
+            prefix = {c: "" for c in sizes if 0 < left[c] < sizes[c]}
+        depth += _DIGITS
+        small = True
+        for c in prefix:
+            for digits in sorted(counts[c]):
+                n = counts[c][digits]
+                if n >= left[c]:
+                    prefix[c] += digits
+                    small = small and n <= _SMALL_BUCKET
+                    break
+                left[c] -= n
+    if not prefix:
+        return found
+    # Copies of an id count together, so this window is over distinct ids of one small bucket.
+    running = Window.partitionBy("c").orderBy("h", "i").rowsBetween(Window.unboundedPreceding, 0)
+    quota_left = _by_class({c: F.lit(left[c]) for c in prefix})
+    edge = (
+        _within(keyed, prefix).groupBy("c", "h", "i").count()
+        .withColumn("upto", F.sum("count").over(running))
+        .filter(F.col("upto") <= quota_left)
+        .groupBy("c").agg(F.max(F.struct("h", "i")).alias("k"))
     )
-    place = F.row_number().over(Window.orderBy(F.desc("_rest"), F.asc("_class")))
-    extra = (place <= F.col("_take") - F.sum("_floor").over(every)).cast("long")
-    return shares.select("_class", (F.col("_floor") + extra).alias("_quota"))
+    last = {r.c: (r.k.h, r.k.i) for r in edge.collect()}
+    return {**found, **{c: last.get(c, (p, "")) for c, p in prefix.items()}}
 
 
-def _cutoffs(keyed: DataFrame, quota) -> DataFrame:
-    """(class, cutoff key): rows of the class with a key up to the cutoff fill the quota.
+def _by_class(values: dict) -> Column:
+    out = F.lit(None)
+    for c, value in values.items():
+        out = F.when(F.col("c").eqNullSafe(F.lit(c)), value).otherwise(out)
+    return out
 
-    A class whose quota is 0 has no row here.
-    """
-    histogram = keyed.groupBy("_class", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    sizes = histogram.groupBy("_class").agg(F.sum("_n").alias("_size"))
-    up_to = Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    edge = (
-        histogram.join(F.broadcast(quota(sizes)), F.col("_class").eqNullSafe(F.col("_qclass")))
-        .withColumn("_upto", F.sum("_n").over(up_to))
-        .filter((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
-        .select(
-            F.col("_class").alias("_eclass"), F.col("_bucket").alias("_ebucket"),
-            (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"),
-        )
-    )
-    # One bucket per class is left, about 1/65,536 of the rows; copies of an id count once.
-    in_edge = (
-        keyed.join(
-            F.broadcast(edge),
-            F.col("_class").eqNullSafe(F.col("_eclass")) & (F.col("_bucket") == F.col("_ebucket")),
-        )
-        .groupBy("_eclass", "_ebucket", "_key", "_left").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    running = Window.partitionBy("_eclass").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
-    before_edge = F.struct(F.first("_ebucket").alias("h"), F.lit("").alias("i"))
-    return (
-        in_edge.withColumn("_upto", F.sum("_n").over(running))
-        .groupBy(F.col("_eclass").alias("_cclass"))
-        .agg(F.max(F.when(F.col("_upto") <= F.col("_left"), F.col("_key"))).alias("_in"), before_edge.alias("_out"))
-        .select("_cclass", F.coalesce("_in", "_out").alias("_cutoff"))
-    )
+
+def _within(keyed: DataFrame, prefix: dict | None) -> DataFrame:
+    if prefix is None:
+        return keyed
+    return keyed.filter(_by_class({c: F.col("h").startswith(p) for c, p in prefix.items()}))
 
 
 def take_by_hash(
-    df: DataFrame, quota, seed: str, out: str, class_column: str | None = None, id_column: str = "transaction_id"
+    df: DataFrame, quota: Quota, seed: str, out: str, label: Column | None = None, among: Column | None = None,
+    id_column: str = "transaction_id",
 ) -> DataFrame:
-    """Adds boolean ``out``: the row is among the first ``quota`` of its class by hash.
+    """Adds boolean ``out``: the row is among the first rows of its class by hash.
 
-    ``quota`` maps a (``_class``, ``_size``) table to (``_class``, ``_quota``).
+    ``quota`` maps class sizes to rows to take; only rows ``among`` take part, the
+    others get false.
     """
-    digest = hash_key(id_column, seed)
-    label = F.lit(0) if class_column is None else F.col(class_column)
-    keyed = df.select(
-        label.alias("_class"),
-        F.struct(digest.alias("h"), F.col(id_column).alias("i")).alias("_key"),
-    ).withColumn("_bucket", F.substring(F.col("_key.h"), 1, _BUCKET_DIGITS))
-    cutoffs = _cutoffs(keyed, lambda sizes: quota(sizes).withColumnRenamed("_class", "_qclass"))
-    here = F.struct(digest.alias("h"), F.col(id_column).alias("i"))
-    return (
-        df.join(F.broadcast(cutoffs), label.eqNullSafe(F.col("_cclass")), "left")
-        .withColumn(out, F.coalesce(here <= F.col("_cutoff"), F.lit(False)))
-        .drop("_cclass", "_cutoff")
-    )
+    label = F.lit(0) if label is None else label
+    among = F.lit(True) if among is None else among
+    h, i = hash_key(id_column, seed), F.col(id_column)
+    cutoffs = _cutoffs(df.filter(among).select(label.alias("c"), h.alias("h"), i.alias("i")), quota)
+    taken = F.lit(False)
+    for c, last in cutoffs.items():
+        inside = F.lit(True) if last is None else (h < last[0]) | ((h == last[0]) & (i <= last[1]))
+        taken = F.when(label.eqNullSafe(F.lit(c)), inside).otherwise(taken)
+    return df.withColumn(out, F.coalesce(among & taken, F.lit(False)))
 
 
 def stratified_split(df: DataFrame, label: str = "is_fraud", test: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds ``split`` = train / test with exact counts per class."""
-    marked = take_by_hash(df, lambda t: proportional_quota(t, test), str(seed), "_test", label)
+    marked = take_by_hash(df, proportional(test), str(seed), "_test", F.col(label))
     return marked.withColumn("split", F.when(F.col("_test"), "test").otherwise("train")).drop("_test")
 
 
-def plain_split(df: DataFrame, share: float = 0.2, seed: int = 42, out: str = "is_validation") -> DataFrame:
+def plain_split(
+    df: DataFrame, share: float = 0.2, seed: int = 42, out: str = "is_validation", among: Column | None = None
+) -> DataFrame:
     """Adds boolean ``out`` for exactly ``ceil(share * N)`` rows, classes not regarded."""
-    return take_by_hash(df, lambda t: proportional_quota(t, share), f"validation:{seed}", out)
+    return take_by_hash(df, proportional(share), f"validation:{seed}", out, among=among)
 
 
 def three_way_split(df: DataFrame, label: str = "is_fraud", seed: int = 42) -> DataFrame:
     """64 / 16 / 20: stratified test rows, then plain validation rows out of train."""
-    split = stratified_split(df, label, 0.2, seed)
-    train = split.filter(F.col("split") == "train")
-    parted = plain_split(train, 0.2, seed)
-    return parted.withColumn(
-        "split", F.when(F.col("is_validation"), "validation").otherwise("train")
-    ).drop("is_validation").unionByName(split.filter(F.col("split") == "test"))
+    parted = plain_split(
+        stratified_split(df, label, 0.2, seed), 0.2, seed, "_validation", F.col("split") == "train"
+    )
+    return parted.withColumn("split", F.when(F.col("_validation"), "validation").otherwise(F.col("split"))).drop(
+        "_validation"
+    )
 
 
 def class_ratio_sample(
@@ -126,11 +150,10 @@ def class_ratio_sample(
     """
     frauds = int(n * ratio)
 
-    def quota(totals: DataFrame) -> DataFrame:
-        asked = F.when(F.col("_class"), F.lit(frauds)).otherwise(F.lit(n - frauds))
-        return totals.select("_class", F.least(asked, F.col("_size")).cast("long").alias("_quota"))
+    def quota(sizes: dict) -> dict:
+        return {c: min(frauds if c else n - frauds, size) for c, size in sizes.items()}
 
-    picked = take_by_hash(df.filter(F.col(label).isNotNull()), quota, f"sample:{seed}", "_in", label)
+    picked = take_by_hash(df, quota, f"sample:{seed}", "_in", F.col(label), F.col(label).isNotNull())
     return shuffled(picked.filter("_in").drop("_in"), seed)
 
 

@@ -2,6 +2,7 @@
 
 from tallyward import schemas as S
 from tallyward.functions.codec import plain_name_of
+from tallyward.operators.scale import SIGNIFICANT
 from tallyward.plans import queries as Q
 
 _TX = """tx AS (
@@ -37,6 +38,11 @@ def _r(expr: str) -> str:
     return f"round({expr}, {Q.DIGITS})"
 
 
+def _kept(expr: str) -> str:
+    """A fitted number to the digits that are kept of it."""
+    return f"cast(printf('%.{SIGNIFICANT}g', {expr}) AS double)"
+
+
 def _int(condition: str) -> str:
     return f"cast(coalesce({condition}, false) AS int)"
 
@@ -400,7 +406,7 @@ WHERE rn <= CASE WHEN is_fraud THEN 100 ELSE 400 END"""),
             _SPLIT, *_FRAME_CTES,
             "marked AS (SELECT frame.*, parted.split FROM frame JOIN parted USING (transaction_id))",
             "moments AS (SELECT " + ", ".join(
-                f"avg({n}) AS m_{n}, coalesce(nullif(stddev_pop({n}), 0), 1) AS s_{n}" for n in S.NUMERIC_FEATURES
+                f"{_kept(f'avg({n})')} AS m_{n}, coalesce(nullif({_kept(f'stddev_pop({n})')}, 0), 1) AS s_{n}" for n in S.NUMERIC_FEATURES
             ) + " FROM marked WHERE split = 'train')",
             select="SELECT transaction_id, split, " + ", ".join(
                 f"{_r(f'({n} - m_{n}) / s_{n}')} AS {n}" for n in S.NUMERIC_FEATURES
@@ -408,10 +414,10 @@ WHERE rn <= CASE WHEN is_fraud THEN 100 ELSE 400 END"""),
         ),
         "sorted_timeline": _with(select=f"SELECT transaction_id, {_ISO} AS timestamp, user_id, amount FROM tx ORDER BY ts, transaction_id"),
         "head_n": _with(select="SELECT transaction_id, user_id, amount, status FROM tx ORDER BY transaction_id LIMIT 1000"),
-        "alert_rows": _with(_SCORED, _PREDICTED, select=f"""SELECT 'FRAUD ALERT: Transaction ' || transaction_id AS subject,
- transaction_id, user_id, {_r('amount')} AS amount, {_ISO} AS timestamp, {_r('fraud_probability')} AS fraud_probability,
+        "alert_rows": _with(_SCORED, select=f"""SELECT 'FRAUD ALERT: Transaction ' || transaction_id AS subject,
+ transaction_id, user_id, {_r('amount')} AS amount, {_ISO} AS timestamp, {_r('score')} AS fraud_probability,
  {_FACTOR_TEXT} AS risk_factors, 'FRAUD ALERT: Transaction ' || transaction_id AS message_subject,
- {_r('amount')} AS message_amount, {_FACTOR_TEXT} AS message_risk_factors FROM predicted WHERE is_fraud"""),
+ {_r('amount')} AS message_amount, {_FACTOR_TEXT} AS message_risk_factors FROM scored WHERE score > 0.5e0"""),
         "merged_store": _with(_SCORED, _PREDICTED, select=f"""SELECT transaction_id, user_id,
  cast(cast(cast(amount AS varchar) AS decimal(38,18)) AS varchar) AS amount_exact, status,
  {_r('fraud_probability')} AS fraud_probability, is_fraud, '{Q.NOW.replace(" ", "T")}' AS prediction_timestamp, ttl,

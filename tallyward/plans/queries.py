@@ -1,8 +1,10 @@
 """The registered queries: every operator over the whole ``events`` table.
 
-Doubles are rounded to 10 decimals at the end, for comparison with another engine.
+Queries give full doubles; ``rounded`` brings a result to the 10 decimals at which it
+is compared with another engine.
 """
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from tallyward.operators import (
     alerts, columns, correlate, encode, evaluate, rates, running, scale, scoring, split, stats, store,
 )
 from tallyward.plans import features, training
-from tallyward.session import new_folder
+from tallyward.session import local_table, new_folder
 from tallyward.sources import envelopes, event_transactions, history, side_files
 from tallyward.streaming import pipeline, profile
 from tallyward.streaming.scorer import Scorer
@@ -53,7 +55,7 @@ def rule_scored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_profile(spark, folder):
-    return rounded(history.profile(tx(spark, folder)))
+    return history.profile(tx(spark, folder))
 
 
 def time_features(spark, folder):
@@ -85,7 +87,7 @@ def batch_time_text(spark, folder):
 
 
 def user_stats(spark, folder):
-    return rounded(stats.user_stats(tx(spark, folder)))
+    return stats.user_stats(tx(spark, folder))
 
 
 def user_stats_incremental(spark, folder):
@@ -93,38 +95,38 @@ def user_stats_incremental(spark, folder):
     rows = tx(spark, folder)
     split_at = F.lit(HISTORY_END).cast("timestamp_ntz")
     old, new = rows.filter(F.col("ts") < split_at), rows.filter(F.col("ts") >= split_at)
-    return rounded(stats.finish(stats.merge_partials(stats.partials(old), stats.partials(new))))
+    return stats.finish(stats.merge_partials(stats.partials(old), stats.partials(new)))
 
 
 def feat_user_behavior(spark, folder):
     made = features.behaviour(tx(spark, folder))
-    return rounded(made.select(
+    return made.select(
         "transaction_id", "user_id", "amount", "user_transaction_count", "user_avg_amount", "user_amount_std",
         "user_max_amount", "user_vpn_ratio", "amount_zscore", "amount_to_max_ratio", "is_unusual_amount",
         "is_new_user", "is_largest_tx",
-    ))
+    )
 
 
 def category_fraud_rates(spark, folder):
-    return rounded(rates.category_rates(tx(spark, folder)))
+    return rates.category_rates(tx(spark, folder))
 
 
 def rate_encoded(spark, folder):
     rows = tx(spark, folder)
     made = rates.encode(rows, rates.fit(rows, rates.COLUMNS))
-    return rounded(made.select("transaction_id", *S.RATE_FEATURES.values()))
+    return made.select("transaction_id", *S.RATE_FEATURES.values())
 
 
 def rate_encoded_train_only(spark, folder):
     """Rates learned on train rows only, applied to all rows."""
     rows = split.stratified_split(tx(spark, folder))
     made = rates.encode(rows, rates.fit(rows.filter(F.col("split") == "train"), rates.COLUMNS))
-    return rounded(made.select("transaction_id", "split", *S.RATE_FEATURES.values()))
+    return made.select("transaction_id", "split", *S.RATE_FEATURES.values())
 
 
 def rate_encoded_defaults(spark, folder):
     made = rates.encode_or_default(tx(spark, folder), rates.defaults(spark))
-    return rounded(made.select("transaction_id", *S.RATE_FEATURES.values()))
+    return made.select("transaction_id", *S.RATE_FEATURES.values())
 
 
 def one_hot_fitted(spark, folder):
@@ -144,7 +146,7 @@ def one_hot_fixed(spark, folder):
 
 def feature_frame(spark, folder):
     made = features.batch(tx(spark, folder))
-    return rounded(features.model_frame(made).withColumn(S.LABEL, F.col(S.LABEL).cast("int")))
+    return features.model_frame(made).withColumn(S.LABEL, F.col(S.LABEL).cast("int"))
 
 
 def location_risk(spark, folder):
@@ -152,7 +154,7 @@ def location_risk(spark, folder):
 
 
 def rule_risk_score(spark, folder):
-    return rounded(scoring.with_rule_score(tx(spark, folder)).select("transaction_id", "risk_score"))
+    return scoring.with_rule_score(tx(spark, folder)).select("transaction_id", "risk_score")
 
 
 def clamped_amount(spark, folder):
@@ -173,7 +175,7 @@ def _extracted(spark, folder) -> DataFrame:
 
 def extractor_features(spark, folder):
     made = _extracted(spark, folder)
-    return rounded(made.select("transaction_id", *S.NUMERIC_FEATURES, *S.EXTRA_FEATURES))
+    return made.select("transaction_id", *S.NUMERIC_FEATURES, *S.EXTRA_FEATURES)
 
 
 _CSV = [
@@ -196,7 +198,7 @@ def feature_csv(spark, folder):
 
 def running_user_profile(spark, folder):
     made = running.running_profile(tx(spark, folder))
-    return rounded(made.select("transaction_id", "user_id", "running_count", "running_avg"))
+    return made.select("transaction_id", "user_id", "running_count", "running_avg")
 
 
 # --- evaluation ------------------------------------------------------------
@@ -205,11 +207,11 @@ def running_user_profile(spark, folder):
 def flags_at_threshold(spark, folder):
     scored = rule_scored(spark, folder)
     p = F.col("score")
-    return rounded(scored.select(
+    return scored.select(
         "transaction_id", "is_fraud", "score",
         evaluate.predicted(p, 0.5).alias("flag_batch"), evaluate.predicted(p, 0.5, strict=True).alias("flag_stream"),
         (evaluate.predicted(p, 0.5) == F.col("is_fraud")).alias("correct"),
-    ))
+    )
 
 
 def confusion_matrix(spark, folder):
@@ -217,53 +219,53 @@ def confusion_matrix(spark, folder):
 
 
 def classification_report(spark, folder):
-    return rounded(evaluate.report(confusion_matrix(spark, folder)))
+    return evaluate.report(confusion_matrix(spark, folder))
 
 
 def business_metrics(spark, folder):
-    made = rounded(evaluate.business(confusion_matrix(spark, folder)))
+    made = evaluate.business(confusion_matrix(spark, folder))
     return made.withColumn("detection_text", codec.percent(F.round("detection_rate", 4)))
 
 
 def positive_rates(spark, folder):
-    return rounded(evaluate.positive_rates(confusion_matrix(spark, folder)))
+    return evaluate.positive_rates(confusion_matrix(spark, folder))
 
 
 def roc_auc(spark, folder):
-    return rounded(evaluate.roc_auc(rule_scored(spark, folder)))
+    return evaluate.roc_auc(rule_scored(spark, folder))
 
 
 def roc_points(spark, folder):
-    return rounded(evaluate.roc_points(rule_scored(spark, folder)))
+    return evaluate.roc_points(rule_scored(spark, folder))
 
 
 def threshold_sweep(spark, folder):
-    return rounded(evaluate.threshold_sweep(rule_scored(spark, folder)))
+    return evaluate.threshold_sweep(rule_scored(spark, folder))
 
 
 def recommended_threshold(spark, folder):
-    return rounded(evaluate.recommended_threshold(evaluate.threshold_sweep(rule_scored(spark, folder))))
+    return evaluate.recommended_threshold(evaluate.threshold_sweep(rule_scored(spark, folder)))
 
 
 def first5_per_class(spark, folder):
     scored = rule_scored(spark, folder)
-    return rounded(evaluate.first_per_class(scored).select(
+    return evaluate.first_per_class(scored).select(
         "transaction_id", "is_fraud", "place", "score", "amount", "is_vpn",
         (F.col("flagged") == F.col("is_fraud")).alias("correct"),
-    ))
+    )
 
 
-def _correlation_frame(spark, folder) -> tuple[DataFrame, list[str]]:
+def _correlations(spark, folder) -> DataFrame:
     frame = features.batch(tx(spark, folder))
-    return frame, [c for c in columns.numeric_columns(frame) if c != "user_min_amount"]
+    return correlate.pairwise(frame, [S.LABEL, *[c for c in columns.numeric_columns(frame) if c != "user_min_amount"]])
 
 
 def correlation_with_label(spark, folder):
-    return rounded(correlate.with_label(*_correlation_frame(spark, folder)))
+    return correlate.with_label(_correlations(spark, folder))
 
 
 def correlation_top15(spark, folder):
-    return rounded(correlate.top_matrix(*_correlation_frame(spark, folder)))
+    return correlate.top_matrix(_correlations(spark, folder))
 
 
 # --- splits and samples ----------------------------------------------------
@@ -274,7 +276,7 @@ def stratified_split(spark, folder):
 
 
 def split_summary(spark, folder):
-    return rounded(split.split_summary(split.stratified_split(tx(spark, folder))))
+    return split.split_summary(split.stratified_split(tx(spark, folder)))
 
 
 def validation_split(spark, folder):
@@ -290,7 +292,7 @@ def standard_scaled(spark, folder):
     rows = split.stratified_split(tx(spark, folder))
     frame = features.batch(rows)
     scales = scale.fit(frame.filter(F.col("split") == "train"), S.NUMERIC_FEATURES)
-    return rounded(scale.transform(frame, scales).select("transaction_id", "split", *S.NUMERIC_FEATURES))
+    return scale.transform(frame, scales).select("transaction_id", "split", *S.NUMERIC_FEATURES)
 
 
 def sorted_timeline(spark, folder):
@@ -314,16 +316,15 @@ def _predictions(spark, folder) -> DataFrame:
 
 
 def alert_rows(spark, folder):
-    scored = _predictions(spark, folder).withColumn("timestamp", clock.to_text(F.col("ts")))
-    made = alerts.alerts(scored)
+    """Alerts where the rule score stands in for a model, and their JSON text read back."""
+    rows = scoring.with_rule_score(tx(spark, folder)).withColumn("timestamp", clock.to_text(F.col("ts")))
+    made = alerts.alerts(scoring.decide(rows, "risk_score"))
     message = F.from_json("message", "subject string, amount double, risk_factors array<string>")
-    return rounded(
-        made.withColumn("_m", message).select(
-            "subject", "transaction_id", "user_id", "amount", "timestamp", "fraud_probability",
-            F.array_join("risk_factors", " | ").alias("risk_factors"),
-            F.col("_m.subject").alias("message_subject"), F.col("_m.amount").alias("message_amount"),
-            F.array_join("_m.risk_factors", " | ").alias("message_risk_factors"),
-        )
+    return made.withColumn("_m", message).select(
+        "subject", "transaction_id", "user_id", "amount", "timestamp", "fraud_probability",
+        F.array_join("risk_factors", " | ").alias("risk_factors"),
+        F.col("_m.subject").alias("message_subject"), F.col("_m.amount").alias("message_amount"),
+        F.array_join("_m.risk_factors", " | ").alias("message_risk_factors"),
     )
 
 
@@ -333,13 +334,10 @@ def merged_store(spark, folder):
     prediction = _predictions(spark, folder).select(
         "transaction_id", "fraud_probability", "is_fraud", "prediction_timestamp", "ttl", "expiry_date", "error"
     )
-    merged = columns.merge(rows, prediction, "transaction_id")
-    exact = store.exact_floats(merged.select("transaction_id", "amount"))
-    return rounded(merged).join(
-        exact.select("transaction_id", F.col("amount").cast("string").alias("amount_exact")), "transaction_id"
-    ).select(
-        "transaction_id", "user_id", "amount_exact", "status", "fraud_probability", "is_fraud",
-        "prediction_timestamp", "ttl", "expiry_date", "error",
+    merged = columns.merge(rows, prediction, "transaction_id").withColumn("amount_exact", amounts.exact(F.col("amount")))
+    return merged.select(
+        "transaction_id", "user_id", F.col("amount_exact").cast("string").alias("amount_exact"), "status",
+        "fraud_probability", "is_fraud", "prediction_timestamp", "ttl", "expiry_date", "error",
     )
 
 
@@ -361,17 +359,17 @@ def _versions(spark, folder) -> DataFrame:
 
 def appended_batches(spark, folder):
     """All deliveries, copies of a key included."""
-    return rounded(_versions(spark, folder))
+    return _versions(spark, folder)
 
 
 def latest_by_key(spark, folder):
-    return rounded(store.latest(_versions(spark, folder)))
+    return store.latest(_versions(spark, folder))
 
 
 def upserted(spark, folder):
     """Later deliveries put over the first one."""
     rows = _versions(spark, folder)
-    return rounded(store.upsert(rows.filter("version = 1"), rows.filter("version > 1")))
+    return store.upsert(rows.filter("version = 1"), rows.filter("version > 1"))
 
 
 def live_rows(spark, folder):
@@ -386,9 +384,9 @@ def rows_of_user(spark, folder):
     """All stored rows of the user with the smallest id."""
     stored = _predictions(spark, folder)
     first = tx(spark, folder).agg(F.min("user_id")).first()[0]
-    return rounded(store.of_user(stored, first).select(
+    return store.of_user(stored, first).select(
         "transaction_id", "user_id", "amount", "fraud_probability", "is_fraud"
-    ))
+    )
 
 
 def wire_lines(spark, folder) -> DataFrame:
@@ -410,7 +408,7 @@ def wire_lines(spark, folder) -> DataFrame:
         .when((n % 109 == 0) | (n % 113 == 0), F.col("as_text"))
         .otherwise(F.col("as_number"))
     )
-    data = F.when(n % 101 == 0, "@@").otherwise(F.base64(F.encode(payload, F.lit("UTF-8"))))
+    data = F.when(n % 101 == 0, "@@").otherwise(F.base64(F.encode(payload, "UTF-8")))
     prepared = rows.withColumns({"as_number": as_number, "as_text": as_text})
     record = F.struct(F.struct(data.alias("data")).alias("kinesis"))
     line = (
@@ -444,12 +442,12 @@ def _streamed(spark, folder) -> tuple[pipeline.Places, DataFrame]:
 
 def stream_scored(spark, folder):
     _, stored = _streamed(spark, folder)
-    return rounded(stored.select(
+    return stored.select(
         "transaction_id", "user_id", "amount", "is_vpn", "fraud_probability", "is_fraud", "ttl",
         F.col("feature_values.hour_of_day").alias("hour_of_day"),
         F.col("feature_values.amount_zscore").alias("amount_zscore"),
         F.col("feature_values.location_fraud_rate").alias("location_fraud_rate"),
-    ))
+    )
 
 
 def stream_summary(spark, folder):
@@ -475,7 +473,7 @@ def stream_profile(spark, folder):
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return rounded(profile.current(spark, places.at("profile")))
+    return profile.current(spark, places.at("profile"))
 
 
 def _sent_and_stored(spark, folder) -> tuple[DataFrame, DataFrame]:
@@ -488,7 +486,7 @@ def _sent_and_stored(spark, folder) -> tuple[DataFrame, DataFrame]:
 
 def found_ids(spark, folder):
     sent, stored = _sent_and_stored(spark, folder)
-    return rounded(store.found(stored, sent).select("transaction_id", "fraud_probability", "is_fraud"))
+    return store.found(stored, sent).select("transaction_id", "fraud_probability", "is_fraud")
 
 
 def missing_ids(spark, folder):
@@ -497,7 +495,7 @@ def missing_ids(spark, folder):
 
 
 def round_trip_summary(spark, folder):
-    return rounded(store.round_trip(*_sent_and_stored(spark, folder)))
+    return store.round_trip(*_sent_and_stored(spark, folder))
 
 
 # --- files -----------------------------------------------------------------
@@ -509,7 +507,7 @@ def json_round_trip(spark, folder):
     history.write_json(tx(spark, folder), path)
     history.write_json(tx(spark, folder), path, mode="ignore")  # a second load does nothing
     back = history.read_json(spark, path)
-    return rounded(back.select(*[f.name for f in S.HISTORY.fields], F.hour("ts").alias("hour_of_day")))
+    return back.select(*[f.name for f in S.HISTORY.fields], F.hour("ts").alias("hour_of_day"))
 
 
 def publish_round_trip(spark, folder):
@@ -517,9 +515,9 @@ def publish_round_trip(spark, folder):
     rows = tx(spark, folder).withColumn("timestamp", clock.to_text(F.col("ts")))
     sent = envelopes.publish_form(rows)
     record = codec.json_record(F.col("value"), S.TRANSACTION)
-    return rounded(sent.select("key", record.alias("r")).select(
+    return sent.select("key", record.alias("r")).select(
         "key", *[F.col(f"r.{f.name}").alias(f.name) for f in S.TRANSACTION.fields]
-    ))
+    )
 
 
 def libsvm_round_trip(spark, folder):
@@ -528,7 +526,7 @@ def libsvm_round_trip(spark, folder):
     names = columns.model_columns(frame)
     path = new_folder(spark, "libsvm")
     history.write_matrix(frame, names, path)
-    return rounded(history.read_matrix(spark, path, names))
+    return history.read_matrix(spark, path, names)
 
 
 def manifest(spark, folder):
@@ -542,7 +540,9 @@ def manifest(spark, folder):
         (i, name, "categorical" if name in set(back["categorical_features"]) else "numeric")
         for i, name in enumerate(back["feature_names"], 1)
     ]
-    return spark.createDataFrame(rows, "position int, feature string, kind string")
+    return local_table(
+        spark, rows, pa.schema([("position", pa.int32()), ("feature", pa.string()), ("kind", pa.string())])
+    )
 
 
 # --- models ----------------------------------------------------------------

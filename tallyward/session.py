@@ -4,7 +4,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
 
@@ -16,6 +17,7 @@ def build(app: str = "tallyward", cpus: str = "*", **conf) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("TALLYWARD_DRIVER_MEMORY", "8g"),
         **conf,
     }
@@ -58,3 +60,11 @@ def ensure_checkpoints(spark: SparkSession) -> None:
 def parallelism(spark: SparkSession) -> int:
     """How many slices a range-sliced job is cut into: follows the cluster's setting."""
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def local_table(spark: SparkSession, rows, schema: pa.Schema) -> DataFrame:
+    """A few rows as part of the plan itself: no job, and a size the optimizer knows."""
+    columns = list(zip(*rows, strict=True)) or [[] for _ in schema]
+    return spark.createDataFrame(pa.Table.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
+    ))

@@ -39,10 +39,9 @@ def read_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> D
 
 def parse(lines: DataFrame, column: str = "value") -> DataFrame:
     """Envelope text of one column to envelope fields."""
-    parsed = lines.withColumn("_envelope", F.from_json(column, S.ENVELOPE))
-    return parsed.withColumns({
-        "Records": F.col("_envelope.Records"), "transaction": F.col("_envelope.transaction")
-    }).drop("_envelope")
+    # inline makes Spark read the text once for all fields
+    fields = F.coalesce(F.from_json(column, S.ENVELOPE), F.lit(None).cast(S.ENVELOPE))
+    return lines.select("*", F.inline_outer(F.array(fields)))
 
 
 def route(envelopes: DataFrame) -> DataFrame:
@@ -74,9 +73,11 @@ def decode(envelopes: DataFrame) -> DataFrame:
             .otherwise(nothing)
         ),
     )
-    read = expanded.withColumn("raw", codec.base64_text(F.col("_item.data"))).withColumn(
-        "_json", codec.json_record(F.col("raw"), S.WIRE_TRANSACTION)
-    )
+    raw = codec.base64_text(F.col("_item.data"))
+    # inline makes Spark read each text once for all fields
+    read = expanded.select("*", F.inline(F.array(F.struct(
+        raw.alias("raw"), codec.json_record(raw, S.WIRE_TRANSACTION).alias("_json")
+    ))))
     names = [f.name for f in S.WIRE_TRANSACTION.fields]
     by_record = F.col("route") == "records"
     merged = read.withColumns({

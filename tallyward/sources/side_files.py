@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tallyward import schemas as S
 from tallyward.operators import rates
 from tallyward.operators.columns import public_entries
+from tallyward.operators.skew import small_rows
 
 
 def write_small(df: DataFrame, path: str) -> None:
@@ -45,13 +46,8 @@ def read_rates(spark: SparkSession, path: str) -> rates.Rates:
         table = spark.read.schema(S.CATEGORY_RATE).json(path)
     except AnalysisException:
         return rates.defaults(spark)
-    small = rates.small_table(table)
-    if small is None:
-        return rates.Rates(table, None, False, {})
-    seen: dict[str, list[str]] = {}
-    for r in small.collect():
-        seen.setdefault(r.category, []).append(r.value)
-    return rates.Rates(small, None, True, seen)
+    rows = small_rows(table)
+    return rates.Rates(table, None, False, {}) if rows is None else rates.of_rows(spark, rows)
 
 
 def write_user_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
