@@ -11,6 +11,12 @@ def money(amount: Column) -> Column:
     return amount.cast("decimal(18,2)")
 
 
+def mean_of(total: Column, n: Column) -> Column:
+    """Mean of an exact total. Divides whole cents, so that equal amounts have exactly
+    themselves as their mean and are never a hair away from it."""
+    return (total * 100).cast("double") / n / 100
+
+
 def flag(condition: Column) -> Column:
     """0/1, a null condition is 0."""
     return F.coalesce(condition, F.lit(False)).cast("int")

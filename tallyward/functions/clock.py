@@ -3,8 +3,6 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyward import schemas as S
-
 # One- or two-digit parts are fine, fractions and offsets are not.
 _STRICT = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}Z$"
 
@@ -23,7 +21,9 @@ def parse_strict(text: Column) -> Column:
 
 
 def to_text(ts: Column) -> Column:
-    return F.date_format(ts, S.STREAM_TIME_FORMAT)
+    """``yyyy-MM-ddTHH:mm:ssZ``; by way of the zone-less text, which has no clock change in it."""
+    text = ts.cast("timestamp_ntz").cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("Z"))
 
 
 def hour_of_day(ts: Column) -> Column:
@@ -73,8 +73,9 @@ def epoch_now(now: Column | None = None) -> Column:
 
 def iso_now(now: Column | None = None) -> Column:
     """UTC wall-clock text, whatever zone the session is in."""
-    moment = F.current_timestamp() if now is None else now
-    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")
+    since = F.make_dt_interval(secs=epoch_now(now))
+    text = (F.lit("1970-01-01").cast("timestamp_ntz") + since).cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
 
 
 def epoch(ts: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions import clock
-from tallyward.functions.amounts import money
+from tallyward.functions.amounts import mean_of, money
 from tallyward.operators.skew import HEAVY_ROWS
 
 # Slices are equal in time, not in rows; more of them evens busy hours out.
@@ -62,5 +62,5 @@ def running_profile(df: DataFrame, heavy: int = HEAVY_ROWS) -> DataFrame:
         F.col("_start_total"), F.lit(0).cast("decimal(38,2)")
     )
     return rows.withColumn("running_count", count).withColumn(
-        "running_avg", total.cast("double") / F.col("running_count")
+        "running_avg", mean_of(total, F.col("running_count"))
     ).select(*df.columns, "running_count", "running_avg")

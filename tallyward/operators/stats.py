@@ -8,7 +8,7 @@ a stream keep the statistics fresh without reading history again.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.amounts import money
+from tallyward.functions.amounts import mean_of, money
 from tallyward.operators.skew import HEAVY_ROWS, attach
 
 PARTIAL_COLUMNS = ["user_id", "n", "n_amount", "total", "squares", "lowest", "highest", "n_vpn", "vpn"]
@@ -55,7 +55,7 @@ def finish(parts: DataFrame) -> DataFrame:
     return parts.select(
         "user_id",
         F.col("n").alias("user_transaction_count"),
-        F.when(n > 0, F.col("total").cast("double") / n).alias("user_avg_amount"),
+        F.when(n > 0, mean_of(F.col("total"), n)).alias("user_avg_amount"),
         F.coalesce(F.sqrt(variance), F.lit(0.0)).alias("user_amount_std"),
         F.col("lowest").alias("user_min_amount"),
         F.col("highest").alias("user_max_amount"),

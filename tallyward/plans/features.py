@@ -73,15 +73,19 @@ _NO_STATS = {
 
 
 def extractor(df: DataFrame, user_stats: DataFrame, fitted_rates: rates.Rates | None = None,
-              heavy: int = HEAVY_ROWS) -> DataFrame:
+              heavy: int | None = HEAVY_ROWS, one_hot: bool = True) -> DataFrame:
     """Features of live records from earlier statistics, with a default for everything.
 
-    ``ts`` may be null where the time could not be read.
+    ``ts`` may be null where the time could not be read. ``heavy=None`` says that the
+    statistics are few (those of one micro-batch) and need no care for heavy users.
     """
     if fitted_rates is None:
         fitted_rates = rates.defaults(df.sparkSession)
     marked = user_stats.withColumn("_known", F.lit(True))
-    joined = stats.attach(df, marked, "user_id", "transaction_id", heavy)
+    if heavy is None:
+        joined = df.join(marked, "user_id", "left")
+    else:
+        joined = stats.attach(df, marked, "user_id", "transaction_id", heavy)
     known = F.col("_known").isNotNull()
     amount = F.coalesce("amount", F.lit(0.0))
     avg, std, top = (
@@ -104,11 +108,12 @@ def extractor(df: DataFrame, user_stats: DataFrame, fitted_rates: rates.Rates |
         **clock.calendar_or_default(F.col("ts")),
         **{n: F.when(known, e).otherwise(F.lit(_NO_STATS[n])) for n, e in made.items()},
     }).drop("_known")
-    out = rates.encode_or_default(out, fitted_rates, heavy)
+    out = rates.encode_or_default(out, fitted_rates, heavy or HEAVY_ROWS)
     vocabulary = {**encode.FIXED, "location": fitted_rates.seen.get("location") or S.LOCATIONS}
     out = out.withColumns({
         "status": F.coalesce("status", F.lit("approved")),
         "location": F.coalesce("location", F.lit(S.MISSING_CATEGORY["location"])),
     })
-    out = encode.one_hot(out, vocabulary, keep_source=True)
+    if one_hot:
+        out = encode.one_hot(out, vocabulary, keep_source=True)
     return out.withColumn("is_vpn", amounts.flag(F.col("is_vpn")))

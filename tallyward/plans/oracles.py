@@ -67,7 +67,7 @@ def _stats(name: str, source: str) -> str:
     """Per-user statistics from sums of cents."""
     c = "cast(amount AS decimal(18,2))"
     return f"""{name} AS (
- SELECT user_id, n AS user_transaction_count, cast(s AS double) / na AS user_avg_amount,
+ SELECT user_id, n AS user_transaction_count, cast(s * 100 AS double) / na / 100 AS user_avg_amount,
   CASE WHEN na > 1 THEN sqrt(cast(q * na - s * s AS double) / (cast(na AS double) * (na - 1))) ELSE 0.0e0 END
    AS user_amount_std, lo AS user_min_amount, hi AS user_max_amount, vpn AS user_vpn_ratio
  FROM (SELECT user_id, count(transaction_id) AS n, count(amount) AS na,
@@ -348,7 +348,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "feature_csv": _csv(),
         "running_user_profile": _with(select=f"""SELECT transaction_id, user_id, count(*) OVER w AS running_count,
- {_r("cast(sum(cast(amount AS decimal(18,2))) OVER w AS double) / count(*) OVER w")} AS running_avg FROM tx
+ {_r("cast(sum(cast(amount AS decimal(18,2))) OVER w * 100 AS double) / count(*) OVER w / 100")} AS running_avg FROM tx
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
         "flags_at_threshold": _with(_SCORED, select=f"""SELECT transaction_id, is_fraud, {_r('score')} AS score,
  score >= 0.5e0 AS flag_batch, score > 0.5e0 AS flag_stream, (score >= 0.5e0) = is_fraud AS correct FROM scored"""),

@@ -55,7 +55,6 @@ LABEL = "is_fraud"
 MODEL_WIDTH = 38
 TTL_SECONDS = 30 * 24 * 60 * 60
 THRESHOLDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
-STREAM_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 # --- schemas ---------------------------------------------------------------
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyward.operators import alerts, store
-from tallyward.sources import envelopes
+from tallyward.sources import envelopes, side_files
 from tallyward.streaming import profile
 from tallyward.streaming.scorer import Scorer, stats_of
 
@@ -42,8 +42,8 @@ def handle(
     decoded = envelopes.decode(batch).persist()
     try:
         transactions = envelopes.accepted(decoded)
-        earlier = stats_of(transactions, spark.read.parquet(places.at("user_stats")))
-        scored = scorer.score(transactions, earlier, now).persist()
+        earlier, heavy = stats_of(transactions, side_files.read_user_stats(spark, places.at("user_stats")))
+        scored = scorer.score(transactions, earlier, now, heavy).persist()
         try:
             store.append(one_per_id(scored), batch_id, places.at("store"))
             sink = f"batch_id={batch_id}"

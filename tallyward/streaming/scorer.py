@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyward import schemas as S
 from tallyward.functions import clock
 from tallyward.operators import rates, scoring, store
-from tallyward.operators.skew import SMALL_TABLE_ROWS
+from tallyward.operators.skew import HEAVY_ROWS, SMALL_TABLE_ROWS
 from tallyward.plans import features
 
 
@@ -26,14 +26,17 @@ class Scorer:
     fallback: str = "rule"
     threshold: float = 0.5
 
-    def score(self, transactions: DataFrame, user_stats: DataFrame, now: Column | None = None) -> DataFrame:
+    def score(
+        self, transactions: DataFrame, user_stats: DataFrame, now: Column | None = None,
+        heavy: int | None = HEAVY_ROWS,
+    ) -> DataFrame:
         """Stored form of each transaction: its fields, the prediction and the features."""
         fields = [f.name for f in S.TRANSACTION.fields]
         given = transactions.select(*fields, F.struct(*fields).alias("_given")).withColumn(
             "ts", clock.parse_strict(F.col("timestamp"))
         )
         ruled = scoring.with_rule_score(given)
-        made = features.extractor(ruled, user_stats, self.rates)
+        made = features.extractor(ruled, user_stats, self.rates, heavy, one_hot=self.model is not None)
         if self.model is None:
             probability = F.lit(None).cast("double")
         else:
@@ -49,13 +52,16 @@ class Scorer:
         )
 
 
-def stats_of(transactions: DataFrame, user_stats: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """Statistics of the users in a micro-batch only.
+def stats_of(
+    transactions: DataFrame, user_stats: DataFrame, limit: int = SMALL_TABLE_ROWS
+) -> tuple[DataFrame, int | None]:
+    """Statistics of the users in a micro-batch only, and the care their join needs.
 
-    The statistics table is far larger than a micro-batch, so the batch's user ids
-    go to the table: broadcast when they are few, joined by shuffle when not.
+    The statistics table is far larger than a micro-batch, so the batch's user ids go
+    to the table. When they are few, both they and what is found for them are small
+    enough to broadcast; when not, both joins are left to shuffle.
     """
     users = transactions.select("user_id").filter(F.col("user_id").isNotNull()).distinct()
-    if users.limit(limit + 1).count() <= limit:
-        users = F.broadcast(users)
-    return user_stats.join(users, "user_id", "left_semi")
+    if users.limit(limit + 1).count() > limit:
+        return user_stats.join(users, "user_id", "left_semi"), HEAVY_ROWS
+    return F.broadcast(user_stats.join(F.broadcast(users), "user_id", "left_semi")), None
