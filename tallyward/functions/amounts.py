@@ -11,10 +11,15 @@ def money(amount: Column) -> Column:
     return amount.cast("decimal(18,2)")
 
 
-def mean_of(total: Column, n: Column) -> Column:
+def cents(amount: Column) -> Column:
+    """Whole cents as a long."""
+    return (money(amount) * 100).cast("long")
+
+
+def mean_of(total_cents: Column, n: Column) -> Column:
     """Mean of an exact total. Divides whole cents, so that equal amounts have exactly
     themselves as their mean and are never a hair away from it."""
-    return (total * 100).cast("double") / n / 100
+    return total_cents.cast("double") / n / 100
 
 
 def flag(condition: Column) -> Column:

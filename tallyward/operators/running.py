@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions import clock
-from tallyward.functions.amounts import mean_of, money
+from tallyward.functions.amounts import cents, mean_of
 from tallyward.operators.skew import HEAVY_ROWS
 
 # Slices are equal in time, not in rows; more of them evens busy hours out.
@@ -35,7 +35,7 @@ def running_profile(df: DataFrame, heavy: int = HEAVY_ROWS) -> DataFrame:
     sliced = (
         df.join(F.broadcast(_slices(df, heavy)), F.col("user_id").eqNullSafe(F.col("_key")), "left")
         .withColumn("_slice", F.coalesce(F.floor(share * F.col("_slices")).cast("int"), F.lit(0)))
-        .withColumn("_cents", money(F.col("amount")))
+        .withColumn("_cents", cents(F.col("amount")))
     )
     earlier = Window.partitionBy("_who").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     start = (
@@ -45,7 +45,7 @@ def running_profile(df: DataFrame, heavy: int = HEAVY_ROWS) -> DataFrame:
         .select(
             "_who", "_at",
             F.sum("n").over(earlier).alias("_start_count"),
-            F.sum("s").over(earlier).cast("decimal(38,2)").alias("_start_total"),
+            F.sum("s").over(earlier).alias("_start_total"),
         )
     )
     rows = sliced.join(
@@ -58,9 +58,7 @@ def running_profile(df: DataFrame, heavy: int = HEAVY_ROWS) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     count = F.count(F.lit(1)).over(within) + F.coalesce("_start_count", F.lit(0))
-    total = F.sum("_cents").over(within).cast("decimal(38,2)") + F.coalesce(
-        F.col("_start_total"), F.lit(0).cast("decimal(38,2)")
-    )
+    total = F.sum("_cents").over(within) + F.coalesce("_start_total", F.lit(0))
     return rows.withColumn("running_count", count).withColumn(
         "running_avg", mean_of(total, F.col("running_count"))
     ).select(*df.columns, "running_count", "running_avg")

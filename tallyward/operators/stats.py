@@ -55,7 +55,7 @@ def finish(parts: DataFrame) -> DataFrame:
     return parts.select(
         "user_id",
         F.col("n").alias("user_transaction_count"),
-        F.when(n > 0, mean_of(F.col("total"), n)).alias("user_avg_amount"),
+        F.when(n > 0, mean_of(F.col("total") * 100, n)).alias("user_avg_amount"),
         F.coalesce(F.sqrt(variance), F.lit(0.0)).alias("user_amount_std"),
         F.col("lowest").alias("user_min_amount"),
         F.col("highest").alias("user_max_amount"),

@@ -414,7 +414,7 @@ WHERE rn <= CASE WHEN is_fraud THEN 100 ELSE 400 END"""),
         ),
         "sorted_timeline": _with(select=f"SELECT transaction_id, {_ISO} AS timestamp, user_id, amount FROM tx ORDER BY ts, transaction_id"),
         "head_n": _with(select="SELECT transaction_id, user_id, amount, status FROM tx ORDER BY transaction_id LIMIT 1000"),
-        "alert_rows": _with(_SCORED, select=f"""SELECT 'FRAUD ALERT: Transaction ' || transaction_id AS subject,
+        "alerts": _with(_SCORED, select=f"""SELECT 'FRAUD ALERT: Transaction ' || transaction_id AS subject,
  transaction_id, user_id, {_r('amount')} AS amount, {_ISO} AS timestamp, {_r('score')} AS fraud_probability,
  {_FACTOR_TEXT} AS risk_factors, 'FRAUD ALERT: Transaction ' || transaction_id AS message_subject,
  {_r('amount')} AS message_amount, {_FACTOR_TEXT} AS message_risk_factors FROM scored WHERE score > 0.5e0"""),
@@ -463,6 +463,8 @@ UNION ALL SELECT 'rejects', count(*) FROM wire WHERE reason <> 'valid'""",
         "libsvm_round_trip": _with(*_FRAME_CTES, select="SELECT cast(is_fraud AS int) AS label, " + ", ".join(
             f"{_r(f'coalesce(cast({n} AS double), 0)')} AS {n}" for n in _MODEL_NAMES
         ) + " FROM frame"),
+        "model_parameters": _with(select="""SELECT transaction_id, 2 AS entries, 'status,card' AS names, status,
+ cast(NULL AS varchar) AS private FROM tx"""),
         "manifest": "SELECT * FROM (VALUES " + ", ".join(
             f"(cast({i} AS int), '{n}', '{'categorical' if n in _ONE_HOT_NAMES else 'numeric'}')"
             for i, n in enumerate(_MODEL_NAMES, 1)

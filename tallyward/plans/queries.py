@@ -545,6 +545,19 @@ def manifest(spark, folder):
     )
 
 
+def model_parameters(spark, folder):
+    """Named values of each transaction without the private ones (name with ``_`` first)."""
+    named = F.create_map(
+        F.lit("_user"), F.col("user_id"), F.lit("status"), F.col("status"), F.lit("_device"), F.col("device_type"),
+        F.lit("card"), F.col("card_type"),
+    )
+    public = tx(spark, folder).select("transaction_id", columns.public_entries(named).alias("m"))
+    return public.select(
+        "transaction_id", F.size("m").alias("entries"), F.array_join(F.map_keys("m"), ",").alias("names"),
+        F.col("m")["status"].alias("status"), F.col("m")["_user"].alias("private"),
+    )
+
+
 # --- models ----------------------------------------------------------------
 
 _MODELS: dict[tuple[str, str], tuple] = {}

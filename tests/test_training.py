@@ -3,6 +3,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tallyward.operators import rates, stats
+from tallyward.plans import batch_job
 from tallyward.plans import queries as q
 from tallyward.plans import training
 from tallyward.session import new_folder
@@ -81,3 +82,21 @@ def test_model_in_the_stream(spark, data, tx, fitted):
     assert got.filter("error is not null").count() == 0
     assert got.filter((F.col("fraud_probability") > 0.5) != F.col("is_fraud")).count() == 0
     assert got.select("feature_values.*").columns == known
+
+
+def test_whole_batch_job(spark, tx):
+    out = new_folder(spark, "job")
+    got = batch_job.run(tx, out, trials=2, rounds=3)
+    assert got["roc_auc"] > 0.85 and got["test_size"] == 200
+    made = side_files.read_manifest(spark, f"{out}/manifest")
+    assert side_files.model_width(made) == len(made["feature_names"]) == 39
+    assert not side_files.read_rates(spark, f"{out}/rates").seen.keys() - {"location", "device_type", "card_type", "status"}
+    assert side_files.read_user_stats(spark, f"{out}/user_stats").count() == tx.select("user_id").na.drop().distinct().count()
+    assert spark.read.json(f"{out}/thresholds").count() == 9
+    assert spark.read.json(f"{out}/report").count() == 17
+    assert spark.read.parquet(f"{out}/roc").agg(F.max("tpr")).first()[0] == 1.0
+    model = PipelineModel.load(f"{out}/model")
+    scorer = Scorer(side_files.read_rates(spark, f"{out}/rates"), model, made["feature_names"])
+    rows = history.wire_form(tx)
+    scored = scorer.score(rows, side_files.read_user_stats(spark, f"{out}/user_stats"))
+    assert scored.filter("error is null").count() == 1000
