@@ -133,7 +133,7 @@ def recommended_threshold(sweep: DataFrame, least_detection: float = 0.8) -> Dat
 def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
     slices = parallelism(df.sparkSession)
     at = [i / slices for i in range(1, slices)]
-    borders = sorted(set(df.approxQuantile(score, at, 1 / (4 * slices))))
+    borders = sorted(set(df.agg(F.percentile_approx(score, at, 4 * slices)).first()[0] or []))
     counted = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label)).alias("pos"), F.count_if(~F.col(label)).alias("neg")
     )

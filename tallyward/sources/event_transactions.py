@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyward.session import spread
+
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("ts", T.TimestampNTZType()),
@@ -55,7 +57,7 @@ def from_events(events: DataFrame) -> DataFrame:
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    return from_events(spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet"))
+    return from_events(spread(spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")))
 
 
 def read_stream(spark: SparkSession, folder: str) -> DataFrame:
