@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyward import schemas as S
+
 CORRUPT = "_corrupt_record"
 
 
@@ -39,13 +41,12 @@ def short_name(text: Column) -> Column:
     return F.lower(F.replace(text, F.lit(", "), F.lit("_")))
 
 
-def risk_factors(amount: Column, location: Column, device: Column, vpn: Column, card: Column) -> Column:
+def risk_factors() -> Column:
+    """What an alert shows of its transaction, one text per field."""
+    shown = {"is_vpn": F.initcap(F.col("is_vpn").cast("string"))}
     return F.array(
-        F.format_string("Amount: $%.2f", amount),
-        F.concat(F.lit("Location: "), location),
-        F.concat(F.lit("Device: "), device),
-        F.concat(F.lit("VPN: "), F.initcap(vpn.cast("string"))),
-        F.concat(F.lit("Card Type: "), card),
+        F.format_string(S.RISK_FACTOR_AMOUNT, "amount"),
+        *[F.concat(F.lit(label), shown.get(c, F.col(c))) for c, label in S.RISK_FACTOR_LABELS.items()],
     )
 
 

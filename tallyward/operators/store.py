@@ -108,8 +108,5 @@ def summary(scored: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("processed_count"), F.count_if(F.col("is_fraud")).alias("fraud_count")
     ).withColumn(
         "message",
-        F.format_string(
-            "Processed %d transactions, detected %d fraudulent transactions",
-            F.col("processed_count"), F.col("fraud_count"),
-        ),
+        F.format_string(S.SUMMARY_TEXT, F.col("processed_count"), F.col("fraud_count")),
     )

@@ -35,7 +35,7 @@ def _with(*ctes: str, select: str) -> str:
 
 
 def _r(expr: str) -> str:
-    return f"round({expr}, {Q.DIGITS})"
+    return f"(round({expr}, {Q.DIGITS}) + 0.0e0)"
 
 
 def _kept(expr: str) -> str:

@@ -16,7 +16,7 @@ from tallyward.operators import (
 from tallyward.plans import features, training
 from tallyward.session import local_table, new_folder
 from tallyward.sources import envelopes, event_transactions, history, side_files
-from tallyward.streaming import pipeline, profile
+from tallyward.streaming import profile, scoring_stream
 from tallyward.streaming.scorer import Scorer
 
 DIGITS = 10
@@ -31,8 +31,9 @@ def tx(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rounded(df: DataFrame) -> DataFrame:
+    """Doubles at 10 decimals; adding 0 leaves no negative zero."""
     doubles = [n for n, t in df.dtypes if t == "double"]
-    return df.withColumns({c: F.round(c, DIGITS) for c in doubles})
+    return df.withColumns({c: F.round(c, DIGITS) + F.lit(0.0) for c in doubles})
 
 
 def at(text: str):
@@ -429,15 +430,15 @@ def decode_reject(spark, folder):
     return decoded.select("transaction_id", "user_id", "amount", "is_vpn", "route", "reason")
 
 
-def _streamed(spark, folder) -> tuple[pipeline.Places, DataFrame]:
+def _streamed(spark, folder) -> tuple[scoring_stream.Places, DataFrame]:
     """Publish the lines, let the stream work them off, give what is stored."""
-    places = pipeline.Places(new_folder(spark, "stream"))
+    places = scoring_stream.Places(new_folder(spark, "stream"))
     wire_lines(spark, folder).repartition(4).select("value").write.text(places.at("envelopes"))
     rows = tx(spark, folder)
     earlier = rows.filter(F.col("ts") < F.lit(HISTORY_END).cast("timestamp_ntz"))
     side_files.write_user_stats(stats.user_stats(earlier), places.at("user_stats"))
     scorer = Scorer(rates.defaults(spark))
-    return places, pipeline.replay(spark, places, scorer, at(NOW), files_per_batch=2)
+    return places, scoring_stream.replay(spark, places, scorer, at(NOW), files_per_batch=2)
 
 
 def stream_scored(spark, folder):
@@ -465,7 +466,7 @@ def stream_summary(spark, folder):
 
 def stream_profile(spark, folder):
     """User statistics learned by the stream, batch by batch, without reading history."""
-    places = pipeline.Places(new_folder(spark, "learn"))
+    places = scoring_stream.Places(new_folder(spark, "learn"))
     source = event_transactions.read_stream(spark, folder)
     query = (
         source.writeStream.option("checkpointLocation", places.at("checkpoint"))

@@ -56,6 +56,14 @@ MODEL_WIDTH = 38
 TTL_SECONDS = 30 * 24 * 60 * 60
 THRESHOLDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 
+# Texts of alerts and batch summaries.
+ALERT_SUBJECT = "FRAUD ALERT: Transaction "
+RISK_FACTOR_AMOUNT = "Amount: $%.2f"
+RISK_FACTOR_LABELS = {
+    "location": "Location: ", "device_type": "Device: ", "is_vpn": "VPN: ", "card_type": "Card Type: ",
+}
+SUMMARY_TEXT = "Processed %d transactions, detected %d fraudulent transactions"
+
 # --- schemas ---------------------------------------------------------------
 
 TRANSACTION = T.StructType([

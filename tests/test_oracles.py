@@ -21,7 +21,7 @@ def duck(data):
 
 
 def _key(row):
-    return tuple((v is None, str(v)) for v in row)
+    return tuple((v is None, repr(v)) for v in row)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -9,7 +9,7 @@ from tallyward.operators import alerts, rates, scoring, stats, store
 from tallyward.plans import queries as q
 from tallyward.session import new_folder
 from tallyward.sources import envelopes, history, side_files
-from tallyward.streaming import pipeline, profile
+from tallyward.streaming import profile, scoring_stream
 from tallyward.streaming.scorer import Scorer
 
 
@@ -103,7 +103,7 @@ def test_exact_floats(record):
 
 
 def places_for(spark, tx, published):
-    places = pipeline.Places(new_folder(spark, "stream"))
+    places = scoring_stream.Places(new_folder(spark, "stream"))
     side_files.write_user_stats(stats.user_stats(tx.filter(F.col("ts") < "2024-01-16")), places.at("user_stats"))
     envelopes.publish(published, places.at("envelopes"))
     return places
@@ -116,7 +116,7 @@ def test_stream_equals_batch_and_loses_nothing(spark, tx):
     rows = history.wire_form(tx)
     places = places_for(spark, tx, rows)
     scorer = Scorer(rates.defaults(spark))
-    got = pipeline.replay(spark, places, scorer, now(), files_per_batch=2)
+    got = scoring_stream.replay(spark, places, scorer, now(), files_per_batch=2)
     batch = scorer.score(rows, side_files.read_user_stats(spark, places.at("user_stats")), now())
     assert rows_of(got.select(FIELDS)) == rows_of(batch.select(FIELDS))
     trip = store.round_trip(rows, got).first()
@@ -128,11 +128,11 @@ def test_restart_takes_up_where_it_stopped(spark, tx):
     rows = history.wire_form(tx)
     places = places_for(spark, tx, rows.filter("amount < 50"))
     scorer = Scorer(rates.defaults(spark))
-    query = pipeline.start(spark, places, scorer, now(), learn=True, once=True)
+    query = scoring_stream.start(spark, places, scorer, now(), learn=True, once=True)
     query.awaitTermination()
     before = store.read(spark, places.at("store"), now()).count()
     envelopes.publish(rows.filter("amount >= 50"), places.at("envelopes"))
-    query = pipeline.start(spark, places, scorer, now(), learn=True, once=True)
+    query = scoring_stream.start(spark, places, scorer, now(), learn=True, once=True)
     query.awaitTermination()
     assert 0 < before < 1000
     assert store.read(spark, places.at("store"), now()).count() == 1000
@@ -150,7 +150,7 @@ def test_same_id_in_one_batch_is_stored_once(spark, record, tx):
     row = {"transaction_id": "TX", "user_id": "U1", "amount": 1.0, "timestamp": "2024-01-20T00:00:00Z"}
     late = {**row, "amount": 2.0, "timestamp": "2024-01-21T00:00:00Z"}
     places = places_for(spark, tx, record(late, row))
-    got = pipeline.replay(spark, places, Scorer(rates.defaults(spark)), now()).collect()
+    got = scoring_stream.replay(spark, places, Scorer(rates.defaults(spark)), now()).collect()
     assert [(r.transaction_id, r.amount) for r in got] == [("TX", 2.0)]
 
 
@@ -158,5 +158,5 @@ def test_bad_records_do_not_stop_the_batch(spark, record, tx):
     places = places_for(spark, tx, record({"transaction_id": "TX", "amount": 1.0}))
     lines = [('{"Records": [{"kinesis": {"data": "@@"}}]}',), ("junk",)]
     spark.createDataFrame(lines, "value string").write.mode("append").text(places.at("envelopes"))
-    assert pipeline.replay(spark, places, Scorer(rates.defaults(spark)), now()).count() == 1
+    assert scoring_stream.replay(spark, places, Scorer(rates.defaults(spark)), now()).count() == 1
     assert sorted(r.reason for r in spark.read.json(places.at("rejects")).collect()) == ["bad_base64", "invalid_envelope"]

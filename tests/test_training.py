@@ -8,7 +8,7 @@ from tallyward.plans import queries as q
 from tallyward.plans import training
 from tallyward.session import new_folder
 from tallyward.sources import history, side_files
-from tallyward.streaming import pipeline
+from tallyward.streaming import scoring_stream
 from tallyward.streaming.scorer import Scorer
 
 
@@ -71,13 +71,13 @@ def test_model_in_the_stream(spark, data, tx, fitted):
     _, names, model = fitted
     from tallyward.sources import envelopes
 
-    places = pipeline.Places(new_folder(spark, "stream"))
+    places = scoring_stream.Places(new_folder(spark, "stream"))
     side_files.write_user_stats(stats.user_stats(tx), places.at("user_stats"))
     envelopes.publish(history.wire_form(tx), places.at("envelopes"))
     known = [n for n in names if n != "location_oslo_norway"]
     narrow = training.train(fitted[0], known, training.Parameters(maxDepth=3, maxIter=3))
     scorer = Scorer(rates.defaults(spark), narrow, known)
-    got = pipeline.replay(spark, places, scorer, q.at(q.NOW))
+    got = scoring_stream.replay(spark, places, scorer, q.at(q.NOW))
     assert got.count() == 1000
     assert got.filter("error is not null").count() == 0
     assert got.filter((F.col("fraud_probability") > 0.5) != F.col("is_fraud")).count() == 0
