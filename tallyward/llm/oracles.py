@@ -2,8 +2,8 @@
 
 _OP7 = r"""
 WITH RECURSIVE w AS (
- SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+ SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents),
 s AS (
  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g
  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
@@ -16,4 +16,23 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) m ON m.a = d.doc_id
 """
 
-SQL = {"op7_ngram_jaccard_join": _OP7}
+_OP8 = r"""
+WITH d AS (
+ SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+s AS (SELECT source, cast(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM s),
+v AS (
+ SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER e, 0))::DOUBLE
+   / (sum(w) OVER () - coalesce(sum(w) OVER e, 0))::DOUBLE AS level
+ FROM r WINDOW e AS (ORDER BY source_size::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, least(3.0::DOUBLE * source_size, max(level) OVER () * w) AS target FROM v),
+c AS (
+ SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
+  ('0x' || substr(md5(concat_ws(':', 'mix', cast(d.doc_id AS VARCHAR), cast(d.size AS VARCHAR))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS coin
+ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, cast(size AS BIGINT) AS size, source_size, target,
+ cast(size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM c
+"""
+
+SQL = {"op8_source_mix": _OP8, "op7_ngram_jaccard_join": _OP7}

@@ -2,18 +2,36 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import ngram_join, oracles
+from tallyward.llm import byte_bpe, mixing, ngram_join, oracles, sharding, token_counts
 from tallyward.llm.tables import read
 
 
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.digests(read(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op6_rendezvous_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.slots(read(spark, folder, "documents"), 8)
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.link(read(spark, folder, "documents"))
 
 
+def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(read(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_ngram_jaccard_join,)}
+    return {f.__name__: f for f in (op2_byte_bpe, op5_token_counts, op6_rendezvous_shards, op7_ngram_jaccard_join, op8_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:

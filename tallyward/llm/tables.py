@@ -30,3 +30,16 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """The frame without columns that an operator is about to add (its own names win)."""
     wanted = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in wanted])
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def ddl(df: DataFrame) -> str:
+    """The frame's columns as a schema text."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
