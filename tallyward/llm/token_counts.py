@@ -36,7 +36,9 @@ class Counter:
         alone = self.model.encode([p[1:].replace(MARK, " ") for p, _ in ordinary], num_threads=1)
         #: what follows the first mark of a pre-token that is one token
         self.whole = {p[1:].replace(MARK, " ") for (p, i), ids in zip(ordinary, alone, strict=True) if ids == [i]}
-        self.known: dict[str, int] = {}
+        # a mark alone, at a text's end: the library adds none to an empty text, so it is measured behind a word
+        self.lone = {"": len(self.model.encode("a ")) - len(self.model.encode("a"))}
+        self.known: dict[str, int] = dict(self.lone)
 
     def pre_tokens(self, text: str) -> list[str]:
         """Pre-tokens without their first mark."""
@@ -51,6 +53,7 @@ class Counter:
         whole, known = self.whole, self.known
         if len(known) > REMEMBERED:
             known.clear()
+            known.update(self.lone)
         own = [self.pre_tokens(t) for t in texts]
         rest = [[p for p in parts if p not in whole] for parts in own]
         new = list({p for parts in rest for p in parts}.difference(known))
