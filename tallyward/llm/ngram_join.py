@@ -6,10 +6,11 @@
    came from: a hash of one text can't link anything, and as the rarest come first in the global order,
    such hashes only take up room in the prefix. A text whose prefix holds nothing else is done.
 3. Equal sets become one node. Nodes that share a prefix hash are compared in rounds: first with one
-   centre per hash, then only nodes that are still in another component than most of the hash's nodes.
-   No round emits all pairs of a group, and no link between different sets is lost: a pair is left out
-   only when both nodes are in one component already, or when a filter proves that it can't link.
-4. Each pair is verified once, on whole sets.
+   centre per hash, then only nodes that are still in another component than most of the hash's nodes:
+   pair by pair where few nodes share the hash, in blocks of nodes where many do. No round emits all pairs
+   of a group, and no link between different sets is lost: a pair is left out only when both nodes are in
+   one component already, or when a filter proves that it can't link.
+4. A pair is verified on whole sets, once in a round.
 """
 
 import numpy as np
@@ -25,6 +26,8 @@ from tallyward.llm.tables import partitions, stored, text_or_empty
 SIZE, NUM, DEN = 5, 75, 100
 BLOCK_BYTES = 4 << 20  # of text; a block's arrays take about 30 times as much
 LOW = np.uint64((1 << 48) - 1)
+HOT = 128  # a token of more nodes is compared block by block
+BLOCK = 512  # nodes
 HEAD, SINGLE, SHARED, HELD = 0, 1, 2, 3
 
 _BLOCK = "bucket int, block long, kind int, n int, payload binary"
@@ -240,6 +243,116 @@ def _pairs(left: DataFrame, right: DataFrame, num: int, den: int) -> DataFrame:
     )
 
 
+def _prefix(nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """``token, node, n, i``: the prefix of every node; ``i`` is the place in the whole set, rarest first."""
+    return (
+        nodes.withColumn("alone", F.col("n") - F.size("tokens"))
+        .withColumn("length", F.expr(f"n - cast(ceil({num} * n / {den}) as long) + 1 - alone").cast("int"))
+        .select("node", "n", "alone", F.posexplode(F.slice("tokens", 1, F.col("length"))))
+        .select(F.col("col").alias("token"), "node", "n", (F.col("alone") + F.col("pos")).alias("i"))
+    )
+
+
+def _unsettled(rows: DataFrame) -> DataFrame:
+    """The prefix rows of tokens whose nodes are not all in one component yet."""
+    open_ = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+    return rows.join(open_.select("token"), "token")
+
+
+def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    known = rows.drop("label").join(labels, "node", "left")
+    return known.withColumn("label", F.coalesce("root", "node")).drop("root")
+
+
+def _labels(links: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Components of the new links and of what is known already."""
+    links = links.toDF("a", "b")
+    if labels is not None:
+        links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return components(links, "a", "b")
+
+
+def _centres(rows: DataFrame, turn: int) -> DataFrame:
+    """One node for each token, another one in each turn."""
+    return rows.groupBy("token").agg(
+        F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "i", "label")).alias("c")
+    ).select("token", "c.node", "c.n", "c.i", "c.label")
+
+
+def _compare(num: int, den: int):
+    """Two blocks of nodes: common tokens of all pairs by matrix products over slices of the tokens."""
+
+    def matrix(node: np.ndarray, column: np.ndarray, rows: int, lo: int, hi: int) -> np.ndarray:
+        out = np.zeros((rows, hi - lo), np.float32)
+        here = (column >= lo) & (column < hi)
+        out[node[here], column[here] - lo] = 1
+        return out
+
+    def run(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        node, label, n = (table.column(c).to_numpy() for c in ("node", "label", "n"))
+        tokens = table.column("tokens").combine_chunks()
+        length = np.diff(tokens.offsets.to_numpy())
+        owner, token = np.repeat(np.arange(len(node)), length), tokens.flatten().to_numpy()
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        place = {x: np.zeros(len(node), np.int64) for x in (0, 1)}
+        place[0][left], place[1][right] = np.arange(len(left)), np.arange(len(right))
+        in_left, in_right = (side != 1)[owner], (side != 0)[owner]
+        both = np.intersect1d(token[in_left], token[in_right])
+        common = np.zeros((len(left), len(right)), np.float32)
+        column = np.searchsorted(both, token)
+        column[column == len(both)] = 0
+        known = both[column] == token if len(both) else np.zeros(len(token), bool)
+        l, r = in_left & known, in_right & known  # noqa: E741
+        for lo in range(0, len(both), 4096):
+            hi = min(lo + 4096, len(both))
+            common += matrix(place[0][owner[l]], column[l], len(left), lo, hi) @ matrix(place[1][owner[r]], column[r], len(right), lo, hi).T
+        total = n[left][:, None] + n[right][None, :]
+        i, j = np.nonzero(((num + den) * common.astype(np.int64) >= num * total) & (label[left][:, None] != label[right][None, :]))
+        # one link of a node to each other component is enough
+        _, one = np.unique(np.stack([left[i], label[right[j]]]), axis=1, return_index=True)
+        return pa.table([pa.array(node[left[i[one]]], pa.int64()), pa.array(node[right[j[one]]], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _hot_links(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """Links among the nodes of tokens that many nodes share.
+
+    Such nodes form groups (joined by these tokens). Of a group, the nodes outside its largest component are compared
+    with all its nodes, block by block; a pair of blocks is one task's work, so a group of any size is spread out.
+    """
+    low = rows.groupBy("token").agg(F.min("node").alias("low"))
+    group = components(rows.join(low, "token").select("node", "low"), "node", "low").withColumnRenamed("root", "group")
+    known = rows.select("node", "label").distinct()
+    members = group.join(known, "node")
+    sizes = members.groupBy("group", "label").agg(F.count("*").alias("size"))
+    shape = sizes.groupBy("group").agg(F.max_by("label", F.struct("size", "label")).alias("major"), F.max("size").alias("most"), F.sum("size").alias("all"))
+
+    def blocks(count):
+        return F.greatest(F.lit(1), F.ceil(count / F.lit(BLOCK))).cast("int")
+
+    members = (
+        members.join(shape, "group")
+        .withColumn("rest", F.col("label") != F.col("major"))
+        .withColumn("rests", blocks(F.col("all") - F.col("most")))
+        .withColumn("blocks", F.col("rests") + blocks(F.col("most")))
+        .withColumn("block", F.when(F.col("rest"), F.pmod(F.xxhash64("node"), F.col("rests"))).otherwise(
+            F.col("rests") + F.pmod(F.xxhash64("node"), F.col("blocks") - F.col("rests"))).cast("int"))
+    )
+    # a pair (x, y) of blocks has x <= y and x < rests
+    as_left = F.when(F.col("block") < F.col("rests"), F.transform(F.sequence("block", F.col("blocks") - 1), lambda y: F.struct(
+        F.col("block").alias("x"), y.alias("y"), F.when(y == F.col("block"), 2).otherwise(0).alias("side")))).otherwise(F.array())
+    lower = F.least(F.col("block"), F.col("rests")) - 1
+    as_right = F.when(lower >= 0, F.transform(F.sequence(F.lit(0), F.greatest(lower, F.lit(0))), lambda x: F.struct(
+        x.alias("x"), F.col("block").alias("y"), F.lit(1).alias("side")))).otherwise(F.array())
+    dealt = members.withColumn("at", F.explode(F.concat(as_left, as_right))).select("group", "at.*", "node", "label")
+    return (
+        dealt.join(nodes.select("node", "n", "tokens"), "node")
+        .groupBy("group", "x", "y").applyInArrow(_compare(num, den), "a long, b long")
+    )
+
+
 def link(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN, rounds: int = 2) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (columns ``doc_id, text``).
 
@@ -256,41 +369,24 @@ def link(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN, roun
         .agg(F.min("doc_id").alias("doc_id"), F.any_value("tokens").alias("tokens"))
         .withColumn("node", F.col("k1")), "ngram-nodes",
     )
-    prefix = stored(
-        nodes.select("node", "n", F.col("n").cast("int").alias("whole"), "tokens")
-        .withColumn("alone", F.col("n") - F.size("tokens"))
-        .withColumn("length", F.expr(f"n - cast(ceil({num} * n / {den}) as long) + 1 - alone").cast("int"))
-        .select("node", "n", "alone", F.posexplode(F.slice("tokens", 1, F.col("length"))))
-        .select(F.col("col").alias("token"), "node", "n", (F.col("alone") + F.col("pos")).alias("i")), "ngram-prefixes",
-    )
-    # a token of one node joins nothing
-    shared = prefix.groupBy("token").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).filter("_low <> _high")
-    prefix = stored(prefix.join(shared.select("token"), "token"), "ngram-shared")
-    labels, links = None, None
-    for turn in range(rounds + 1):
-        rows = prefix.withColumn("label", F.col("node"))
-        if labels is not None:
-            rows = prefix.join(labels.withColumnRenamed("root", "label"), "node", "left").withColumn(
-                "label", F.coalesce("label", "node"))
-        if turn < rounds:
-            centre = rows.groupBy("token").agg(
-                F.min("label").alias("_low"), F.max("label").alias("_high"),
-                F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "i", "label")).alias("c"),
-            ).filter("_low <> _high").select("token", "c.node", "c.n", "c.i", "c.label")
-            pairs = _pairs(rows, centre, num, den)
-        else:
-            size_of = rows.groupBy("token", "label").agg(F.count("*").alias("rows"))
-            most = size_of.groupBy("token").agg(F.count("*").alias("labels"), F.max(F.struct("rows", "label")).alias("m"))
-            rest = rows.join(most.filter("labels > 1").select("token", F.col("m.label").alias("major")), "token").filter("label <> major")
-            pairs = _pairs(rest.drop("major"), rows, num, den)
-        found = _linked(pairs, nodes.drop("doc_id"), num, den)
-        links = found if labels is None else found.unionByName(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        labels = components(links, "a", "b")
-    smallest = (
-        nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    )
-    named = smallest.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_set = smallest.select("k1", "k2", "n", "root").join(named, "root").drop("root")
+    rows = stored(_unsettled(_prefix(nodes, num, den).withColumn("label", F.col("node"))), "ngram-prefixes")
+    labels = _labels(nodes.select("node", "node"), None)
+    for turn in range(rounds):
+        pairs = _pairs(rows, _centres(rows, turn), num, den)
+        labels = _labels(_linked(pairs, nodes, num, den), labels)
+        rows = stored(_unsettled(_relabelled(rows, labels)), "ngram-prefixes")
+    if not rows.isEmpty():
+        stats = rows.groupBy("token").agg(F.count("*").alias("rows")).withColumn("hot", F.col("rows") > HOT)
+        rows = stored(rows.join(stats.select("token", "hot"), "token"), "ngram-prefixes")
+        cold = rows.filter("NOT hot")
+        counted = cold.groupBy("token", "label").agg(F.count("*").alias("rows"))
+        major = counted.groupBy("token").agg(F.max_by("label", F.struct("rows", "label")).alias("major"))
+        rest = cold.join(major, "token").filter("label <> major").drop("major")
+        found = _linked(_pairs(rest, cold, num, den), nodes, num, den)
+        labels = _labels(found.unionByName(_hot_links(rows.filter("hot"), nodes, num, den)), labels)
+    placed = nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    of_set = placed.select("k1", "k2", "n", "root").join(named, "root").drop("root")
     return (
         table.drop("tokens").join(of_set, ["k1", "k2", "n"], "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
