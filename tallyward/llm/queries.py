@@ -5,10 +5,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import byte_bpe, mixing, ngram_join, oracles, sharding, token_counts
+from tallyward.llm import byte_bpe, fingerprints, mixing, ngram_join, oracles, sharding, token_counts
 from tallyward.llm.tables import read
 
 
+def op1_weighted_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, folder, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.digests(read(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -31,7 +35,7 @@ def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_byte_bpe, op5_token_counts, op6_rendezvous_shards, op7_ngram_jaccard_join, op8_source_mix)}
+    return {f.__name__: f for f in (op1_weighted_fingerprints, op2_byte_bpe, op5_token_counts, op6_rendezvous_shards, op7_ngram_jaccard_join, op8_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
