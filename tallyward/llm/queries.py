@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import byte_bpe, fingerprints, mixing, ngram_join, oracles, sharding, token_counts
+from tallyward.llm import byte_bpe, fingerprints, mixing, ngram_join, oracles, sharding, token_counts, toxicity
 from tallyward.llm.tables import read
 
 
@@ -18,6 +18,12 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(read(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    network = toxicity.fit(docs, read(spark, folder, "labels"))
+    return toxicity.score(docs, network).select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -35,7 +41,7 @@ def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_weighted_fingerprints, op2_byte_bpe, op5_token_counts, op6_rendezvous_shards, op7_ngram_jaccard_join, op8_source_mix)}
+    return {f.__name__: f for f in (op1_weighted_fingerprints, op2_byte_bpe, op4_toxicity, op5_token_counts, op6_rendezvous_shards, op7_ngram_jaccard_join, op8_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -80,15 +80,21 @@ class Words:
         self.hash = self._hashes(black)
 
     def _hashes(self, black: np.ndarray) -> np.ndarray:
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        begin, size = int(self.start[0]), self.end - self.start
-        spans = np.diff(np.append(self.start, len(self.data)))
-        place = np.arange(begin, len(self.data)) - np.repeat(self.start, spans)
-        value = _BYTE[self.data[begin:]]
-        value[~black[begin:]] = 0
-        value *= _powers(int(spans.max()))[place]
-        return mix(np.add.reduceat(value, self.start - begin) + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        """In runs of about a million bytes (at least one word), which bounds the memory."""
+        out = np.zeros(len(self.start), np.uint64)
+        a = 0
+        while a < len(out):
+            b = max(a + 1, int(np.searchsorted(self.start, self.start[a] + (1 << 20))))
+            lo, hi = int(self.start[a]), int(self.end[b - 1])
+            start = self.start[a:b] - lo
+            spans = np.diff(np.append(start, hi - lo))
+            value = _BYTE[self.data[lo:hi]]
+            value[~black[lo:hi]] = 0
+            value *= _powers(int(spans.max()))[np.arange(hi - lo) - np.repeat(start, spans)]
+            size = (self.end[a:b] - self.start[a:b]).astype(np.uint64)
+            out[a:b] = mix(np.add.reduceat(value, start) + size * np.uint64(0x9E3779B97F4A7C15))
+            a = b
+        return out
 
     def per_text(self) -> np.ndarray:
         return np.bincount(self.text, minlength=len(self.offsets) - 1)
