@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import byte_bpe, fingerprints, mixing, ngram_join, oracles, sharding, token_counts, toxicity
+from tallyward.llm import byte_bpe, fingerprints, mixing, ngram_join, oracles, sanitise, sharding, token_counts, toxicity
 from tallyward.llm.tables import read
 
 
@@ -40,8 +40,13 @@ def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(read(spark, folder, "documents"))
 
 
+def op9_disclosure_sanitising(spark: SparkSession, folder: str) -> DataFrame:
+    return sanitise.spans(read(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_weighted_fingerprints, op2_byte_bpe, op4_toxicity, op5_token_counts, op6_rendezvous_shards, op7_ngram_jaccard_join, op8_source_mix)}
+    return {f.__name__: f for f in (op1_weighted_fingerprints, op2_byte_bpe, op4_toxicity, op5_token_counts, op6_rendezvous_shards, op7_ngram_jaccard_join, op8_source_mix,
+        op9_disclosure_sanitising)}
 
 
 def oracle_sql() -> dict[str, str]:
