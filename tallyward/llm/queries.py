@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyward.llm import byte_bpe, fingerprints, mixing, ngram_join, oracles, sanitise, sharding, token_counts, toxicity
+from tallyward.llm import byte_bpe, fingerprints, html_text, mixing, nearest, ngram_join, oracles, sanitise, sharding, token_counts, toxicity
 from tallyward.llm.tables import read
 
 
@@ -18,6 +18,11 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.digests(read(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op3_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages")
+    return html_text.extract(pages, html_text.fit(pages))
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     network = toxicity.fit(docs, read(spark, folder, "labels"))
@@ -44,9 +49,13 @@ def op9_disclosure_sanitising(spark: SparkSession, folder: str) -> DataFrame:
     return sanitise.spans(read(spark, folder, "documents"))
 
 
+def op10_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.search(read(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_weighted_fingerprints, op2_byte_bpe, op4_toxicity, op5_token_counts, op6_rendezvous_shards, op7_ngram_jaccard_join, op8_source_mix,
-        op9_disclosure_sanitising)}
+    return {f.__name__: f for f in (op1_weighted_fingerprints, op2_byte_bpe, op3_html_main_text, op4_toxicity, op5_token_counts, op6_rendezvous_shards, op7_ngram_jaccard_join, op8_source_mix,
+        op9_disclosure_sanitising, op10_nearest_vectors)}
 
 
 def oracle_sql() -> dict[str, str]:
