@@ -9,12 +9,12 @@ similarity, sum of minima over sum of maxima, so the share of equal samples esti
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.tables import partitions, text_or_empty
+from tallyward.llm.tables import partitions, stored, text_or_empty
 
 SAMPLES = 32
 TASKS = 8  # as many tasks as this for each shuffle partition: a task counts the terms of its texts in memory
 BLANK = " \t\n\x0b\f\r"
-COARSE = 64
+COARSE = 16
 
 
 def sample(term: Column, log_weight: Column, k: int) -> Column:
@@ -41,7 +41,7 @@ def _terms(text: Column) -> Column:
 def _bins(docs: DataFrame, n: int) -> Column:
     """A number for ``doc_id`` that never falls as ids rise and deals rows out about evenly.
 
-    64 approximate quantiles, at equal steps in between; null ids come last.
+    Some approximate quantiles, at equal steps in between; null ids come last.
     """
     id_ = F.col("doc_id")
     cuts = docs.approxQuantile("doc_id", [i / COARSE for i in range(COARSE + 1)], 1 / (4 * COARSE))
@@ -77,6 +77,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     firsts = rows.groupBy("bin").agg(F.min("doc_id").alias("first_id"))
     order = Window.orderBy("bin")
     back = firsts.withColumn("before", F.coalesce(F.lag("bin").over(order), F.max("bin").over(Window.partitionBy())))
+    back = stored(back, "fingerprint-bins")
     guests = (
         rows.join(F.broadcast(back), (rows["bin"] == back["bin"]) & rows["doc_id"].eqNullSafe(back["first_id"]))
         .groupBy("before").agg(F.min("text").alias("text"))
@@ -144,7 +145,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     signed = signatures(pairs.select("bin", "rid", "text", "edited"), ["bin", "rid"], "text", "edited", samples)
     base = pairs.select(
         "bin", "rid", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    rows = base.join(signed, ["bin", "rid"])
+    rows = stored(base.join(signed, ["bin", "rid"]), "fingerprint-samples")
     # the next row's samples: in the same bin, or the first row of the next bin
     firsts = rows.filter("rid = 1").select("bin", F.col("a").alias("first_a"))
     order = Window.orderBy("bin")
