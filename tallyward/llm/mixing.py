@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.llm.tables import stored, without
+from tallyward.llm.tables import fresh, stored, without
 
 MOST = 3.0  # a source may be repeated so often on average
 WEIGHTS = (1, 2, 3)  # of the sources in order, over and over
@@ -58,8 +58,10 @@ def plan(docs: DataFrame, seed: str = SEED) -> DataFrame:
 
 def emit(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The mix itself: each row of ``docs``, with its own columns, as often as its source's rate wants it."""
-    planned = plan(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), seed)
-    return planned.filter("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
+    row = fresh(docs, "_row")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), "doc_id", "text", "source")
+    planned = plan(rows, seed).filter("copies > 0")
+    return planned.select(row, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(f"{row}.*")
 
 
 def taken(docs: DataFrame, seed: str = SEED) -> DataFrame:

@@ -16,12 +16,12 @@
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm import words as W
 from tallyward.llm.components import components
-from tallyward.llm.tables import partitions, stored, text_or_empty
+from tallyward.llm.tables import fresh, partitions, stored, text_or_empty
 
 SIZE, NUM, DEN = 5, 75, 100
 BLOCK_BYTES = 4 << 20  # of text; a block's arrays take about 30 times as much
@@ -391,3 +391,17 @@ def link(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN, roun
         table.drop("tokens").join(of_set, ["k1", "k2", "n"], "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
     )
+
+
+def representatives(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN) -> DataFrame:
+    """The rows of ``docs``, all columns kept, with one row left of each group of linked texts: that of its smallest id.
+
+    Texts with no words stay. An id names one text: of rows alike in id and text one stays, rows without an id stay.
+    """
+    groups = link(docs, size, num, den)
+    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    digest, at = fresh(docs, "_digest"), fresh(docs, "_at")
+    rows = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi")
+    rows = rows.withColumn(digest, F.xxhash64(text_or_empty(), F.col("text").isNull()))
+    rows = rows.withColumn(at, F.row_number().over(Window.partitionBy("doc_id", digest).orderBy(F.lit(0)))).filter(F.col(at) == 1)
+    return rows.drop(digest, at).unionByName(docs.filter("doc_id IS NULL"))

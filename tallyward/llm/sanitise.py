@@ -105,17 +105,21 @@ def _contexts(text: Column, found: dict[str, Column]) -> Column:
     return F.when(F.size(every) > 0, F.transform(every, one))
 
 
+def _together(found: dict[str, Column]) -> Column:
+    """The matches of all kinds as spans, by start, then kind."""
+    def of(i: int):
+        return lambda m: F.struct(m["start"].alias("start"), F.lit(i).alias("kind"), m["end"].alias("end"))
+
+    return F.array_sort(F.concat(*[F.transform(c, of(i)) for i, c in enumerate(found.values())]))
+
+
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
     """What each row's text holds by pattern alone, stored: ``key`` (of the text), ``base`` spans, contexts, words."""
     t = F.col("_t")
     rows = docs.withColumn("_t", text_or_empty(text))
     found = {k: F.col(f"_{k}") for k in PATTERNS}
     rows = rows.select("*", *[entities(t, k).alias(f"_{k}") for k in PATTERNS])
-
-    def of(i: int):
-        return lambda m: F.struct(m["start"].alias("start"), F.lit(i).alias("kind"), m["end"].alias("end"))
-
-    spans = F.array_sort(F.concat(*[F.transform(c, of(i)) for i, c in enumerate(found.values())]))
+    spans = _together(found)
     kept = [c for c in docs.columns if c != text]
     return rows.select(
         *kept, F.md5(t.cast("binary")).alias("_key"), spans.alias("_base"), _contexts(t, found).alias("_contexts"),
@@ -157,17 +161,26 @@ def protect(docs: DataFrame, text: str = "text") -> DataFrame:
     code points, ends exclusive. A null text counts as empty; equal texts have equal spans.
     """
     found = stored(find(docs, text), "entities")
-    flagged = disclosing(docs, found, text)
-    if flagged is None:
+    extra = _extra(found, disclosing(docs, found, text))
+    if extra is None:
         return found.withColumn("_spans", F.col("_base"))
+    return found.join(extra, "_key", "left").withColumn("_spans", _with_extra(F.col("_base"))).drop("_extra")
+
+
+def _extra(found: DataFrame, flagged: DataFrame | None) -> DataFrame | None:
+    """``_key, _extra``: where texts hold disclosing words, a row per text."""
+    if flagged is None:
+        return None
     near = found.select("_key", F.explode("_contexts").alias("c")).select("_key", "c.entity", F.explode("c.words").alias("w"))
-    extra = (
+    return (
         near.join(flagged, (near["entity"] == flagged["entity"]) & (near["w.word"] == flagged["word"]), "left_semi")
         .groupBy("_key").agg(F.collect_set(F.struct(
             F.col("w.start").alias("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("w.end").alias("end"))).alias("_extra"))
     )
-    return found.join(extra, "_key", "left").withColumn(
-        "_spans", F.array_sort(F.concat("_base", F.coalesce("_extra", F.array().cast(_SPAN))))).drop("_extra")
+
+
+def _with_extra(base: Column) -> Column:
+    return F.array_sort(F.concat(base, F.coalesce(F.col("_extra"), F.array().cast(_SPAN))))
 
 
 def listed(spans: Column) -> Column:
@@ -209,11 +222,21 @@ def cleaned(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows, all columns kept, with a cleaned text; a null text stays null.
 
-    Only texts that hold something are changed; these are looked up by the text's digest, so each kept row meets
-    one side row at most. Repeated rows are cleaned alike. Input columns may have any names.
+    Texts don't move: patterns are matched again in place, and texts that hold disclosing words, if any, are looked up
+    by their digest. Repeated rows are cleaned alike. Other columns pass, whatever their names.
     """
-    key, side = fresh(docs, "_text_key"), fresh(docs, "_text_spans")
-    found = protect(docs.select(F.col(f"`{text}`").cast("string").alias("text")))
-    found = found.filter(F.size("_spans") > 0).groupBy(F.col("_key").alias(key)).agg(F.first("_spans").alias(side))
-    rows = docs.withColumn(key, F.md5(text_or_empty(text).cast("binary"))).join(found, key, "left")
-    return rows.withColumn(text, F.when(F.col(side).isNull(), F.col(text)).otherwise(cleaned(F.col(text), F.col(side)))).select(*[f"`{c}`" for c in docs.columns])
+    plain = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
+    found = stored(find(plain), "entities")
+    extra = _extra(found, disclosing(plain, found))
+    row = fresh(docs, "_row")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), text_or_empty(f"`{text}`").alias("_t"))
+    rows = rows.select("*", *[entities(F.col("_t"), k).alias(f"_{k}") for k in PATTERNS])
+    spans = _together({k: F.col(f"_{k}") for k in PATTERNS})
+    if extra is not None:
+        extra = stored(extra, "disclosed")
+        side = F.broadcast(extra) if extra.count() <= SMALL else extra
+        rows = rows.withColumn("_key", F.md5(F.col("_t").cast("binary"))).join(side, "_key", "left")
+        spans = _with_extra(spans)
+    done = rows.select(row, spans.alias("_spans"), "_t").select(row, cleaned(F.col("_t"), F.col("_spans")).alias("_t"))
+    old = F.col(row)[text]
+    return done.select(*[F.when(old.isNotNull(), F.col("_t")).alias(c) if c == text else F.col(row)[c].alias(c) for c in docs.columns])
