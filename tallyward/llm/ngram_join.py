@@ -47,6 +47,13 @@ def _split(payload: bytes, n: int, *types) -> list[np.ndarray]:
     return out
 
 
+def _runs(values: np.ndarray):
+    """Begin and end of each run of equal values."""
+    if len(values):
+        begins = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+        yield from zip(begins, np.append(begins[1:], len(values)), strict=True)
+
+
 def _batch(schema: pa.Schema, columns: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
@@ -95,8 +102,7 @@ def _blocks(bits: int, size: int, most_bytes: int):
             bucket = (hash_ >> np.uint64(64 - bits)).astype(np.int64)
             low = hash_ & LOW
             low32, low16 = low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint16)
-            begins = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
-            for a, b in zip(begins, [*begins[1:], len(bucket)], strict=True):
+            for a, b in _runs(bucket):
                 out.append((int(bucket[a]), block, kind, int(b - a), _pack(low32[a:b], low16[a:b], more[a:b])))
         return out
 
@@ -129,8 +135,7 @@ def _count(table: pa.Table) -> pa.Table:
         h, o, t, df = h[keep] | np.uint64((bucket & 0xFFFF) << 48), o[keep], t[keep], df[keep]
         order = np.argsort(o, kind="stable")
         h, o, t, df = h[order], o[order], t[order], df[order]
-        begins = np.flatnonzero(np.append(True, o[1:] != o[:-1])) if len(o) else []
-        for a, b in zip(begins, [*begins[1:], len(o)], strict=True):
+        for a, b in _runs(o):
             block, kind = blocks[o[a]]
             df32 = np.minimum(df[a:b], (1 << 32) - 1).astype(np.uint32)
             out.append((block, kind, int(b - a), _pack(h[a:b], df32, t[a:b]) if kind == SINGLE else _pack(h[a:b], df32)))
