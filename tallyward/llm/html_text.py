@@ -187,11 +187,13 @@ def labelled_page(rng: np.random.Generator, texts: list[str]) -> str:
 
     def say(words: int) -> str:
         t = texts[int(rng.integers(len(texts)))].split()
+        while len(t) < words:
+            t = t + texts[int(rng.integers(len(texts)))].split()
         at = int(rng.integers(max(1, len(t) - words + 1)))
         return entities.escape(" ".join(t[at: at + words]))
 
     def any_size() -> int:
-        return int(pick(1, 2, 4, 8, 15, 30, 60, 120))
+        return int(pick(1, 2, 4, 8, 15, 30, 60, 120, 400))
 
     def box(tag: str, cues: tuple[str, ...], inner: str) -> str:
         how = rng.random()
@@ -253,6 +255,8 @@ def labelled_page(rng: np.random.Generator, texts: list[str]) -> str:
     after = [x() for x in (aside, advert, comments, form,
              lambda: box("div", ("share", "social", "tags"), links(3)),
              lambda: box("footer", ("footer", "footer"), pick("&copy; ", "") + say(any_size()) + pick("", links(3)))) if rng.random() < 0.5]
+    if rng.random() < 0.2:  # nothing but the article
+        before = after = []
     return f"<html><head><title>{say(6)}</title><style>p{{}}</style></head><body>{''.join(before)}{body}{''.join(after)}</body></html>"
 
 

@@ -23,6 +23,7 @@ GRAMS = (4, 5)  # bytes, with a mark at either end of the word
 #: The training sample: so many labelled rows, the first by a hash of their id, of texts up to so many characters.
 SAMPLE_ROWS, SAMPLE_CHARS = 6000, 20_000
 SAMPLE_WINDOWS, EPOCHS, BATCH, RATE = 16_000, 4, 256, 0.02
+LEAST_STEPS = 240  # few windows are gone through more often
 FOLDS = 5
 _FLAGS = W.separators("punct")
 _PIECE = 2 << 20
@@ -308,9 +309,11 @@ def _train(texts: pa.Array, y: np.ndarray) -> Network:
     grams_of = np.append(np.searchsorted(own["owner"], np.arange(len(first))), len(own["owner"]))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
-    total = EPOCHS * max(1, len(chosen) // BATCH)
-    for _ in range(EPOCHS):
-        for batch in np.array_split(rng.permutation(len(chosen)), max(1, len(chosen) // BATCH)):
+    batches = max(1, len(chosen) // BATCH)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // batches))
+    total = epochs * batches
+    for _ in range(epochs):
+        for batch in np.array_split(rng.permutation(len(chosen)), batches):
             rows = chosen[batch]
             used, local = np.unique(which[at[rows]], return_inverse=True)  # the last may stand for no word
             real = used[used < len(first)]
