@@ -6,20 +6,26 @@ from pyspark.sql import functions as F
 from tallyward import schemas as S
 
 
-def money(amount: Column) -> Column:
-    """Exact cents, for sums that must not depend on the order of rows."""
-    return amount.cast("decimal(18,2)")
+# Amounts are added up in millionths, as whole numbers: sums do not depend on the order of rows. Amounts at or
+# beyond the limit do not fit the sums of squares and count as unreadable.
+UNITS = 1_000_000
+LIMIT = 1e9
 
 
-def cents(amount: Column) -> Column:
-    """Whole cents as a long."""
-    return (money(amount) * 100).cast("long")
+def in_range(amount: Column) -> Column:
+    """Finite and within the limit; null for a null amount."""
+    return ~F.isnan(amount) & (F.abs(amount) < F.lit(LIMIT))
 
 
-def mean_of(total_cents: Column, n: Column) -> Column:
-    """Mean of an exact total. Divides whole cents, so that equal amounts have exactly
+def units(amount: Column) -> Column:
+    """Whole millionths as a long; null where the amount is not in range."""
+    return F.when(in_range(amount), (amount.cast("decimal(20,6)") * UNITS).cast("long"))
+
+
+def mean_of(total: Column, n: Column) -> Column:
+    """Mean of an exact total in millionths. Divides whole numbers, so that equal amounts have exactly
     themselves as their mean and are never a hair away from it."""
-    return total_cents.cast("double") / n / 100
+    return total.cast("double") / n / UNITS
 
 
 def flag(condition: Column) -> Column:
@@ -28,8 +34,9 @@ def flag(condition: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Numeric text to double, other text to null."""
-    return text.try_cast("double")
+    """Numeric text to double; other text, what is not finite or out of range to null."""
+    number = text.try_cast("double")
+    return F.when(in_range(number), number)
 
 
 def or_default(value: Column, default) -> Column:

@@ -7,12 +7,28 @@ from pyspark.sql import functions as F
 _STRICT = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}Z$"
 
 
+_OFFSET = r"([+-])(\d{2}):?(\d{2})$"
+
+
+def _behind_utc(text: Column) -> Column:
+    """Minutes that an offset such as ``+02:00`` is ahead of UTC; 0 without one."""
+    minutes = F.regexp_extract(text, _OFFSET, 2).try_cast("int") * 60 + F.regexp_extract(text, _OFFSET, 3).try_cast("int")
+    return F.coalesce(F.when(text.rlike("T.*" + _OFFSET), F.when(F.regexp_extract(text, _OFFSET, 1) == "-", -minutes).otherwise(minutes)), F.lit(0))
+
+
 def parse(text: Column) -> Column:
     """ISO text to UTC wall-clock time; a bad text fails the job (batch meaning).
 
-    The zone-less type keeps ``hour`` and friends free of the session zone.
+    The zone-less type keeps ``hour`` and friends free of the session zone; an offset in the text is applied.
     """
-    return F.to_timestamp_ntz(text)
+    local = F.to_timestamp_ntz(F.regexp_replace(text, "(?<=T.{0,20})" + _OFFSET, ""))
+    return local - F.make_dt_interval(mins=_behind_utc(text))
+
+
+def parse_or_null(text: Column) -> Column:
+    """As ``parse``, but a bad text is null."""
+    local = F.regexp_replace(text, "(?<=T.{0,20})" + _OFFSET, "").try_cast("timestamp_ntz")
+    return local - F.make_dt_interval(mins=_behind_utc(text))
 
 
 def parse_strict(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions import clock
-from tallyward.functions.amounts import cents, mean_of
+from tallyward.functions.amounts import mean_of, units
 from tallyward.operators.skew import HEAVY_ROWS
 
 # Slices are equal in time, not in rows; more of them evens busy hours out.
@@ -35,13 +35,13 @@ def running_profile(df: DataFrame, heavy: int = HEAVY_ROWS) -> DataFrame:
     sliced = (
         df.join(F.broadcast(_slices(df, heavy)), F.col("user_id").eqNullSafe(F.col("_key")), "left")
         .withColumn("_slice", F.coalesce(F.floor(share * F.col("_slices")).cast("int"), F.lit(0)))
-        .withColumn("_cents", cents(F.col("amount")))
+        .withColumn("_units", units(F.col("amount")))
     )
     earlier = Window.partitionBy("_who").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     start = (
         sliced.filter(F.col("_slices").isNotNull())
         .groupBy(F.col("user_id").alias("_who"), F.col("_slice").alias("_at"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("_cents").alias("s"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("_units").alias("s"))
         .select(
             "_who", "_at",
             F.sum("n").over(earlier).alias("_start_count"),
@@ -58,7 +58,7 @@ def running_profile(df: DataFrame, heavy: int = HEAVY_ROWS) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     count = F.count(F.lit(1)).over(within) + F.coalesce("_start_count", F.lit(0))
-    total = F.sum("_cents").over(within) + F.coalesce("_start_total", F.lit(0))
+    total = F.sum("_units").over(within) + F.coalesce("_start_total", F.lit(0))
     return rows.withColumn("running_count", count).withColumn(
         "running_avg", mean_of(total, F.col("running_count"))
     ).select(*df.columns, "running_count", "running_avg")

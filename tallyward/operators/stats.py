@@ -1,6 +1,6 @@
 """Per-user statistics.
 
-Kept as partial sums in exact cents: partial tables of any two sets of rows add
+Kept as partial sums in exact millionths: partial tables of any two sets of rows add
 up to the table of their union, to the last bit, in any order. That is what lets
 a stream keep the statistics fresh without reading history again.
 """
@@ -8,23 +8,25 @@ a stream keep the statistics fresh without reading history again.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.amounts import mean_of, money
+from tallyward.functions.amounts import UNITS, mean_of, units
 from tallyward.operators.skew import HEAVY_ROWS, attach
 
 PARTIAL_COLUMNS = ["user_id", "n", "n_amount", "total", "squares", "lowest", "highest", "n_vpn", "vpn"]
 
 
 def partials(df: DataFrame) -> DataFrame:
-    """One row per user; a null user is no user."""
-    x = money(F.col("amount"))
+    """One row per user; a null user is no user, an amount that is not finite or out of range no amount."""
+    x = units(F.col("amount"))
+    whole = x.cast("decimal(18,0)")
+    amount = F.when(x.isNotNull(), F.col("amount"))
     vpn = F.col("is_vpn").cast("int")
     return df.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
         F.count("transaction_id").alias("n"),
-        F.count("amount").alias("n_amount"),
-        F.sum(x).cast("decimal(38,2)").alias("total"),
-        F.sum(x * x).cast("decimal(38,4)").alias("squares"),
-        F.min("amount").alias("lowest"),
-        F.max("amount").alias("highest"),
+        F.count(x).alias("n_amount"),
+        F.sum(whole).cast("decimal(38,0)").alias("total"),
+        F.sum(whole * whole).cast("decimal(38,0)").alias("squares"),
+        F.min(amount).alias("lowest"),
+        F.max(amount).alias("highest"),
         F.count("is_vpn").alias("n_vpn"),
         F.sum(vpn).alias("vpn"),
     )
@@ -37,8 +39,8 @@ def merge_partials(*tables: DataFrame) -> DataFrame:
         both = both.unionByName(table)
     return both.groupBy("user_id").agg(
         *[F.sum(c).cast("long").alias(c) for c in ("n", "n_amount", "n_vpn", "vpn")],
-        F.sum("total").cast("decimal(38,2)").alias("total"),
-        F.sum("squares").cast("decimal(38,4)").alias("squares"),
+        F.sum("total").cast("decimal(38,0)").alias("total"),
+        F.sum("squares").cast("decimal(38,0)").alias("squares"),
         F.min("lowest").alias("lowest"),
         F.max("highest").alias("highest"),
     ).select(*PARTIAL_COLUMNS)
@@ -48,15 +50,14 @@ def finish(parts: DataFrame) -> DataFrame:
     """Partial sums to mean, sample deviation (0 for a single row), extremes and VPN share."""
     n = F.col("n_amount")
     spread = (
-        (F.col("squares") * n).cast("decimal(38,4)")
-        - (F.col("total") * F.col("total")).cast("decimal(38,4)")
+        (F.col("squares") * n).cast("decimal(38,0)") - (F.col("total") * F.col("total")).cast("decimal(38,0)")
     ).cast("double")
     variance = F.when(n > 1, spread / (n.cast("double") * (n - 1)))
     return parts.select(
         "user_id",
         F.col("n").alias("user_transaction_count"),
-        F.when(n > 0, mean_of(F.col("total") * 100, n)).alias("user_avg_amount"),
-        F.coalesce(F.sqrt(variance), F.lit(0.0)).alias("user_amount_std"),
+        F.when(n > 0, mean_of(F.col("total"), n)).alias("user_avg_amount"),
+        F.coalesce(F.sqrt(variance) / UNITS, F.lit(0.0)).alias("user_amount_std"),
         F.col("lowest").alias("user_min_amount"),
         F.col("highest").alias("user_max_amount"),
         F.when(F.col("n_vpn") > 0, F.col("vpn") / F.col("n_vpn")).alias("user_vpn_ratio"),

@@ -1,6 +1,8 @@
 """The whole batch job: history in; model, fitted side tables and evaluation out.
 
-    spark-submit -m tallyward.plans.batch_job <history folder> <output folder>
+    spark-submit -m tallyward.plans.batch_job <history file or folder> <output folder>
+
+History is an array document or JSON lines; it is landed as Parquet once, and the job works on that.
 """
 
 import sys
@@ -62,7 +64,7 @@ def run(
 def main() -> None:
     source, out = sys.argv[1:3]
     spark = SparkSession.builder.appName("tallyward-batch").getOrCreate()
-    print(run(history.read_json(spark, source), out))
+    print(run(history.ingest(spark, source, out), out))
 
 
 if __name__ == "__main__":

@@ -64,14 +64,14 @@ def _calendar(default: bool = False) -> str:
 
 
 def _stats(name: str, source: str) -> str:
-    """Per-user statistics from sums of cents."""
-    c = "cast(amount AS decimal(18,2))"
+    """Per-user statistics from sums of whole millionths."""
+    c = "cast(round(amount * 1000000) AS HUGEINT)"
     return f"""{name} AS (
- SELECT user_id, n AS user_transaction_count, cast(s * 100 AS double) / na / 100 AS user_avg_amount,
-  CASE WHEN na > 1 THEN sqrt(cast(q * na - s * s AS double) / (cast(na AS double) * (na - 1))) ELSE 0.0e0 END
+ SELECT user_id, n AS user_transaction_count, cast(s AS double) / na / 1000000 AS user_avg_amount,
+  CASE WHEN na > 1 THEN sqrt(cast(q * na - s * s AS double) / (cast(na AS double) * (na - 1))) / 1000000 ELSE 0.0e0 END
    AS user_amount_std, lo AS user_min_amount, hi AS user_max_amount, vpn AS user_vpn_ratio
  FROM (SELECT user_id, count(transaction_id) AS n, count(amount) AS na,
-   cast(sum({c}) AS decimal(30,2)) AS s, cast(sum(cast({c} * {c} AS decimal(30,4))) AS decimal(30,4)) AS q,
+   sum({c}) AS s, sum({c} * {c}) AS q,
    min(amount) AS lo, max(amount) AS hi, avg(cast(is_vpn AS int)) AS vpn
   FROM {source} WHERE user_id IS NOT NULL GROUP BY user_id) g)"""
 
@@ -290,9 +290,12 @@ _LATEST = """SELECT transaction_id, user_id, round(amount, 10) AS amount, versio
  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY version DESC) AS place FROM versions) v WHERE place = 1"""
 
 _ROUTE = """CASE WHEN event_id % 59 = 0 THEN 'invalid' WHEN event_id % 53 = 0 THEN 'direct' ELSE 'records' END"""
-_REASON = f"""CASE ({_ROUTE}) WHEN 'invalid' THEN 'invalid_envelope' WHEN 'direct' THEN 'valid' ELSE
+_REASON = f"""CASE ({_ROUTE}) WHEN 'invalid' THEN 'invalid_envelope'
+ WHEN 'direct' THEN CASE WHEN event_id % 3 = 0 THEN 'bad_json' WHEN event_id % 5 = 0 THEN 'bad_amount' ELSE 'valid' END ELSE
  CASE WHEN event_id % 101 = 0 THEN 'bad_base64' WHEN event_id % 103 = 0 THEN 'bad_json'
-      WHEN event_id % 107 = 0 THEN 'no_transaction_id' WHEN event_id % 109 = 0 THEN 'bad_amount' ELSE 'valid' END END"""
+      WHEN event_id % 107 = 0 THEN 'no_transaction_id' WHEN event_id % 139 = 0 THEN 'bad_json'
+      WHEN event_id % 109 = 0 OR event_id % 127 = 0 OR event_id % 131 = 0 OR event_id % 137 = 0 THEN 'bad_amount'
+      ELSE 'valid' END END"""
 _WIRE = f"wire AS (SELECT *, {_ROUTE} AS route, {_REASON} AS reason FROM tx)"
 _READ = "read_back AS (SELECT * FROM predicted WHERE event_id IN (SELECT event_id FROM wire WHERE reason = 'valid'))"
 
@@ -348,7 +351,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "feature_csv": _csv(),
         "running_user_profile": _with(select=f"""SELECT transaction_id, user_id, count(*) OVER w AS running_count,
- {_r("cast(sum(cast(amount AS decimal(18,2))) OVER w * 100 AS double) / count(*) OVER w / 100")} AS running_avg FROM tx
+ {_r("cast(sum(cast(round(amount * 1000000) AS HUGEINT)) OVER w AS double) / count(*) OVER w / 1000000")} AS running_avg FROM tx
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
         "flags_at_threshold": _with(_SCORED, select=f"""SELECT transaction_id, is_fraud, {_r('score')} AS score,
  score >= 0.5e0 AS flag_batch, score > 0.5e0 AS flag_stream, (score >= 0.5e0) = is_fraud AS correct FROM scored"""),
@@ -435,7 +438,8 @@ WHERE cast(floor(epoch(ts)) AS bigint) + {S.TTL_SECONDS} > {_NOW_EPOCH}"""),
  CASE WHEN reason IN ('valid', 'bad_amount') THEN transaction_id END AS transaction_id,
  CASE WHEN reason IN ('valid', 'bad_amount', 'no_transaction_id') THEN user_id END AS user_id,
  CASE WHEN reason IN ('valid', 'no_transaction_id') THEN amount END AS amount,
- CASE WHEN reason IN ('valid', 'bad_amount', 'no_transaction_id') THEN is_vpn END AS is_vpn, route, reason FROM wire"""),
+ CASE WHEN reason IN ('valid', 'bad_amount', 'no_transaction_id') THEN is_vpn END AS is_vpn, route, reason,
+ CASE WHEN reason <> 'valid' THEN reason IN ('bad_json', 'bad_amount') END AS raw_names_id FROM wire"""),
         "stream_scored": _with(
             _SCORED, _PREDICTED, _WIRE, _READ, _EARLIER, _stats("user_stats", "earlier"), _extracted("read_back"),
             select=f"""SELECT transaction_id, user_id, {_r('amount')} AS amount, is_vpn = 1 AS is_vpn,
@@ -458,6 +462,12 @@ UNION ALL SELECT 'rejects', count(*) FROM wire WHERE reason <> 'valid'""",
  count(*) / cast((SELECT count(*) FROM tx) AS double) >= 0.5e0 AS complete_enough FROM read_back"""),
         "json_round_trip": _with(select=f"""SELECT transaction_id, user_id, {_ISO} AS timestamp, {_r('amount')} AS amount,
  device_type, location, is_vpn, card_type, status, is_fraud, cast(hour(ts) AS int) AS hour_of_day FROM tx"""),
+        "history_document_round_trip": _with(
+            """marked AS (SELECT *, CASE WHEN event_id % 61 = 0 OR event_id % 67 = 0 THEN 'bad_json' WHEN event_id % 71 = 0 THEN 'no_label'
+  WHEN event_id % 73 = 0 THEN 'bad_time' END AS reason FROM tx)""",
+            select=f"""SELECT transaction_id, CASE WHEN reason IS NULL THEN user_id END AS user_id,
+ CASE WHEN reason IS NULL THEN {_ISO} END AS timestamp, CASE WHEN reason IS NULL THEN {_r('amount')} END AS amount,
+ CASE WHEN reason IS NULL THEN is_fraud END AS is_fraud, reason FROM marked"""),
         "publish_round_trip": _with(select=f"""SELECT transaction_id AS key, transaction_id, user_id, {_ISO} AS timestamp,
  {_r('amount')} AS amount, device_type, location, is_vpn, card_type, status FROM tx"""),
         "libsvm_round_trip": _with(*_FRAME_CTES, select="SELECT cast(is_fraud AS int) AS label, " + ", ".join(

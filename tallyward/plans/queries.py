@@ -5,7 +5,7 @@ is compared with another engine.
 """
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyward import schemas as S
@@ -14,7 +14,7 @@ from tallyward.operators import (
     alerts, columns, correlate, encode, evaluate, rates, running, scale, scoring, split, stats, store,
 )
 from tallyward.plans import features, training
-from tallyward.session import local_table, new_folder
+from tallyward.session import local_table, new_folder, parallelism
 from tallyward.sources import envelopes, event_transactions, history, side_files
 from tallyward.streaming import profile, scoring_stream
 from tallyward.streaming.scorer import Scorer
@@ -401,12 +401,19 @@ def wire_lines(spark, folder) -> DataFrame:
     text = F.col("amount").cast("string")
     fields = [f.name for f in S.TRANSACTION.fields if f.name != "amount"]
     as_number = F.to_json(F.struct(*fields, "amount"))
-    as_text = F.to_json(F.struct(*fields, F.when(n % 109 == 0, "n/a").otherwise(text).alias("amount")))
+    damaged = (
+        F.when(n % 109 == 0, "n/a").when(n % 127 == 0, "NaN").when(n % 131 == 0, "Infinity").when(n % 137 == 0, "1e17")
+        .otherwise(text)
+    )
+    as_text = F.to_json(F.struct(*fields, damaged.alias("amount")))
+    other_vpn = [F.lit("yes").alias(f) if f == "is_vpn" else F.col(f) for f in fields]
+    bad_vpn = F.to_json(F.struct(*other_vpn, "amount"))
     no_id = F.to_json(F.struct(*fields[1:], "amount"))
     payload = (
         F.when(n % 103 == 0, F.expr("substring(as_number, 1, length(as_number) - 5)"))
         .when(n % 107 == 0, no_id)
-        .when((n % 109 == 0) | (n % 113 == 0), F.col("as_text"))
+        .when(n % 139 == 0, bad_vpn)
+        .when((n % 109 == 0) | (n % 113 == 0) | (n % 127 == 0) | (n % 131 == 0) | (n % 137 == 0), F.col("as_text"))
         .otherwise(F.col("as_number"))
     )
     data = F.when(n % 101 == 0, "@@").otherwise(F.base64(F.encode(payload, "UTF-8")))
@@ -414,7 +421,8 @@ def wire_lines(spark, folder) -> DataFrame:
     record = F.struct(F.struct(data.alias("data")).alias("kinesis"))
     line = (
         F.when(n % 59 == 0, '{"Records": []}')
-        .when(n % 53 == 0, F.concat(F.lit('{"transaction": '), F.col("as_number"), F.lit("}")))
+        .when(n % 53 == 0, F.concat(F.lit('{"transaction": '), F.when(n % 3 == 0, bad_vpn).when(
+            n % 5 == 0, F.to_json(F.struct(*fields, F.lit("Infinity").alias("amount")))).otherwise(F.col("as_number")), F.lit("}")))
         .otherwise(F.to_json(F.struct(F.array(record).alias("Records"))))
     )
     return prepared.select(F.col("transaction_id").alias("line_id"), line.alias("value"))
@@ -427,7 +435,8 @@ def route_envelopes(spark, folder):
 
 def decode_reject(spark, folder):
     decoded = envelopes.decode(envelopes.parse(wire_lines(spark, folder)))
-    return decoded.select("transaction_id", "user_id", "amount", "is_vpn", "route", "reason")
+    names_id = F.col("raw").rlike("T[0-9]{8}").alias("raw_names_id")
+    return decoded.select("transaction_id", "user_id", "amount", "is_vpn", "route", "reason", names_id)
 
 
 def _streamed(spark, folder) -> tuple[scoring_stream.Places, DataFrame]:
@@ -511,6 +520,37 @@ def json_round_trip(spark, folder):
     return back.select(*[f.name for f in S.HISTORY.fields], F.hour("ts").alias("hour_of_day"))
 
 
+def history_document_round_trip(spark, folder):
+    """History written as indented array documents, some of their records damaged, and taken in again.
+
+    The documents follow the number of shuffle partitions; each holds the events of one hash of the id.
+    """
+    rows = history.wire_form(tx(spark, folder)).withColumn("n", number())
+    n, root = F.col("n"), new_folder(spark, "documents")
+    fields = [f.name for f in S.HISTORY.fields]
+
+    def text(**other):
+        return F.to_json(F.struct(*[other.get(f, F.col(f)).alias(f) for f in fields]), {"pretty": "true"})
+
+    record = (
+        F.when(n % 61 == 0, text(is_vpn=F.lit("yes"))).when(n % 67 == 0, text(amount=F.lit("n/a")))
+        .when(n % 71 == 0, text(is_fraud=F.lit(None).cast("boolean"))).when(n % 73 == 0, text(timestamp=F.lit("yesterday")))
+        .otherwise(text())
+    )
+    doc = F.pmod(F.xxhash64("transaction_id"), F.lit(parallelism(spark))).cast("int")
+    lines = rows.select(doc.alias("doc"), n.alias("at"), record.alias("value"))
+    order = Window.partitionBy("doc").orderBy("at")
+    first, last = F.lag("at").over(order).isNull(), F.lead("at").over(order).isNull()
+    value = F.concat(F.when(first, "[\n").otherwise(""), "value", F.when(last, "\n]").otherwise(","))
+    documents = lines.select("doc", "at", value.alias("value"))
+    documents.sortWithinPartitions("doc", "at").select("doc", "value").write.partitionBy("doc").text(f"{root}/in")
+    taken = history.ingest(spark, f"{root}/in", root)
+    rejects = spark.read.schema("raw string, reason string").json(f"{root}/rejects")
+    found_id = F.regexp_extract("raw", "T[0-9]{8}", 0)
+    return taken.select("transaction_id", "user_id", "timestamp", "amount", "is_fraud", F.lit(None).cast("string").alias("reason")).unionByName(
+        rejects.select(found_id.alias("transaction_id"), "reason"), allowMissingColumns=True)
+
+
 def publish_round_trip(spark, folder):
     """Messages by key and their text, read back field by field."""
     rows = tx(spark, folder).withColumn("timestamp", clock.to_text(F.col("ts")))

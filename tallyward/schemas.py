@@ -90,7 +90,7 @@ ENVELOPE = T.StructType([
     T.StructField("Records", T.ArrayType(T.StructType([
         T.StructField("kinesis", T.StructType([T.StructField("data", T.StringType())])),
     ]))),
-    T.StructField("transaction", WIRE_TRANSACTION),
+    T.StructField("transaction", T.StringType()),  # its JSON text, read like any other record
 ])
 
 USER_STATS = T.StructType([

@@ -31,14 +31,16 @@ def envelope(data, df: DataFrame) -> DataFrame:
 
 
 def read_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
-    """Envelope lines as a stream; a line that is no JSON has null fields."""
-    return (
-        spark.readStream.schema(S.ENVELOPE).option("maxFilesPerTrigger", files_per_batch).json(path)
-    )
+    """Envelope lines as a stream, as text: a line that can't be read is kept."""
+    return parse(spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path))
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    return parse(spark.read.text(path))
 
 
 def parse(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Envelope text of one column to envelope fields."""
+    """Envelope text of one column to envelope fields; the text stays beside them."""
     # inline makes Spark read the text once for all fields
     fields = F.coalesce(F.from_json(column, S.ENVELOPE), F.lit(None).cast(S.ENVELOPE))
     return lines.select("*", F.inline_outer(F.array(fields)))
@@ -53,50 +55,46 @@ def route(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def decode(envelopes: DataFrame) -> DataFrame:
+def decode(envelopes: DataFrame, line: str = "value") -> DataFrame:
     """All records of all routes as transactions, with ``reason`` = valid or why not.
 
-    One pass, no shuffle: each envelope is expanded in place.
+    Both routes are read by the same rules. A record that is no JSON of the declared types gives no fields; every
+    reject keeps its text in ``raw``: the record's, or as much as there is of it (its base64, the whole line). One
+    pass, no shuffle: each envelope is expanded in place.
     """
-    encoded = F.transform(
-        "Records", lambda r: F.struct(r["kinesis"]["data"].alias("data"), F.lit(None).cast(S.WIRE_TRANSACTION).alias("direct"))
-    )
-    direct = F.array(F.struct(F.lit(None).cast("string").alias("data"), F.col("transaction").alias("direct")))
-    nothing = F.array(F.struct(
-        F.lit(None).cast("string").alias("data"), F.lit(None).cast(S.WIRE_TRANSACTION).alias("direct")
-    ))
+    def item(data, text):
+        return F.struct(data.alias("data"), text.alias("text"))
+
+    none = F.lit(None).cast("string")
     expanded = route(envelopes).withColumn(
         "_item",
         F.explode(
-            F.when(F.col("route") == "records", encoded)
-            .when(F.col("route") == "direct", direct)
-            .otherwise(nothing)
+            F.when(F.col("route") == "records", F.transform(
+                "Records", lambda r: item(r["kinesis"]["data"], codec.base64_text(r["kinesis"]["data"]))))
+            .when(F.col("route") == "direct", F.array(item(none, F.col("transaction"))))
+            .otherwise(F.array(item(none, none)))
         ),
     )
-    raw = codec.base64_text(F.col("_item.data"))
+    text = F.col("_item.text")
     # inline makes Spark read each text once for all fields
-    read = expanded.select("*", F.inline(F.array(F.struct(
-        raw.alias("raw"), codec.json_record(raw, S.WIRE_TRANSACTION).alias("_json")
-    ))))
+    read = expanded.select("*", F.inline(F.array(F.struct(codec.json_record(text, S.WIRE_TRANSACTION).alias("_json")))))
+    broken = F.col(f"_json.{codec.CORRUPT}").isNotNull() | F.col("_json").isNull()
     names = [f.name for f in S.WIRE_TRANSACTION.fields]
-    by_record = F.col("route") == "records"
-    merged = read.withColumns({
-        n: F.when(by_record, F.col(f"_json.{n}")).otherwise(F.col(f"_item.direct.{n}")) for n in names
-    })
+    fields = read.withColumns({n: F.when(~broken, F.col(f"_json.{n}")) for n in names})
     number = amounts.to_number(F.col("amount"))
-    broken = F.col(f"_json.{codec.CORRUPT}").isNotNull() | F.col("_json").isNull()
     reason = (
         F.when(F.col("route") == "invalid", "invalid_envelope")
-        .when(by_record & F.col("raw").isNull(), "bad_base64")
-        .when(by_record & broken, "bad_json")
+        .when(text.isNull(), "bad_base64")
+        .when(broken, "bad_json")
         .when(F.col("transaction_id").isNull(), "no_transaction_id")
         .when(F.col("amount").isNotNull() & number.isNull(), "bad_amount")
         .otherwise(VALID)
     )
+    kept = F.coalesce(text, F.col("_item.data"), *([F.col(line)] if line in envelopes.columns else []))
     return (
-        merged.withColumn("reason", reason)
+        fields.withColumn("reason", reason)
         .withColumn("amount", number)
-        .select(*names, "route", "reason", F.when(F.col("reason") != VALID, F.coalesce("raw", "_item.data")).alias("raw"))
+        .select(*names, "route", "reason", F.when(F.col("reason") != VALID, kept).alias("raw"))
     )
 
 

@@ -6,18 +6,78 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward import schemas as S
-from tallyward.functions import clock
+from tallyward.functions import amounts, clock, codec
 from tallyward.operators import columns
+from tallyward.session import new_folder
+
+
+def read_text(spark: SparkSession, path: str, array_document: bool = False) -> DataFrame:
+    """One JSON text per record in ``value``: lines, or the elements of array documents.
+
+    An array document can only be read by one task per file, its elements are spread again at once: see ``ingest``.
+    A document that is no array is one (unreadable) record.
+    """
+    if not array_document:
+        return spark.read.text(path).filter(F.trim("value") != "")
+    whole = spark.read.text(path, wholetext=True).withColumn("items", F.from_json("value", "array<string>"))
+    readable = F.coalesce(F.size("items") >= 0, F.lit(False)) & F.ltrim("value").startswith("[")
+    items = F.when(readable, F.filter("items", lambda x: x.isNotNull())).otherwise(F.array("value"))
+    return whole.select(F.explode(items).alias("value"))
+
+
+def is_document(spark: SparkSession, path: str) -> bool:
+    """Whether the first text at ``path`` begins like an array rather than like a line with one record."""
+    first = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()
+    return bool(first) and first[0].value.lstrip().startswith("[")
+
+
+def parse(lines: DataFrame) -> DataFrame:
+    """Records with the declared fields, ``ts``, and ``reason``: null, or why the record can't be used.
+
+    ``bad_json`` is text that is no JSON of the declared types, ``no_label`` a record without its label, ``bad_time``
+    one whose time can't be read, ``bad_amount`` one whose amount is not finite or out of range. ``raw`` is the text.
+    """
+    read = lines.select(F.col("value").alias("raw"), F.inline(F.array(F.struct(codec.json_record(F.col("value"), S.HISTORY).alias("r")))))
+    broken = F.col("r").isNull() | F.col(f"r.{codec.CORRUPT}").isNotNull()
+    named = read.select("raw", broken.alias("_broken"), *[F.col(f"r.{f.name}").alias(f.name) for f in S.HISTORY.fields])
+    return named.withColumns({"ts": clock.parse_or_null(F.col("timestamp")), "reason": (
+        F.when(F.col("_broken"), "bad_json")
+        .when(F.col(S.LABEL).isNull(), "no_label")
+        .when(F.col("timestamp").isNotNull() & clock.parse_or_null(F.col("timestamp")).isNull(), "bad_time")
+        .when(~amounts.in_range(F.col("amount")), "bad_amount")
+    )}).drop("_broken")
 
 
 def read_json(spark: SparkSession, path: str, array_document: bool = False) -> DataFrame:
-    """JSON history with the declared schema and a parsed time column ``ts``.
+    """History with the declared schema and a parsed time column ``ts``; fails on a record that can't be used.
+
+    ``ingest`` sets such records aside instead, and lands the rest.
+    """
+    parsed = parse(read_text(spark, path, array_document))
+    text = F.concat(F.lit("unusable record ("), F.col("reason"), F.lit("): "), F.substring("raw", 1, 200))
+    return parsed.filter(F.when(F.col("reason").isNull(), True).otherwise(F.raise_error(text).cast("boolean"))).drop("reason", "raw")
+
+
+def ingest(spark: SparkSession, path: str, out: str, array_document: bool | None = None, unreadable: str = "reject") -> DataFrame:
+    """History landed once as Parquet below ``out/history``; what can't be used goes to ``out/rejects``, text and reason.
 
-    An array document can only be read by one task per file: land it once with
-    ``land`` and work on that.
+    ``array_document=None`` looks at the first text. With ``unreadable="fail"`` a reject is an error, with ``"reject"``
+    only when no record is left, as in a history without labels.
     """
-    raw = spark.read.schema(S.HISTORY).option("multiLine", array_document).json(path)
-    return with_time(raw)
+    if unreadable not in ("reject", "fail"):
+        raise ValueError(f"unknown unreadable: {unreadable}")
+    document = is_document(spark, path) if array_document is None else array_document
+    parsed = parse(read_text(spark, path, document))
+    parsed.write.parquet(staged := new_folder(spark, "history"))
+    parsed = spark.read.schema(parsed.schema).parquet(staged)
+    bad = parsed.filter(F.col("reason").isNotNull()).select("raw", "reason")
+    bad.write.mode("overwrite").json(f"{out}/rejects")
+    counts = {r.reason: r["count"] for r in parsed.groupBy("reason").count().collect()}
+    rejected = {k: n for k, n in counts.items() if k is not None}
+    if rejected and (unreadable == "fail" or not counts.get(None)):
+        raise ValueError(f"unusable records, see {out}/rejects: {rejected}")
+    land(parsed.filter(F.col("reason").isNull()).drop("reason", "raw"), f"{out}/history", "overwrite")
+    return spark.read.parquet(f"{out}/history").drop("day")
 
 
 def with_time(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from tallyward import schemas as S
+from tallyward.functions import clock
 from tallyward.operators import columns, rates
 from tallyward.session import new_folder, shared_folder
 from tallyward.sources import envelopes, history, side_files
@@ -27,6 +28,41 @@ def test_array_document(spark, tmp_path):
     assert [r.transaction_id for r in history.head(df, 1).collect()] == ["T0000000A"]
 
 
+def test_unusable_records(spark, tmp_path):
+    bad = [{**GOOD, "is_vpn": "yes"}, {k: v for k, v in GOOD.items() if k != "is_fraud"}, {**GOOD, "timestamp": "soon"}, {**GOOD, "amount": 1e12}]
+    document, lines = tmp_path / "d.json", tmp_path / "l.json"
+    document.write_text(json.dumps([GOOD, *bad], indent=4))
+    lines.write_text("\n".join([json.dumps(GOOD), "", "{broken", *map(json.dumps, bad)]))
+    for path, n in ((document, 4), (lines, 5)):
+        out = str(tmp_path / f"out-{n}")
+        assert history.is_document(spark, str(path)) == (n == 4)
+        got = history.ingest(spark, str(path), out)
+        assert [(r.transaction_id, r.is_fraud, r.ts.hour) for r in got.collect()] == [("T0000000A", True, 4)]
+        rejects = spark.read.json(f"{out}/rejects").collect()
+        assert sorted(r.reason for r in rejects) == sorted(["bad_json", "no_label", "bad_time", "bad_amount", *["bad_json"] * (n - 4)])
+        assert all("T0000000A" in r.raw or r.raw == "{broken" for r in rejects)
+        with pytest.raises(ValueError, match="unusable"):
+            history.ingest(spark, str(path), out, unreadable="fail")
+        with pytest.raises(Exception, match="unusable record"):
+            history.read_json(spark, str(path), array_document=n == 4).collect()
+
+
+def test_history_without_labels_or_documents(spark, tmp_path):
+    path = tmp_path / "x.json"
+    for text in (json.dumps([{k: v for k, v in GOOD.items() if k != "is_fraud"}]), "[{", "{}"):
+        path.write_text(text)
+        with pytest.raises(ValueError, match="unusable"):
+            history.ingest(spark, str(path), str(tmp_path / "out"))
+
+
+def test_offsets_are_applied(spark):
+    texts = ["2024-01-01T10:00:00Z", "2024-01-01T10:00:00+02:00", "2024-01-01T10:00:00-0530", "2024-01-01", "nonsense"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.x for r in df.select(clock.parse_or_null(F.col("t")).cast("string").alias("x")).collect()]
+    assert got == ["2024-01-01 10:00:00", "2024-01-01 08:00:00", "2024-01-01 15:30:00", "2024-01-01 00:00:00", None]
+    assert df.limit(3).select(clock.parse(F.col("t")).cast("string").alias("x")).collect()[1].x == "2024-01-01 08:00:00"
+
+
 def test_label_is_required(spark, record):
     with pytest.raises(ValueError, match="is_fraud"):
         history.with_time(record(GOOD).drop("is_fraud"))
@@ -106,7 +142,20 @@ def test_reasons(spark):
         ("records", "bad_json"), ("records", "bad_base64"),
     ])
     assert sorted(r.amount for r in envelopes.accepted(got).collect()) == [7.25, 12.5, 12.5]
+    rejects = {(r.reason, r.raw) for r in envelopes.rejected(got).collect()}
     assert envelopes.rejected(got).count() == 10
+    assert {("invalid_envelope", "not even json"), ("bad_base64", "@@"), ("bad_json", "{not json")} <= rejects
+    assert all(raw for _, raw in rejects)
+
+
+def test_both_routes_have_the_same_rules(spark):
+    wire = {k: v for k, v in GOOD.items() if k != "is_fraud"}
+    damage = [({"is_vpn": "yes"}, "bad_json"), *[({"amount": a}, "bad_amount") for a in ("NaN", "Infinity", "1e17", -1e9, "x")],
+              ({"transaction_id": None}, "no_transaction_id"), ({"amount": "999999999.5"}, "valid"), ({"amount": None}, "valid")]
+    for change, reason in damage:
+        got = decoded(spark, _line({**wire, **change}), _line(transaction={**wire, **change})).collect()
+        assert [r.reason for r in got] == [reason, reason], change
+        assert all((r.raw is None) == (reason == "valid") and (r.raw is None or json.loads(r.raw)["user_id"] == "U10001") for r in got)
 
 
 def test_many_records_in_one_envelope(spark):
@@ -126,7 +175,7 @@ def test_publish_is_read_back(spark, tx):
     path = new_folder(spark, "published")
     rows = history.wire_form(tx)
     envelopes.publish(rows, path)
-    got = envelopes.accepted(envelopes.decode(spark.read.schema(S.ENVELOPE).json(path)))
+    got = envelopes.accepted(envelopes.decode(envelopes.read(spark, path)))
     names = [f.name for f in S.TRANSACTION.fields]
     assert rows_of(got.select(names)) == rows_of(rows.select(names))
 
