@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward import schemas as S
-from tallyward.functions.codec import plain_name_of
+from tallyward.functions.codec import plain_name, plain_name_of
+from tallyward.operators.columns import is_one_hot
 
 FIXED = {
     "device_type": S.DEVICE_TYPES,
@@ -45,6 +46,20 @@ def column_name(column: str, value: str) -> str:
     return f"{column}_{plain_name_of(value)}"
 
 
+def one_hot_named(df: DataFrame, names: list[str]) -> DataFrame:
+    """The 0/1 columns of these names, whatever values they stand for; other names are left out.
+
+    A row has 1 where its value's plain name is in the column's name, which is the rule the columns were named by.
+    """
+    made = {}
+    for name in names:
+        source = next((c for c in S.CATEGORICAL if is_one_hot(name) and name.startswith(f"{c}_")), None)
+        if source:
+            hit = plain_name(F.col(source)) == F.lit(name.removeprefix(f"{source}_"))
+            made[name] = F.coalesce(hit, F.lit(False)).cast("int")
+    return df.withColumns(made)
+
+
 def one_hot(df: DataFrame, values: dict[str, list[str]], keep_source: bool = False) -> DataFrame:
     """One 0/1 column per value; null or unseen gives all zeros."""
     made = {

@@ -48,34 +48,46 @@ def live(df: DataFrame, now: Column | None = None) -> DataFrame:
     return df.filter(F.col("ttl") > clock.epoch_now(now))
 
 
-def append(batch: DataFrame, batch_id: int, path: str) -> None:
-    """Idempotent append: the same batch id overwrites its own folder only."""
+def append(batch: DataFrame, batch_id: int, path: str, query: str = "0", started: int = 0) -> None:
+    """Idempotent append: a batch overwrites its own folder only, that of its query and number.
+
+    Numbers are stored as exact decimals. Versions rise with the time a query was ``started`` (milliseconds), then
+    with the batch, so a query with a new checkpoint comes after what was there.
+    """
     (
-        batch.withColumn(VERSION, F.lit(batch_id).cast("long"))
-        .sortWithinPartitions("user_id")
-        .write.mode("overwrite").partitionBy("expiry_date").parquet(f"{path}/batch_id={batch_id}")
+        exact_floats(batch).withColumn(VERSION, F.lit((started << 20) + batch_id).cast("long"))
+        .sortWithinPartitions("expiry_date", "user_id")
+        .write.mode("overwrite").partitionBy("expiry_date").parquet(f"{path}/query={query}/batch_id={batch_id}")
     )
 
 
-def read(spark: SparkSession, path: str, now: Column | None = None) -> DataFrame:
-    """Current, unexpired rows. The date filter prunes folders of expired rows."""
+def _unexpired(spark: SparkSession, path: str, now: Column | None) -> DataFrame:
+    """All versions that have not expired, numbers as doubles. The date filter prunes folders of expired rows."""
     today = clock.utc_date(clock.epoch_now(now))
-    stored = spark.read.parquet(path).filter(F.col("expiry_date").cast("string") >= today)
-    return live(latest(stored), now)
+    rows = spark.read.parquet(path).filter(F.col("expiry_date").cast("string") >= today).drop("query", "batch_id")
+    return rows.withColumns({c: F.col(c).cast("double") for c, kind in rows.dtypes if kind.startswith("decimal")})
+
+
+def read(spark: SparkSession, path: str, now: Column | None = None) -> DataFrame:
+    """Current, unexpired rows."""
+    return live(latest(_unexpired(spark, path, now)), now)
 
 
 def compact(spark: SparkSession, path: str, target: str, now: Column | None = None) -> None:
     """Write the live rows to a new store, laid out for access by user."""
-    current = read(spark, path, now).drop("batch_id")
     (
-        current.repartitionByRange("expiry_date", "user_id", "transaction_id")
+        exact_floats(read(spark, path, now)).repartitionByRange("expiry_date", "user_id", "transaction_id")
         .sortWithinPartitions("expiry_date", "user_id")
-        .write.partitionBy("expiry_date").parquet(f"{target}/batch_id=-1")
+        .write.partitionBy("expiry_date").parquet(f"{target}/query=compacted/batch_id=-1")
     )
 
 
-def of_user(df: DataFrame, user_id: str) -> DataFrame:
-    return df.filter(F.col("user_id") == F.lit(user_id))
+def of_user(spark: SparkSession, path: str, user_id: str, now: Column | None = None) -> DataFrame:
+    """Current rows of one user. The user's ids are found first, in files sorted by user; only their versions are
+    then brought together."""
+    every = _unexpired(spark, path, now)
+    ids = every.filter(F.col("user_id") == F.lit(user_id)).select("transaction_id").distinct()
+    return live(latest(every.join(ids, "transaction_id", "left_semi")), now).filter(F.col("user_id") == F.lit(user_id))
 
 
 def found(stored: DataFrame, ids: DataFrame, key: str = "transaction_id") -> DataFrame:

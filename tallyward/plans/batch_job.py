@@ -23,7 +23,7 @@ def run(
 ) -> dict[str, float | None]:
     """Train on labelled rows and write below ``out``:
 
-    ``model``, ``manifest``, ``metadata``, ``rates``, ``user_stats`` for scoring, and
+    ``model``, ``manifest``, ``metadata``, ``rates``, ``user_stats``, ``user_partials`` for scoring, and
     ``trials``, ``metrics``, ``confusion``, ``report``, ``thresholds``, ``recommended``,
     ``roc`` about the test rows. Gives the headline metrics.
     """
@@ -41,7 +41,9 @@ def run(
         f"{out}/metadata",
     )
     side_files.write_rates(fitted.rates, f"{out}/rates")
-    side_files.write_user_stats(stats.user_stats(df), f"{out}/user_stats")
+    side_files.write_user_partials(stats.partials(df), f"{out}/user_partials")
+    sums = side_files.read_user_partials(spark, f"{out}/user_partials")
+    side_files.write_user_stats(stats.finish(sums), f"{out}/user_stats")
     side_files.write_small(training.trial_table(spark, found), f"{out}/trials")
 
     # The scored test rows are read by every evaluation table.

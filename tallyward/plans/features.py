@@ -73,9 +73,12 @@ _NO_STATS = {
 
 
 def extractor(df: DataFrame, user_stats: DataFrame, fitted_rates: rates.Rates | None = None,
-              heavy: int | None = HEAVY_ROWS, one_hot: bool = True) -> DataFrame:
+              heavy: int | None = HEAVY_ROWS, names: list[str] | None = None) -> DataFrame:
     """Features of live records from earlier statistics, with a default for everything.
 
+    ``names`` (a model's manifest) says which one-hot columns there are; without it they are those of the fixed
+    vocabulary.
+
     ``ts`` may be null where the time could not be read. ``heavy=None`` says that the
     statistics are few (those of one micro-batch) and need no care for heavy users.
     """
@@ -109,11 +112,9 @@ def extractor(df: DataFrame, user_stats: DataFrame, fitted_rates: rates.Rates |
         **{n: F.when(known, e).otherwise(F.lit(_NO_STATS[n])) for n, e in made.items()},
     }).drop("_known")
     out = rates.encode_or_default(out, fitted_rates, heavy or HEAVY_ROWS)
-    vocabulary = {**encode.FIXED, "location": fitted_rates.seen.get("location") or S.LOCATIONS}
     out = out.withColumns({
         "status": F.coalesce("status", F.lit("approved")),
         "location": F.coalesce("location", F.lit(S.MISSING_CATEGORY["location"])),
     })
-    if one_hot:
-        out = encode.one_hot(out, vocabulary, keep_source=True)
+    out = encode.one_hot(out, encode.FIXED, keep_source=True) if names is None else encode.one_hot_named(out, names)
     return out.withColumn("is_vpn", amounts.flag(F.col("is_vpn")))

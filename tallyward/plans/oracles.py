@@ -446,6 +446,16 @@ WHERE cast(floor(epoch(ts)) AS bigint) + {S.TTL_SECONDS} > {_NOW_EPOCH}"""),
  {_r('fraud_probability')} AS fraud_probability, is_fraud, ttl, hour_of_day, {_r('amount_zscore')} AS amount_zscore,
  location_fraud_rate FROM extracted""",
         ),
+        "stream_learned_scored": _with(
+            "sent AS (SELECT * FROM tx WHERE event_id % 3 > 0)",
+            f"first_part AS (SELECT * FROM sent WHERE ts < {_CUT})", f"second_part AS (SELECT * FROM sent WHERE ts >= {_CUT})",
+            "base AS (SELECT * FROM tx WHERE event_id % 3 = 0)", "base_and_first AS (FROM base UNION ALL FROM first_part)",
+            _stats("first_stats", "base"), _stats("second_stats", "base_and_first"),
+            select=" UNION ALL ".join(
+                f"""SELECT transaction_id, coalesce(user_transaction_count, 1) AS user_transaction_count,
+ {_r('coalesce(user_avg_amount, 0)')} AS user_avg_amount,
+ {_r('CASE WHEN user_amount_std > 0 THEN (amount - user_avg_amount) / user_amount_std ELSE 0.0e0 END')} AS amount_zscore
+ FROM {part} LEFT JOIN {side} USING (user_id)""" for part, side in (("first_part", "first_stats"), ("second_part", "second_stats")))),
         "stream_summary": _with(
             _SCORED, _PREDICTED, _WIRE, _READ,
             select="""SELECT 'processed' AS what, count(*) AS n FROM read_back

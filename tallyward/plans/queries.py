@@ -368,9 +368,13 @@ def latest_by_key(spark, folder):
 
 
 def upserted(spark, folder):
-    """Later deliveries put over the first one."""
-    rows = _versions(spark, folder)
-    return store.upsert(rows.filter("version = 1"), rows.filter("version > 1"))
+    """Three deliveries appended to a store, the second by another query, one of them twice; then what is current."""
+    path = new_folder(spark, "store")
+    rows = store.stored_form(_versions(spark, folder), at(NOW)).withColumn("given", F.col("version"))
+    for version, query, started in ((1, "a", 0), (2, "b", 7), (3, "a", 9), (3, "a", 9)):
+        store.append(rows.filter(F.col("given") == version), version, path, query, started)
+    current = store.read(spark, path, at(NOW))
+    return current.select("transaction_id", "user_id", "amount", F.col("given").alias("version"))
 
 
 def live_rows(spark, folder):
@@ -382,10 +386,11 @@ def live_rows(spark, folder):
 
 
 def rows_of_user(spark, folder):
-    """All stored rows of the user with the smallest id."""
-    stored = _predictions(spark, folder)
+    """All stored rows of the user with the smallest id, out of a store."""
+    path = new_folder(spark, "store")
+    store.append(_predictions(spark, folder), 0, path)
     first = tx(spark, folder).agg(F.min("user_id")).first()[0]
-    return store.of_user(stored, first).select(
+    return store.of_user(spark, path, first, at(NOW)).select(
         "transaction_id", "user_id", "amount", "fraud_probability", "is_fraud"
     )
 
@@ -442,12 +447,12 @@ def decode_reject(spark, folder):
 def _streamed(spark, folder) -> tuple[scoring_stream.Places, DataFrame]:
     """Publish the lines, let the stream work them off, give what is stored."""
     places = scoring_stream.Places(new_folder(spark, "stream"))
-    wire_lines(spark, folder).repartition(4).select("value").write.text(places.at("envelopes"))
+    wire_lines(spark, folder).select("value").repartition(2 * parallelism(spark)).write.text(places.at("envelopes"))
     rows = tx(spark, folder)
     earlier = rows.filter(F.col("ts") < F.lit(HISTORY_END).cast("timestamp_ntz"))
     side_files.write_user_stats(stats.user_stats(earlier), places.at("user_stats"))
     scorer = Scorer(rates.defaults(spark))
-    return places, scoring_stream.replay(spark, places, scorer, at(NOW), files_per_batch=2)
+    return places, scoring_stream.replay(spark, places, scorer, at(NOW), files_per_batch=parallelism(spark))
 
 
 def stream_scored(spark, folder):
@@ -460,6 +465,23 @@ def stream_scored(spark, folder):
     )
 
 
+def stream_learned_scored(spark, folder):
+    """A stream that learns: rows up to ``HISTORY_END`` in one delivery, the later ones in the next, which also brings
+    some of the first again. The statistics of a row count what was delivered before."""
+    places = scoring_stream.Places(new_folder(spark, "stream"))
+    rows = tx(spark, folder).filter((number() % 3) > 0)
+    side_files.write_user_partials(stats.partials(tx(spark, folder).filter((number() % 3) == 0)), places.at("user_partials"))
+    early = F.col("ts") < F.lit(HISTORY_END).cast("timestamp_ntz")
+    scorer = Scorer(rates.defaults(spark))
+    for part in (rows.filter(early), rows.filter(~early | (number() % 7 == 0))):
+        envelopes.publish(history.wire_form(part).drop("is_fraud"), places.at("envelopes"))
+        stored = scoring_stream.replay(spark, places, scorer, at(NOW), files_per_batch=10_000, learn=True)
+    v = "feature_values"
+    return stored.select(
+        "transaction_id", F.col(f"{v}.user_transaction_count").alias("user_transaction_count"),
+        F.col(f"{v}.user_avg_amount").alias("user_avg_amount"), F.col(f"{v}.amount_zscore").alias("amount_zscore"))
+
+
 def stream_summary(spark, folder):
     """Batch summaries added up, and the rows of the alert and reject sinks."""
     places, _ = _streamed(spark, folder)

@@ -103,6 +103,18 @@ USER_STATS = T.StructType([
     T.StructField("user_vpn_ratio", T.DoubleType()),
 ])
 
+USER_PARTIALS = T.StructType([
+    T.StructField("user_id", T.StringType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("n_amount", T.LongType()),
+    T.StructField("total", T.DecimalType(38, 0)),
+    T.StructField("squares", T.DecimalType(38, 0)),
+    T.StructField("lowest", T.DoubleType()),
+    T.StructField("highest", T.DoubleType()),
+    T.StructField("n_vpn", T.LongType()),
+    T.StructField("vpn", T.LongType()),
+])
+
 CATEGORY_RATE = T.StructType([
     T.StructField("category", T.StringType()),
     T.StructField("value", T.StringType()),

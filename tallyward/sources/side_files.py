@@ -3,7 +3,7 @@
 import json
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +36,13 @@ def model_width(manifest: dict[str, list[str]]) -> int:
     return len(manifest["feature_names"]) or S.MODEL_WIDTH
 
 
+_OVERALL = "_overall"
+
+
 def write_rates(fitted: rates.Rates, path: str) -> None:
-    fitted.table.write.mode("overwrite").json(path)
+    spark = fitted.table.sparkSession
+    overall = spark.createDataFrame([(_OVERALL, "", fitted.overall)], S.CATEGORY_RATE)
+    fitted.table.unionByName(overall).write.mode("overwrite").json(path)
 
 
 def read_rates(spark: SparkSession, path: str) -> rates.Rates:
@@ -46,17 +51,55 @@ def read_rates(spark: SparkSession, path: str) -> rates.Rates:
         table = spark.read.schema(S.CATEGORY_RATE).json(path)
     except AnalysisException:
         return rates.defaults(spark)
+    overall = next((r.rate for r in table.filter(F.col("category") == _OVERALL).limit(1).collect()), None)
+    table = table.filter(F.col("category") != _OVERALL)
     rows = small_rows(table)
-    return rates.Rates(table, None, False, {}) if rows is None else rates.of_rows(spark, rows)
+    return rates.Rates(table, overall, False, {}) if rows is None else rates.of_rows(spark, rows, overall)
+
+
+BUCKETS = 64
+
+
+def bucket(user: str = "user_id") -> Column:
+    """The folder of a user's rows."""
+    return F.pmod(F.xxhash64(user), F.lit(BUCKETS)).cast("int")
+
+
+def buckets_of(df: DataFrame) -> list[int]:
+    """The folders that hold the users of a micro-batch, ``BUCKETS`` at most."""
+    return [r.bucket for r in df.select(bucket().alias("bucket")).distinct().collect()]
+
+
+def _write_by_user(df: DataFrame, path: str, mode: str) -> None:
+    placed = df.withColumn("bucket", bucket())
+    placed.repartition("bucket").sortWithinPartitions("bucket", "user_id").write.mode(mode).partitionBy("bucket").parquet(path)
+
+
+def _read_by_user(spark: SparkSession, path: str, schema: T.StructType, buckets: list[int] | None) -> DataFrame:
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])).parquet(path)
+    return (rows if buckets is None else rows.filter(F.col("bucket").isin(buckets))).drop("bucket")
 
 
 def write_user_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Statistics sorted by user inside each file, so that a lookup skips most of them."""
-    stats.repartitionByRange("user_id").sortWithinPartitions("user_id").write.mode(mode).parquet(path)
+    """Statistics in a folder per user hash, sorted by user: a lookup reads the folders of its users only."""
+    _write_by_user(stats, path, mode)
+
+
+def read_user_stats(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+    return _read_by_user(spark, path, S.USER_STATS, buckets)
 
 
-def read_user_stats(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.USER_STATS).parquet(path)
+def write_user_partials(partials: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The sums behind the statistics, laid out alike: what is learned later can be added to them."""
+    _write_by_user(partials, path, mode)
+
+
+def read_user_partials(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+    """The sums, or none when there are none to read."""
+    try:
+        return _read_by_user(spark, path, S.USER_PARTIALS, buckets)
+    except AnalysisException:
+        return spark.createDataFrame([], S.USER_PARTIALS)
 
 
 def metadata_row(

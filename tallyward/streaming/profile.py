@@ -1,23 +1,61 @@
 """User statistics kept fresh by the stream.
 
-Each micro-batch appends its exact partial sums to a folder of its own; a repeated
-batch replaces them. The current statistics are the sums of all folders.
+A micro-batch appends the rows it learned, one per transaction id, to a folder of its own that is laid out by a hash of
+the user; a repeated batch replaces its folder. Statistics are the exact sums of the base (history, or an earlier
+``compact``) and of these rows, read for the users at hand only.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyward.operators import stats
-
-
-def append(transactions: DataFrame, batch_id: int, path: str) -> None:
-    stats.partials(transactions).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
-def current(spark: SparkSession, path: str) -> DataFrame:
-    return stats.finish(stats.merge_partials(spark.read.parquet(path).drop("batch_id")))
-
-
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """All folders added up into one, in a new place."""
-    merged = stats.merge_partials(spark.read.parquet(path).drop("batch_id"))
-    merged.sortWithinPartitions("user_id").write.parquet(f"{target}/batch_id=-1")
+from tallyward.sources import side_files
+
+LEARNED = T.StructType([
+    T.StructField("transaction_id", T.StringType()), T.StructField("user_id", T.StringType()),
+    T.StructField("amount", T.DoubleType()), T.StructField("is_vpn", T.BooleanType()),
+    T.StructField("query", T.StringType()), T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType()),
+])
+
+
+def append(transactions: DataFrame, batch_id: int, path: str, query: str = "0") -> None:
+    """Adds the rows of one batch, one per id; ids learned before are for the caller to leave out (see ``unlearned``)."""
+    rows = transactions.select("transaction_id", "user_id", F.col("amount").cast("double").alias("amount"), "is_vpn")
+    (
+        rows.dropDuplicates(["transaction_id"]).withColumn("bucket", side_files.bucket())
+        .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows/query={query}/batch_id={batch_id}")
+    )
+
+
+def learned(spark: SparkSession, path: str, buckets: list[int] | None = None, but: tuple[str, int] | None = None) -> DataFrame:
+    """Rows learned so far, of some buckets, without those of the batch ``but``; each id once."""
+    try:
+        rows = spark.read.schema(LEARNED).option("basePath", f"{path}/rows").parquet(f"{path}/rows")
+    except AnalysisException:
+        rows = spark.createDataFrame([], LEARNED)
+    if buckets is not None:
+        rows = rows.filter(F.col("bucket").isin(buckets))
+    if but is not None:
+        rows = rows.filter((F.col("query") != but[0]) | (F.col("batch_id") != but[1]))
+    return rows.dropDuplicates(["transaction_id"]).drop("query", "batch_id", "bucket")
+
+
+def unlearned(transactions: DataFrame, known: DataFrame) -> DataFrame:
+    """Transactions whose id is not among the learned ones: a redelivery is no news."""
+    return transactions.join(known.select("transaction_id"), "transaction_id", "left_anti")
+
+
+def current(spark: SparkSession, path: str, base: str | None = None, buckets: list[int] | None = None,
+            known: DataFrame | None = None) -> DataFrame:
+    """Statistics per user from the base sums (``base``, or ``path``'s own) and the learned rows."""
+    known = learned(spark, path, buckets) if known is None else known
+    sums = side_files.read_user_partials(spark, base or f"{path}/base", buckets)
+    return stats.finish(stats.merge_partials(sums, stats.partials(known)))
+
+
+def compact(spark: SparkSession, path: str, target: str, base: str | None = None) -> None:
+    """All that is known as sums, in a new place; its ids are forgotten, so keep what may be delivered again."""
+    sums = side_files.read_user_partials(spark, base or f"{path}/base")
+    side_files.write_user_partials(stats.merge_partials(sums, stats.partials(learned(spark, path))), f"{target}/base")

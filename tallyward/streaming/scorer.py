@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyward import schemas as S
 from tallyward.functions import clock
-from tallyward.operators import rates, scoring, store
+from tallyward.operators import columns, rates, scoring, store
 from tallyward.operators.skew import HEAVY_ROWS, SMALL_TABLE_ROWS
 from tallyward.plans import features
 
@@ -36,7 +36,9 @@ class Scorer:
             "ts", clock.parse_strict(F.col("timestamp"))
         )
         ruled = scoring.with_rule_score(given)
-        made = features.extractor(ruled, user_stats, self.rates, heavy, one_hot=self.model is not None)
+        made = features.extractor(ruled, user_stats, self.rates, heavy, names=self.names)
+        # a feature that the manifest names and nothing here gives is 0
+        made = made.withColumns({n: F.lit(0) for n in columns.available(self.names, made)[1]})
         if self.model is None:
             probability = F.lit(None).cast("double")
         else:

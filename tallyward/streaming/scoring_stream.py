@@ -1,10 +1,11 @@
 """The scoring stream: envelopes in; stored rows, alerts, rejects and summaries out.
 
-Every sink writes into a folder named after the micro-batch, so a batch that is
-run again after a failure replaces its own output: at-least-once delivery gives
-each result once.
+Every sink writes into a folder named after the query and the micro-batch, so a batch that
+is run again after a failure replaces its own output, and nothing else: at-least-once
+delivery gives each result once, a query with a new checkpoint adds to what is there.
 """
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,27 +34,45 @@ def one_per_id(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
 
 
+def query_of(batch: DataFrame) -> str:
+    """The id that a query keeps over restarts from one checkpoint; it names the query's folders."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
+
+
 def handle(
     batch: DataFrame, batch_id: int, places: Places, scorer: Scorer, now: Column | None = None,
-    learn: bool = False,
+    learn: bool = False, started: int = 0,
 ) -> None:
-    """All work of one micro-batch. With ``learn`` its rows also feed the user statistics."""
-    spark = batch.sparkSession
+    """All work of one micro-batch.
+
+    With ``learn`` its rows also feed the user statistics that later batches are scored with: each id once, so a
+    record that was learned before is left out of the batch.
+    """
+    spark, query = batch.sparkSession, query_of(batch)
+    sink = f"query={query}/batch_id={batch_id}"
     decoded = envelopes.decode(batch).persist()
     try:
         transactions = envelopes.accepted(decoded)
-        earlier, heavy = stats_of(transactions, side_files.read_user_stats(spark, places.at("user_stats")))
+        buckets = side_files.buckets_of(transactions)
+        if learn:
+            known = profile.learned(spark, places.at("profile"), buckets, (query, batch_id)).persist()
+            transactions = profile.unlearned(one_per_id(transactions), known)
+            statistics = profile.current(spark, places.at("profile"), places.at("user_partials"), known=known, buckets=buckets)
+        else:
+            statistics = side_files.read_user_stats(spark, places.at("user_stats"), buckets)
+        earlier, heavy = stats_of(transactions, statistics)
         scored = scorer.score(transactions, earlier, now, heavy).persist()
         try:
-            store.append(one_per_id(scored), batch_id, places.at("store"))
-            sink = f"batch_id={batch_id}"
+            store.append(one_per_id(scored), batch_id, places.at("store"), query, started)
             alerts.alerts(scored).write.mode("overwrite").json(f"{places.at('alerts')}/{sink}")
             envelopes.rejected(decoded).write.mode("overwrite").json(f"{places.at('rejects')}/{sink}")
             store.summary(scored).coalesce(1).write.mode("overwrite").json(f"{places.at('summaries')}/{sink}")
             if learn:
-                profile.append(transactions, batch_id, places.at("profile"))
+                profile.append(transactions, batch_id, places.at("profile"), query)
         finally:
             scored.unpersist()
+            if learn:
+                known.unpersist()
     finally:
         decoded.unpersist()
 
@@ -64,16 +83,17 @@ def start(
 ) -> StreamingQuery:
     """Start the stream; ``once`` works off what is there and stops."""
     lines = envelopes.read_stream(spark, places.at("envelopes"), files_per_batch)
+    started = int(time.time() * 1000)
     writer = (
         lines.writeStream.option("checkpointLocation", places.at("checkpoint"))
-        .foreachBatch(lambda batch, batch_id: handle(batch, batch_id, places, scorer, now, learn))
+        .foreachBatch(lambda batch, batch_id: handle(batch, batch_id, places, scorer, now, learn, started))
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def replay(spark: SparkSession, places: Places, scorer: Scorer, now: Column | None = None,
-           files_per_batch: int = 100) -> DataFrame:
+           files_per_batch: int = 100, learn: bool = False) -> DataFrame:
     """Work the waiting envelopes off, then give the current stored rows."""
-    query = start(spark, places, scorer, now, files_per_batch=files_per_batch, once=True)
+    query = start(spark, places, scorer, now, learn, files_per_batch, once=True)
     query.awaitTermination()
     return store.read(spark, places.at("store"), now)

@@ -85,7 +85,47 @@ def test_compact_keeps_what_is_current(spark, record):
     store.compact(spark, path, target, now())
     assert spark.read.parquet(target).count() == 1
     assert [(r.transaction_id, r.amount) for r in store.read(spark, target, now()).collect()] == [("T1", 3.0)]
-    assert store.of_user(store.read(spark, target, now()), "U1").count() == 1
+    assert store.of_user(spark, target, "U1", now()).count() == 1
+
+
+def test_new_checkpoint_loses_nothing(spark, record, tx):
+    places = places_for(spark, tx, record({"transaction_id": "T1", "user_id": "U1", "amount": 1.0}))
+    scorer = Scorer(rates.defaults(spark))
+    scoring_stream.replay(spark, places, scorer, now())
+    again = scoring_stream.Places(places.root)
+    again.at = lambda name: f"{places.root}/{'other-checkpoint' if name == 'checkpoint' else 'other-envelopes' if name == 'envelopes' else name}"
+    envelopes.publish(record({"transaction_id": "T2", "user_id": "U1", "amount": 2.0}, {"transaction_id": "T1", "user_id": "U1", "amount": 9.0}), again.at("envelopes"))
+    got = scoring_stream.replay(spark, again, scorer, now())
+    assert sorted((r.transaction_id, r.amount) for r in got.collect()) == [("T1", 9.0), ("T2", 2.0)]
+    assert spark.read.json(places.at("summaries")).agg(F.sum("processed_count")).first()[0] == 3
+    assert store.of_user(spark, places.at("store"), "U1", now()).count() == 2
+    stored = dict(spark.read.parquet(places.at("store")).dtypes)
+    assert stored["amount"] == stored["fraud_probability"] == "decimal(38,18)"
+
+
+def test_hostile_amounts_do_not_stop_a_learning_stream(spark, record, tx):
+    places = places_for(spark, tx, record({"transaction_id": "T1", "user_id": "UX", "amount": 5.0}))
+    bad = [(f'{{"transaction": {{"transaction_id": "B{i}", "user_id": "UX", "amount": "{a}"}}}}',) for i, a in enumerate(["1e17", "NaN", "Infinity", "-1e300"])]
+    spark.createDataFrame(bad, "value string").write.mode("append").text(places.at("envelopes"))
+    got = scoring_stream.replay(spark, places, Scorer(rates.defaults(spark)), now(), learn=True)
+    assert [r.transaction_id for r in got.collect()] == ["T1"]
+    assert {r.reason for r in spark.read.json(places.at("rejects")).collect()} == {"bad_amount"}
+    assert all('"UX"' in r.raw for r in spark.read.json(places.at("rejects")).collect())
+    learned = profile.current(spark, places.at("profile")).first()
+    assert (learned.user_transaction_count, learned.user_avg_amount) == (1, 5.0)
+
+
+def test_redelivery_is_learned_once(spark, record, tx):
+    row = {"transaction_id": "T1", "user_id": "UX", "amount": 4.0}
+    places = places_for(spark, tx, record(row, row))
+    scorer = Scorer(rates.defaults(spark))
+    for more in ([], [row, {**row, "transaction_id": "T2"}], [row]):
+        if more:
+            envelopes.publish(record(*more), places.at("envelopes"))
+        got = scoring_stream.replay(spark, places, scorer, now(), learn=True)
+    counts = {r.transaction_id: r.feature_values.user_transaction_count for r in got.collect()}
+    assert counts == {"T1": 1, "T2": 1}
+    assert profile.current(spark, places.at("profile")).first().user_transaction_count == 2
 
 
 def test_upsert_survives_a_hot_key(spark):

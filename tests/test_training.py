@@ -74,14 +74,29 @@ def test_model_in_the_stream(spark, data, tx, fitted):
     places = scoring_stream.Places(new_folder(spark, "stream"))
     side_files.write_user_stats(stats.user_stats(tx), places.at("user_stats"))
     envelopes.publish(history.wire_form(tx), places.at("envelopes"))
-    known = [n for n in names if n != "location_oslo_norway"]
-    narrow = training.train(fitted[0], known, training.Parameters(maxDepth=3, maxIter=3))
-    scorer = Scorer(rates.defaults(spark), narrow, known)
+    scorer = Scorer(rates.defaults(spark), model, names)
     got = scoring_stream.replay(spark, places, scorer, q.at(q.NOW))
     assert got.count() == 1000
     assert got.filter("error is not null").count() == 0
     assert got.filter((F.col("fraud_probability") > 0.5) != F.col("is_fraud")).count() == 0
-    assert got.select("feature_values.*").columns == known
+    assert got.select("feature_values.*").columns == names and "location_oslo_norway" in names
+    oslo = got.filter("location = 'Oslo, Norway'").select("feature_values.location_oslo_norway").distinct().collect()
+    assert [r[0] for r in oslo] == [1]
+
+
+def test_values_outside_the_fixed_vocabulary(spark, tx):
+    more = tx.withColumn("status", F.when(F.col("amount") > 60, "refunded").otherwise(F.col("status")))
+    matrix, names, _ = training.prepare(more)
+    assert {"status_refunded", "location_oslo_norway"} <= set(names)
+    model = training.train(matrix, names, training.Parameters(maxDepth=3, maxIter=2))
+    scorer = Scorer(rates.defaults(spark), model, [*names, "never_seen"][:-1])
+    scored = scorer.score(history.wire_form(more), stats.user_stats(more))
+    assert scored.filter("error is not null").count() == 0
+    seen = scored.filter("status = 'refunded'").select("feature_values.status_refunded").distinct().collect()
+    assert [r[0] for r in seen] == [1]
+    without = Scorer(rates.defaults(spark), None, ["amount", "status_unheard_of", "no_such_feature"])
+    got = without.score(history.wire_form(tx), stats.user_stats(tx)).select("feature_values.*").distinct()
+    assert {(r.status_unheard_of, r.no_such_feature) for r in got.collect()} == {(0, 0)}
 
 
 def test_whole_batch_job(spark, tx):
