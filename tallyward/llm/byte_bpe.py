@@ -25,8 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.tables import ddl, fresh, text_or_empty, without
+from tallyward.llm.words import release, slices
 
 LEAF = 4096
+PIECE = 2 << 20  # bytes of text whose tokens are held at a time
 # between the two characters found here, a match of the pattern always ends
 _SEAM = regex.compile(r"\S\s|\p{L}[^\p{L}\s]|\p{N}[^\p{N}\s]|[^\s\p{L}\p{N}]\p{N}")
 _RUN = regex.compile(r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+")
@@ -140,7 +142,7 @@ def encode(docs: DataFrame, path: str, pattern: str, leaf: int = LEAF, ids: bool
 
     def run(batches):
         c = codec(path, pattern)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, source, PIECE)):
             out = {name: [] for name in added}
             for text in batch.column(source):
                 tokens = c.encode(text.as_py(), leaf)
@@ -152,6 +154,7 @@ def encode(docs: DataFrame, path: str, pattern: str, leaf: int = LEAF, ids: bool
             kept = [x for x in batch.schema.names if x != source]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(x) for x in kept] + [pa.array(out[x], t) for x, t in added.items()], names=kept + list(added))
+        release()
 
     schema = f"{ddl(rows)}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
     return rows.withColumn(source, text_or_empty()).mapInArrow(run, schema)

@@ -24,7 +24,7 @@ from tallyward.llm.components import components
 from tallyward.llm.tables import fresh, partitions, stored, text_or_empty
 
 SIZE, NUM, DEN = 5, 75, 100
-BLOCK_BYTES = 4 << 20  # of text; a block's arrays take about 30 times as much
+BLOCK_BYTES = 2 << 20  # of text; a block's arrays take about 30 times as much
 LOW = np.uint64((1 << 48) - 1)
 HOT = 128  # a token of more nodes is compared block by block
 BLOCK = 512  # nodes
@@ -68,6 +68,7 @@ def _blocks(bits: int, size: int, most_bytes: int):
             for part in W.slices(batch, "text", most_bytes):
                 at += 1
                 yield _batch(schema, list(zip(*_block(part, at), strict=True)))
+        W.release()
 
     def _block(part: pa.RecordBatch, block: int) -> list[tuple]:
         rows = part.num_rows

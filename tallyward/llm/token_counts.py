@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.llm.tables import text_or_empty
+from tallyward.llm.words import release
 
 MARK = "▁"
 LIMIT = 4096
@@ -84,6 +85,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
                 out += c.count(batch.column("text").slice(at, 200).to_pylist())
             n = pa.array(out, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), n], names=["doc_id", "n_bytes", "n_tokens"])
+        release()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     counted = texts.withColumn("n_bytes", F.octet_length("text").cast("long")).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")

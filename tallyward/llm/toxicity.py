@@ -381,6 +381,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int
     def learn(table: pa.Table) -> pa.Table:
         table = table.sort_by("doc_id").combine_chunks()
         net = train(table.column("text").combine_chunks(), table.column("toxic").to_numpy())
+        W.release()
         return pa.table({"network": pa.array([pickle.dumps(net)], pa.binary())})
 
     # the sample's bound makes it one task's work; the driver gets the network only
@@ -401,10 +402,11 @@ def score(docs: DataFrame, net: Network) -> DataFrame:
 
     def run(batches):
         net = sent.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in W.slices(whole, source, _PIECE)):
             out = net.scores(batch.column(source))
             kept = [i for i, c in enumerate(batch.schema.names) if c != source]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), pa.array(out, pa.float64())], names=[*names, "score"])
+        W.release()
 
     scored = rows.withColumn(source, text_or_empty()).mapInArrow(run, f"{ddl(rows)}, score double")
     return scored.withColumn("held_out", held_out()).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

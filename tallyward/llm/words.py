@@ -5,10 +5,19 @@ separator bytes, word hashes from a sum over the bytes of each word, so the cost
 byte is a few vector operations whatever the words are.
 """
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
-M64 = (1 << 64) - 1
+
+def release() -> None:
+    """Gives memory that a batch needed back to the system: workers live on and wait for other work."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def mix(x: np.ndarray) -> np.ndarray:
