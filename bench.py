@@ -14,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tallyward import session  # noqa: E402
 from tallyward.plans import queries as q  # noqa: E402
+from tallyward.plans import training  # noqa: E402
 
 HEADLINE = [
     q.user_stats, q.feat_user_behavior, q.category_fraud_rates, q.rate_encoded, q.feature_frame,
@@ -23,12 +24,19 @@ HEADLINE = [
 ]
 
 
+def trained(spark, folder):
+    """A whole training, with its features and splits."""
+    matrix, names, _ = training.prepare(q.tx(spark, folder))
+    training.train(matrix, names, training.Parameters(maxIter=20))
+    return matrix.limit(1)
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = session.build("bench", cpus=cpus)
     times = {}
-    for query in HEADLINE:
+    for query in [*HEADLINE, trained]:
         for timed in (False, True):
             started = time.perf_counter()
             query(spark, folder).write.format("noop").mode("overwrite").save()

@@ -14,7 +14,10 @@ FIXED = {
     "location": S.LOCATIONS,
 }
 
-MAX_VALUES = 1_000
+# a live record without a location has one of its own
+SERVED = {**FIXED, "location": [*S.LOCATIONS, S.MISSING_CATEGORY["location"]]}
+
+MAX_VALUES = 1_000  # of a column that is one-hot encoded; pass another ``limit`` for wider ones
 
 
 def vocabulary(df: DataFrame, columns: list[str] = S.CATEGORICAL, limit: int = MAX_VALUES) -> dict[str, list[str]]:

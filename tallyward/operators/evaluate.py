@@ -1,7 +1,8 @@
 """Evaluation of scores as small tables.
 
 Every input is one frame that carries label and score side by side, so nothing is
-matched by position.
+matched by position. A row without a label or a score takes no part in any of them;
+``unscored`` counts such rows.
 """
 
 import pyarrow as pa
@@ -18,6 +19,11 @@ def predicted(score: Column, threshold: float = 0.5, strict: bool = False) -> Co
     return score > F.lit(threshold) if strict else score >= F.lit(threshold)
 
 
+def unscored(df: DataFrame, label: str = "is_fraud", score: str = "score") -> DataFrame:
+    """How many rows the other tables leave out."""
+    return df.agg(F.count_if(F.col(label).isNull() | F.col(score).isNull()).alias("unscored"))
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """0 where there is nothing to divide by."""
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
@@ -85,6 +91,7 @@ def threshold_sweep(
     running total over those few counts, however many thresholds there are.
     """
     steps = sorted(thresholds)
+    df = df.filter(F.col(score).isNotNull())
     reached = sum((F.coalesce(F.col(score) >= F.lit(t), F.lit(False)).cast("int") for t in steps), F.lit(0))
     bands = df.groupBy(reached.alias("_band")).agg(
         F.count_if(F.col(label)).alias("_pos"), F.count_if(~F.col(label)).alias("_neg")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward import schemas as S
-from tallyward.operators.skew import HEAVY_ROWS, attach, small_rows
+from tallyward.operators.skew import attach, small_rows
 from tallyward.session import local_table
 
 COLUMNS = list(S.RATE_FEATURES)
@@ -64,7 +64,7 @@ def fit(
     """Fit rates, overall rate and vocabularies together, from one pass.
 
     The driver sees at most ``limit`` fitted rows. With more values than that the
-    table stays distributed and is attached by a shuffled, skew-safe join.
+    table stays distributed and is attached by a shuffled join.
     """
     spark = df.sparkSession
     counted = cells(df, columns, label).withColumn(_EVERY, F.lit(""))
@@ -113,25 +113,25 @@ def defaults(spark: SparkSession) -> Rates:
     return of_rows(spark, rows)
 
 
-def encode(df: DataFrame, rates: Rates, heavy: int = HEAVY_ROWS) -> DataFrame:
+def encode(df: DataFrame, rates: Rates) -> DataFrame:
     """Batch meaning: a missing location gets the overall rate, other misses stay null."""
-    out = _lookup(df, rates, dict(S.RATE_FEATURES), heavy)
+    out = _lookup(df, rates, dict(S.RATE_FEATURES))
     return out.withColumn("location_fraud_rate", F.coalesce("location_fraud_rate", F.lit(rates.overall)))
 
 
-def encode_or_default(df: DataFrame, rates: Rates, heavy: int = HEAVY_ROWS) -> DataFrame:
+def encode_or_default(df: DataFrame, rates: Rates) -> DataFrame:
     """Extractor meaning: every miss gets a fixed rate, a missing text a fixed name."""
     named = df.withColumns({
         f"_{c}": F.coalesce(F.col(c), F.lit(S.MISSING_CATEGORY[c])) for c in COLUMNS
     })
-    out = _lookup(named, rates, {f"_{c}": S.RATE_FEATURES[c] for c in COLUMNS}, heavy)
+    out = _lookup(named, rates, {f"_{c}": S.RATE_FEATURES[c] for c in COLUMNS})
     return out.withColumns({
         S.RATE_FEATURES[c]: F.coalesce(F.col(S.RATE_FEATURES[c]), F.lit(S.RATE_ON_MISS[c]))
         for c in COLUMNS
     }).drop(*[f"_{c}" for c in COLUMNS])
 
 
-def _lookup(df: DataFrame, rates: Rates, targets: dict[str, str], heavy: int) -> DataFrame:
+def _lookup(df: DataFrame, rates: Rates, targets: dict[str, str]) -> DataFrame:
     for column, target in targets.items():
         side = rates.table.filter(F.col("category") == column.lstrip("_")).select(
             F.col("value").alias(column), F.col("rate").alias(target)
@@ -139,7 +139,7 @@ def _lookup(df: DataFrame, rates: Rates, targets: dict[str, str], heavy: int) ->
         if rates.small:
             df = df.join(F.broadcast(side), column, "left")
         else:
-            df = attach(df, side, column, "transaction_id", heavy)
+            df = attach(df, side, column)
     return df
 
 

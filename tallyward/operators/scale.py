@@ -3,22 +3,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Digits kept of a fitted number. The last bits of a sum of doubles depend on the order
-# tasks finish in; without them two fits of the same rows give the same scaler.
-SIGNIFICANT = 12
-
-
 def fit(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
     """Mean and deviation per column; one row reaches the driver. A constant column keeps scale 1."""
     row = df.agg(*[
         expr for c in columns
         for expr in (F.avg(c).alias(f"{c}__mean"), F.stddev_pop(c).alias(f"{c}__std"))
     ]).first()
-    return {c: (_kept(row[f"{c}__mean"]), _kept(row[f"{c}__std"]) or 1.0) for c in columns}
-
-
-def _kept(value: float | None) -> float:
-    return 0.0 if value is None else float(f"{value:.{SIGNIFICANT}g}")
+    return {c: (row[f"{c}__mean"] or 0.0, row[f"{c}__std"] or 1.0) for c in columns}
 
 
 def transform(df: DataFrame, scales: dict[str, tuple[float, float]]) -> DataFrame:

@@ -1,54 +1,19 @@
-"""Joins to keys that may hold any share of the rows.
+"""Joins to keys that may hold any share of the rows, and small tables."""
 
-A key is heavy when it has more than ``heavy`` rows. There are fewer than
-``rows / heavy`` such keys, so the list of them is bounded whatever the data
-looks like and may be broadcast. Only heavy keys are cut into parts; all other
-keys take part 0 and cost nothing more than in a plain join.
-"""
-
-from pyspark.sql import Column, DataFrame, Row
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row
 
+# A user with more rows than this is cut into slices by the running totals.
 HEAVY_ROWS = 5_000_000
 SMALL_TABLE_ROWS = 100_000
 
 
-def heavy_keys(df: DataFrame, key: str, heavy: int = HEAVY_ROWS) -> DataFrame:
-    """Heavy keys (the null key too) with the number of parts each is cut into."""
-    return (
-        df.groupBy(F.col(key).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > heavy)
-        .select("_key", F.ceil(F.col("_rows") / heavy).cast("int").alias("_parts"))
-    )
-
-
-def attach(
-    df: DataFrame, side: DataFrame, key: str, spread: str | Column, heavy: int = HEAVY_ROWS
-) -> DataFrame:
+def attach(df: DataFrame, side: DataFrame, key: str) -> DataFrame:
     """Left join of many rows to one side row per key.
 
-    Rows of a heavy key are spread over its parts by a hash of ``spread``; the
-    side row is repeated once per part. A null key finds no side row but is
-    spread as well, so that it does not end in one task.
+    A plain join on purpose: the left side of a left sort-merge join is what adaptive execution splits when a key is
+    skewed, the null key too, and it needs no count of the keys beforehand.
     """
-    cut = heavy_keys(df, key, heavy)
-    spread = F.col(spread) if isinstance(spread, str) else spread
-    rows = (
-        df.join(F.broadcast(cut), F.col(key).eqNullSafe(F.col("_key")), "left")
-        .withColumn(
-            "_part",
-            F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("_parts")).cast("int"))
-            .otherwise(F.lit(0)),
-        )
-        .drop("_key", "_parts")
-    )
-    copies = (
-        side.join(F.broadcast(cut), F.col(key) == F.col("_key"), "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
-        .drop("_key", "_parts")
-    )
-    return rows.join(copies, [key, "_part"], "left").drop("_part")
+    return df.join(side, key, "left")
 
 
 def small_rows(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> list[Row] | None:

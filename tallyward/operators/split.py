@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _DIGITS = 3  # hex digits per counting step: 4,096 buckets
-_MAX_DIGITS = 12
+_MAX_DIGITS = 30  # ids that agree so far are copies of one id
 _SMALL_BUCKET = 100_000
-_MAX_CLASSES = 100
+MAX_CLASSES = 100  # a column of more values is no class label: refused before its counts are brought together
 
 Quota = Callable[[dict], dict]
 
@@ -43,7 +43,7 @@ def proportional(share: float) -> Quota:
     return quota
 
 
-def _cutoffs(keyed: DataFrame, quota: Quota) -> dict:
+def _cutoffs(keyed: DataFrame, quota: Quota, max_classes: int) -> dict:
     """Per class the last (hash, id) that still belongs to the quota; None takes all rows."""
     prefix, left, small = None, {}, False
     found: dict = {}
@@ -51,10 +51,10 @@ def _cutoffs(keyed: DataFrame, quota: Quota) -> dict:
     while not small and depth < _MAX_DIGITS:
         rows = _within(keyed, prefix).groupBy("c", F.substring("h", depth + 1, _DIGITS).alias("d")).count()
         counts: dict = {}
-        for r in rows.collect():
+        for r in rows.limit((max_classes + 1) * 16**_DIGITS).collect():
             counts.setdefault(r.c, {})[r.d] = r["count"]
         if prefix is None:
-            if len(counts) > _MAX_CLASSES:
+            if len(counts) > max_classes:
                 raise ValueError(f"too many classes to split by: {len(counts)}")
             sizes = {c: sum(by_digits.values()) for c, by_digits in counts.items()}
             left = quota(sizes)
@@ -100,17 +100,19 @@ def _within(keyed: DataFrame, prefix: dict | None) -> DataFrame:
 
 def take_by_hash(
     df: DataFrame, quota: Quota, seed: str, out: str, label: Column | None = None, among: Column | None = None,
-    id_column: str = "transaction_id",
+    id_column: str = "transaction_id", max_classes: int = MAX_CLASSES,
 ) -> DataFrame:
     """Adds boolean ``out``: the row is among the first rows of its class by hash.
 
+    More than ``max_classes`` classes are refused.
+
     ``quota`` maps class sizes to rows to take; only rows ``among`` take part, the
     others get false.
     """
     label = F.lit(0) if label is None else label
     among = F.lit(True) if among is None else among
     h, i = hash_key(id_column, seed), F.col(id_column)
-    cutoffs = _cutoffs(df.filter(among).select(label.alias("c"), h.alias("h"), i.alias("i")), quota)
+    cutoffs = _cutoffs(df.filter(among).select(label.alias("c"), h.alias("h"), i.alias("i")), quota, max_classes)
     taken = F.lit(False)
     for c, last in cutoffs.items():
         inside = F.lit(True) if last is None else (h < last[0]) | ((h == last[0]) & (i <= last[1]))

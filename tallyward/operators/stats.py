@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions.amounts import UNITS, mean_of, units
-from tallyward.operators.skew import HEAVY_ROWS, attach
+from tallyward.operators.skew import attach
 
 PARTIAL_COLUMNS = ["user_id", "n", "n_amount", "total", "squares", "lowest", "highest", "n_vpn", "vpn"]
 
@@ -68,6 +68,6 @@ def user_stats(df: DataFrame) -> DataFrame:
     return finish(partials(df))
 
 
-def with_user_stats(df: DataFrame, stats: DataFrame | None = None, heavy: int = HEAVY_ROWS) -> DataFrame:
+def with_user_stats(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Statistics joined back to each row; a null user has null statistics."""
-    return attach(df, user_stats(df) if stats is None else stats, "user_id", "transaction_id", heavy)
+    return attach(df, user_stats(df) if stats is None else stats, "user_id")

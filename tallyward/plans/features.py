@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from tallyward import schemas as S
 from tallyward.functions import amounts, clock
 from tallyward.operators import columns, encode, rates, stats
-from tallyward.operators.skew import HEAVY_ROWS
 
 _USER_COLUMNS = [f.name for f in S.USER_STATS.fields if f.name != "user_id"]
 
 
-def behaviour(df: DataFrame, user_stats: DataFrame | None = None, heavy: int = HEAVY_ROWS) -> DataFrame:
+def behaviour(df: DataFrame, user_stats: DataFrame | None = None) -> DataFrame:
     """User statistics joined back, and the features that compare a row with them."""
-    joined = stats.with_user_stats(df, user_stats, heavy)
+    joined = stats.with_user_stats(df, user_stats)
     amount, avg = F.col("amount"), F.col("user_avg_amount")
     std, top = F.col("user_amount_std"), F.col("user_max_amount")
     return joined.withColumns({
@@ -35,17 +34,16 @@ class Fitted:
     vocabulary: dict[str, list[str]]
 
 
-def fit(df: DataFrame) -> Fitted:
+def fit(df: DataFrame, most_values: int = encode.MAX_VALUES) -> Fitted:
     """Rates and vocabulary in one pass. Fit on all rows, or on train rows only to keep
-    test labels out of the rates."""
+    test labels out of the rates. A category of more than ``most_values`` values is refused."""
     fitted = rates.fit(df)
-    vocabulary = fitted.seen if fitted.small else encode.vocabulary(df)
-    encode.check_width(vocabulary)
+    vocabulary = fitted.seen if fitted.small else encode.vocabulary(df, limit=most_values)
+    encode.check_width(vocabulary, most_values)
     return Fitted(fitted, {c: vocabulary[c] for c in S.CATEGORICAL})
 
 
-def batch(df: DataFrame, fitted: Fitted | None = None, user_stats: DataFrame | None = None,
-          heavy: int = HEAVY_ROWS) -> DataFrame:
+def batch(df: DataFrame, fitted: Fitted | None = None, user_stats: DataFrame | None = None) -> DataFrame:
     """The training frame: calendar, behaviour, rates and one-hot columns.
 
     Shuffles: one for the statistics, one for the join back. Rates are looked up
@@ -53,8 +51,8 @@ def batch(df: DataFrame, fitted: Fitted | None = None, user_stats: DataFrame | N
     """
     fitted = fit(df) if fitted is None else fitted
     out = df.withColumns(clock.calendar(F.col("ts")))
-    out = behaviour(out, user_stats, heavy)
-    out = rates.encode(out, fitted.rates, heavy)
+    out = behaviour(out, user_stats)
+    out = rates.encode(out, fitted.rates)
     out = encode.one_hot(out, fitted.vocabulary)
     return out.withColumn("is_vpn", F.col("is_vpn").cast("int"))
 
@@ -73,22 +71,18 @@ _NO_STATS = {
 
 
 def extractor(df: DataFrame, user_stats: DataFrame, fitted_rates: rates.Rates | None = None,
-              heavy: int | None = HEAVY_ROWS, names: list[str] | None = None) -> DataFrame:
+              names: list[str] | None = None) -> DataFrame:
     """Features of live records from earlier statistics, with a default for everything.
 
     ``names`` (a model's manifest) says which one-hot columns there are; without it they are those of the fixed
     vocabulary.
 
-    ``ts`` may be null where the time could not be read. ``heavy=None`` says that the
-    statistics are few (those of one micro-batch) and need no care for heavy users.
+    ``ts`` may be null where the time could not be read.
     """
     if fitted_rates is None:
         fitted_rates = rates.defaults(df.sparkSession)
     marked = user_stats.withColumn("_known", F.lit(True))
-    if heavy is None:
-        joined = df.join(marked, "user_id", "left")
-    else:
-        joined = stats.attach(df, marked, "user_id", "transaction_id", heavy)
+    joined = stats.attach(df, marked, "user_id")
     known = F.col("_known").isNotNull()
     amount = F.coalesce("amount", F.lit(0.0))
     avg, std, top = (
@@ -111,10 +105,10 @@ def extractor(df: DataFrame, user_stats: DataFrame, fitted_rates: rates.Rates |
         **clock.calendar_or_default(F.col("ts")),
         **{n: F.when(known, e).otherwise(F.lit(_NO_STATS[n])) for n, e in made.items()},
     }).drop("_known")
-    out = rates.encode_or_default(out, fitted_rates, heavy or HEAVY_ROWS)
+    out = rates.encode_or_default(out, fitted_rates)
     out = out.withColumns({
         "status": F.coalesce("status", F.lit("approved")),
         "location": F.coalesce("location", F.lit(S.MISSING_CATEGORY["location"])),
     })
-    out = encode.one_hot(out, encode.FIXED, keep_source=True) if names is None else encode.one_hot_named(out, names)
+    out = encode.one_hot(out, encode.SERVED, keep_source=True) if names is None else encode.one_hot_named(out, names)
     return out.withColumn("is_vpn", amounts.flag(F.col("is_vpn")))

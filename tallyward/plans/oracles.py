@@ -2,7 +2,6 @@
 
 from tallyward import schemas as S
 from tallyward.functions.codec import plain_name_of
-from tallyward.operators.scale import SIGNIFICANT
 from tallyward.plans import queries as Q
 
 _TX = """tx AS (
@@ -38,11 +37,6 @@ def _r(expr: str) -> str:
     return f"(round({expr}, {Q.DIGITS}) + 0.0e0)"
 
 
-def _kept(expr: str) -> str:
-    """A fitted number to the digits that are kept of it."""
-    return f"cast(printf('%.{SIGNIFICANT}g', {expr}) AS double)"
-
-
 def _int(condition: str) -> str:
     return f"cast(coalesce({condition}, false) AS int)"
 
@@ -212,7 +206,7 @@ def _corr(x: str, y: str) -> str:
             f" * stddev_pop(CASE WHEN {both} THEN {y} END), 0)")
 
 
-_CORR_NAMES = [S.LABEL, *S.NUMERIC_FEATURES, "user_max_amount", "user_vpn_ratio", *_ONE_HOT_NAMES]
+_CORR_NAMES = [S.LABEL, *S.NUMERIC_FEATURES, "user_min_amount", "user_max_amount", "user_vpn_ratio", *_ONE_HOT_NAMES]
 _CORR_FRAME = "numbers AS (SELECT * EXCLUDE (is_fraud), cast(is_fraud AS int) AS is_fraud FROM frame)"
 _CORR_WITH_LABEL = "with_label AS (" + " UNION ALL ".join(
     f"SELECT '{n}' AS feature, {_corr(n, S.LABEL)} AS corr FROM numbers" for n in _CORR_NAMES
@@ -409,10 +403,10 @@ WHERE rn <= CASE WHEN is_fraud THEN 100 ELSE 400 END"""),
             _SPLIT, *_FRAME_CTES,
             "marked AS (SELECT frame.*, parted.split FROM frame JOIN parted USING (transaction_id))",
             "moments AS (SELECT " + ", ".join(
-                f"{_kept(f'avg({n})')} AS m_{n}, coalesce(nullif({_kept(f'stddev_pop({n})')}, 0), 1) AS s_{n}" for n in S.NUMERIC_FEATURES
+                f"avg({n}) AS m_{n}, coalesce(nullif(stddev_pop({n}), 0), 1) AS s_{n}" for n in S.NUMERIC_FEATURES
             ) + " FROM marked WHERE split = 'train')",
             select="SELECT transaction_id, split, " + ", ".join(
-                f"{_r(f'({n} - m_{n}) / s_{n}')} AS {n}" for n in S.NUMERIC_FEATURES
+                f"(round(({n} - m_{n}) / s_{n}, 6) + 0.0e0) AS {n}" for n in S.NUMERIC_FEATURES
             ) + " FROM marked CROSS JOIN moments",
         ),
         "sorted_timeline": _with(select=f"SELECT transaction_id, {_ISO} AS timestamp, user_id, amount FROM tx ORDER BY ts, transaction_id"),
@@ -483,10 +477,24 @@ UNION ALL SELECT 'rejects', count(*) FROM wire WHERE reason <> 'valid'""",
         "libsvm_round_trip": _with(*_FRAME_CTES, select="SELECT cast(is_fraud AS int) AS label, " + ", ".join(
             f"{_r(f'coalesce(cast({n} AS double), 0)')} AS {n}" for n in _MODEL_NAMES
         ) + " FROM frame"),
+        "gbt_scored": _with(_SPLIT, select="""SELECT transaction_id, is_fraud, true AS is_probability,
+ true AS flagged_from_half FROM parted WHERE split = 'test'"""),
+        "gbt_metrics": _with(_SPLIT, select="""SELECT 'test_size' AS metric, cast(count(*) AS double) AS value FROM parted WHERE split = 'test'
+UNION ALL SELECT 'frauds', cast(count(*) FILTER (is_fraud) AS double) FROM parted WHERE split = 'test'
+UNION ALL SELECT * FROM (VALUES ('unscored', 0.0e0), ('roc_auc', 1.0e0), ('detection_rate', 1.0e0), ('true_positive_rate', 1.0e0),
+ ('precision', 1.0e0)) m"""),
+        "tuning_trials": """SELECT cast(5 AS bigint) AS trials, cast(1 AS bigint) AS best_trials, count(*) > 0 AS best_is_greatest,
+ count(*) > 0 AS areas_are_areas, count(*) > 0 AS settings_in_range FROM events""",
         "model_parameters": _with(select="""SELECT transaction_id, 2 AS entries, 'status,card' AS names, status,
  cast(NULL AS varchar) AS private FROM tx"""),
-        "manifest": "SELECT * FROM (VALUES " + ", ".join(
-            f"(cast({i} AS int), '{n}', '{'categorical' if n in _ONE_HOT_NAMES else 'numeric'}')"
-            for i, n in enumerate(_MODEL_NAMES, 1)
-        ) + ") m(position, feature, kind)",
+        "manifest": _with(
+            "numeric_part AS (SELECT * FROM (VALUES " + ", ".join(
+                f"({i}, '{n}')" for i, n in enumerate(S.NUMERIC_FEATURES, 1)) + ") m(position, feature))",
+            "vocabulary AS (" + " UNION ".join(
+                f"SELECT {i} AS block, '{c}' AS name, {c} AS value FROM tx WHERE {c} IS NOT NULL"
+                for i, c in enumerate(("device_type", "card_type", "status", "location"))) + ")",
+            "one_hot_part AS (SELECT *, row_number() OVER (ORDER BY block, value) AS place FROM vocabulary)",
+            select=f"""SELECT cast(position AS int) AS position, feature, 'numeric' AS kind FROM numeric_part
+UNION ALL SELECT cast({len(S.NUMERIC_FEATURES)} + place AS int), name || '_' || regexp_replace(lower(value), '[^a-z0-9]+', '_', 'g'),
+ 'categorical' FROM one_hot_part"""),
     }

@@ -258,7 +258,7 @@ def first5_per_class(spark, folder):
 
 def _correlations(spark, folder) -> DataFrame:
     frame = features.batch(tx(spark, folder))
-    return correlate.pairwise(frame, [S.LABEL, *[c for c in columns.numeric_columns(frame) if c != "user_min_amount"]])
+    return correlate.pairwise(frame, [S.LABEL, *columns.numeric_columns(frame)])
 
 
 def correlation_with_label(spark, folder):
@@ -289,11 +289,13 @@ def class_ratio_sample(spark, folder):
 
 
 def standard_scaled(spark, folder):
-    """Fit on train rows, applied to all rows."""
+    """Fit on train rows, applied to all rows; shown at 6 decimals, as a fitted number's last bits follow the order of
+    the rows."""
     rows = split.stratified_split(tx(spark, folder))
     frame = features.batch(rows)
     scales = scale.fit(frame.filter(F.col("split") == "train"), S.NUMERIC_FEATURES)
-    return scale.transform(frame, scales).select("transaction_id", "split", *S.NUMERIC_FEATURES)
+    scaled = scale.transform(frame, scales)
+    return scaled.select("transaction_id", "split", *[F.round(c, 6).alias(c) for c in S.NUMERIC_FEATURES])
 
 
 def sorted_timeline(spark, folder):
@@ -638,17 +640,45 @@ def _trained(spark, folder):
     return matrix, names, training.PipelineModel.load(path)
 
 
-def gbt_scored(spark, folder):
+def scored_by_trees(spark, folder) -> DataFrame:
     matrix, names, model = _trained(spark, folder)
-    scored = training.score(model, matrix.filter(F.col("split") == "test"), names)
-    return scored.select("transaction_id", "is_fraud", "score", "flagged")
+    return training.score(model, matrix.filter(F.col("split") == "test"), names)
+
+
+def gbt_scored(spark, folder):
+    """The test rows and what is determined of their scores, whatever trees were grown."""
+    scored = scored_by_trees(spark, folder)
+    p = F.col("score")
+    return scored.select(
+        "transaction_id", "is_fraud", ((p >= 0) & (p <= 1)).alias("is_probability"),
+        (F.col("flagged") == (p >= 0.5)).alias("flagged_from_half"),
+    )
+
+
+# what a useful model reaches on these transactions
+FLOORS = {"roc_auc": 0.8, "detection_rate": 0.6, "true_positive_rate": 0.6, "precision": 0.4}
 
 
 def gbt_metrics(spark, folder):
-    matrix, names, model = _trained(spark, folder)
-    return training.metrics(training.score(model, matrix.filter(F.col("split") == "test"), names))
+    """Sizes of the metrics as they are, the others as whether they are above their floor and at most 1."""
+    made = training.metrics(scored_by_trees(spark, folder))
+    sizes = made.filter(F.col("metric").isin("test_size", "unscored")).select("metric", "value")
+    floors = F.create_map(*[F.lit(x) for pair in FLOORS.items() for x in pair])
+    judged = made.filter(F.col("metric").isin(list(FLOORS))).distinct().select(
+        "metric", F.col("value").between(floors[F.col("metric")], F.lit(1.0)).cast("double").alias("value"))
+    found = made.filter(F.col("metric").isin("fraud_cases_detected", "fraud_cases_missed"))
+    frauds = found.agg(F.sum("value").alias("value")).select(F.lit("frauds").alias("metric"), "value")
+    return sizes.unionByName(judged).unionByName(frauds)
 
 
 def tuning_trials(spark, folder):
+    """Number of trials, how many are the best, whether that has the greatest area, and whether all settings are in range."""
     matrix, names, _ = _trained(spark, folder)
-    return training.trial_table(spark, training.tune(matrix, names))
+    trials = training.trial_table(spark, training.tune(matrix, names))
+    p = lambda n: F.col("parameters")[n].cast("double")
+    in_range = p("maxDepth").between(3, 10) & p("stepSize").between(0.01, 0.3) & p("subsamplingRate").between(0.5, 1.0)
+    return trials.agg(
+        F.count("*").alias("trials"), F.count_if("best").alias("best_trials"),
+        (F.max(F.when(F.col("best"), F.col("auc"))) == F.max("auc")).alias("best_is_greatest"),
+        F.every(F.col("auc").between(0.5, 1.0)).alias("areas_are_areas"), F.every(in_range).alias("settings_in_range"),
+    )

@@ -6,7 +6,6 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,16 +119,20 @@ def train(matrix: DataFrame, names: list[str], parameters: Parameters | None = N
 def tune(
     matrix: DataFrame, names: list[str], trials: int = 5, parallel: int = 2, seed: int = 42, rounds: int = ROUNDS
 ) -> list[Trial]:
-    """Random search, best validation AUC first; ``parallel`` fits share the cluster."""
+    """Random search, best exact validation AUC first; ``parallel`` fits share the cluster."""
     ensure_checkpoints(matrix.sparkSession)
     rows = _for_fit(matrix)
     held_out = rows.filter("is_validation")
-    judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+
+    def judge(model: PipelineModel) -> float:
+        """The exact area, as the evaluation tables have it."""
+        found = evaluate.roc_auc(score(model, held_out, names)).first().roc_auc
+        return 0.0 if found is None else found
 
     def run(numbered: tuple[int, Parameters]) -> Trial:
         number, parameters = numbered
         model = estimator(names, parameters, seed).fit(rows)
-        return Trial(number, parameters, judge.evaluate(model.transform(held_out)), model)
+        return Trial(number, parameters, judge(model), model)
 
     with ThreadPool(parallel) as pool:
         done = pool.map(run, list(enumerate(draw(trials, seed, rounds), 1)))
@@ -155,11 +158,13 @@ def score(model: PipelineModel, df: DataFrame, names: list[str], threshold: floa
 def metrics(scored: DataFrame) -> DataFrame:
     """(metric, value) rows: AUC, business rates and positive rates of scored rows."""
     cm = evaluate.confusion(scored)
-    tables = [evaluate.roc_auc(scored).select("roc_auc"), evaluate.business(cm), evaluate.positive_rates(cm)]
+    tables = [
+        evaluate.roc_auc(scored).select("roc_auc"), evaluate.business(cm), evaluate.positive_rates(cm), evaluate.unscored(scored),
+    ]
     parts = [
         t.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in t.columns
         ])))
         for t in tables
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])

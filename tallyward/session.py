@@ -68,15 +68,3 @@ def local_table(spark: SparkSession, rows, schema: pa.Schema) -> DataFrame:
     return spark.createDataFrame(pa.Table.from_arrays(
         [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema
     ))
-
-
-_FEW_PIECES = 8  # a scan of so few pieces reads about 1 GB at most
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work when a small input lies in fewer pieces than there are cores.
-
-    Only an input of a few pieces is moved; anything larger is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, _FEW_PIECES) else df

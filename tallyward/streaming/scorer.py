@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyward import schemas as S
 from tallyward.functions import clock
 from tallyward.operators import columns, rates, scoring, store
-from tallyward.operators.skew import HEAVY_ROWS, SMALL_TABLE_ROWS
+from tallyward.operators.skew import SMALL_TABLE_ROWS
 from tallyward.plans import features
 
 
@@ -28,7 +28,6 @@ class Scorer:
 
     def score(
         self, transactions: DataFrame, user_stats: DataFrame, now: Column | None = None,
-        heavy: int | None = HEAVY_ROWS,
     ) -> DataFrame:
         """Stored form of each transaction: its fields, the prediction and the features."""
         fields = [f.name for f in S.TRANSACTION.fields]
@@ -36,7 +35,7 @@ class Scorer:
             "ts", clock.parse_strict(F.col("timestamp"))
         )
         ruled = scoring.with_rule_score(given)
-        made = features.extractor(ruled, user_stats, self.rates, heavy, names=self.names)
+        made = features.extractor(ruled, user_stats, self.rates, names=self.names)
         # a feature that the manifest names and nothing here gives is 0
         made = made.withColumns({n: F.lit(0) for n in columns.available(self.names, made)[1]})
         if self.model is None:
@@ -56,8 +55,8 @@ class Scorer:
 
 def stats_of(
     transactions: DataFrame, user_stats: DataFrame, limit: int = SMALL_TABLE_ROWS
-) -> tuple[DataFrame, int | None]:
-    """Statistics of the users in a micro-batch only, and the care their join needs.
+) -> DataFrame:
+    """Statistics of the users in a micro-batch only.
 
     The statistics table is far larger than a micro-batch, so the batch's user ids go
     to the table. When they are few, both they and what is found for them are small
@@ -65,5 +64,5 @@ def stats_of(
     """
     users = transactions.select("user_id").filter(F.col("user_id").isNotNull()).distinct()
     if users.limit(limit + 1).count() > limit:
-        return user_stats.join(users, "user_id", "left_semi"), HEAVY_ROWS
-    return F.broadcast(user_stats.join(F.broadcast(users), "user_id", "left_semi")), None
+        return user_stats.join(users, "user_id", "left_semi")
+    return F.broadcast(user_stats.join(F.broadcast(users), "user_id", "left_semi"))

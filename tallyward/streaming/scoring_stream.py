@@ -60,8 +60,8 @@ def handle(
             statistics = profile.current(spark, places.at("profile"), places.at("user_partials"), known=known, buckets=buckets)
         else:
             statistics = side_files.read_user_stats(spark, places.at("user_stats"), buckets)
-        earlier, heavy = stats_of(transactions, statistics)
-        scored = scorer.score(transactions, earlier, now, heavy).persist()
+        earlier = stats_of(transactions, statistics)
+        scored = scorer.score(transactions, earlier, now).persist()
         try:
             store.append(one_per_id(scored), batch_id, places.at("store"), query, started)
             alerts.alerts(scored).write.mode("overwrite").json(f"{places.at('alerts')}/{sink}")

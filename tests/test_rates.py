@@ -35,7 +35,7 @@ def test_too_many_values_stay_distributed(places):
     wide, small = rates.fit(places, limit=2), rates.fit(places)
     assert small.small and not wide.small and wide.overall == small.overall
     names = ["transaction_id", *S.RATE_FEATURES.values()]
-    assert rows_of(rates.encode(places, wide, heavy=1).select(names)) == rows_of(rates.encode(places, small).select(names))
+    assert rows_of(rates.encode(places, wide).select(names)) == rows_of(rates.encode(places, small).select(names))
 
 
 def test_defaults_on_miss(places):
@@ -98,8 +98,8 @@ def test_extractor_defaults(spark, record):
         {"transaction_id": "T3", "user_id": "U3", "amount": 30.0},
         {"transaction_id": "T4", "amount": None},
     ).withColumn("ts", F.lit(None).cast("timestamp_ntz"))
-    for heavy in (1, None):
-        got = {r.transaction_id: r for r in features.extractor(df, stats, heavy=heavy).collect()}
+    for side in (stats, F.broadcast(stats)):
+        got = {r.transaction_id: r for r in features.extractor(df, side).collect()}
         assert (got["T1"].amount_zscore, got["T1"].amount_to_max_ratio, got["T1"].is_largest_tx, got["T1"].is_new_user) == (0.0, 3.0, 1, 0)
         assert (got["T2"].amount_to_max_ratio, got["T2"].is_new_user, got["T2"].user_amount_std) == (1.0, 1, 0.0)
         assert (got["T3"].user_transaction_count, got["T3"].user_amount_std, got["T3"].is_largest_tx) == (1, 1.0, 1)

@@ -66,23 +66,16 @@ def test_partials_add_up_in_any_cut(spark, hot):
         assert rows_of(stats.finish(merged)) == whole
 
 
-def test_heavy_keys_are_few_and_include_null(hot):
-    found = {r._key: r._parts for r in skew.heavy_keys(hot, "user_id", 100).collect()}
-    assert found == {"HOT": 4, None: 4}
-
-
-@pytest.mark.parametrize("heavy", [1, 50, 10_000])
-def test_attach_equals_a_plain_join(spark, hot, heavy):
+def test_attach_is_a_join_that_can_be_split(spark, hot):
     side = stats.user_stats(hot)
-    ours = skew.attach(hot, side, "user_id", "transaction_id", heavy).select(*sorted({*hot.columns, *side.columns}))
-    plain = hot.join(side, "user_id", "left").select(*ours.columns)
-    assert rows_of(ours) == rows_of(plain)
-
-
-def test_heavy_rows_spread_over_parts(spark, hot):
-    cut = skew.heavy_keys(hot, "user_id", 100)
-    plan = skew.attach(hot, stats.user_stats(hot), "user_id", "transaction_id", 100)
-    assert cut.count() == 2 and plan.count() == 1200
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ours = skew.attach(hot, side, "user_id")
+        plan = ours._jdf.queryExecution().executedPlan().toString()
+        assert ours.count() == 1200 and "SortMergeJoin" in plan and "LeftOuter" in plan
+        assert ours.filter("user_id is null and user_transaction_count is null").count() == 400
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("heavy", [30, 10_000])
