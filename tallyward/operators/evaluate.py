@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward import schemas as S
-from tallyward.session import local_table, parallelism
+from tallyward.session import local_table
 
 
 def predicted(score: Column, threshold: float = 0.5, strict: bool = False) -> Column:
@@ -133,14 +133,19 @@ def recommended_threshold(sweep: DataFrame, least_detection: float = 0.8) -> Dat
 # per distinct score, so ties and hot scores shrink to one row. Distinct scores can
 # still be as many as rows, so they are cut into score slices of about equal size;
 # running totals are taken inside each slice and start from the totals of the
-# slices above. The slice borders come from approximate quantiles, which only
+# slices above. There are as many slices as the rows need; their borders come from approximate quantiles, which only
 # decides how even the slices are: the totals are exact.
 
 
+SLICE_ROWS = 1_000_000
+_CUTS = 4096
+
+
 def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    slices = parallelism(df.sparkSession)
-    at = [i / slices for i in range(1, slices)]
-    borders = sorted(set(df.agg(F.percentile_approx(score, at, 4 * slices)).first()[0] or []))
+    at = [i / _CUTS for i in range(1, _CUTS)]
+    n, cuts = df.agg(F.count(score), F.percentile_approx(score, at, 4 * _CUTS)).first()
+    slices = min(_CUTS, -(-n // SLICE_ROWS))
+    borders = sorted({cuts[i * _CUTS // slices - 1] for i in range(1, slices)})
     counted = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label)).alias("pos"), F.count_if(~F.col(label)).alias("neg")
     )

@@ -79,10 +79,11 @@ def complete(df: DataFrame, names: list[str]) -> DataFrame:
     return df.fillna(0, subset=names)
 
 
-def estimator(names: list[str], parameters: Parameters, seed: int = 42) -> Pipeline:
+def estimator(names: list[str], parameters: Parameters, seed: int = 42, validate: bool = True) -> Pipeline:
+    early = {"validationIndicatorCol": "is_validation"} if validate else {}
     trees = GBTClassifier(
-        labelCol="label", featuresCol="features", weightCol="weight", lossType="logistic",
-        validationIndicatorCol="is_validation", seed=seed, **parameters.as_dict(),
+        labelCol="label", featuresCol="features", weightCol="weight", lossType="logistic", seed=seed, **early,
+        **parameters.as_dict(),
     )
     return Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), trees])
 
@@ -116,6 +117,37 @@ def train(matrix: DataFrame, names: list[str], parameters: Parameters | None = N
     return estimator(names, parameters or Parameters(), seed).fit(_for_fit(matrix))
 
 
+def patient_rounds(losses: list[float], patience: int) -> int:
+    """Rounds up to the best one before ``patience`` rounds in a row brought no lower validation loss."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def train_patiently(
+    matrix: DataFrame, names: list[str], parameters: Parameters | None = None, seed: int = 42, patience: int = 10
+) -> PipelineModel:
+    """One fit that stops after ``patience`` rounds without gain, not at the first one.
+
+    All rounds are grown once and judged on the validation rows; where they went too far the trees are grown again up
+    to the best round. Equal seeds give equal first trees, so that is the model as it was at that round.
+    """
+    ensure_checkpoints(matrix.sparkSession)
+    parameters = parameters or Parameters()
+    rows = _for_fit(matrix)
+    seen = rows.filter("NOT is_validation").withColumn("is_validation", F.lit(False))
+    whole = estimator(names, parameters, seed, validate=False).fit(seen)
+    held_out = whole.stages[0].transform(rows.filter("is_validation"))
+    rounds = patient_rounds(whole.stages[-1].evaluateEachIteration(held_out), patience)
+    if rounds == parameters.maxIter:
+        return whole
+    return estimator(names, Parameters(**{**parameters.as_dict(), "maxIter": rounds}), seed, validate=False).fit(seen)
+
+
 def tune(
     matrix: DataFrame, names: list[str], trials: int = 5, parallel: int = 2, seed: int = 42, rounds: int = ROUNDS
 ) -> list[Trial]:

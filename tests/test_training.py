@@ -53,6 +53,16 @@ def test_search_puts_the_best_first(spark, fitted):
     assert [r.best for r in table] == [True, False]
 
 
+def test_patience(fitted):
+    assert training.patient_rounds([5, 4, 4.5, 4.2, 3, 6, 6, 6], 3) == 5
+    assert training.patient_rounds([5, 4, 4.5, 4.2, 3], 2) == 2
+    assert training.patient_rounds([3, 2, 1], 1) == 3
+    matrix, names, _ = fitted
+    model = training.train_patiently(matrix, names, training.Parameters(maxDepth=7, stepSize=0.9, maxIter=8), patience=2)
+    assert 1 <= model.stages[-1].getNumTrees <= 8
+    assert training.metrics(training.score(model, matrix.filter("split = 'test'"), names)).count() > 5
+
+
 def test_draw_is_repeatable_and_in_range():
     assert training.draw() == training.draw()
     for p in training.draw(50):
