@@ -80,7 +80,10 @@ def entities(text: Column, kind: str) -> Column:
 
 
 def _contexts(text: Column, found: dict[str, Column]) -> Column:
-    """Per entity: its name, the context's name, and the words near it that are no part of an entity."""
+    """Per entity: its name, and the words near it that are no part of an entity, each with the name of its context.
+
+    A word's context is the word before and the one after it.
+    """
 
     def of(kind: str):
         return lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["match"].alias("match"))
@@ -94,11 +97,13 @@ def _contexts(text: Column, found: dict[str, Column]) -> Column:
 
         def near(part: Column, offset: Column, whole: Column) -> Column:
             words = F.filter(_matches(part, TERM), lambda w: whole | (w["start"] > 0) & (w["end"] < F.char_length(part)))
-            placed = F.transform(words, lambda w: F.struct(w["match"].alias("word"), (w["start"] + offset).alias("start"), (w["end"] + offset).alias("end")))
+            placed = F.transform(words, lambda w, i: F.struct(
+                w["match"].alias("word"), (w["start"] + offset).alias("start"), (w["end"] + offset).alias("end"),
+                F.xxhash64(F.get(words, i - 1)["match"], F.get(words, i + 1)["match"]).alias("context")))
             return F.filter(placed, lambda w: ~F.exists(every, lambda x: (x["start"] < w["end"]) & (w["start"] < x["end"])))
 
         return F.struct(
-            F.xxhash64(e["kind"], F.lower(e["match"])).alias("entity"), F.xxhash64(left, right).alias("context"),
+            F.xxhash64(e["kind"], F.lower(e["match"])).alias("entity"),
             # a word cut off at the outer edge isn't known
             F.concat(near(left, lo, lo == 0), near(right, e["end"], F.char_length(right) < CONTEXT)).alias("words"))
 
@@ -129,9 +134,11 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
 def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame | None:
     """``entity, word`` where the word gives the entity away, from counts over all texts; None when there are none.
 
-    Contexts that are alike count once towards the support, so copies of one text can't make its words disclosing.
+    Contexts that are alike count once towards the support, so copies of one text, exact or edited elsewhere, can't make
+    its words disclosing.
     """
-    near = found.select(F.explode("_contexts").alias("c")).select("c.entity", "c.context", F.explode("c.words.word").alias("word"))
+    near = found.select(F.explode("_contexts").alias("c")).select("c.entity", F.explode("c.words").alias("w"))
+    near = near.select("entity", "w.context", "w.word")
     pairs = (
         near.groupBy("entity", "word", "context").agg(F.count("*").alias("n"))
         .groupBy("entity", "word").agg(F.count("*").alias("support"), F.sum("n").alias("near"))

@@ -56,9 +56,9 @@ def test_spans_equal_plain_patterns(docs):
 @pytest.fixture
 def revealing(docs):
     """One address in four different contexts, each with the word zorblax; copies of a fifth text; and plain texts."""
-    rows = [(i, f"filler{'abcd'[i]} words zorblax wrote from ann@mail.org about topic{'abcd'[i]}, and that was the end of it") for i in range(4)]
-    rows += [(10 + i, "quuxbar says bob@mail.org is here") for i in range(6)]
-    rows += [(20 + i, f"and the words that was wrote about it of the topic, filler{'xyz'[i % 3]} the end from here is") for i in range(60)]
+    rows = [(i, f"filler{'abcd'[i]} zorblax {'abcd'[i]}said wrote from ann@mail.org about topic{'abcd'[i]}, and that was the end of it") for i in range(4)]
+    rows += [(10 + i, f"quuxbar says bob@mail.org is here{' and' * i}") for i in range(6)]
+    rows += [(20 + i, f"and the words that was wrote from about it of the topic, filler{'xyz'[i % 3]} the end here is") for i in range(60)]
     return docs([*rows, (99, None), (98, "")])
 
 
@@ -67,7 +67,7 @@ def test_disclosing_words(revealing):
     assert len(got) == 72
     for i in range(4):
         kinds = got[i].spans.split(",")
-        assert kinds[0] == "term:14:21" and kinds[1].startswith("email:") and len(kinds) == 2
+        assert kinds[0] == "term:8:15" and kinds[1].startswith("email:") and len(kinds) == 2
         assert got[i].n_email == 1
         assert got[i].base_sha256 == hashlib.sha256(kinds[1].encode()).hexdigest()
     assert got[10].spans == "email:13:25"  # copies of one context give no support
@@ -78,7 +78,7 @@ def test_cleaned_texts(revealing):
     out = sanitise.sanitise(revealing.withColumn("_row", F.lit(1)).withColumn("_key", F.lit("k")))
     assert out.columns == [*revealing.columns, "_row", "_key"]
     got = {r.doc_id: r.text for r in out.collect()}
-    assert got[0] == "fillera words  wrote from [EMAIL] about topica, and that was the end of it"
+    assert got[0] == "fillera  asaid wrote from [EMAIL] about topica, and that was the end of it"
     assert got[10] == "quuxbar says [EMAIL] is here"
     assert got[20].startswith("and the words") and got[99] is None and got[98] == ""
 
