@@ -57,6 +57,13 @@ def merge(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.select(*keep).join(right, key)
 
 
+def merge_structs(df: DataFrame, left: str, right: str) -> DataFrame:
+    """Two records of one row side by side; on a common name the right one wins. No join."""
+    names = {side: df.schema[side].dataType.names for side in (left, right)}
+    kept = [F.col(left)[c].alias(c) for c in names[left] if c not in names[right]]
+    return df.select(*kept, *[F.col(right)[c].alias(c) for c in names[right]])
+
+
 def public_entries(entries):
     """Map column without the entries whose key starts with ``_``."""
     return F.map_filter(entries, lambda k, _: ~k.startswith("_"))

@@ -2,17 +2,18 @@
 
 One pass: a task makes its Arrow batches into a few small matrix products, because
 one aggregate expression per pair would be thousands of them, and gives one row of
-moments per pair. The moments of the tasks are then merged about their common mean.
+moments per pair. These rows are kept in the shared folder and merged about their common mean: two sums
+that combine on the map side.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.session import local_table
+from tallyward.session import local_table, new_folder
 
 _PAIR = ["x", "y", "n", "mean_x", "mean_y", "m_xx", "m_yy", "m_xy"]
 _SCHEMA = "x int, y int, " + ", ".join(f"{c} double" for c in _PAIR[2:])
@@ -62,19 +63,19 @@ def pairwise(df: DataFrame, names: list[str]) -> DataFrame:
         (F.col(n).cast("int") if kind == "boolean" else F.col(n)).cast("double").alias(n)
         for n, kind in df.select(*names).dtypes
     ])
-    of_pair = Window.partitionBy("x", "y")
     n = F.col("n")
+    path = new_folder(df.sparkSession, "moments")
+    numbers.mapInArrow(_pair_moments(), _SCHEMA).filter(n > 0).write.parquet(path)
+    moments = df.sparkSession.read.parquet(path)
+    share = lambda c: (F.sum(n * F.col(c)) / F.sum(n))
+    # a row per pair of columns, whatever the number of rows
+    means = moments.groupBy("x", "y").agg(share("mean_x").alias("all_x"), share("mean_y").alias("all_y"))
     merged = (
-        numbers.mapInArrow(_pair_moments(), _SCHEMA)
-        .filter(n > 0)
-        .withColumns({
-            "all_x": F.sum(n * F.col("mean_x")).over(of_pair) / F.sum(n).over(of_pair),
-            "all_y": F.sum(n * F.col("mean_y")).over(of_pair) / F.sum(n).over(of_pair),
-        })
+        moments.join(F.broadcast(means), ["x", "y"])
         .withColumns({"dx": F.col("mean_x") - F.col("all_x"), "dy": F.col("mean_y") - F.col("all_y")})
         .groupBy("x", "y")
         .agg(
-            F.sum("n").alias("n"), F.first("all_x").alias("mean_x"), F.first("all_y").alias("mean_y"),
+            F.sum("n").alias("n"), F.min("all_x").alias("mean_x"), F.min("all_y").alias("mean_y"),
             F.sum(F.col("m_xx") + n * F.col("dx") * F.col("dx")).alias("m_xx"),
             F.sum(F.col("m_yy") + n * F.col("dy") * F.col("dy")).alias("m_yy"),
             F.sum(F.col("m_xy") + n * F.col("dx") * F.col("dy")).alias("m_xy"),

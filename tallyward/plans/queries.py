@@ -334,10 +334,11 @@ def alert_rows(spark, folder):
 def merged_store(spark, folder):
     """Transaction and prediction as one record; predicted ``is_fraud`` replaces the label."""
     rows = tx(spark, folder)
-    prediction = _predictions(spark, folder).select(
-        "transaction_id", "fraud_probability", "is_fraud", "prediction_timestamp", "ttl", "expiry_date", "error"
-    )
-    merged = columns.merge(rows, prediction, "transaction_id").withColumn("amount_exact", amounts.exact(F.col("amount")))
+    given = rows.select("*", F.struct(*rows.columns).alias("given"))
+    decided = store.stored_form(scoring.decide(scoring.with_rule_score(given), F.lit(None).cast("double")), at(NOW))
+    prediction = F.struct("fraud_probability", "is_fraud", "prediction_timestamp", "ttl", "expiry_date", "error")
+    merged = columns.merge_structs(decided.select("given", prediction.alias("prediction")), "given", "prediction")
+    merged = merged.withColumn("amount_exact", amounts.exact(F.col("amount")))
     return merged.select(
         "transaction_id", "user_id", F.col("amount_exact").cast("string").alias("amount_exact"), "status",
         "fraud_probability", "is_fraud", "prediction_timestamp", "ttl", "expiry_date", "error",
