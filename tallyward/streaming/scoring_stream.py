@@ -97,3 +97,12 @@ def replay(spark: SparkSession, places: Places, scorer: Scorer, now: Column | No
     query = start(spark, places, scorer, now, learn, files_per_batch, once=True)
     query.awaitTermination()
     return store.read(spark, places.at("store"), now)
+
+
+def try_out(spark: SparkSession, places: Places, sent: DataFrame, scorer: Scorer, now: Column | None = None,
+            files_per_batch: int = 100) -> DataFrame:
+    """Sends records through a stream of their own and keeps what came back, as one row in ``stream_test``."""
+    envelopes.publish(sent, places.at("envelopes"))
+    stored = replay(spark, places, scorer, now, files_per_batch)
+    side_files.write_small(store.round_trip(sent, stored), places.at("stream_test"))
+    return spark.read.json(places.at("stream_test"))

@@ -36,6 +36,15 @@ def test_good_enough(fitted):
     assert scored.filter(~((F.col("score") >= 0) & (F.col("score") <= 1))).count() == 0
 
 
+def test_failed_scores_are_told(spark, fitted):
+    matrix, names, model = fitted
+    rows = training.score(model, matrix.filter("split = 'test'"), names)
+    failed = rows.withColumn("error", F.when(F.col("is_fraud"), "model not available"))
+    got = {r.metric: r.value for r in training.metrics(failed).collect()}
+    assert got["failed_scores"] == failed.filter("is_fraud").count() and got["unscored"] == 0
+    assert rows.filter("error is not null").count() == 0
+
+
 def test_saved_model_scores_the_same(spark, fitted):
     matrix, names, model = fitted
     path = new_folder(spark, "model")
