@@ -24,7 +24,7 @@ from tallyward.llm.components import components
 from tallyward.llm.tables import fresh, partitions, stored, text_or_empty
 
 SIZE, NUM, DEN = 5, 75, 100
-BLOCK_BYTES = 2 << 20  # of text; a block's arrays take about 30 times as much
+BLOCK_BYTES = 2 << 20  # of text, or more where there are many hash ranges; a block's arrays take about 30 times as much
 LOW = np.uint64((1 << 48) - 1)
 HOT = 128  # a token of more nodes is compared block by block
 BLOCK = 512  # nodes
@@ -196,7 +196,7 @@ def sets(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN) -> D
     """
     bits = min(16, max(8, (8 * partitions(docs.sparkSession) - 1).bit_length()))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    blocks = texts.mapInArrow(_blocks(bits, size, BLOCK_BYTES), _BLOCK)
+    blocks = texts.mapInArrow(_blocks(bits, size, max(BLOCK_BYTES, 128 << bits)), _BLOCK)
     counted = blocks.groupBy("bucket").applyInArrow(_count, _COUNTED)
     return counted.groupBy("block").applyInArrow(_rebuild(bits, num, den), _SETS)
 

@@ -64,7 +64,7 @@ def near_copies(seed, groups, copies):
 def test_equals_all_pairs(spark, docs, monkeypatch, hot, block):
     monkeypatch.setattr(ngram_join, "HOT", hot)
     monkeypatch.setattr(ngram_join, "BLOCK", block)
-    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 2000)  # 32 kB at the least
     rows = near_copies(hot, 8, 14)
     assert got(ngram_join.link(docs(rows))) == components(rows)
 
