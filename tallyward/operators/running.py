@@ -1,45 +1,54 @@
 """Running totals per user in time order.
 
-A window over one user runs in one task, so a heavy user is first cut into time
-slices; each slice starts from the totals of the slices before it. The number of
-slices is bounded by ``rows / heavy``, so the table of starting totals is small.
+A window over one user runs in one task, so a heavy user is first cut into slices of
+the order (time, id); each slice starts from the totals of the slices before it. The
+borders come from a small sample of the user's rows, so slices are about equal in
+rows, whether these are spread over years or fall into one second. The number of
+slices is bounded by ``rows / heavy``, so the tables of borders and of starting
+totals are small.
 """
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyward.functions import clock
 from tallyward.functions.amounts import mean_of, units
 from tallyward.operators.skew import HEAVY_ROWS
 
-# Slices are equal in time, not in rows; more of them evens busy hours out.
 _SLICES_PER_PART = 4
+_SAMPLED = 32  # rows for each slice
 
 
 def _slices(df: DataFrame, heavy: int) -> DataFrame:
-    """Heavy users with their time span and the number of slices."""
-    at = clock.epoch(F.col("ts"))
-    return (
-        df.groupBy(F.col("user_id").alias("_key"))
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min(at).alias("_from"), F.max(at).alias("_to"))
+    """Heavy users with the borders of their slices: each the first (time, id) of a slice but the first."""
+    counts = (
+        df.groupBy(F.col("user_id").alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > heavy)
-        .withColumn("_slices", (F.ceil(F.col("_rows") / heavy) * _SLICES_PER_PART).cast("int"))
-        .drop("_rows")
+        .withColumn("_parts", (F.ceil(F.col("_rows") / heavy) * _SLICES_PER_PART).cast("int"))
+    )
+    at = F.struct(F.col("ts").alias("ts"), F.col("transaction_id").alias("id"))
+    sampled = F.pmod(F.xxhash64("transaction_id"), F.col("_rows")) < _SAMPLED * F.col("_parts")
+    place = lambda i: F.floor(i * F.size("_sample") / F.col("_parts")).cast("int")
+    borders = F.transform(F.sequence(F.lit(1), F.col("_parts") - 1), lambda i: F.col("_sample")[place(i)])
+    return (
+        df.join(F.broadcast(counts), F.col("user_id").eqNullSafe(F.col("_key")))
+        .filter(sampled)
+        .groupBy("_key", "_parts").agg(F.array_sort(F.collect_list(at)).alias("_sample"))
+        .select("_key", F.array_distinct(borders).alias("_borders"))
     )
 
 
 def running_profile(df: DataFrame, heavy: int = HEAVY_ROWS) -> DataFrame:
     """Adds ``running_count`` and ``running_avg`` up to and including each row."""
-    at = clock.epoch(F.col("ts"))
-    share = (at - F.col("_from")) / (F.col("_to") - F.col("_from") + 1)
+    at = F.struct(F.col("ts").alias("ts"), F.col("transaction_id").alias("id"))
+    passed = F.size(F.filter("_borders", lambda b: b <= at))
     sliced = (
         df.join(F.broadcast(_slices(df, heavy)), F.col("user_id").eqNullSafe(F.col("_key")), "left")
-        .withColumn("_slice", F.coalesce(F.floor(share * F.col("_slices")).cast("int"), F.lit(0)))
+        .withColumn("_slice", F.when(F.col("_borders").isNotNull(), passed).otherwise(0))
         .withColumn("_units", units(F.col("amount")))
     )
     earlier = Window.partitionBy("_who").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     start = (
-        sliced.filter(F.col("_slices").isNotNull())
+        sliced.filter(F.col("_borders").isNotNull())
         .groupBy(F.col("user_id").alias("_who"), F.col("_slice").alias("_at"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("_units").alias("s"))
         .select(

@@ -91,3 +91,11 @@ def test_running_profile_equals_a_plain_window(spark, hot, heavy):
     for r in got:
         assert r.running_count == theirs[r.transaction_id].running_count
         assert r.running_avg == pytest.approx(theirs[r.transaction_id].running_avg, abs=1e-9)
+
+
+def test_one_busy_second_is_split(spark, hot):
+    busy = hot.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    borders = {r._key: r._borders for r in running._slices(busy, 100).collect()}
+    assert set(borders) == {"HOT", None} and all(len(b) >= 12 for b in borders.values())
+    got = sorted((r.transaction_id, r.running_count) for r in running.running_profile(busy, 100).filter("user_id = 'HOT'").collect())
+    assert [n for _, n in got] == list(range(1, 401))
