@@ -25,7 +25,7 @@ from tallyward.llm.tables import fresh, partitions, stored, text_or_empty
 
 SIZE, NUM, DEN = 5, 75, 100
 BLOCK_BYTES = 2 << 20  # of text, or more where there are many hash ranges; a block's arrays take about 30 times as much
-LOW = np.uint64((1 << 48) - 1)
+LOW = np.uint64((1 << 40) - 1)
 HOT = 128  # a token of more nodes is compared block by block
 BLOCK = 512  # nodes
 HEAD, SINGLE, SHARED, HELD = 0, 1, 2, 3
@@ -102,9 +102,9 @@ def _blocks(bits: int, size: int, most_bytes: int):
         for kind, hash_, more in ((SINGLE, h[one], text[one]), (SHARED, h[edge[count > 1]], count[count > 1].astype(np.uint32))):
             bucket = (hash_ >> np.uint64(64 - bits)).astype(np.int64)
             low = hash_ & LOW
-            low32, low16 = low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint16)
+            low32, low8 = low.astype(np.uint32), (low >> np.uint64(32)).astype(np.uint8)
             for a, b in _runs(bucket):
-                out.append((int(bucket[a]), block, kind, int(b - a), _pack(low32[a:b], low16[a:b], more[a:b])))
+                out.append((int(bucket[a]), block, kind, int(b - a), _pack(low32[a:b], low8[a:b], more[a:b])))
         return out
 
     return run
@@ -119,7 +119,7 @@ def _count(table: pa.Table) -> pa.Table:
         if kind in (HEAD, HELD):
             out.append((block, kind, n, payload))
             continue
-        a, b, more = _split(payload, n, np.uint32, np.uint16, np.uint16 if kind == SINGLE else np.uint32)
+        a, b, more = _split(payload, n, np.uint32, np.uint8, np.uint16 if kind == SINGLE else np.uint32)
         hashes.append(a.astype(np.uint64) | (b.astype(np.uint64) << np.uint64(32)))
         counts.append(np.ones(n, np.int64) if kind == SINGLE else more.astype(np.int64))
         texts.append(more if kind == SINGLE else np.zeros(n, np.uint16))
@@ -133,13 +133,13 @@ def _count(table: pa.Table) -> pa.Table:
         total = np.add.reduceat(c, edge)
         df = np.repeat(total, np.diff(np.append(edge, len(h))))
         keep = df > 1
-        h, o, t, df = h[keep] | np.uint64((bucket & 0xFFFF) << 48), o[keep], t[keep], df[keep]
+        h, o, t, df = h[keep] | np.uint64((bucket & 0xFFFF) << 40), o[keep], t[keep], df[keep]
         order = np.argsort(o, kind="stable")
         h, o, t, df = h[order], o[order], t[order], df[order]
         for a, b in _runs(o):
             block, kind = blocks[o[a]]
-            df32 = np.minimum(df[a:b], (1 << 32) - 1).astype(np.uint32)
-            out.append((block, kind, int(b - a), _pack(h[a:b], df32, t[a:b]) if kind == SINGLE else _pack(h[a:b], df32)))
+            level = np.minimum(np.floor(4 * np.log2(df[a:b])), 127).astype(np.uint8)
+            out.append((block, kind, int(b - a), _pack(h[a:b], level, t[a:b]) if kind == SINGLE else _pack(h[a:b], level)))
     schema = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("n", pa.int32()), ("payload", pa.binary())])
     columns = list(zip(*out, strict=True)) or [[]] * 4
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
@@ -149,31 +149,30 @@ def _rebuild(bits: int, num: int, den: int):
     """One block: the texts that may have a partner get their found-twice hashes, rarest first."""
 
     def identity(h: np.ndarray) -> np.ndarray:
-        """What the count keeps of a full hash: its range number and its low 48 bits."""
-        return (h & LOW) | (((h >> np.uint64(64 - bits)) & np.uint64(0xFFFF)) << np.uint64(48))
+        """What the count keeps of a full hash: its range number and its low 40 bits."""
+        return (h & LOW) | (((h >> np.uint64(64 - bits)) & np.uint64(0xFFFF)) << np.uint64(40))
 
     def run(table: pa.Table) -> pa.Table:
         parts = {HEAD: [], SINGLE: [], SHARED: [], HELD: []}
         for kind, n, payload in zip(*(table.column(c).to_pylist() for c in ("kind", "n", "payload")), strict=True):
-            types = {HEAD: (np.int64, np.uint8, np.int64, np.uint64, np.uint64), SINGLE: (np.uint64, np.uint32, np.uint16),
-                     SHARED: (np.uint64, np.uint32), HELD: (np.uint64, np.uint16)}[kind]
+            types = {HEAD: (np.int64, np.uint8, np.int64, np.uint64, np.uint64), SINGLE: (np.uint64, np.uint8, np.uint16),
+                     SHARED: (np.uint64, np.uint8), HELD: (np.uint64, np.uint16)}[kind]
             parts[kind].append(_split(payload, n, *types))
         ids, known, n, k1, k2 = parts[HEAD][0]
-        h, df, t = [], [], []
+        h, level, t = [], [], []
         for a, b, c in parts[SINGLE]:
-            h.append(a), df.append(b), t.append(c)
+            h.append(a), level.append(b), t.append(c)
         if parts[HELD]:
             sh, sd = map(np.concatenate, zip(*parts[SHARED], strict=True))
             order = np.argsort(sh)
             sh, sd = sh[order], sd[order]
             for a, c in parts[HELD]:
                 a = identity(a)
-                h.append(a), df.append(sd[np.searchsorted(sh, a)]), t.append(c)
+                h.append(a), level.append(sd[np.searchsorted(sh, a)]), t.append(c)
         arrays = [None] * len(ids)
         if h:
-            h, df, t = map(np.concatenate, (h, df, t))
-            level = np.floor(4 * np.log2(df)).astype(np.uint64)
-            token = ((level << np.uint64(56)) | (h & np.uint64((1 << 56) - 1))).astype(np.int64)
+            h, level, t = map(np.concatenate, (h, level, t))
+            token = ((level.astype(np.uint64) << np.uint64(56)) | h).astype(np.int64)
             found = np.bincount(t, minlength=len(ids))
             order = np.lexsort((token, t))
             token, ends = token[order], np.cumsum(found)
@@ -192,7 +191,7 @@ def sets(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN) -> D
 
     ``tokens`` holds, rarest first, the shingles that other texts have as well, and is null where too few
     are: then no other text can reach the threshold. A token is 7 bits for the logarithm of the number of
-    texts that hold it, then 56 bits of its hash.
+    texts that hold it, then up to 56 bits of its hash: 40 and the number of its hash range.
     """
     bits = min(16, max(8, (8 * partitions(docs.sparkSession) - 1).bit_length()))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
@@ -367,7 +366,7 @@ def link(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN, roun
     ``den * intersection >= num * union``. ``component_id`` is the smallest ``doc_id`` of the component. A null,
     empty or blank text has an empty set and links with nothing. Rows that repeat are rows of one node; a null
     ``doc_id`` takes part but names no component unless all its rows have none. Shingles are compared by
-    56 bits of their hash. Other columns are ignored; an empty table gives an empty result.
+    48 to 56 bits of their hash. Other columns are ignored; an empty table gives an empty result.
     """
     table = stored(sets(docs, size, num, den), "ngram-sets")
     nodes = stored(
