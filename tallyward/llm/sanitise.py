@@ -7,8 +7,10 @@ information content that the word carries,
     disclosure = PMI(entity; word) / IC(entity) = 1 + log2 P(entity | word) / IC(entity),
 
 with P(entity | word) = occurrences of the word near the entity / its occurrences in the corpus and
-IC(entity) = -log2(occurrences of the entity / words of the corpus). Words at or above a threshold, seen near the
-entity in enough different contexts, are protected near it as well. DataFrame functions only.
+IC(entity) = -log2(occurrences of the entity / words of the corpus). P(entity | word) is held back by how little was seen:
+n different contexts count n / (n + 1/2), as if half a context more had shown the word without the entity. So an entity
+seen once is served too, when the corpus is large enough that this half says little beside the entity's information
+content. Words at or above a threshold are protected near the entity as well. DataFrame functions only.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +20,8 @@ from tallyward.llm.tables import fresh, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT = 80  # code points either side of an entity
-DISCLOSURE, SUPPORT = 0.95, 3
+DISCLOSURE = 0.95
+UNSEEN = 0.5  # a context taken to have the word without the entity
 SMALL = 100_000  # so many words may be broadcast
 TERM = r"\p{L}{2,}"
 # The patterns match what the plain ones in the contract match, but never go back over a run of characters:
@@ -142,7 +145,6 @@ def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFra
     pairs = (
         near.groupBy("entity", "word", "context").agg(F.count("*").alias("n"))
         .groupBy("entity", "word").agg(F.count("*").alias("support"), F.sum("n").alias("near"))
-        .filter(F.col("support") >= SUPPORT)
     )
     pairs = stored(pairs, "disclosing")
     words = pairs.select("word").distinct()
@@ -157,7 +159,8 @@ def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFra
     seen = found.select(F.explode("_contexts.entity").alias("entity")).groupBy("entity").agg(F.count("*").alias("seen"))
     total = found.agg(F.sum("_words")).first()[0]
     content = -F.log2(F.col("seen") / F.lit(float(max(total, 1))))
-    disclosure = 1 + F.log2(F.least(F.lit(1.0), F.col("near") / F.col("all"))) / F.greatest(content, F.lit(1.0))
+    sure = F.col("support") / (F.col("support") + UNSEEN)
+    disclosure = 1 + F.log2(F.least(F.lit(1.0), F.col("near") / F.col("all")) * sure) / F.greatest(content, F.lit(1.0))
     return pairs.join(counts, "word").join(seen, "entity").filter(disclosure >= DISCLOSURE).select("entity", "word")
 
 

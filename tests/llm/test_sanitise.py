@@ -74,6 +74,13 @@ def test_disclosing_words(revealing):
     assert all(not got[i].spans for i in (20, 50, 98, 99))
 
 
+def test_rarely_seen_entities(docs):
+    """One text, one address, one word that stands nowhere else; the word beside the other address is common."""
+    rows = [(1, "so zorblax wrote ann@mail.org of it"), (2, "so common wrote bob@mail.org of it"), (3, "so wrote of it common " * 4000)]
+    got = {r.doc_id: r.spans for r in sanitise.spans(docs(rows)).collect()}
+    assert got == {1: "term:3:10,email:17:29", 2: "email:16:28", 3: ""}
+
+
 def test_cleaned_texts(revealing):
     out = sanitise.sanitise(revealing.withColumn("_row", F.lit(1)).withColumn("_key", F.lit("k")))
     assert out.columns == [*revealing.columns, "_row", "_key"]
