@@ -6,9 +6,9 @@ information content that the word carries,
 
     disclosure = PMI(entity; word) / IC(entity) = 1 + log2 P(entity | word) / IC(entity),
 
-with P(entity | word) = occurrences of the word near the entity / its occurrences in the corpus and
+with P(entity | word) = occurrences of the word in texts where it stands near the entity / its occurrences in the corpus and
 IC(entity) = -log2(occurrences of the entity / words of the corpus). P(entity | word) is held back by how little was seen:
-n different contexts count n / (n + 1/2), as if half a context more had shown the word without the entity. So an entity
+n texts that are no near copies count n / (n + 1/2), as if half a text more had the word without the entity. So an entity
 seen once is served too, when the corpus is large enough that this half says little beside the entity's information
 content. Words at or above a threshold are protected near the entity as well. DataFrame functions only.
 """
@@ -16,12 +16,15 @@ content. Words at or above a threshold are protected near the entity as well. Da
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.llm.components import components
 from tallyward.llm.tables import fresh, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT = 80  # code points either side of an entity
 DISCLOSURE = 0.95
-UNSEEN = 0.5  # a context taken to have the word without the entity
+UNSEEN = 0.5  # so many texts are taken to have the word without the entity
+SHINGLE, ALIKE = 3, 0.75  # near copies share so much of their runs of words
+BANDS, IN_BAND = 16, 4  # smallest hashes that near copies are looked up by
 SMALL = 100_000  # so many words may be broadcast
 TERM = r"\p{L}{2,}"
 # The patterns match what the plain ones in the contract match, but never go back over a run of characters:
@@ -82,11 +85,13 @@ def entities(text: Column, kind: str) -> Column:
     return found if hint is None else F.when(text.contains(hint), found).otherwise(F.array().cast(_MATCH))
 
 
-def _contexts(text: Column, found: dict[str, Column]) -> Column:
-    """Per entity: its name, and the words near it that are no part of an entity, each with the name of its context.
+def _words(text: Column) -> Column:
+    """The words of a text in lower case, repeats included."""
+    return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
 
-    A word's context is the word before and the one after it.
-    """
+
+def _contexts(text: Column, found: dict[str, Column]) -> Column:
+    """Per entity: its name, and the words near it that are no part of an entity."""
 
     def of(kind: str):
         return lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["match"].alias("match"))
@@ -95,15 +100,14 @@ def _contexts(text: Column, found: dict[str, Column]) -> Column:
 
     def one(e: Column) -> Column:
         lo = F.greatest(F.lit(0), e["start"] - CONTEXT)
-        left = F.lower(F.substring(text, lo + 1, e["start"] - lo))
-        right = F.lower(F.substring(text, e["end"] + 1, F.lit(CONTEXT)))
+        left = F.substring(text, lo + 1, e["start"] - lo)
+        right = F.substring(text, e["end"] + 1, F.lit(CONTEXT))
 
         def near(part: Column, offset: Column, whole: Column) -> Column:
             words = F.filter(_matches(part, TERM), lambda w: whole | (w["start"] > 0) & (w["end"] < F.char_length(part)))
-            placed = F.transform(words, lambda w, i: F.struct(
-                w["match"].alias("word"), (w["start"] + offset).alias("start"), (w["end"] + offset).alias("end"),
-                F.xxhash64(F.get(words, i - 1)["match"], F.get(words, i + 1)["match"]).alias("context")))
-            return F.filter(placed, lambda w: ~F.exists(every, lambda x: (x["start"] < w["end"]) & (w["start"] < x["end"])))
+            free = F.filter(words, lambda w: ~F.exists(every, lambda x: (x["start"] < w["end"] + offset) & (w["start"] + offset < x["end"])))
+            return F.transform(free, lambda w: F.struct(
+                F.lower(w["match"]).alias("word"), (w["start"] + offset).alias("start"), (w["end"] + offset).alias("end")))
 
         return F.struct(
             F.xxhash64(e["kind"], F.lower(e["match"])).alias("entity"),
@@ -122,28 +126,70 @@ def _together(found: dict[str, Column]) -> Column:
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
-    """What each row's text holds by pattern alone, stored: ``key`` (of the text), ``base`` spans, contexts, words."""
+    """What each row's text holds by pattern alone, stored: ``key`` (of the text), ``base`` spans, contexts, words.
+
+    Of texts that hold an entity all words are kept, and the shingles that tell near copies.
+    """
     t = F.col("_t")
     rows = docs.withColumn("_t", text_or_empty(text))
     found = {k: F.col(f"_{k}") for k in PATTERNS}
     rows = rows.select("*", *[entities(t, k).alias(f"_{k}") for k in PATTERNS])
     spans = _together(found)
     kept = [c for c in docs.columns if c != text]
+    held = F.size(F.concat(*found.values())) > 0
     return rows.select(
         *kept, F.md5(t.cast("binary")).alias("_key"), spans.alias("_base"), _contexts(t, found).alias("_contexts"),
+        F.when(held, _words(t)).alias("_terms"), F.when(held, _shingles(t)).alias("_shingles"),
         F.regexp_count(t, F.lit(TERM)).cast("long").alias("_words"))
 
 
+def _shingles(text: Column) -> Column:
+    """Hashes of the distinct runs of ``SHINGLE`` words between blanks; a shorter text is one run."""
+
+    def runs(words: Column) -> Column:
+        last = F.greatest(F.size(words) - SHINGLE, F.lit(0))
+        return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, SHINGLE))))
+
+    # the words are named once, so that they are not found anew for every run
+    return F.element_at(F.transform(F.array(F.regexp_extract_all(F.lower(text), F.lit(r"\S+"), F.lit(0))), runs), 1)
+
+
+def _classes(found: DataFrame) -> DataFrame:
+    """``_key, class`` of texts that have a near copy, where that matters: they hold an entity that other texts hold as well.
+
+    Texts whose shingles are alike (``ALIKE`` of their union) are linked, and linked texts are one class. Candidates share
+    a band of smallest hashes; each is compared, on whole sets, with one text of its band, so that no group makes all pairs.
+    """
+    holds = found.select("_key", F.explode("_contexts.entity").alias("entity")).distinct()
+    shared = holds.groupBy("entity").agg(F.count("*").alias("texts")).filter("texts > 1").select("entity")
+    keys = holds.join(shared, "entity").select("_key").distinct()
+    texts = found.filter("_shingles IS NOT NULL").groupBy("_key").agg(F.any_value("_shingles").alias("set")).join(keys, "_key", "left_semi")
+    texts = stored(texts.select("_key", F.xxhash64("_key").alias("node"), "set"), "entity-texts")
+    least = F.transform(F.sequence(F.lit(0), F.lit(BANDS * IN_BAND - 1)), lambda j: F.array_min(F.transform("set", lambda s: F.xxhash64(s, j))))
+    bands = texts.select("node", least.alias("least")).select("node", F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice("least", b * IN_BAND + 1, IN_BAND)))))
+    bands = stored(bands.select("node", F.col("col").alias("band")), "entity-bands")
+    centres = bands.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("texts")).filter("texts > 1")
+    pairs = bands.join(centres, "band").filter("node <> centre").select("node", "centre").distinct()
+    sets = texts.select("node", "set")
+    pairs = pairs.join(sets, "node").join(sets.select(F.col("node").alias("centre"), F.col("set").alias("other")), "centre")
+    common = F.size(F.array_intersect("set", "other"))
+    linked = pairs.filter(common >= ALIKE * (F.size("set") + F.size("other") - common)).select("node", "centre")
+    named = components(linked, "node", "centre").withColumnRenamed("root", "class")
+    return texts.select("_key", "node").join(named, "node").select("_key", "class")
+
+
 def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame | None:
     """``entity, word`` where the word gives the entity away, from counts over all texts; None when there are none.
 
-    Contexts that are alike count once towards the support, so copies of one text, exact or edited elsewhere, can't make
-    its words disclosing.
+    Near copies count once towards the support, so copies of one text, exact or edited elsewhere, can't make its words
+    disclosing; the same words in texts that are no copies do count.
     """
-    near = found.select(F.explode("_contexts").alias("c")).select("c.entity", F.explode("c.words").alias("w"))
-    near = near.select("entity", "w.context", "w.word")
+    near = found.select("_key", F.explode("_contexts").alias("c")).select("_key", "c.entity", F.explode("c.words.word").alias("word")).distinct()
+    counts = found.select("_key", F.explode("_terms").alias("word")).groupBy("_key", "word").agg(F.count("*").alias("n"))
+    near = near.join(counts, ["_key", "word"]).join(_classes(found), "_key", "left")
     pairs = (
-        near.groupBy("entity", "word", "context").agg(F.count("*").alias("n"))
+        near.groupBy("entity", "word", F.coalesce("class", F.xxhash64("_key")).alias("class")).agg(F.sum("n").alias("n"))
         .groupBy("entity", "word").agg(F.count("*").alias("support"), F.sum("n").alias("near"))
     )
     pairs = stored(pairs, "disclosing")
@@ -151,7 +197,7 @@ def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFra
     n = words.count()
     if not n:
         return None
-    corpus = docs.select(F.explode(F.regexp_extract_all(F.lower(text_or_empty(text)), F.lit(TERM), F.lit(0))).alias("word"))
+    corpus = docs.select(F.explode(_words(text_or_empty(text))).alias("word"))
     if n <= SMALL:
         counts = corpus.join(F.broadcast(words), "word", "left_semi").groupBy("word").agg(F.count("*").alias("all"))
     else:

@@ -81,6 +81,32 @@ def test_rarely_seen_entities(docs):
     assert got == {1: "term:3:10,email:17:29", 2: "email:16:28", 3: ""}
 
 
+@pytest.fixture
+def same_phrase(docs):
+    """The word stands in one fixed phrase of four texts that are no copies; another in six edited copies of one text."""
+    rows = [(i, f"filler{'abcd'[i]} words zorblax wrote from ann@mail.org about topic{'abcd'[i]}, and that was the end of it") for i in range(4)]
+    rows += [(10 + i, f"quuxbar says bob@mail.org is here{' and' * i}") for i in range(6)]
+    rows += [(20 + i, f"and the words that was wrote about it of the topic, filler{'xyz'[i % 3]} the end from here is") for i in range(60)]
+    return docs(rows)
+
+
+def test_support_is_of_texts(same_phrase):
+    got = {r.doc_id: r.spans for r in sanitise.spans(same_phrase).collect()}
+    assert all(got[i] == "term:14:21,email:33:45" for i in range(4))
+    assert all(got[10 + i] == "email:13:25" for i in range(6))
+    assert not any(got[20 + i] for i in range(60))
+
+
+def test_near_copies_are_one_class(docs):
+    r = random.Random(3)
+    base = [[f"w{r.randrange(10**6)}" for _ in range(80)] for _ in range(5)]
+    rows = [(10 * g + i, " ".join([*base[g][:40], "x@y.org", *base[g][40:], f"end{i}"])) for g in range(5) for i in range(4)]
+    found = sanitise.find(docs(rows)).localCheckpoint()
+    named = sanitise._classes(found).join(found.select("_key", "doc_id"), "_key").collect()
+    classes = {r["class"]: sorted(x.doc_id for x in named if x["class"] == r["class"]) for r in named}
+    assert sorted(classes.values()) == [[10 * g + i for i in range(4)] for g in range(5)]
+
+
 def test_cleaned_texts(revealing):
     out = sanitise.sanitise(revealing.withColumn("_row", F.lit(1)).withColumn("_key", F.lit("k")))
     assert out.columns == [*revealing.columns, "_row", "_key"]
