@@ -10,7 +10,8 @@ with P(entity | word) = occurrences of the word in texts where it stands near th
 IC(entity) = -log2(occurrences of the entity / words of the corpus). P(entity | word) is held back by how little was seen:
 n texts that are no near copies count n / (n + 1/2), as if half a text more had the word without the entity. So an entity
 seen once is served too, when the corpus is large enough that this half says little beside the entity's information
-content. Words at or above a threshold are protected near the entity as well. DataFrame functions only.
+content. Words at or above a threshold are protected as well, in every text and wherever they stand in it. DataFrame
+functions only.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -106,13 +107,12 @@ def _contexts(text: Column, found: dict[str, Column]) -> Column:
         def near(part: Column, offset: Column, whole: Column) -> Column:
             words = F.filter(_matches(part, TERM), lambda w: whole | (w["start"] > 0) & (w["end"] < F.char_length(part)))
             free = F.filter(words, lambda w: ~F.exists(every, lambda x: (x["start"] < w["end"] + offset) & (w["start"] + offset < x["end"])))
-            return F.transform(free, lambda w: F.struct(
-                F.lower(w["match"]).alias("word"), (w["start"] + offset).alias("start"), (w["end"] + offset).alias("end")))
+            return F.transform(free, lambda w: F.lower(w["match"]))
 
         return F.struct(
             F.xxhash64(e["kind"], F.lower(e["match"])).alias("entity"),
             # a word cut off at the outer edge isn't known
-            F.concat(near(left, lo, lo == 0), near(right, e["end"], F.char_length(right) < CONTEXT)).alias("words"))
+            F.array_distinct(F.concat(near(left, lo, lo == 0), near(right, e["end"], F.char_length(right) < CONTEXT))).alias("words"))
 
     return F.when(F.size(every) > 0, F.transform(every, one))
 
@@ -185,7 +185,7 @@ def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFra
     Near copies count once towards the support, so copies of one text, exact or edited elsewhere, can't make its words
     disclosing; the same words in texts that are no copies do count.
     """
-    near = found.select("_key", F.explode("_contexts").alias("c")).select("_key", "c.entity", F.explode("c.words.word").alias("word")).distinct()
+    near = found.select("_key", F.explode("_contexts").alias("c")).select("_key", "c.entity", F.explode("c.words").alias("word")).distinct()
     counts = found.select("_key", F.explode("_terms").alias("word")).groupBy("_key", "word").agg(F.count("*").alias("n"))
     near = near.join(counts, ["_key", "word"]).join(_classes(found), "_key", "left")
     pairs = (
@@ -213,30 +213,56 @@ def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFra
 def protect(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every row without its text, with ``_base`` and ``_spans`` (``array<struct<start, kind, end>>``, by start, then kind).
 
-    ``_base`` has the pattern spans, ``_spans`` those and the disclosing words near them (kind ``term``). Offsets are
-    code points, ends exclusive. A null text counts as empty; equal texts have equal spans.
+    ``_base`` has the pattern spans, ``_spans`` those and the disclosing words (kind ``term``), wherever they stand.
+    Offsets are code points, ends exclusive. A null text counts as empty; equal texts have equal spans.
     """
     found = stored(find(docs, text), "entities")
-    extra = _extra(found, disclosing(docs, found, text))
+    extra = _extra(docs, disclosing(docs, found, text), text)
     if extra is None:
         return found.withColumn("_spans", F.col("_base"))
     return found.join(extra, "_key", "left").withColumn("_spans", _with_extra(F.col("_base"))).drop("_extra")
 
 
-def _extra(found: DataFrame, flagged: DataFrame | None) -> DataFrame | None:
-    """``_key, _extra``: where texts hold disclosing words, a row per text."""
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= SMALL else df
+
+
+def _extra(docs: DataFrame, flagged: DataFrame | None, text: str = "text") -> DataFrame | None:
+    """``_key, _extra``: where texts hold disclosing words, with or without the entity, a row per text."""
     if flagged is None:
         return None
-    near = found.select("_key", F.explode("_contexts").alias("c")).select("_key", "c.entity", F.explode("c.words").alias("w"))
-    return (
-        near.join(flagged, (near["entity"] == flagged["entity"]) & (near["w.word"] == flagged["word"]), "left_semi")
-        .groupBy("_key").agg(F.collect_set(F.struct(
-            F.col("w.start").alias("start"), F.lit(KINDS.index("term")).alias("kind"), F.col("w.end").alias("end"))).alias("_extra"))
-    )
+    flagged = stored(flagged.select("word").distinct(), "disclosing-words")
+    t = text_or_empty(text)
+    texts = docs.select(t.alias("_t"), F.md5(t.cast("binary")).alias("_key"))
+    held = texts.select("_key", F.explode(F.array_distinct(_words(F.col("_t")))).alias("word"))
+    held = held.join(_small(flagged), "word", "left_semi").groupBy("_key").agg(F.collect_set("word").alias("held"))
+    held = stored(held, "disclosing-texts")
+    placed = texts.join(_small(held), "_key").select("_key", _places(F.col("_t"), F.col("held")).alias("_extra"))
+    return _small(stored(placed.groupBy("_key").agg(F.any_value("_extra").alias("_extra")), "disclosed"))
+
+
+def _places(text: Column, held: Column) -> Column:
+    """The spans of these words in a text."""
+    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+
+    def add(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.char_length(x["0"])
+        end = start + F.char_length(x["1"])
+        one = F.struct(start.alias("start"), F.lit(KINDS.index("term")).alias("kind"), end.alias("end"))
+        out = F.when(F.array_contains(held, F.lower(x["1"])), F.concat(acc["out"], F.array(one))).otherwise(acc["out"])
+        return F.struct(end.alias("at"), out.alias("out"))
+
+    # what comes after the last word has no word
+    zipped = F.filter(F.arrays_zip(F.split(text, TERM, -1).alias("0"), found.alias("1")), lambda x: x["1"].isNotNull())
+    return F.aggregate(zipped, begin, add)["out"]
 
 
 def _with_extra(base: Column) -> Column:
-    return F.array_sort(F.concat(base, F.coalesce(F.col("_extra"), F.array().cast(_SPAN))))
+    """The spans with the disclosing words that are no part of an entity."""
+    extra = F.coalesce(F.col("_extra"), F.array().cast(_SPAN))
+    free = F.filter(extra, lambda w: ~F.exists(base, lambda x: (x["start"] < w["end"]) & (w["start"] < x["end"])))
+    return F.array_sort(F.concat(base, free))
 
 
 def listed(spans: Column) -> Column:
@@ -283,15 +309,13 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     plain = docs.select(F.col(f"`{text}`").cast("string").alias("text"))
     found = stored(find(plain), "entities")
-    extra = _extra(found, disclosing(plain, found))
+    extra = _extra(plain, disclosing(plain, found))
     row = fresh(docs, "_row")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), text_or_empty(f"`{text}`").alias("_t"))
     rows = rows.select("*", *[entities(F.col("_t"), k).alias(f"_{k}") for k in PATTERNS])
     spans = _together({k: F.col(f"_{k}") for k in PATTERNS})
     if extra is not None:
-        extra = stored(extra, "disclosed")
-        side = F.broadcast(extra) if extra.count() <= SMALL else extra
-        rows = rows.withColumn("_key", F.md5(F.col("_t").cast("binary"))).join(side, "_key", "left")
+        rows = rows.withColumn("_key", F.md5(F.col("_t").cast("binary"))).join(extra, "_key", "left")
         spans = _with_extra(spans)
     done = rows.select(row, spans.alias("_spans"), "_t").select(row, cleaned(F.col("_t"), F.col("_spans")).alias("_t"))
     old = F.col(row)[text]

@@ -107,6 +107,18 @@ def test_near_copies_are_one_class(docs):
     assert sorted(classes.values()) == [[10 * g + i for i in range(4)] for g in range(5)]
 
 
+def test_disclosing_words_go_everywhere(docs):
+    """The flagged word 81 code points and more from the entity, in texts without it, in capitals; never inside an entity."""
+    far = " and so it was" * 20
+    rows = [(i, f"filler{'abcdefgh'[i]} Zorblax wrote from ann@mail.org about topic{'abcdefgh'[i]}{far} zorblax{far}, ZORBLAX said") for i in range(8)]
+    rows += [(20, "é 😀 the zorblax alone"), (21, "zorblax@mail.org"), (22, "zorblaxes and so"), (23, "wrote from about said " * 100), (24, far * 20)]
+    got = {r.doc_id: r.text for r in sanitise.sanitise(docs(rows)).collect()}
+    assert all(got[i] == f"filler{'abcdefgh'[i]}  wrote from [EMAIL] about topic{'abcdefgh'[i]}{far} {far},  said" for i in range(8))
+    assert (got[20], got[21], got[22]) == ("é 😀 the  alone", "[EMAIL]", "zorblaxes and so")
+    spans = {r.doc_id: r.spans for r in sanitise.spans(docs(rows)).collect()}
+    assert spans[20] == "term:8:15" and spans[21] == "email:0:16" and spans[0].count("term:") == 3
+
+
 def test_cleaned_texts(revealing):
     out = sanitise.sanitise(revealing.withColumn("_row", F.lit(1)).withColumn("_key", F.lit("k")))
     assert out.columns == [*revealing.columns, "_row", "_key"]
