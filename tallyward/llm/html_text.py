@@ -28,6 +28,7 @@ _BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol option p pre section select summary table tbody "
     "td tfoot th thead title tr ul".split())
 _HIDDEN = frozenset(["head", "title"])
+_IN_HEAD = frozenset("html head title base basefont bgsound link meta script style template noscript".split())
 _CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
            "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 _LISTS = frozenset("ul ol dl table tbody thead div article section aside nav main header footer form td select".split())
@@ -72,10 +73,17 @@ def blocks(page: str) -> list[Block]:
             inside_link -= tag == "a"
         del stack[to:]
 
+    def end_head() -> None:
+        place = next((i for i, (t, _) in enumerate(stack) if t == "head"), None)
+        if place is not None:
+            pop(place)
+
     at = 0
     while True:
         found = _TAG.search(page, at)
         text = page[at: found.start() if found else len(page)]
+        if hidden and stack[-1][0] == "head" and text.strip():
+            end_head()
         if text and not hidden:
             parts.append(text)
             links += len(text) if inside_link else 0
@@ -92,7 +100,9 @@ def blocks(page: str) -> list[Block]:
             if place is not None:
                 pop(place)
             continue
-        if tag in _RAW:
+        if hidden and tag not in _IN_HEAD and (tag == "body" or stack[-1][0] != "title"):  # a title's tags are text
+            end_head()
+        if tag in _RAW and not (tag == "svg" and found[3].endswith("/")):
             end = _RAW[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
@@ -102,10 +112,6 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in _BLOCK:
             close()
-            if tag == "body":
-                place = next((i for i, (t, _) in enumerate(stack) if t == "head"), None)
-                if place is not None:
-                    pop(place)
             shut = _CLOSES.get(tag) or ({"p"} if tag != "body" else set())
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in shut:

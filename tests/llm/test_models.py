@@ -27,6 +27,17 @@ def test_blocks():
     assert html_text.blocks("<p>x" + "<" * 5000 + '<a "' * 3000)[0].text.startswith("x<<<")  # soon done
 
 
+def test_text_after_self_closed_svg_and_open_head():
+    def texts(page):
+        return [b.text for b in html_text.blocks(page)]
+
+    assert texts('<p>a <svg class="x"/> b</p><p>c</p><svg><text>no</text></svg><p>d</p>') == ["a b", "c", "d"]
+    assert texts("<html><head><title>t <b>u</b> v</title><meta x><script>s</script><p>a<p>b") == ["a", "b"]
+    assert texts("<head><title>t</title>a<p>b") == ["a", "b"]
+    assert texts("<head><link y><svg/>a<div>b</div>") == ["a", "b"]
+    assert texts("<head><title>t</title>\n</head><body>a") == ["a"]
+
+
 def test_field_on_unseen_layouts(field):
     rng = np.random.default_rng(77)
     right = total = 0
