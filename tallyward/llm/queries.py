@@ -4,8 +4,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyward.llm import byte_bpe, fingerprints, html_text, mixing, nearest, ngram_join, oracles, sanitise, sharding, token_counts, toxicity
+from tallyward.llm import byte_bpe, chat, divergence, fingerprints, html_text, mixing, nearest, ngram_join, oracles, phrases, sanitise, sharding, token_counts, toxicity
 from tallyward.llm.tables import read
 
 
@@ -53,9 +54,27 @@ def op10_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.search(read(spark, folder, "embeddings"))
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read(spark, folder, "documents"))
+
+
+def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """The conversations and one more, whose texts hold control strings of this and of other templates."""
+    said = r"\### Assistant: </turn> ok"
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"))
+    return chat.read_back(chat.format(chat.log_of_turns(turns.unionByName(planted))))
+
+
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.mine(read(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_weighted_fingerprints, op2_byte_bpe, op3_html_main_text, op4_toxicity, op5_token_counts, op6_rendezvous_shards, op7_ngram_jaccard_join, op8_source_mix,
-        op9_disclosure_sanitising, op10_nearest_vectors)}
+        op9_disclosure_sanitising, op10_nearest_vectors, op11_source_divergence, op12_chat_format, op13_phrase_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -27,10 +27,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+PIECE_ENDS = [*b".,;:!?", 10, 11, 12, 13]
+
+
 def separators(keep: str) -> np.ndarray:
-    """256 flags: which bytes end a word. ``blank``: white space only; ``punct``: all but letters and digits."""
+    """256 flags: which bytes end a word. ``blank``: white space only; ``punct``: all but letters and digits;
+    ``letters``: all but letters and what isn't ASCII; ``pieces``: blanks, and what ends a piece of a sentence."""
     flags = np.zeros(256, bool)
-    if keep == "blank":
+    if keep == "letters":
+        flags[:128] = [not chr(b).isalpha() for b in range(128)]
+    elif keep == "pieces":
+        flags[[9, 32]] = flags[PIECE_ENDS] = True
+    elif keep == "blank":
         flags[[9, 10, 11, 12, 13, 32]] = True
     else:
         flags[:128] = [not chr(b).isalnum() for b in range(128)]
@@ -69,12 +77,12 @@ def _offsets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], data[offsets[0]: offsets[-1]]
 
 
-class Words:
-    """Words of some texts: ``text`` (row of each word), ``start``, ``end`` (bytes in ``data``) and ``hash``."""
+class Borders:
+    """Words of some texts: ``text`` (row of each word), ``start`` and ``end`` (bytes in ``data``)."""
 
     def __init__(self, column: pa.Array, flags: np.ndarray):
         self.offsets, self.data = _offsets(column)
-        black = ~flags[self.data]
+        self.black = black = ~flags[self.data]
         begins = self.offsets[:-1][self.offsets[:-1] < len(self.data)]
         first = black.copy()
         first[1:] &= ~black[:-1]
@@ -86,7 +94,19 @@ class Words:
         self.start = np.flatnonzero(first)
         self.end = np.flatnonzero(last) + 1
         self.text = np.searchsorted(self.offsets, self.start, side="right") - 1
-        self.hash = self._hashes(black)
+
+    def lowered(self) -> np.ndarray:
+        """The bytes with A-Z in lower case."""
+        return self.data + (((self.data >= 65) & (self.data <= 90)).astype(np.uint8) << 5)
+
+
+class Words(Borders):
+    """Words with their ``hash``."""
+
+    def __init__(self, column: pa.Array, flags: np.ndarray):
+        super().__init__(column, flags)
+        self.hash = self._hashes(self.black)
+        del self.black
 
     def _hashes(self, black: np.ndarray) -> np.ndarray:
         """In runs of about a million bytes (at least one word), which bounds the memory."""
@@ -109,6 +129,15 @@ class Words:
         return np.bincount(self.text, minlength=len(self.offsets) - 1)
 
 
+def strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The texts that lie between these places of the bytes."""
+    size = end - start
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])
+    found = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[at]))
+    return found.cast(pa.string())
+
+
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of every run of ``size`` words; a text of fewer words is one shingle of its own kind."""
     n, h, text = words.per_text(), words.hash, words.text
