@@ -25,12 +25,17 @@ from tallyward.llm.tables import stored
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 SCALE = 2_000_000
+SHARES = 64
 CONTAINED = 80  # percent of a phrase's occurrences that lie in one longer phrase
 BLOCK_BYTES = 4 << 20  # of text
 RANGE_BYTES = 4 << 20  # of text for each hash range
 MOST_BITS = 20
 UNKNOWN = "und"
 SINGLE, SHARED = 0, 1
+# A fingerprint is told by its hash range and so many more bits. Ranges follow the size of the text, so few rare phrases
+# share a value with a frequent one; those that do are told apart in the text.
+LOW = 24
+BYTES = LOW // 8
 
 _BLOCKS = "block long, size long, lang string, text string"
 _SENT = "bucket int, block long, kind int, payload binary"
@@ -50,6 +55,17 @@ def _edges(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begins, np.append(begins[1:], len(values))
 
 
+def _packed(values: np.ndarray) -> np.ndarray:
+    """The lowest ``BYTES`` bytes of each value, a row each."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :BYTES])
+
+
+def _unpacked(data: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(data) // BYTES, 4), np.uint8)
+    out[:, :BYTES] = data.reshape(-1, BYTES)
+    return out.view("<u4").ravel()
+
+
 def _blocks(most_bytes: int):
     def run(batches):
         at = TaskContext.get().partitionId() << 32
@@ -112,13 +128,12 @@ def _send(bits: int, longest: int):
         number = table.column("block")[0].as_py()
         block = _Block(table, longest)
         found = np.sort(np.concatenate([block.fingerprints(n, block.runs(n)) for n in range(1, longest + 1)]))
-        # the number of the hash range and 32 bits of what is left tell a fingerprint here
-        key = found >> np.uint64(32 - bits)
+        key = found >> np.uint64(64 - LOW - bits)
         begins, ends = _edges(key)
         key, count = key[begins], ends - begins
         out = []
         for kind, chosen in ((SINGLE, count == 1), (SHARED, count > 1)):
-            low, bucket = key[chosen].astype(np.uint32), (key[chosen] >> np.uint64(32)).astype(np.int64)
+            low, bucket = _packed(key[chosen]), (key[chosen] >> np.uint64(LOW)).astype(np.int64)
             more = np.minimum(count[chosen], 0xFFFFFFFF).astype(np.uint32)
             for a, b in zip(*_edges(bucket), strict=True):
                 payload = low[a:b].tobytes() + (more[a:b].tobytes() if kind == SHARED else b"")
@@ -141,10 +156,10 @@ def _often(least: int):
             kind, payload = batch.column("kind").to_numpy(), batch.column("payload")
             blocks.append(batch.column("block").to_numpy())
             for i in range(batch.num_rows):
-                part = np.frombuffer(payload[i].as_buffer(), np.uint32)
-                n = len(part) if kind[i] == SINGLE else len(part) // 2
-                keys.append(part[:n])
-                counts.append(np.ones(n, np.uint32) if kind[i] == SINGLE else part[n:])
+                part = payload[i].as_buffer()
+                n = part.size // (BYTES if kind[i] == SINGLE else BYTES + 4)
+                keys.append(_unpacked(np.frombuffer(part, np.uint8, n * BYTES)))
+                counts.append(np.ones(n, np.uint32) if kind[i] == SINGLE else np.frombuffer(part, np.uint32, n, n * BYTES))
                 owners.append(np.full(n, at, np.int32))
                 at += 1
         key, count, owner, block = map(np.concatenate, (keys, counts, owners, blocks))
@@ -159,7 +174,7 @@ def _often(least: int):
         begins, ends = _edges(owner)
         return pa.table({
             "block": pa.array(block[owner[begins]], pa.int64()), "bucket": pa.array([bucket] * len(begins), pa.int32()),
-            "payload": pa.array([key[a:b].tobytes() for a, b in zip(begins, ends, strict=True)], pa.binary()),
+            "payload": pa.array([_packed(key[a:b]).tobytes() for a, b in zip(begins, ends, strict=True)], pa.binary()),
         })
 
     return run
@@ -171,7 +186,7 @@ def _materialise(bits: int, longest: int):
 
     def run(texts: pa.Table, often: pa.Table) -> pa.Table:
         block = _Block(texts, longest)
-        known = [np.frombuffer(p, np.uint32).astype(np.uint64) | (np.uint64(b) << np.uint64(32)) for b, p in zip(
+        known = [_unpacked(np.frombuffer(p, np.uint8)).astype(np.uint64) | (np.uint64(b) << np.uint64(LOW)) for b, p in zip(
             often.column("bucket").to_pylist(), often.column("payload").to_pylist(), strict=True)]
         known = np.sort(np.concatenate(known)) if known else np.zeros(0, np.uint64)
         langs = len(block.lang.dictionary)
@@ -179,7 +194,7 @@ def _materialise(bits: int, longest: int):
                                 pa.array(np.bincount(block.of_lang, minlength=langs))], schema=schema)]
         for n in range(1, longest + 1):
             first = block.runs(n)
-            key = block.fingerprints(n, first) >> np.uint64(32 - bits)
+            key = block.fingerprints(n, first) >> np.uint64(64 - LOW - bits)
             place = np.searchsorted(known, key)
             place[place == len(known)] = 0
             first = first[known[place] == key] if len(known) else first[:0]
@@ -243,6 +258,9 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int =
     inside = inside.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     kept = weakest.join(inside, ["lang", "phrase"], "left").filter(
         F.col("longer").isNull() | (100 * wide(F.col("longer")) < contained * wide(F.col("a"))))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    best = kept.select("lang", "phrase", "a", "c.l", "c.r", "c.score").withColumn("rank", rank).filter(F.col("rank") <= top)
+    best = kept.select("lang", "phrase", "a", "c.l", "c.r", "c.score")
+    # the best of each share of a language first, so that no task ranks a whole language
+    for keys in ([F.col("lang"), F.pmod(F.xxhash64("phrase"), F.lit(SHARES))], [F.col("lang")]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"), "phrase"))
+        best = best.withColumn("rank", rank).filter(F.col("rank") <= top)
     return best.join(of_lang, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("all").alias("n"), "score")
