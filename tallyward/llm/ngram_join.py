@@ -6,11 +6,11 @@
    came from: a hash of one text can't link anything, and as the rarest come first in the global order,
    such hashes only take up room in the prefix. A text whose prefix holds nothing else is done.
 3. Equal sets become one node. Nodes that share a prefix hash are compared in rounds: first with one
-   centre per hash, then only nodes that are still in another component than most of the hash's nodes:
-   pair by pair where few nodes share the hash, in blocks of nodes where many do. No round emits all pairs
-   of a group, and no link between different sets is lost: a pair is left out only when both nodes are in
-   one component already, or when a filter proves that it can't link.
-4. A pair is verified on whole sets, once in a round.
+   centre per hash, then only nodes that have another label than most of the hash's nodes:
+   pair by pair where few nodes share the hash, in blocks of nodes where many do. Equal labels mean one component, so
+   no link between different components is lost: a pair is left out only when both nodes are in
+   one component already, or when a filter proves that it can't link. No round emits all pairs of a group.
+4. A pair is verified on whole sets, once in a round; the components of all links are found once, at the end.
 """
 
 import numpy as np
@@ -221,29 +221,32 @@ def _verify(num: int, den: int):
                 need = -(-num * int(na[i] + nb[i]) // (num + den))
                 if _bound(x, y, 3) >= need:
                     keep[i] = len(np.intersect1d(x, y, assume_unique=True)) >= need
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            yield batch.select(["a", "b", "la", "lb"]).filter(pa.array(keep))
 
     return run
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that link, with the labels they came with."""
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ta", "tb").mapInArrow(
-        _verify(num, den), "a long, b long"
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "la", "lb", "na", "nb", "ta", "tb").mapInArrow(
+        _verify(num, den), "a long, b long, la long, lb long"
     )
 
 
-def _pairs(left: DataFrame, right: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidate pairs of two tables of prefix rows: length and positional filter, each pair once."""
-    l, r = left.alias("l"), right.alias("r")  # noqa: E741
+def _candidates(met: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs, each once, of rows that hold two prefix rows of one token, ``l`` and ``r``."""
     need = F.expr(f"{num} * (l.n + r.n)")
     room = F.expr(f"{num + den} * least(l.n - l.i, r.n - r.i)")  # holds at the pair's first common token
+    turned = F.expr("l.node > r.node")
     return (
-        l.join(r, F.expr("l.token = r.token AND l.label <> r.label"))
+        met.filter("l.label <> r.label")
         .filter(F.expr(f"{den} * least(l.n, r.n) >= {num} * greatest(l.n, r.n)"))
         .filter(room >= need)
-        .select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
+        .select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"),
+                F.when(turned, F.col("r.label")).otherwise(F.col("l.label")).alias("la"),
+                F.when(turned, F.col("l.label")).otherwise(F.col("r.label")).alias("lb"))
         .distinct()
     )
 
@@ -258,30 +261,33 @@ def _prefix(nodes: DataFrame, num: int, den: int) -> DataFrame:
     )
 
 
-def _unsettled(rows: DataFrame) -> DataFrame:
-    """The prefix rows of tokens whose nodes are not all in one component yet."""
-    open_ = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-    return rows.join(open_.select("token"), "token")
+_ROW = ("node", "n", "i", "label")
 
 
-def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    known = rows.drop("label").join(labels, "node", "left")
-    return known.withColumn("label", F.coalesce("root", "node")).drop("root")
+def _met(rows: DataFrame, turn: int) -> DataFrame:
+    """The prefix rows of tokens whose nodes have different labels as ``token, l``, each with a centre of its token as ``r``.
 
+    The centre is the smallest node in the first turn and one by hash in the others.
+    """
+    order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
+    centres = rows.groupBy("token").agg(
+        F.min(F.struct(order.alias("h"), *_ROW)).alias("c"), F.min("label").alias("low"), F.max("label").alias("high"),
+    ).filter("low <> high").select("token", F.struct(*[f"c.{c}" for c in _ROW]).alias("r"))
+    return rows.select("token", F.struct(*_ROW).alias("l")).join(centres, "token")
 
-def _labels(links: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Components of the new links and of what is known already."""
-    links = links.toDF("a", "b")
-    if labels is not None:
-        links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    return components(links, "a", "b")
 
+def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after new links: each label goes over to the smallest one it is linked to, and on to where that goes.
 
-def _centres(rows: DataFrame, turn: int) -> DataFrame:
-    """One node for each token, another one in each turn."""
-    return rows.groupBy("token").agg(
-        F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "i", "label")).alias("c")
-    ).select("token", "c.node", "c.n", "c.i", "c.label")
+    Nodes of one label are in one component; nodes of one component may still have different labels, which costs
+    comparisons, but no link.
+    """
+    ends = links.select(F.col("la").alias("label"), F.col("lb").alias("to"))
+    ends = ends.unionByName(ends.select(F.col("to").alias("label"), F.col("label").alias("to")))
+    over = ends.groupBy("label").agg(F.min("to").alias("to")).filter("to < label")
+    on = over.select(F.col("label").alias("to"), F.col("to").alias("on"))
+    over = over.join(on, "to", "left").select("label", F.coalesce("on", "to").alias("to"))
+    return rows.join(over, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
 
 
 def _compare(num: int, den: int):
@@ -324,24 +330,30 @@ def _compare(num: int, den: int):
 def _hot_links(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """Links among the nodes of tokens that many nodes share.
 
-    Such nodes form groups (joined by these tokens). Of a group, the nodes outside its largest component are compared
-    with all its nodes, block by block; a pair of blocks is one task's work, so a group of any size is spread out.
+    Such nodes form groups (joined by these tokens), which are cut by length: a node can only link with nodes of its own
+    length class and the two beside it. Of two such classes, the nodes outside the group's largest label are compared with all
+    nodes, block by block; a pair of blocks is one task's work, so a group of any size is spread out.
     """
     low = rows.groupBy("token").agg(F.min("node").alias("low"))
     group = components(rows.join(low, "token").select("node", "low"), "node", "low").withColumnRenamed("root", "group")
-    known = rows.select("node", "label").distinct()
+    step = max(float(np.log(den / num)), 1e-9) * (1 + 1e-9)  # a hair more, so that rounding can't part two that link
+    length = F.floor(F.ln("n") / F.lit(step)).cast("int")
+    known = rows.select("node", "label", length.alias("class")).distinct()
     members = group.join(known, "node")
     sizes = members.groupBy("group", "label").agg(F.count("*").alias("size"))
-    shape = sizes.groupBy("group").agg(F.max_by("label", F.struct("size", "label")).alias("major"), F.max("size").alias("most"), F.sum("size").alias("all"))
+    shape = sizes.groupBy("group").agg(F.max_by("label", F.struct("size", "label")).alias("major"))
+    # a node meets its own class, and as the longer one the class below; both as a pair of classes "of"
+    members = members.join(shape, "group").withColumn("rest", F.col("label") != F.col("major"))
+    members = members.withColumn("of", F.explode(F.array("class", F.col("class") + 1)))
+    counted = members.groupBy("group", "of").agg(F.count_if("rest").alias("rests"), F.count_if(~F.col("rest")).alias("others"))
 
     def blocks(count):
         return F.greatest(F.lit(1), F.ceil(count / F.lit(BLOCK))).cast("int")
 
     members = (
-        members.join(shape, "group")
-        .withColumn("rest", F.col("label") != F.col("major"))
-        .withColumn("rests", blocks(F.col("all") - F.col("most")))
-        .withColumn("blocks", F.col("rests") + blocks(F.col("most")))
+        members.join(counted.filter("rests > 0"), ["group", "of"])
+        .withColumn("blocks", blocks(F.col("rests")) + blocks(F.col("others")))
+        .withColumn("rests", blocks(F.col("rests")))
         .withColumn("block", F.when(F.col("rest"), F.pmod(F.xxhash64("node"), F.col("rests"))).otherwise(
             F.col("rests") + F.pmod(F.xxhash64("node"), F.col("blocks") - F.col("rests"))).cast("int"))
     )
@@ -351,10 +363,10 @@ def _hot_links(rows: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFra
     lower = F.least(F.col("block"), F.col("rests")) - 1
     as_right = F.when(lower >= 0, F.transform(F.sequence(F.lit(0), F.greatest(lower, F.lit(0))), lambda x: F.struct(
         x.alias("x"), F.col("block").alias("y"), F.lit(1).alias("side")))).otherwise(F.array())
-    dealt = members.withColumn("at", F.explode(F.concat(as_left, as_right))).select("group", "at.*", "node", "label")
+    dealt = members.withColumn("at", F.explode(F.concat(as_left, as_right))).select("group", "of", "at.*", "node", "label")
     return (
         dealt.join(nodes.select("node", "n", "tokens"), "node")
-        .groupBy("group", "x", "y").applyInArrow(_compare(num, den), "a long, b long")
+        .groupBy("group", "of", "x", "y").applyInArrow(_compare(num, den), "a long, b long")
     )
 
 
@@ -374,28 +386,35 @@ def link(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN, roun
         .agg(F.min("doc_id").alias("doc_id"), F.any_value("tokens").alias("tokens"))
         .withColumn("node", F.col("k1")), "ngram-nodes",
     )
-    rows = stored(_unsettled(_prefix(nodes, num, den).withColumn("label", F.col("node"))), "ngram-prefixes")
-    labels = _labels(nodes.select("node", "node"), None)
+    rows = _prefix(nodes, num, den).withColumn("label", F.col("node"))
+    links = []
     for turn in range(rounds):
-        pairs = _pairs(rows, _centres(rows, turn), num, den)
-        labels = _labels(_linked(pairs, nodes, num, den), labels)
-        rows = stored(_unsettled(_relabelled(rows, labels)), "ngram-prefixes")
-    if not rows.isEmpty():
-        stats = rows.groupBy("token").agg(F.count("*").alias("rows")).withColumn("hot", F.col("rows") > HOT)
-        rows = stored(rows.join(stats.select("token", "hot"), "token"), "ngram-prefixes")
-        cold = rows.filter("NOT hot")
+        met = stored(_met(rows, turn), "ngram-prefixes")
+        links.append(stored(_linked(_candidates(met, num, den), nodes, num, den), "ngram-links"))
+        rows = _relabelled(met.select("token", "l.*"), links[-1])
+    left = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows"))
+    left = left.filter("low <> high").select("token", (F.col("rows") > HOT).alias("hot"))
+    rows = stored(rows.join(left, "token"), "ngram-prefixes")
+    cold, hot = rows.filter("NOT hot"), rows.filter("hot")
+    if not cold.isEmpty():
         counted = cold.groupBy("token", "label").agg(F.count("*").alias("rows"))
         major = counted.groupBy("token").agg(F.max_by("label", F.struct("rows", "label")).alias("major"))
-        rest = cold.join(major, "token").filter("label <> major").drop("major")
-        found = _linked(_pairs(rest, cold, num, den), nodes, num, den)
-        labels = _labels(found.unionByName(_hot_links(rows.filter("hot"), nodes, num, den)), labels)
+        rest = cold.join(major, "token").filter("label <> major").select("token", F.struct(*_ROW).alias("l"))
+        met = rest.join(cold.select("token", F.struct(*_ROW).alias("r")), "token")
+        links.append(_linked(_candidates(met, num, den), nodes, num, den))
+    if not hot.isEmpty():
+        links.append(_hot_links(hot, nodes, num, den))
+    found = links[0].select("a", "b")
+    for more in links[1:]:
+        found = found.unionByName(more.select("a", "b"))
+    labels = components(found, "a", "b")
     placed = nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_set = placed.select("k1", "k2", "n", "root").join(named, "root").drop("root")
-    return (
-        table.drop("tokens").join(of_set, ["k1", "k2", "n"], "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    )
+    alone = table.filter("tokens IS NULL").withColumn("component_id", F.col("doc_id"))
+    linked = table.filter("tokens IS NOT NULL").join(of_set, ["k1", "k2", "n"], "left")
+    return linked.unionByName(alone, allowMissingColumns=True).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def representatives(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN) -> DataFrame:
