@@ -2,7 +2,7 @@
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,10 +16,42 @@ def base64_text(data: Column) -> Column:
     return F.try_validate_utf8(F.try_to_binary(data, F.lit("base64")).cast("string"))
 
 
-def json_record(text: Column, schema: T.StructType) -> Column:
-    """JSON text to a record that keeps text it could not read in a field of its own."""
+_MODE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def _read(text: Column, item: str) -> tuple[Column, Column]:
+    """The text read as the only item of an array, and what must hold so that it is one.
+
+    A reader stops behind the first JSON value and says nothing of what follows; inside an array more text is an
+    error or a second item. Text that closes the array itself shows as a second key.
+    """
+    wrapped = F.concat(F.lit('{"r":['), text, F.lit("]}"))
+    read = F.from_json(wrapped, f"r array<{item}>, {CORRUPT} string", _MODE)
+    return read, F.when(text.contains("]"), F.size(F.json_object_keys(wrapped)) == 1).otherwise(True)
+
+
+def is_one_value(text: Column) -> Column:
+    """Whether the text is one JSON value and nothing else."""
+    read, whole = _read(text, "string")
+    return F.coalesce(read[CORRUPT].isNull() & (F.size(read["r"]) == 1) & whole, F.lit(False))
+
+
+def with_record(df: DataFrame, text: Column, schema: T.StructType, out: str) -> DataFrame:
+    """Adds ``out``: the text as a record of the declared types, null where it is no such record and nothing else."""
+    read, whole = _read(text, schema.simpleString())
+    # inline makes Spark read the text once for all fields
+    made = df.select("*", F.inline(F.array(F.struct(read.alias("_read"), text.alias("_of")))))
+    _, whole = _read(F.col("_of"), "string")
+    fine = F.col(f"_read.{CORRUPT}").isNull() & (F.size("_read.r") == 1) & whole
+    return made.withColumn(out, F.when(fine, F.col("_read.r")[0])).drop("_read", "_of")
+
+
+def unread(text: Column, schema: T.StructType) -> Column:
+    """Why a text gave no record: ``extra_data`` behind a record, or ``bad_json``."""
     wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    return F.from_json(text, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    alone = F.from_json(text, wide, _MODE)
+    more = alone.isNotNull() & alone[CORRUPT].isNull() & ~is_one_value(text)
+    return F.when(more, "extra_data").otherwise("bad_json")
 
 
 def json_text(*columns) -> Column:

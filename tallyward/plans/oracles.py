@@ -338,11 +338,13 @@ _VERSIONS = """versions AS (
 _LATEST = """SELECT transaction_id, user_id, round(amount, 10) AS amount, version FROM (
  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY version DESC) AS place FROM versions) v WHERE place = 1"""
 
-_ROUTE = """CASE WHEN event_id % 59 = 0 THEN 'invalid' WHEN event_id % 53 = 0 THEN 'direct' ELSE 'records' END"""
+_ROUTE = """CASE WHEN event_id % 59 = 0 THEN 'invalid' WHEN event_id % 53 = 0 THEN 'direct'
+ WHEN event_id % 157 = 0 THEN 'invalid' ELSE 'records' END"""
 _REASON = f"""CASE ({_ROUTE}) WHEN 'invalid' THEN 'invalid_envelope'
  WHEN 'direct' THEN CASE WHEN event_id % 3 = 0 THEN 'bad_json' WHEN event_id % 5 = 0 THEN 'bad_amount' ELSE 'valid' END ELSE
  CASE WHEN event_id % 101 = 0 THEN 'bad_base64' WHEN event_id % 103 = 0 THEN 'bad_json'
       WHEN event_id % 107 = 0 THEN 'no_transaction_id' WHEN event_id % 139 = 0 THEN 'bad_json'
+      WHEN event_id % 149 = 0 OR event_id % 151 = 0 THEN 'extra_data'
       WHEN event_id % 109 = 0 OR event_id % 127 = 0 OR event_id % 131 = 0 OR event_id % 137 = 0 THEN 'bad_amount'
       ELSE 'valid' END END"""
 _WIRE = f"wire AS (SELECT *, {_ROUTE} AS route, {_REASON} AS reason FROM tx)"
@@ -488,7 +490,7 @@ WHERE cast(floor(epoch(ts)) AS bigint) + {S.TTL_SECONDS} > {_NOW_EPOCH}"""),
  CASE WHEN reason IN ('valid', 'bad_amount', 'no_transaction_id') THEN user_id END AS user_id,
  CASE WHEN reason IN ('valid', 'no_transaction_id') THEN amount END AS amount,
  CASE WHEN reason IN ('valid', 'bad_amount', 'no_transaction_id') THEN is_vpn END AS is_vpn, route, reason,
- CASE WHEN reason <> 'valid' THEN reason IN ('bad_json', 'bad_amount') END AS raw_names_id FROM wire"""),
+ CASE WHEN reason <> 'valid' THEN reason IN ('bad_json', 'bad_amount', 'extra_data') END AS raw_names_id FROM wire"""),
         "stream_scored": _with(
             _SCORED, _PREDICTED, _WIRE, _READ, _EARLIER, _stats("user_stats", "earlier"), _extracted("read_back"),
             select=f"""SELECT transaction_id, user_id, {_r('amount')} AS amount, is_vpn = 1 AS is_vpn,
@@ -526,7 +528,7 @@ UNION ALL SELECT 'rejects', count(*) FROM wire WHERE reason <> 'valid'""",
  device_type, location, is_vpn, card_type, status, is_fraud, cast(hour(ts) AS int) AS hour_of_day FROM tx"""),
         "history_document_round_trip": _with(
             """marked AS (SELECT *, CASE WHEN event_id % 61 = 0 OR event_id % 67 = 0 THEN 'bad_json' WHEN event_id % 71 = 0 THEN 'no_label'
-  WHEN event_id % 73 = 0 THEN 'bad_time' END AS reason FROM tx)""",
+  WHEN event_id % 73 = 0 THEN 'bad_time' WHEN event_id % 35 = 0 THEN 'extra_data' END AS reason FROM tx)""",
             select=f"""SELECT transaction_id, CASE WHEN reason IS NULL THEN user_id END AS user_id,
  CASE WHEN reason IS NULL THEN {_ISO} END AS timestamp, CASE WHEN reason IS NULL THEN {_r('amount')} END AS amount,
  CASE WHEN reason IS NULL THEN is_fraud END AS is_fraud, reason FROM marked"""),

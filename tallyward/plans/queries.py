@@ -20,6 +20,7 @@ from tallyward.streaming import profile, scoring_stream
 from tallyward.streaming.scorer import Scorer
 
 DIGITS = 10
+DOCUMENT_ROWS = 20_000
 
 # Fixed times, so that a run can be repeated.
 HISTORY_END = "2024-01-16 00:00:00"
@@ -421,6 +422,8 @@ def wire_lines(spark, folder) -> DataFrame:
         F.when(n % 103 == 0, F.expr("substring(as_number, 1, length(as_number) - 5)"))
         .when(n % 107 == 0, no_id)
         .when(n % 139 == 0, bad_vpn)
+        .when(n % 149 == 0, F.concat(F.col("as_number"), F.lit("\n"), F.col("as_number")))
+        .when(n % 151 == 0, F.concat(F.col("as_number"), F.lit(" garbage")))
         .when((n % 109 == 0) | (n % 113 == 0) | (n % 127 == 0) | (n % 131 == 0) | (n % 137 == 0), F.col("as_text"))
         .otherwise(F.col("as_number"))
     )
@@ -431,6 +434,7 @@ def wire_lines(spark, folder) -> DataFrame:
         F.when(n % 59 == 0, '{"Records": []}')
         .when(n % 53 == 0, F.concat(F.lit('{"transaction": '), F.when(n % 3 == 0, bad_vpn).when(
             n % 5 == 0, F.to_json(F.struct(*fields, F.lit("Infinity").alias("amount")))).otherwise(F.col("as_number")), F.lit("}")))
+        .when(n % 157 == 0, F.concat(F.to_json(F.struct(F.array(record).alias("Records"))), F.lit("{}")))
         .otherwise(F.to_json(F.struct(F.array(record).alias("Records"))))
     )
     return prepared.select(F.col("transaction_id").alias("line_id"), line.alias("value"))
@@ -556,29 +560,35 @@ def json_round_trip(spark, folder):
 
 
 def history_document_round_trip(spark, folder):
-    """History written as indented array documents, some of their records damaged, and taken in again.
+    """History written as indented array documents and as lines, some of the records damaged, and taken in again.
 
-    The documents follow the number of shuffle partitions; each holds the events of one hash of the id.
+    A fifth of the events are lines, some with text behind the record. The others are documents of about
+    ``DOCUMENT_ROWS`` records each, in the order of the event number.
     """
     rows = history.wire_form(tx(spark, folder)).withColumn("n", number())
     n, root = F.col("n"), new_folder(spark, "documents")
     fields = [f.name for f in S.HISTORY.fields]
 
-    def text(**other):
-        return F.to_json(F.struct(*[other.get(f, F.col(f)).alias(f) for f in fields]), {"pretty": "true"})
+    def text(options=None, **other):
+        return F.to_json(F.struct(*[other.get(f, F.col(f)).alias(f) for f in fields]), options)
 
-    record = (
-        F.when(n % 61 == 0, text(is_vpn=F.lit("yes"))).when(n % 67 == 0, text(amount=F.lit("n/a")))
-        .when(n % 71 == 0, text(is_fraud=F.lit(None).cast("boolean"))).when(n % 73 == 0, text(timestamp=F.lit("yesterday")))
-        .otherwise(text())
-    )
-    doc = F.pmod(F.xxhash64("transaction_id"), F.lit(parallelism(spark))).cast("int")
-    lines = rows.select(doc.alias("doc"), n.alias("at"), record.alias("value"))
+    def record(options=None):
+        return (
+            F.when(n % 61 == 0, text(options, is_vpn=F.lit("yes"))).when(n % 67 == 0, text(options, amount=F.lit("n/a")))
+            .when(n % 71 == 0, text(options, is_fraud=F.lit(None).cast("boolean"))).when(n % 73 == 0, text(options, timestamp=F.lit("yesterday")))
+            .when((n % 5 == 0) & (n % 7 == 0), F.concat(text(options), F.when(n % 2 == 0, F.lit(" ")).otherwise(F.lit(", ")), text(options)))
+            .otherwise(text(options))
+        )
+
+    rows.filter(n % 5 == 0).select(record().alias("value")).write.text(f"{root}/in/doc=-1")
+    parts = -(-rows.count() // DOCUMENT_ROWS)
+    doc = F.pmod(F.xxhash64("transaction_id"), F.lit(parts)).cast("int")
+    lines = rows.filter(n % 5 != 0).select(doc.alias("doc"), n.alias("at"), record({"pretty": "true"}).alias("value"))
     order = Window.partitionBy("doc").orderBy("at")
     first, last = F.lag("at").over(order).isNull(), F.lead("at").over(order).isNull()
     value = F.concat(F.when(first, "[\n").otherwise(""), "value", F.when(last, "\n]").otherwise(","))
     documents = lines.select("doc", "at", value.alias("value"))
-    documents.sortWithinPartitions("doc", "at").select("doc", "value").write.partitionBy("doc").text(f"{root}/in")
+    documents.sortWithinPartitions("doc", "at").select("doc", "value").write.partitionBy("doc").mode("append").text(f"{root}/in")
     taken = history.ingest(spark, f"{root}/in", root)
     rejects = spark.read.schema("raw string, reason string").json(f"{root}/rejects")
     found_id = F.regexp_extract("raw", "T[0-9]{8}", 0)
@@ -590,8 +600,7 @@ def publish_round_trip(spark, folder):
     """Messages by key and their text, read back field by field."""
     rows = tx(spark, folder).withColumn("timestamp", clock.to_text(F.col("ts")))
     sent = envelopes.publish_form(rows)
-    record = codec.json_record(F.col("value"), S.TRANSACTION)
-    return sent.select("key", record.alias("r")).select(
+    return codec.with_record(sent, F.col("value"), S.TRANSACTION, "r").select(
         "key", *[F.col(f"r.{f.name}").alias(f.name) for f in S.TRANSACTION.fields]
     )
 

@@ -41,9 +41,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def parse(lines: DataFrame, column: str = "value") -> DataFrame:
     """Envelope text of one column to envelope fields; the text stays beside them."""
-    # inline makes Spark read the text once for all fields
-    fields = F.coalesce(F.from_json(column, S.ENVELOPE), F.lit(None).cast(S.ENVELOPE))
-    return lines.select("*", F.inline_outer(F.array(fields)))
+    text = F.col(column)
+    read = codec.with_record(lines, text, S.ENVELOPE, "_envelope")
+    # one value, but with a field of another type: what can be read of it counts
+    partly = F.when(F.col("_envelope").isNull() & codec.is_one_value(text), F.from_json(text, S.ENVELOPE))
+    return read.select(*lines.columns, F.inline(F.array(F.coalesce("_envelope", partly, F.lit(None).cast(S.ENVELOPE)))))
 
 
 def route(envelopes: DataFrame) -> DataFrame:
@@ -58,8 +60,8 @@ def route(envelopes: DataFrame) -> DataFrame:
 def decode(envelopes: DataFrame, line: str = "value") -> DataFrame:
     """All records of all routes as transactions, with ``reason`` = valid or why not.
 
-    Both routes are read by the same rules. A record that is no JSON of the declared types gives no fields; every
-    reject keeps its text in ``raw``: the record's, or as much as there is of it (its base64, the whole line). One
+    Both routes are read by the same rules. A record that is no JSON of the declared types, or with more text behind
+    it, gives no fields; every reject keeps its text in ``raw``: the record's, or as much as there is of it (its base64, the whole line). One
     pass, no shuffle: each envelope is expanded in place.
     """
     def item(data, text):
@@ -76,16 +78,15 @@ def decode(envelopes: DataFrame, line: str = "value") -> DataFrame:
         ),
     )
     text = F.col("_item.text")
-    # inline makes Spark read each text once for all fields
-    read = expanded.select("*", F.inline(F.array(F.struct(codec.json_record(text, S.WIRE_TRANSACTION).alias("_json")))))
-    broken = F.col(f"_json.{codec.CORRUPT}").isNotNull() | F.col("_json").isNull()
+    read = codec.with_record(expanded, text, S.WIRE_TRANSACTION, "_json")
+    broken = F.col("_json").isNull()
     names = [f.name for f in S.WIRE_TRANSACTION.fields]
     fields = read.withColumns({n: F.when(~broken, F.col(f"_json.{n}")) for n in names})
     number = amounts.to_number(F.col("amount"))
     reason = (
         F.when(F.col("route") == "invalid", "invalid_envelope")
         .when(text.isNull(), "bad_base64")
-        .when(broken, "bad_json")
+        .when(broken, codec.unread(text, S.WIRE_TRANSACTION))
         .when(F.col("transaction_id").isNull(), "no_transaction_id")
         .when(F.col("amount").isNotNull() & number.isNull(), "bad_amount")
         .otherwise(VALID)

@@ -9,46 +9,44 @@ from tallyward import schemas as S
 from tallyward.functions import amounts, clock, codec
 from tallyward.operators import columns
 from tallyward.session import new_folder
+from tallyward.sources import documents
 
 
-def read_text(spark: SparkSession, path: str, array_document: bool = False) -> DataFrame:
-    """One JSON text per record in ``value``: lines, or the elements of array documents.
+def read_text(spark: SparkSession, path: str, array_document: bool | None = None) -> DataFrame:
+    """One JSON text per record in ``value``, with ``problem`` where it is none: lines, or the elements of array documents.
 
-    An array document can only be read by one task per file, its elements are spread again at once: see ``ingest``.
-    A document that is no array is one (unreadable) record.
+    ``None`` looks at each file: one that begins with ``[`` is a document, the others are lines.
     """
-    if not array_document:
-        return spark.read.text(path).filter(F.trim("value") != "")
-    whole = spark.read.text(path, wholetext=True).withColumn("items", F.from_json("value", "array<string>"))
-    readable = F.coalesce(F.size("items") >= 0, F.lit(False)) & F.ltrim("value").startswith("[")
-    items = F.when(readable, F.filter("items", lambda x: x.isNotNull())).otherwise(F.array("value"))
-    return whole.select(F.explode(items).alias("value"))
-
-
-def is_document(spark: SparkSession, path: str) -> bool:
-    """Whether the first text at ``path`` begins like an array rather than like a line with one record."""
-    first = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()
-    return bool(first) and first[0].value.lstrip().startswith("[")
+    if array_document is None:
+        found, lines = documents.by_form(spark, path)
+    else:
+        found, lines = ([path], []) if array_document else ([], [path])
+    texts = spark.read.text(lines) if lines else spark.createDataFrame([], "value string")
+    texts = texts.filter(F.trim("value") != "").select("value", F.lit(None).cast("string").alias("problem"))
+    return texts.unionByName(documents.records(spark, found)) if found else texts
 
 
 def parse(lines: DataFrame) -> DataFrame:
     """Records with the declared fields, ``ts``, and ``reason``: null, or why the record can't be used.
 
-    ``bad_json`` is text that is no JSON of the declared types, ``no_label`` a record without its label, ``bad_time``
+    ``bad_json`` is text that is no JSON of the declared types, ``extra_data`` text with more than one record,
+    ``cut_off`` the rest of a document without an end, ``no_label`` a record without its label, ``bad_time``
     one whose time can't be read, ``bad_amount`` one whose amount is not finite or out of range. ``raw`` is the text.
     """
-    read = lines.select(F.col("value").alias("raw"), F.inline(F.array(F.struct(codec.json_record(F.col("value"), S.HISTORY).alias("r")))))
-    broken = F.col("r").isNull() | F.col(f"r.{codec.CORRUPT}").isNotNull()
-    named = read.select("raw", broken.alias("_broken"), *[F.col(f"r.{f.name}").alias(f.name) for f in S.HISTORY.fields])
+    problem = F.col("problem") if "problem" in lines.columns else F.lit(None).cast("string")
+    texts = lines.select(F.col("value").alias("raw"), problem.alias("problem"))
+    read = codec.with_record(texts, F.when(F.col("problem").isNull(), F.col("raw")), S.HISTORY, "r")
+    named = read.select("raw", "problem", F.col("r").isNull().alias("_broken"), *[F.col(f"r.{f.name}").alias(f.name) for f in S.HISTORY.fields])
     return named.withColumns({"ts": clock.parse_or_null(F.col("timestamp")), "reason": (
-        F.when(F.col("_broken"), "bad_json")
+        F.when(F.col("problem").isNotNull(), F.col("problem"))
+        .when(F.col("_broken"), codec.unread(F.col("raw"), S.HISTORY))
         .when(F.col(S.LABEL).isNull(), "no_label")
         .when(F.col("timestamp").isNotNull() & clock.parse_or_null(F.col("timestamp")).isNull(), "bad_time")
         .when(~amounts.in_range(F.col("amount")), "bad_amount")
-    )}).drop("_broken")
+    )}).drop("_broken", "problem")
 
 
-def read_json(spark: SparkSession, path: str, array_document: bool = False) -> DataFrame:
+def read_json(spark: SparkSession, path: str, array_document: bool | None = False) -> DataFrame:
     """History with the declared schema and a parsed time column ``ts``; fails on a record that can't be used.
 
     ``ingest`` sets such records aside instead, and lands the rest.
@@ -61,13 +59,12 @@ def read_json(spark: SparkSession, path: str, array_document: bool = False) -> D
 def ingest(spark: SparkSession, path: str, out: str, array_document: bool | None = None, unreadable: str = "reject") -> DataFrame:
     """History landed once as Parquet below ``out/history``; what can't be used goes to ``out/rejects``, text and reason.
 
-    ``array_document=None`` looks at the first text. With ``unreadable="fail"`` a reject is an error, with ``"reject"``
-    only when no record is left, as in a history without labels.
+    ``array_document=None`` looks at each file, a folder may hold both forms. With ``unreadable="fail"`` a reject is an
+    error, with ``"reject"`` only when no record is left, as in a history without labels.
     """
     if unreadable not in ("reject", "fail"):
         raise ValueError(f"unknown unreadable: {unreadable}")
-    document = is_document(spark, path) if array_document is None else array_document
-    parsed = parse(read_text(spark, path, document))
+    parsed = parse(read_text(spark, path, array_document))
     parsed.write.parquet(staged := new_folder(spark, "history"))
     parsed = spark.read.schema(parsed.schema).parquet(staged)
     bad = parsed.filter(F.col("reason").isNotNull()).select("raw", "reason")

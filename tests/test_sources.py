@@ -8,7 +8,7 @@ from tallyward import schemas as S
 from tallyward.functions import clock
 from tallyward.operators import columns, rates
 from tallyward.session import new_folder, shared_folder
-from tallyward.sources import envelopes, history, side_files
+from tallyward.sources import documents, envelopes, history, side_files
 
 GOOD = {
     "transaction_id": "T0000000A", "user_id": "U10001", "timestamp": "2024-02-03T04:05:06Z", "amount": 12.5,
@@ -35,7 +35,7 @@ def test_unusable_records(spark, tmp_path):
     lines.write_text("\n".join([json.dumps(GOOD), "", "{broken", *map(json.dumps, bad)]))
     for path, n in ((document, 4), (lines, 5)):
         out = str(tmp_path / f"out-{n}")
-        assert history.is_document(spark, str(path)) == (n == 4)
+        assert [len(x) for x in documents.by_form(spark, str(path))] == [n == 4, n == 5]
         got = history.ingest(spark, str(path), out)
         assert [(r.transaction_id, r.is_fraud, r.ts.hour) for r in got.collect()] == [("T0000000A", True, 4)]
         rejects = spark.read.json(f"{out}/rejects").collect()
@@ -47,6 +47,45 @@ def test_unusable_records(spark, tmp_path):
             history.read_json(spark, str(path), array_document=n == 4).collect()
 
 
+def test_no_record_is_lost(spark, tmp_path):
+    """A folder of both forms, documents cut into small byte ranges, texts with more than one record."""
+    def rec(k, **more):
+        return json.dumps({**GOOD, "transaction_id": f"T{k:08}", **more}, indent=k % 3 or None)
+
+    odd = {"location": 'a "quoted}, [{ \\" place', "status": "\\", "device_type": "}]"}
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a b.json").write_text("\ufeff [" + ",\n".join(rec(k, **odd) for k in range(400)) + "]\n")
+    (folder / "cut.json").write_text("[" + ",".join(rec(k) for k in range(400, 420)) + ', {"transaction_id": "T000')
+    (folder / "more.json").write_text("[" + rec(420) + "," + rec(421) + "] [" + rec(422) + "]")
+    (folder / "nocomma.json").write_text("[" + rec(423) + rec(424) + ", 5, null, " + rec(425) + "]")
+    (folder / "empty.json").write_text("[]")
+    (folder / "blank.json").write_text(" \n")
+    flat = [json.dumps({**GOOD, "transaction_id": f"T{k:08}"}) for k in range(500, 506)]
+    (folder / "lines.json").write_text("\n".join([flat[0], flat[1] + flat[2], flat[3] + " garbage", flat[4] + "," + flat[5], flat[4] + '],"r":[' + flat[5], flat[5]]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        assert documents._pieces(spark, [str(folder / "a b.json")]).select("block").distinct().count() > 20
+        got = history.ingest(spark, str(folder), str(tmp_path / "out"))
+        ids = sorted(int(r.transaction_id[1:]) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert ids == [*range(420), 420, 421, 423, 425, 500, 505]
+    assert {r.location for r in got.filter("transaction_id < 'T00000400'").collect()} == {odd["location"]}
+    rejects = sorted((r.reason, r.raw[:8]) for r in spark.read.json(str(tmp_path / "out" / "rejects")).collect())
+    assert [r for r, _ in rejects] == ["bad_json"] * 2 + ["cut_off"] + ["extra_data"] * 6
+
+
+def test_long_records_are_given_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(documents, "RECORD_BYTES", 2000)
+    path = tmp_path / "d.json"
+    path.write_text("[" + json.dumps(GOOD) + ', {"open": "' + ", ".join(json.dumps(GOOD) for _ in range(20)).replace('"', "") + "]")
+    found = documents.records(spark, [str(path)]).collect()
+    assert sorted({r.problem for r in found}, key=str) == [None, "cut_off"] and sum(r.problem is None for r in found) == 1
+    assert sum(len(r.value) for r in found if r.problem) > 3000
+
+
 def test_history_without_labels_or_documents(spark, tmp_path):
     path = tmp_path / "x.json"
     for text in (json.dumps([{k: v for k, v in GOOD.items() if k != "is_fraud"}]), "[{", "{}"):
