@@ -72,9 +72,9 @@ def records(spark: SparkSession, paths: list[str]) -> DataFrame:
     depth = lambda text: _count(text, "{[") - _count(text, "]")
     pieces = _stored(_pieces(spark, paths).withColumns({
         "bytes": F.octet_length("value") + 1, "quotes": _count(clean, '"') % 2, "d0": depth(outside), "d1": depth(from_inside)}))
-    # the last piece of a file has no brace behind it, unless that is the file's last byte
+    # the last piece of a file has no brace behind it, unless that is the file's last byte; readers skip a byte order mark of 3
     whole = pieces.groupBy("file", "size").agg(F.sum("bytes").alias("all"), F.max(F.struct("block", "at")).alias("last"))
-    open_end = whole.filter(F.col("all") > F.col("size")).select("file", "last.block", "last.at", F.lit(False).alias("closed"))
+    open_end = whole.filter((F.col("all") - F.col("size")).isin(1, -2)).select("file", "last.block", "last.at", F.lit(False).alias("closed"))
     states = pieces.drop("value", "size").join(open_end, _PLACE, "left").withColumn("closed", F.coalesce("closed", F.lit(True)))
     states = _stored(_before(states, F.col("quotes"), "quoted"))
     inside, ends_inside = F.col("quoted") % 2 == 1, (F.col("quoted") + F.col("quotes")) % 2 == 1
