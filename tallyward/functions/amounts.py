@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from tallyward import schemas as S
 
 
-# Amounts are added up in millionths, as whole numbers: sums do not depend on the order of rows. Amounts at or
-# beyond the limit do not fit the sums of squares and count as unreadable.
-UNITS = 1_000_000
-LIMIT = 1e9
+# Amounts are added up in billionths, as whole numbers: sums do not depend on the order of rows. A number of billionths is
+# kept in two parts, high * LIMB + low, so that sums of squares fit whole numbers as well. Doubles at or beyond the
+# limit are more than an eighth apart; they count as unreadable.
+UNITS = 1_000_000_000
+LIMB = 10**12
+LIMIT = 1e15
 
 
 def in_range(amount: Column) -> Column:
@@ -17,15 +19,25 @@ def in_range(amount: Column) -> Column:
     return ~F.isnan(amount) & (F.abs(amount) < F.lit(LIMIT))
 
 
+def limbs(amount: Column) -> tuple[Column, Column]:
+    """The two parts as longs; null where the amount is not in range."""
+    step = float(LIMB // UNITS)
+    high = F.floor(amount / step)
+    low = F.rint((amount - high * step) * float(UNITS))
+    return F.when(in_range(amount), high.cast("long")), F.when(in_range(amount), low.cast("long"))
+
+
 def units(amount: Column) -> Column:
-    """Whole millionths as a long; null where the amount is not in range."""
-    return F.when(in_range(amount), (amount.cast("decimal(20,6)") * UNITS).cast("long"))
+    """Whole billionths; null where the amount is not in range."""
+    high, low = limbs(amount)
+    return (high.cast("decimal(13,0)") * F.lit(LIMB).cast("decimal(13,0)") + low).cast("decimal(26,0)")
 
 
 def mean_of(total: Column, n: Column) -> Column:
-    """Mean of an exact total in millionths. Divides whole numbers, so that equal amounts have exactly
+    """Mean of an exact total in billionths. Divides whole numbers, so that equal amounts have exactly
     themselves as their mean and are never a hair away from it."""
-    return total.cast("double") / n / UNITS
+    rest = total % n
+    return (((total - rest) / n).cast("double") + rest.cast("double") / n) / UNITS
 
 
 def flag(condition: Column) -> Column:

@@ -138,14 +138,12 @@ def recommended_threshold(sweep: DataFrame, least_detection: float = 0.8) -> Dat
 
 
 SLICE_ROWS = 1_000_000
-_CUTS = 1024
 
 
 def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    at = [i / _CUTS for i in range(1, _CUTS)]
-    n, cuts = df.agg(F.count(score), F.percentile_approx(score, at, 2 * _CUTS)).first()
-    slices = min(_CUTS, -(-n // SLICE_ROWS))
-    borders = sorted({cuts[i * _CUTS // slices - 1] for i in range(1, slices)})
+    slices = -(-df.agg(F.count(score)).first()[0] // SLICE_ROWS)
+    at = [i / slices for i in range(1, slices)]
+    borders = sorted({*df.agg(F.percentile_approx(score, at, 4 * slices)).first()[0]}) if at else []
     counted = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(F.col(label)).alias("pos"), F.count_if(~F.col(label)).alias("neg")
     )

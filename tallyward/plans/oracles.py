@@ -113,11 +113,11 @@ def _calendar(default: bool = False) -> str:
 
 
 def _stats(name: str, source: str) -> str:
-    """Per-user statistics from sums of whole millionths."""
-    c = "cast(round(amount * 1000000) AS HUGEINT)"
+    """Per-user statistics from sums of whole billionths."""
+    c = "cast(round(amount * 1000000000) AS HUGEINT)"
     return f"""{name} AS (
- SELECT user_id, n AS user_transaction_count, cast(s AS double) / na / 1000000 AS user_avg_amount,
-  CASE WHEN na > 1 THEN sqrt(cast(q * na - s * s AS double) / (cast(na AS double) * (na - 1))) / 1000000 ELSE 0.0e0 END
+ SELECT user_id, n AS user_transaction_count, (cast(s // na AS double) + cast(s % na AS double) / na) / 1000000000 AS user_avg_amount,
+  CASE WHEN na > 1 THEN sqrt(cast(q * na - s * s AS double) / (cast(na AS double) * (na - 1))) / 1000000000 ELSE 0.0e0 END
    AS user_amount_std, lo AS user_min_amount, hi AS user_max_amount, vpn AS user_vpn_ratio
  FROM (SELECT user_id, count(transaction_id) AS n, count(amount) AS na,
    sum({c}) AS s, sum({c} * {c}) AS q,
@@ -371,6 +371,11 @@ def oracle_sql() -> dict[str, str]:
         "batch_time_text": _with(select="SELECT transaction_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS parsed FROM tx"),
         "user_stats": _with(_ALL_STATS, select=stats_shown),
         "user_stats_incremental": _with(_ALL_STATS, select=stats_shown),
+        "user_stats_wide": _with(
+            """wide AS (SELECT concat('U', cast(event_id % 3 AS varchar)) AS user_id, CASE event_id % 3 WHEN 0 THEN amount * 1e11
+  WHEN 1 THEN round(amount / 1e4, 7) ELSE 9e8 END AS x FROM tx)""",
+            select=f"""SELECT user_id, count(*) AS user_transaction_count, {_r('avg(x) / max(x)')} AS avg_to_max,
+ {_r('stddev_samp(x) / avg(x)')} AS std_to_avg FROM wide GROUP BY user_id"""),
         "feat_user_behavior": _with(
             _ALL_STATS, _BEHAVIOUR, select=f"SELECT transaction_id, user_id, {_show(behaviour_names)} FROM behaviour"
         ),
@@ -402,7 +407,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "feature_csv": _csv(),
         "running_user_profile": _with(select=f"""SELECT transaction_id, user_id, count(*) OVER w AS running_count,
- {_r("cast(sum(cast(round(amount * 1000000) AS HUGEINT)) OVER w AS double) / count(*) OVER w / 1000000")} AS running_avg FROM tx
+ {_r("cast(sum(cast(round(amount * 1000000000) AS HUGEINT)) OVER w AS double) / count(*) OVER w / 1000000000")} AS running_avg FROM tx
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
         "flags_at_threshold": _with(_SCORED, select=f"""SELECT transaction_id, is_fraud, {_r('score')} AS score,
  score >= 0.5e0 AS flag_batch, score > 0.5e0 AS flag_stream, (score >= 0.5e0) = is_fraud AS correct FROM scored"""),
@@ -500,13 +505,15 @@ WHERE cast(floor(epoch(ts)) AS bigint) + {S.TTL_SECONDS} > {_NOW_EPOCH}"""),
         "stream_learned_scored": _with(
             "sent AS (SELECT * FROM tx WHERE event_id % 3 > 0)",
             f"first_part AS (SELECT * FROM sent WHERE ts < {_CUT})", f"second_part AS (SELECT * FROM sent WHERE ts >= {_CUT})",
+            "late_part AS (SELECT * FROM second_part UNION ALL SELECT * REPLACE (amount * 2 AS amount) FROM first_part WHERE event_id % 7 = 0)",
+            "once_part AS (SELECT * FROM first_part WHERE event_id % 7 > 0)",
             "base AS (SELECT * FROM tx WHERE event_id % 3 = 0)", "base_and_first AS (FROM base UNION ALL FROM first_part)",
             _stats("first_stats", "base"), _stats("second_stats", "base_and_first"),
             select=" UNION ALL ".join(
-                f"""SELECT transaction_id, coalesce(user_transaction_count, 1) AS user_transaction_count,
+                f"""SELECT transaction_id, {_r('amount')} AS amount, coalesce(user_transaction_count, 1) AS user_transaction_count,
  {_r('coalesce(user_avg_amount, 0)')} AS user_avg_amount,
  {_r('CASE WHEN user_amount_std > 0 THEN (amount - user_avg_amount) / user_amount_std ELSE 0.0e0 END')} AS amount_zscore
- FROM {part} LEFT JOIN {side} USING (user_id)""" for part, side in (("first_part", "first_stats"), ("second_part", "second_stats")))),
+ FROM {part} LEFT JOIN {side} USING (user_id)""" for part, side in (("once_part", "first_stats"), ("late_part", "second_stats")))),
         "stream_test_result": _with(_SCORED, _PREDICTED, select=f"""SELECT count(*) AS sent, count(*) AS processed,
  count(*) FILTER (is_fraud) AS fraud_detected, {_r('avg(fraud_probability)')} AS avg_fraud_probability, true AS complete_enough
  FROM predicted"""),

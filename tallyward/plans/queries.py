@@ -100,6 +100,19 @@ def user_stats_incremental(spark, folder):
     return stats.finish(stats.merge_partials(stats.partials(old), stats.partials(new)))
 
 
+def user_stats_wide(spark, folder):
+    """Statistics of three users with amounts of very different sizes: up to some 1e11 times as large as in the table, with
+    many decimals, and all equal. Shown in proportion to each other."""
+    n, rows = number(), tx(spark, folder)
+    made = rows.select(
+        "transaction_id", F.concat(F.lit("U"), (n % 3).cast("string")).alias("user_id"), "is_vpn",
+        F.when(n % 3 == 0, F.col("amount") * 1e11).when(n % 3 == 1, F.round(F.col("amount") / 1e4, 7)).otherwise(9e8).alias("amount"))
+    found = stats.user_stats(made)
+    return found.select(
+        "user_id", "user_transaction_count", (F.col("user_avg_amount") / F.col("user_max_amount")).alias("avg_to_max"),
+        (F.col("user_amount_std") / F.col("user_avg_amount")).alias("std_to_avg"))
+
+
 def feat_user_behavior(spark, folder):
     made = features.behaviour(tx(spark, folder))
     return made.select(
@@ -474,18 +487,20 @@ def stream_scored(spark, folder):
 
 def stream_learned_scored(spark, folder):
     """A stream that learns: rows up to ``HISTORY_END`` in one delivery, the later ones in the next, which also brings
-    some of the first again. The statistics of a row count what was delivered before."""
+    some of the first again, with twice the amount. The statistics of a row count what was delivered before, each id
+    once; a corrected record is scored and stored anew."""
     places = scoring_stream.Places(new_folder(spark, "stream"))
     rows = tx(spark, folder).filter((number() % 3) > 0)
     side_files.write_user_partials(stats.partials(tx(spark, folder).filter((number() % 3) == 0)), places.at("user_partials"))
     early = F.col("ts") < F.lit(HISTORY_END).cast("timestamp_ntz")
     scorer = Scorer(rates.defaults(spark))
-    for part in (rows.filter(early), rows.filter(~early | (number() % 7 == 0))):
+    again = rows.filter(early & (number() % 7 == 0)).withColumn("amount", F.col("amount") * 2)
+    for part in (rows.filter(early), rows.filter(~early).unionByName(again)):
         envelopes.publish(history.wire_form(part).drop("is_fraud"), places.at("envelopes"))
         stored = scoring_stream.replay(spark, places, scorer, at(NOW), files_per_batch=10_000, learn=True)
     v = "feature_values"
     return stored.select(
-        "transaction_id", F.col(f"{v}.user_transaction_count").alias("user_transaction_count"),
+        "transaction_id", "amount", F.col(f"{v}.user_transaction_count").alias("user_transaction_count"),
         F.col(f"{v}.user_avg_amount").alias("user_avg_amount"), F.col(f"{v}.amount_zscore").alias("amount_zscore"))
 
 
@@ -518,7 +533,7 @@ def stream_profile(spark, folder):
     source = event_transactions.read_stream(spark, folder)
     query = (
         source.writeStream.option("checkpointLocation", places.at("checkpoint"))
-        .foreachBatch(lambda batch, i: profile.append(batch, i, places.at("profile")))
+        .foreachBatch(lambda batch, i: profile.learn(batch, i, places.at("profile"), merge_every=2))
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()

@@ -107,8 +107,7 @@ USER_PARTIALS = T.StructType([
     T.StructField("user_id", T.StringType()),
     T.StructField("n", T.LongType()),
     T.StructField("n_amount", T.LongType()),
-    T.StructField("total", T.DecimalType(38, 0)),
-    T.StructField("squares", T.DecimalType(38, 0)),
+    *[T.StructField(name, T.DecimalType(38, 0)) for name in ("high", "low", "high_high", "high_low", "low_low")],
     T.StructField("lowest", T.DoubleType()),
     T.StructField("highest", T.DoubleType()),
     T.StructField("n_vpn", T.LongType()),

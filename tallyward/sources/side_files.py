@@ -11,6 +11,7 @@ from tallyward import schemas as S
 from tallyward.operators import rates
 from tallyward.operators.columns import public_entries
 from tallyward.operators.skew import small_rows
+from tallyward.session import new_folder
 
 
 def write_small(df: DataFrame, path: str) -> None:
@@ -57,47 +58,60 @@ def read_rates(spark: SparkSession, path: str) -> rates.Rates:
     return rates.Rates(table, overall, False, {}) if rows is None else rates.of_rows(spark, rows, overall)
 
 
-BUCKETS = 64
+FOLDER_USERS = 4_000
 
 
-def bucket(user: str = "user_id") -> Column:
-    """The folder of a user's rows."""
-    return F.pmod(F.xxhash64(user), F.lit(BUCKETS)).cast("int")
+def bucket(folders: int, user: str = "user_id") -> Column:
+    """The folder of a user's row, out of so many."""
+    return F.pmod(F.xxhash64(user), F.lit(folders)).cast("int")
 
 
-def buckets_of(df: DataFrame) -> list[int]:
-    """The folders that hold the users of a micro-batch, ``BUCKETS`` at most."""
-    return [r.bucket for r in df.select(bucket().alias("bucket")).distinct().collect()]
+def _write_by_user(df: DataFrame, path: str) -> None:
+    """A folder for every ``FOLDER_USERS`` users or so; their number doubles as the table grows, and is kept beside it."""
+    spark = df.sparkSession
+    df.write.parquet(staged := new_folder(spark, "by-user"))
+    rows = spark.read.schema(df.schema).parquet(staged)
+    folders = 1 << max(0, (rows.count() - 1) // FOLDER_USERS).bit_length()
+    placed = rows.withColumn("bucket", bucket(folders))
+    placed.repartition("bucket").sortWithinPartitions("bucket", "user_id").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    write_small(spark.range(1).select(F.lit(folders).alias("folders")), f"{path}_layout")
 
 
-def _write_by_user(df: DataFrame, path: str, mode: str) -> None:
-    placed = df.withColumn("bucket", bucket())
-    placed.repartition("bucket").sortWithinPartitions("bucket", "user_id").write.mode(mode).partitionBy("bucket").parquet(path)
+def _read_by_user(spark: SparkSession, path: str, schema: T.StructType, users: DataFrame | None) -> DataFrame:
+    """The rows, or those of some users (a column ``user_id``): then only their folders are listed and read.
 
+    The folders of a micro-batch, at most as many as its users, go to the driver.
+    """
+    full = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+    if users is None:
+        return spark.read.schema(full).parquet(path).drop("bucket")
+    folders = spark.read.schema("folders int").json(f"{path}_layout").first().folders
+    asked = users.select("user_id").filter(F.col("user_id").isNotNull()).distinct()
+    found = [0] if folders == 1 else [r.b for r in asked.select(bucket(folders).alias("b")).distinct().collect()]
+    if not found:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(full).option("basePath", path).parquet(*[f"{path}/bucket={b}" for b in found]).drop("bucket")
+    return rows.join(asked, "user_id", "left_semi")
 
-def _read_by_user(spark: SparkSession, path: str, schema: T.StructType, buckets: list[int] | None) -> DataFrame:
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])).parquet(path)
-    return (rows if buckets is None else rows.filter(F.col("bucket").isin(buckets))).drop("bucket")
 
+def write_user_stats(stats: DataFrame, path: str) -> None:
+    """Statistics in folders by user hash, sorted by user: a lookup reads the folders of its users only."""
+    _write_by_user(stats, path)
 
-def write_user_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Statistics in a folder per user hash, sorted by user: a lookup reads the folders of its users only."""
-    _write_by_user(stats, path, mode)
 
+def read_user_stats(spark: SparkSession, path: str, users: DataFrame | None = None) -> DataFrame:
+    return _read_by_user(spark, path, S.USER_STATS, users)
 
-def read_user_stats(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
-    return _read_by_user(spark, path, S.USER_STATS, buckets)
 
-
-def write_user_partials(partials: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_user_partials(partials: DataFrame, path: str) -> None:
     """The sums behind the statistics, laid out alike: what is learned later can be added to them."""
-    _write_by_user(partials, path, mode)
+    _write_by_user(partials, path)
 
 
-def read_user_partials(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+def read_user_partials(spark: SparkSession, path: str, users: DataFrame | None = None) -> DataFrame:
     """The sums, or none when there are none to read."""
     try:
-        return _read_by_user(spark, path, S.USER_PARTIALS, buckets)
+        return _read_by_user(spark, path, S.USER_PARTIALS, users)
     except AnalysisException:
         return spark.createDataFrame([], S.USER_PARTIALS)
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tallyward import schemas as S
 from tallyward.functions import clock
 from tallyward.operators import columns, rates, scoring, store
-from tallyward.operators.skew import SMALL_TABLE_ROWS
 from tallyward.plans import features
 
 
@@ -51,18 +50,3 @@ class Scorer:
             ),
             now,
         )
-
-
-def stats_of(
-    transactions: DataFrame, user_stats: DataFrame, limit: int = SMALL_TABLE_ROWS
-) -> DataFrame:
-    """Statistics of the users in a micro-batch only.
-
-    The statistics table is far larger than a micro-batch, so the batch's user ids go
-    to the table. When they are few, both they and what is found for them are small
-    enough to broadcast; when not, both joins are left to shuffle.
-    """
-    users = transactions.select("user_id").filter(F.col("user_id").isNotNull()).distinct()
-    if users.limit(limit + 1).count() > limit:
-        return user_stats.join(users, "user_id", "left_semi")
-    return F.broadcast(user_stats.join(F.broadcast(users), "user_id", "left_semi"))

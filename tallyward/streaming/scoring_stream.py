@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyward.operators import alerts, store
 from tallyward.sources import envelopes, side_files
 from tallyward.streaming import profile
-from tallyward.streaming.scorer import Scorer, stats_of
+from tallyward.streaming.scorer import Scorer
 
 
 @dataclass
@@ -34,45 +34,28 @@ def one_per_id(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
 
 
-def query_of(batch: DataFrame) -> str:
-    """The id that a query keeps over restarts from one checkpoint; it names the query's folders."""
-    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
-
-
 def handle(
     batch: DataFrame, batch_id: int, places: Places, scorer: Scorer, now: Column | None = None,
     learn: bool = False, started: int = 0,
 ) -> None:
-    """All work of one micro-batch.
-
-    With ``learn`` its rows also feed the user statistics that later batches are scored with: each id once, so a
-    record that was learned before is left out of the batch.
-    """
-    spark, query = batch.sparkSession, query_of(batch)
+    """All work of one micro-batch. With ``learn`` rows are scored with what the learning stream knows by now."""
+    spark, query = batch.sparkSession, profile.query_of(batch)
     sink = f"query={query}/batch_id={batch_id}"
     decoded = envelopes.decode(batch).persist()
     try:
         transactions = envelopes.accepted(decoded)
-        buckets = side_files.buckets_of(transactions)
         if learn:
-            known = profile.learned(spark, places.at("profile"), buckets, (query, batch_id)).persist()
-            transactions = profile.unlearned(one_per_id(transactions), known)
-            statistics = profile.current(spark, places.at("profile"), places.at("user_partials"), known=known, buckets=buckets)
+            statistics = profile.current(spark, places.at("profile"), places.at("user_partials"), transactions)
         else:
-            statistics = side_files.read_user_stats(spark, places.at("user_stats"), buckets)
-        earlier = stats_of(transactions, statistics)
-        scored = scorer.score(transactions, earlier, now).persist()
+            statistics = side_files.read_user_stats(spark, places.at("user_stats"), transactions)
+        scored = scorer.score(transactions, statistics, now).persist()
         try:
             store.append(one_per_id(scored), batch_id, places.at("store"), query, started)
             alerts.alerts(scored).write.mode("overwrite").json(f"{places.at('alerts')}/{sink}")
             envelopes.rejected(decoded).write.mode("overwrite").json(f"{places.at('rejects')}/{sink}")
             store.summary(scored).coalesce(1).write.mode("overwrite").json(f"{places.at('summaries')}/{sink}")
-            if learn:
-                profile.append(transactions, batch_id, places.at("profile"), query)
         finally:
             scored.unpersist()
-            if learn:
-                known.unpersist()
     finally:
         decoded.unpersist()
 
@@ -81,7 +64,10 @@ def start(
     spark: SparkSession, places: Places, scorer: Scorer, now: Column | None = None, learn: bool = False,
     files_per_batch: int = 100, once: bool = False,
 ) -> StreamingQuery:
-    """Start the stream; ``once`` works off what is there and stops."""
+    """Start the scoring stream; ``once`` works off what is there and stops.
+
+    With ``learn`` the statistics are those of the learning stream, see ``start_learning``.
+    """
     lines = envelopes.read_stream(spark, places.at("envelopes"), files_per_batch)
     started = int(time.time() * 1000)
     writer = (
@@ -91,11 +77,18 @@ def start(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def start_learning(spark: SparkSession, places: Places, files_per_batch: int = 100, once: bool = False, **options) -> StreamingQuery:
+    """The stream beside it that learns user statistics from the same envelopes; ``options`` as in ``profile.start``."""
+    return profile.start(spark, places.at("envelopes"), places.at("profile"), places.at("profile_checkpoint"), places.at("user_partials"),
+                         files_per_batch=files_per_batch, once=once, **options)
+
+
 def replay(spark: SparkSession, places: Places, scorer: Scorer, now: Column | None = None,
            files_per_batch: int = 100, learn: bool = False) -> DataFrame:
-    """Work the waiting envelopes off, then give the current stored rows."""
-    query = start(spark, places, scorer, now, learn, files_per_batch, once=True)
-    query.awaitTermination()
+    """Work the waiting envelopes off, then learn from them, then give the current stored rows."""
+    start(spark, places, scorer, now, learn, files_per_batch, once=True).awaitTermination()
+    if learn:
+        start_learning(spark, places, files_per_batch, once=True).awaitTermination()
     return store.read(spark, places.at("store"), now)
 
 

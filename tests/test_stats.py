@@ -1,3 +1,5 @@
+from fractions import Fraction
+
 import statistics
 
 import pytest
@@ -78,13 +80,13 @@ def test_attach_is_a_join_that_can_be_split(spark, hot):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("heavy", [30, 10_000])
-def test_running_profile_equals_a_plain_window(spark, hot, heavy):
+@pytest.mark.parametrize("ranges", [1, 7, 40])
+def test_running_profile_equals_a_plain_window(spark, hot, ranges):
     w = Window.partitionBy("user_id").orderBy("ts", "transaction_id").rowsBetween(Window.unboundedPreceding, 0)
     plain = hot.select(
         "transaction_id", F.count(F.lit(1)).over(w).alias("running_count"), F.avg("amount").over(w).alias("running_avg")
     )
-    ours = running.running_profile(hot, heavy).select("transaction_id", "running_count", "running_avg")
+    ours = running.running_profile(hot, ranges).select("transaction_id", "running_count", "running_avg")
     theirs = {r.transaction_id: r for r in plain.collect()}
     got = ours.collect()
     assert len(got) == 1200
@@ -93,9 +95,37 @@ def test_running_profile_equals_a_plain_window(spark, hot, heavy):
         assert r.running_avg == pytest.approx(theirs[r.transaction_id].running_avg, abs=1e-9)
 
 
-def test_one_busy_second_is_split(spark, hot):
+def test_a_busy_user_spreads_over_ranges(spark, hot):
+    """Half of the rows belong to one user and one second; a null user and lone users lie beside it."""
     busy = hot.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-    borders = {r._key: r._borders for r in running._slices(busy, 100).collect()}
-    assert set(borders) == {"HOT", None} and all(len(b) >= 12 for b in borders.values())
-    got = sorted((r.transaction_id, r.running_count) for r in running.running_profile(busy, 100).filter("user_id = 'HOT'").collect())
+    parts = running.ranged(busy, 12).filter("user_id = 'HOT'").groupBy("_range").count().collect()
+    assert len(parts) >= 4 and max(r["count"] for r in parts) < 200
+    got = sorted((r.transaction_id, r.running_count) for r in running.running_profile(busy, 12).filter("user_id = 'HOT'").collect())
     assert [n for _, n in got] == list(range(1, 401))
+
+
+def test_running_average_of_absent_amounts(record, spark):
+    rows = [{"transaction_id": f"T{i}", "user_id": "U", "amount": a} for i, a in enumerate([None, 4.0, None, float("nan")])]
+    df = record(*rows).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    for ranges in (1, 4):
+        got = [r.running_avg for r in running.running_profile(df, ranges).orderBy("transaction_id").collect()]
+        assert got == [None, 2.0, pytest.approx(4 / 3), 1.0]
+
+
+@pytest.mark.parametrize("amounts", [
+    [9e8] * 12_000, [1e12, 1e12 + 0.25, 1e12 - 0.25], [0.0000001, 0.0000003], [999.999999, 1000.000001, 1000.0], [-5.5, 5.5, 123456789.123],
+    [9e14, -9e14, 1.0], [1e12 + 0.0005 * k for k in range(50)],
+])
+def test_amounts_of_any_size(spark, amounts):
+    df = spark.createDataFrame([(f"T{i}", "U", a, True) for i, a in enumerate(amounts)], "transaction_id string, user_id string, amount double, is_vpn boolean")
+    r = stats.user_stats(df).first()
+    exact = [Fraction(round(Fraction(a) * 10**9), 10**9) for a in amounts]
+    mean = sum(exact) / len(exact)
+    std = float(sum((x - mean) ** 2 for x in exact) / (len(exact) - 1)) ** 0.5
+    assert r.user_avg_amount == pytest.approx(float(mean), rel=1e-15) and r.user_amount_std == pytest.approx(std, rel=1e-9)
+
+
+def test_amounts_beyond_the_limit_are_none(spark):
+    rows = [("a", 1e15), ("b", float("nan")), ("c", float("-inf")), ("d", None), ("e", 3.0)]
+    r = stats.user_stats(spark.createDataFrame([(i, "U", a, None) for i, a in rows], "transaction_id string, user_id string, amount double, is_vpn boolean")).first()
+    assert (r.user_transaction_count, r.user_avg_amount, r.user_max_amount) == (5, 3.0, 3.0)

@@ -1,3 +1,4 @@
+import time
 import json
 
 import pytest
@@ -115,17 +116,63 @@ def test_hostile_amounts_do_not_stop_a_learning_stream(spark, record, tx):
     assert (learned.user_transaction_count, learned.user_avg_amount) == (1, 5.0)
 
 
-def test_redelivery_is_learned_once(spark, record, tx):
+def test_redelivery_is_learned_once_and_stored_anew(spark, record, tx):
     row = {"transaction_id": "T1", "user_id": "UX", "amount": 4.0}
     places = places_for(spark, tx, record(row, row))
     scorer = Scorer(rates.defaults(spark))
-    for more in ([], [row, {**row, "transaction_id": "T2"}], [row]):
+    for more in ([], [{**row, "amount": 9.0}, {**row, "transaction_id": "T2"}], [{**row, "amount": 11.0}]):
         if more:
             envelopes.publish(record(*more), places.at("envelopes"))
         got = scoring_stream.replay(spark, places, scorer, now(), learn=True)
-    counts = {r.transaction_id: r.feature_values.user_transaction_count for r in got.collect()}
-    assert counts == {"T1": 1, "T2": 1}
-    assert profile.current(spark, places.at("profile")).first().user_transaction_count == 2
+    assert {r.transaction_id: (r.amount, r.feature_values.user_transaction_count) for r in got.collect()} == {"T1": (11.0, 2), "T2": (4.0, 1)}
+    r = profile.current(spark, places.at("profile")).first()
+    assert (r.user_transaction_count, r.user_avg_amount) == (2, 4.0)
+
+
+def test_merges_keep_the_sums(spark, tx):
+    """Batches of two queries, merged in between, one of them repeated after its merge."""
+    path = new_folder(spark, "profile")
+    parts = [tx.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(7)) == k) for k in range(7)]
+    for k, part in enumerate(parts):
+        profile.learn(part, k // 2, path, query="ab"[k % 2], merge_every=2)
+    profile.learn(parts[2], 1, path, query="a", merge_every=2)
+    assert profile._epoch(spark, path)[0] >= 2
+    assert rows_of(profile.current(spark, path)) == rows_of(stats.user_stats(tx))
+    users = tx.select("user_id").filter("user_id < 'U10010'")
+    assert rows_of(profile.current(spark, path, users=users)) == rows_of(stats.user_stats(tx.join(users.distinct(), "user_id", "left_semi")))
+
+
+def test_the_state_forgets_what_is_older_than_the_horizon(spark, record, tx):
+    row = {"transaction_id": "T1", "user_id": "UX", "amount": 4.0}
+    places = places_for(spark, tx, record(row))
+    for k in range(4):
+        scoring_stream.start_learning(spark, places, once=True, horizon="1 second").awaitTermination()
+        query = scoring_stream.start_learning(spark, places, once=True, horizon="1 second")
+        query.awaitTermination()
+        time.sleep(1.2)
+        envelopes.publish(record({**row, "transaction_id": f"N{k}"}), places.at("envelopes"))
+    query = scoring_stream.start_learning(spark, places, once=True, horizon="1 second")
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert kept and kept[-1] <= 2
+    assert profile.current(spark, places.at("profile")).first().user_transaction_count == 5
+
+
+def test_a_lookup_reads_in_proportion_to_its_users(spark, monkeypatch):
+    """The same users out of a table a hundred times as large: as many folders of the same size."""
+    monkeypatch.setattr(side_files, "FOLDER_USERS", 50)
+    read = []
+    for size in (200, 20_000):
+        users = spark.range(size).select(F.format_string("U%06d", "id").alias("user_id"))
+        table = users.select("user_id", *[F.lit(1).cast(f.dataType).alias(f.name) for f in side_files.S.USER_STATS.fields[1:]])
+        side_files.write_user_stats(table, path := new_folder(spark, "stats"))
+        asked = users.filter("user_id in ('U000003', 'U000077', 'U000150')")
+        found = side_files.read_user_stats(spark, path, asked)
+        assert found.count() == 3
+        files = [f for f in found.inputFiles() if "bucket=" in f]
+        read.append(spark.read.parquet(*files).count())
+        assert len({f.split("bucket=")[1].split("/")[0] for f in files}) <= 3
+    assert read[1] < 3 * 2 * 50 and read[0] <= 200
 
 
 def test_upsert_survives_a_hot_key(spark):
@@ -170,10 +217,12 @@ def test_restart_takes_up_where_it_stopped(spark, tx):
     scorer = Scorer(rates.defaults(spark))
     query = scoring_stream.start(spark, places, scorer, now(), learn=True, once=True)
     query.awaitTermination()
+    scoring_stream.start_learning(spark, places, once=True).awaitTermination()
     before = store.read(spark, places.at("store"), now()).count()
     envelopes.publish(rows.filter("amount >= 50"), places.at("envelopes"))
     query = scoring_stream.start(spark, places, scorer, now(), learn=True, once=True)
     query.awaitTermination()
+    scoring_stream.start_learning(spark, places, once=True).awaitTermination()
     assert 0 < before < 1000
     assert store.read(spark, places.at("store"), now()).count() == 1000
     summaries = spark.read.json(places.at("summaries"))
