@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward import schemas as S
-from tallyward.operators import columns, evaluate, stats
+from tallyward.operators import columns, evaluate, rates, stats
 from tallyward.plans import training
 from tallyward.sources import history, side_files
 
@@ -40,7 +40,7 @@ def run(
         side_files.metadata_row(spark, name, f"trial-{best.number}", best.parameters.as_dict(), made, time.time()),
         f"{out}/metadata",
     )
-    side_files.write_rates(fitted.rates, f"{out}/rates")
+    side_files.write_rates(rates.served(fitted.rates), f"{out}/rates")
     side_files.write_user_partials(stats.partials(df), f"{out}/user_partials")
     sums = side_files.read_user_partials(spark, f"{out}/user_partials")
     side_files.write_user_stats(stats.finish(sums), f"{out}/user_stats")

@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward import schemas as S
@@ -43,6 +43,14 @@ def fit(df: DataFrame, most_values: int = encode.MAX_VALUES) -> Fitted:
     return Fitted(fitted, {c: vocabulary[c] for c in S.CATEGORICAL})
 
 
+def fit_folds(df: DataFrame, among: Column, most_values: int = encode.MAX_VALUES) -> Fitted:
+    """The same with rates that leave out the fold of each row; only rows ``among`` those given teach."""
+    fitted = rates.fit_folds(df, among=among)
+    vocabulary = fitted.seen if fitted.small else encode.vocabulary(df.filter(among), limit=most_values)
+    encode.check_width(vocabulary, most_values)
+    return Fitted(fitted, {c: vocabulary[c] for c in S.CATEGORICAL})
+
+
 def batch(df: DataFrame, fitted: Fitted | None = None, user_stats: DataFrame | None = None) -> DataFrame:
     """The training frame: calendar, behaviour, rates and one-hot columns.
 

@@ -388,6 +388,19 @@ def oracle_sql() -> dict[str, str]:
             _SPLIT, "train_rows AS (SELECT * FROM parted WHERE split = 'train')", *_rate_ctes("train_rows"),
             select=f"SELECT transaction_id, split, {rates_shown} {_rate_joins('parted')}",
         ),
+        "rate_encoded_folds": _with(
+            _SPLIT, """dealt AS (SELECT *, CASE WHEN split = 'train' THEN
+  cast(('0x' || substr(md5(transaction_id || ':fold:42'), 1, 8))::BIGINT % 5 AS int) ELSE -1 END AS fold FROM parted)""",
+            "folds AS (SELECT unnest([-1, 0, 1, 2, 3, 4]) AS fold)",
+            """priors AS (SELECT f.fold, avg(cast(is_fraud AS int)) AS prior FROM folds f JOIN dealt d ON d.fold >= 0 AND d.fold <> f.fold GROUP BY f.fold)""",
+            *[f"""{c}_folds AS (SELECT f.fold, {c}, (sum(CASE WHEN d.fold <> f.fold THEN cast(is_fraud AS int) ELSE 0 END) + 20 * any_value(prior))
+  / (count(*) FILTER (d.fold <> f.fold) + 20) AS {t} FROM priors f JOIN dealt d ON d.fold >= 0 WHERE {c} IS NOT NULL GROUP BY f.fold, {c})"""
+              for c, t in S.RATE_FEATURES.items()],
+            select=f"""SELECT transaction_id, split, fold, {_r('coalesce(location_fraud_rate, prior)')} AS location_fraud_rate,
+ {_r('coalesce(device_fraud_rate, CASE WHEN device_type IS NOT NULL THEN prior END)')} AS device_fraud_rate,
+ {_r('coalesce(card_fraud_rate, CASE WHEN card_type IS NOT NULL THEN prior END)')} AS card_fraud_rate
+FROM dealt LEFT JOIN priors USING (fold) LEFT JOIN location_folds USING (fold, location) LEFT JOIN device_type_folds USING (fold, device_type)
+ LEFT JOIN card_type_folds USING (fold, card_type)"""),
         "rate_encoded_defaults": _with(select=f"""SELECT transaction_id, {_DEFAULT_LOCATION} AS location_fraud_rate,
  {_DEFAULT_DEVICE} AS device_fraud_rate, {_DEFAULT_CARD} AS card_fraud_rate FROM tx"""),
         "one_hot_fitted": _with(select=f"SELECT transaction_id, {', '.join(_one_hot(_FITTED))} FROM tx"),

@@ -139,6 +139,13 @@ def rate_encoded_train_only(spark, folder):
     return made.select("transaction_id", "split", *S.RATE_FEATURES.values())
 
 
+def rate_encoded_folds(spark, folder):
+    """Each row by the labels of the other folds, test rows by all train rows."""
+    rows = split.stratified_split(tx(spark, folder))
+    fitted = rates.fit_folds(rows, rates.COLUMNS, among=F.col("split") == "train")
+    return rates.encode(rows, fitted).select("transaction_id", "split", fitted.folds.of_row().alias("fold"), *S.RATE_FEATURES.values())
+
+
 def rate_encoded_defaults(spark, folder):
     made = rates.encode_or_default(tx(spark, folder), rates.defaults(spark))
     return made.select("transaction_id", *S.RATE_FEATURES.values())
@@ -385,11 +392,14 @@ def latest_by_key(spark, folder):
 
 
 def upserted(spark, folder):
-    """Three deliveries appended to a store, the second by another query, one of them twice; then what is current."""
+    """Three deliveries appended to a store, the second by another query, one of them twice, with merges in between; then
+    what is current."""
     path = new_folder(spark, "store")
     rows = store.stored_form(_versions(spark, folder), at(NOW)).withColumn("given", F.col("version"))
     for version, query, started in ((1, "a", 0), (2, "b", 7), (3, "a", 9), (3, "a", 9)):
         store.append(rows.filter(F.col("given") == version), version, path, query, started)
+        if version != 2:
+            store.merge(spark, path, at(NOW))
     current = store.read(spark, path, at(NOW))
     return current.select("transaction_id", "user_id", "amount", F.col("given").alias("version"))
 

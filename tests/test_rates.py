@@ -105,3 +105,21 @@ def test_extractor_defaults(spark, record):
         assert (got["T3"].user_transaction_count, got["T3"].user_amount_std, got["T3"].is_largest_tx) == (1, 1.0, 1)
         assert (got["T4"].amount, got["T4"].month, got["T4"].hour_of_day, got["T4"].status_approved) == (0.0, 1, 0, 1)
         assert got["T4"].location_unknown == 1
+
+
+def test_folds_leave_out_a_rows_own_label(spark):
+    """Turning one row's label changes no rate of its own fold, and a value that only one fold has gets the overall rate."""
+    rows = [(f"T{i}", "London, UK" if i else "Lone", "mobile", None if i == 3 else "gift", i % 3 == 0) for i in range(60)]
+    names = "transaction_id string, location string, device_type string, card_type string, is_fraud boolean"
+    df, turned = (spark.createDataFrame([(*r[:4], r[4] ^ (t and r[0] == "T7")) for r in rows], names) for t in (False, True))
+    made = [{r.transaction_id: r for r in rates.encode(d, rates.fit_folds(d, rates.COLUMNS, folds=4)).collect()} for d in (df, turned)]
+    fold = {r.transaction_id: r.f for r in df.select("transaction_id", rates.Folds(4, 42, F.lit(True)).of_row().alias("f")).collect()}
+    same = [i for i in fold if made[0][i].device_fraud_rate == made[1][i].device_fraud_rate]
+    assert set(same) == {i for i in fold if fold[i] == fold["T7"]} and len(set(fold.values())) == 4
+    assert made[0]["T0"].location_fraud_rate == pytest.approx(sum(r[4] for r in rows if fold[r[0]] != fold["T0"]) / sum(f != fold["T0"] for f in fold.values()))
+    assert made[0]["T3"].card_fraud_rate is None
+    small, large = rates.fit_folds(df, rates.COLUMNS), rates.fit_folds(df, rates.COLUMNS, limit=3)
+    assert small.small and not large.small and small.overall == large.overall
+    assert rows_of(rates.encode(df, small)) == rows_of(rates.encode(df, large))
+    served = rates.served(small)
+    assert served.folds is None and "fold" not in served.table.columns and rates.encode(df, served).filter("device_fraud_rate is null").count() == 0

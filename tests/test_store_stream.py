@@ -89,6 +89,28 @@ def test_compact_keeps_what_is_current(spark, record):
     assert store.of_user(spark, target, "U1", now()).count() == 1
 
 
+def test_merges_leave_one_row_per_id(spark, record):
+    """Versions before, across and after merges; an older query that still writes; a merged batch written again."""
+    path = new_folder(spark, "store")
+    put = lambda batch, query="a", started=0, **row: store.append(
+        store.stored_form(scored(record, **row), now()), batch, path, query, started)
+    put(0, transaction_id="T1", amount=1.0)
+    put(1, transaction_id="T2", amount=2.0)
+    store.merge(spark, path, now())
+    put(2, transaction_id="T1", amount=3.0)
+    put(0, "b", 5, transaction_id="T3", amount=4.0)
+    put(1, transaction_id="T2", amount=2.0)
+    store.merge(spark, path, now())
+    put(3, transaction_id="T3", amount=99.0)  # of the query that started earlier
+    put(1, "b", 5, transaction_id="T1", amount=6.0, user_id="U2")
+    assert {r.transaction_id: r.amount for r in store.read(spark, path, now()).collect()} == {"T1": 6.0, "T2": 2.0, "T3": 4.0}
+    base = store._epoch(spark, path)
+    assert base[0] == 2 and spark.read.parquet(base[1]).count() == 3
+    assert store._since(spark, path, base[2], now()).count() == 2
+    assert [r.transaction_id for r in store.of_user(spark, path, "U2", now()).collect()] == ["T1"]
+    assert sorted(r.transaction_id for r in store.of_user(spark, path, "U1", now()).collect()) == ["T2", "T3"]
+
+
 def test_new_checkpoint_loses_nothing(spark, record, tx):
     places = places_for(spark, tx, record({"transaction_id": "T1", "user_id": "U1", "amount": 1.0}))
     scorer = Scorer(rates.defaults(spark))

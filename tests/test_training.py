@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -72,11 +75,28 @@ def test_patience(fitted):
     assert training.metrics(training.score(model, matrix.filter("split = 'test'"), names)).count() > 5
 
 
-def test_draw_is_repeatable_and_in_range():
-    assert training.draw() == training.draw()
-    for p in training.draw(50):
-        assert 3 <= p.maxDepth <= 10 and 0.01 <= p.stepSize <= 0.3 and 0.5 <= p.subsamplingRate <= 1.0
-        assert 0.5 <= float(p.featureSubsetStrategy) < 1.0 and 1 <= p.minInstancesPerNode <= 10
+def test_search_is_repeatable_and_in_range():
+    flat = lambda points: [0.0] * len(points)
+    points, _ = training.search(flat, 6, 2)
+    assert points == training.search(flat, 6, 2)[0] and len({tuple(p) for p in points}) == 6
+    rng = random.Random(1)
+    for point in [*points, [0.0] * 6, [1.0] * 6, *[[rng.random() for _ in range(6)] for _ in range(50)]]:
+        p = training.at_point(point)
+        assert 3 <= p.maxDepth <= 10 and 0.01 <= p.stepSize <= 0.3 and 0 <= p.minInfoGain <= 0.01
+        assert 1 <= p.minInstancesPerNode <= 10 and 0.5 <= p.subsamplingRate <= 1 and 0.5 <= float(p.featureSubsetStrategy) <= 0.99
+
+
+def test_search_is_not_worse_than_chance():
+    """On smooth surfaces with one top, at an equal number of trials, over five seeds."""
+    for trials in (12, 16):
+        learned, chance = [], []
+        for seed in range(5):
+            top = np.random.default_rng([9, seed]).random(6)
+            surface = lambda points, top=top: [-float(((np.array(p) - top) ** 2).sum()) for p in points]
+            learned.append(max(training.search(surface, trials, 2, seed)[1]))
+            chance.append(max(surface(np.random.default_rng([5, seed]).random((trials, 6)))))
+        assert sum(learned) > sum(chance)
+
 
 
 def test_fit_on_train_only(spark, data):
