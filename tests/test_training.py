@@ -87,11 +87,11 @@ def test_search_is_repeatable_and_in_range():
 
 
 def test_search_is_not_worse_than_chance():
-    """On smooth surfaces with one top, at an equal number of trials, over five seeds."""
-    for trials in (12, 16):
+    """On smooth surfaces with one top, at an equal number of trials, over forty seeds (five vary too much)."""
+    for trials in (8, 12, 16):
         learned, chance = [], []
-        for seed in range(5):
-            top = np.random.default_rng([9, seed]).random(6)
+        for seed in range(40):
+            top = np.random.default_rng([77, seed]).random(6)
             surface = lambda points, top=top: [-float(((np.array(p) - top) ** 2).sum()) for p in points]
             learned.append(max(training.search(surface, trials, 2, seed)[1]))
             chance.append(max(surface(np.random.default_rng([5, seed]).random((trials, 6)))))
