@@ -44,86 +44,112 @@ MARK = "\x02"  # begins a text that belongs to the article, in labelled pages on
 @dataclass
 class Block:
     text: str
-    tags: tuple[str, ...]
+    tags: frozenset[str]
+    last: str
     cues: frozenset[str]
     linked: float
 
 
+class _Stack:
+    """The open tags. What a block needs of all its ancestors is kept with each of them, shared where nothing new came, and
+    where each name is open is kept as well: no step looks through the whole stack."""
+
+    def __init__(self):
+        self.open: list[tuple[str, frozenset, str, frozenset]] = []  # tag; tags, last block-level tag and cues up to it
+        self.places: dict[str, list[int]] = {}
+
+    def top(self) -> tuple[str, frozenset, str, frozenset]:
+        return self.open[-1] if self.open else ("", frozenset(), "", frozenset())
+
+    def push(self, tag: str, cues: frozenset) -> None:
+        _, tags, last, known = self.top()
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, tags if tag in tags else tags | {tag}, tag if tag in _BLOCK else last, known if cues <= known else known | cues))
+
+    def last(self, names) -> int:
+        """The place of the innermost open tag of these names, or -1."""
+        return max((self.places[t][-1] for t in names if self.places.get(t)), default=-1)
+
+    def pop(self, to: int) -> None:
+        while len(self.open) > to:
+            self.places[self.open.pop()[0]].pop()
+
+    def count(self, names) -> int:
+        return sum(len(self.places.get(t, ())) for t in names)
+
+
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks that hold text, in page order; character references decoded, white space as single spaces."""
-    stack: list[tuple[str, frozenset]] = []
+    """The leaf blocks that hold text, in page order; character references decoded, white space as single spaces.
+
+    Takes time in proportion to the page, whatever its tags.
+    """
+    stack = _Stack()
     out: list[Block] = []
     parts: list[str] = []
-    links = hidden = inside_link = 0
+    links = 0
 
     def close() -> None:
         nonlocal links
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                cues = frozenset().union(*(c for _, c in stack))
-                out.append(Block(text, tuple(t for t, _ in stack), cues, min(1.0, links / len(text))))
+                _, tags, last, cues = stack.top()
+                out.append(Block(text, tags, last, cues, min(1.0, links / len(text))))
             parts.clear()
         links = 0
 
-    def pop(to: int) -> None:
-        nonlocal hidden, inside_link
-        for tag, _ in stack[to:]:
-            hidden -= tag in _HIDDEN
-            inside_link -= tag == "a"
-        del stack[to:]
-
     def end_head() -> None:
-        place = next((i for i, (t, _) in enumerate(stack) if t == "head"), None)
-        if place is not None:
-            pop(place)
+        if stack.places.get("head"):
+            stack.pop(stack.places["head"][0])
 
-    at = 0
+    at, end = 0, page.rfind(">") + 1  # behind it no tag can end
     while True:
-        found = _TAG.search(page, at)
+        found = _TAG.search(page, at, end) if at < end else None
         text = page[at: found.start() if found else len(page)]
-        if hidden and stack[-1][0] == "head" and text.strip():
+        if not found and "<!--" in text:
+            text = text[: text.index("<!--")]
+        hidden = stack.count(_HIDDEN)
+        if hidden and stack.top()[0] == "head" and text.strip():
             end_head()
+            hidden = stack.count(_HIDDEN)
         if text and not hidden:
             parts.append(text)
-            links += len(text) if inside_link else 0
+            links += len(text) if stack.places.get("a") else 0
         if not found:
             break
         at = found.end()
         if not found[2]:
+            if found[0].startswith("<!--") and not found[0].endswith("-->"):
+                break  # a comment without an end
             continue
         tag = found[2].lower()
         if found[1]:
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if tag in _BLOCK:
                 close()
-            if place is not None:
-                pop(place)
+            place = stack.last((tag,))
+            if place >= 0:
+                stack.pop(place)
             continue
-        if hidden and tag not in _IN_HEAD and (tag == "body" or stack[-1][0] != "title"):  # a title's tags are text
+        if hidden and tag not in _IN_HEAD and (tag == "body" or stack.top()[0] != "title"):  # a title's tags are text
             end_head()
         if tag in _RAW and not (tag == "svg" and found[3].endswith("/")):
-            end = _RAW[tag].search(page, at)
-            at = end.end() if end else len(page)
+            closing = _RAW[tag].search(page, at, end)
+            if not closing:
+                break  # the rest belongs to it
+            at = closing.end()
             continue
         if tag == "br":
-            if not hidden:
+            if not stack.count(_HIDDEN):
                 parts.append(" ")
             continue
         if tag in _BLOCK:
             close()
-            shut = _CLOSES.get(tag) or ({"p"} if tag != "body" else set())
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in shut:
-                    pop(i)
-                    break
-                if stack[i][0] in _LISTS:
-                    break
+            shut = stack.last(_CLOSES.get(tag) or ({"p"} if tag != "body" else ()))
+            if shut >= 0 and shut >= stack.last(_LISTS):  # td is in both
+                stack.pop(shut)
         if tag not in _VOID and not found[3].endswith("/"):
             words = " ".join(v.strip("\"'") for v in _NAMES.findall(found[3])).lower() if found[3] else ""
-            stack.append((tag, CUES.intersection(re.split(r"[^a-z]+", words)) if words else frozenset()))
-            hidden += tag in _HIDDEN
-            inside_link += tag == "a"
+            stack.push(tag, CUES.intersection(re.split(r"[^a-z]+", words)) if words else frozenset())
     close()
     return out
 
@@ -133,9 +159,9 @@ def features(page: list[Block]) -> list[list[str]]:
     out = []
     for i, b in enumerate(page):
         n = len(b.text)
-        last = next((t for t in reversed(b.tags) if t in _BLOCK), "")
+        last = b.last
         f = ["any", "at " + last, f"size {min(7, n.bit_length() // 2)}", f"links {round(2 * b.linked)}"]
-        f += ["in " + t for t in set(b.tags)]
+        f += ["in " + t for t in b.tags]
         f += ["cue " + c for c in b.cues]
         if b.text[-1] in ".!?…\"'»”":
             f.append("stop")

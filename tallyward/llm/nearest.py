@@ -100,13 +100,18 @@ def _place(c: np.ndarray, longest: float, batches):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int32())], names=["id", "vec", "list"])
 
 
-def _probe(c: np.ndarray, probes: int, batches):
-    """The lists that each query looks into."""
+def _probe(c: np.ndarray, probes: int, rows: np.ndarray, k: int, batches):
+    """The lists that each query looks into: the nearest ones, and on until they hold ``k`` other rows (``rows`` of each list)."""
     size = (c * c).sum(1)[None, :]
     for batch in batches:
         x = _matrix(batch.column("vec"), batch.num_rows) if batch.num_rows else np.zeros((0, c.shape[1] - 1))
-        near = [np.argsort(size - 2 * x[a: a + 4096] @ c[:, :-1].T, axis=1, kind="stable")[:, :probes] for a in range(0, len(x), 4096)]
-        lists = [row.astype(np.int32) for part in near for row in part]
+        own = batch.column("own").to_numpy()
+        lists = []
+        for a in range(0, len(x), 4096):
+            near = np.argsort(size - 2 * x[a: a + 4096] @ c[:, :-1].T, axis=1, kind="stable")
+            enough = (np.cumsum(rows[near], axis=1) < k + own[a: a + 4096, None]).sum(axis=1) + 1
+            lists += [row[: max(probes, n)].astype(np.int32) for row, n in zip(near, enough, strict=True)]
+        batch = batch.select(["id", "vec"])
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int32()))], names=["id", "vec", "lists"])
 
 
@@ -169,7 +174,8 @@ def search(table: DataFrame, k: int = NEAREST, every: int = EVERY, probes: int |
     smaller id. Rows that repeat an id are candidates one by one; as queries they count as one, with the smallest of
     their vectors. Lists are as many as half the root of the number of rows, ``MOST_LISTS`` at most, which bounds what is
     sent to the tasks; long lists and lists that many queries probe are cut into parts. Without ``probes`` their number
-    is found on the sample. Other columns are ignored.
+    is found on the sample; a query whose lists hold fewer than ``k`` other rows looks into further ones, so that it has
+    ``k`` neighbours, or all rows there are. Other columns are ignored.
     """
     spark = table.sparkSession
     rows = stored(vectors(table), "vectors")
@@ -183,8 +189,11 @@ def search(table: DataFrame, k: int = NEAREST, every: int = EVERY, probes: int |
     c = centres(sample, lists)
     probes = probes or needed_probes(sample, c, k)
     placed = stored(rows.mapInArrow(functools.partial(_place, c, longest), "id long, vec array<double>, list int"), "vector-lists")
-    queries = rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("vec").alias("vec"))
-    probing = queries.mapInArrow(functools.partial(_probe, c, min(probes, len(c))), "id long, vec array<double>, lists array<int>")
+    queries = rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("vec").alias("vec"), F.count("*").alias("own"))
+    held = np.zeros(len(c), np.int64)
+    for r in placed.groupBy("list").count().collect():  # a row per list
+        held[r["list"]] = r["count"]
+    probing = queries.mapInArrow(functools.partial(_probe, c, min(probes, len(c)), held, k), "id long, vec array<double>, lists array<int>")
     probing = stored(probing.select("id", "vec", F.explode("lists").alias("list")), "vector-probes")
     # a row per list
     parts = placed.groupBy("list").agg(F.ceil(F.count("*") / F.lit(ROWS)).cast("int").alias("parts"))

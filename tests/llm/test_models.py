@@ -1,5 +1,6 @@
 """Trained models: page field, toxicity network; and nearest vectors against brute force."""
 
+import time
 import zlib
 
 import numpy as np
@@ -161,6 +162,19 @@ def test_nothing_to_learn(spark, docs):
     assert toxicity.score(docs([]), toxicity.fit(docs([]), labels)).collect() == []
 
 
+def test_hostile_pages_take_time_in_proportion():
+    """100,000 open tags, unclosed tags, comments and quotes, closing tags without their openings."""
+    n = 100_000
+    pages = ["<div>x" * n, "<span class=nav><b>x" * n, "<a" * n, "<a " * n + ">", "<!--" * n, "<! " * n, "</i>" * n + "<p>" * n, "<p>" + "<span>" * n + "</u>x" * n,
+             "<p><a href='" * n, '<p a="' * n, "<script" * n, "<title>" * n, "<head>" * n + "y" * n, "<p><div>" + "<i><li>z" * n]
+    for page in pages:
+        began = time.process_time()
+        html_text.blocks(page)
+        assert time.process_time() - began < 20, page[:20]
+    assert len(html_text.blocks(pages[0])) == n and html_text.blocks(pages[0])[-1].last == "div"
+    assert [b.text for b in html_text.blocks("<p>a<!-- b <p>c")] == ["a"] and [b.text for b in html_text.blocks("<p>a <!-- b > c")] == ["a"]
+
+
 # --- nearest vectors ------------------------------------------------------------
 
 
@@ -212,3 +226,18 @@ def test_few_vectors(spark):
     assert got == [(20, 1, 1, 1.0), (20, 2, 2, 1.0)]
     assert nearest.search(vectors(spark, [])).collect() == []
     assert nearest.search(vectors(spark, ODD_VECTORS[:6])).collect() == []
+
+
+def test_lone_vectors_have_neighbours_too(spark):
+    """Tight clusters, which need few lists, and lone vectors in lists of their own, one of them under a repeated id."""
+    r = np.random.default_rng(4)
+    centre = r.normal(size=(30, 6)) * 5
+    x = np.concatenate([centre[np.arange(3000) % 30] + r.normal(size=(3000, 6)) * 0.01, r.normal(size=(40, 6)) * 60])
+    rows = [(i, v) for i, v in enumerate(x[r.permutation(len(x))].tolist(), 1)] + [(20, [1.0, 2, 3, 4, 5, 6])] * 30
+    want = brute([*rows[:3040]])
+    got = {}
+    for row in nearest.search(vectors(spark, rows)).collect():
+        got.setdefault(row.query_id, []).append(row.vec_id)
+    assert got.keys() == want.keys() and all(len(v) == 20 and q not in v for q, v in got.items())
+    few = [(i, v) for i, v in rows[:12]] + [(40, rows[0][1])]
+    assert [r.rank for r in nearest.search(vectors(spark, few)).filter("query_id = 40").orderBy("rank").collect()] == list(range(1, 13))
