@@ -18,7 +18,8 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS c
 
 _OP8 = r"""
 WITH d AS (
- SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+ SELECT doc_id, source, md5(coalesce(text, '')) AS digest, row_number() OVER (PARTITION BY doc_id, source, md5(coalesce(text, ''))) - 1 AS number,
+  coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
 s AS (SELECT source, cast(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 r AS (SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM s),
 v AS (
@@ -28,7 +29,7 @@ v AS (
 t AS (SELECT source, source_size, least(3.0::DOUBLE * source_size, max(level) OVER () * w) AS target FROM v),
 c AS (
  SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
-  ('0x' || substr(md5(concat_ws(':', 'mix', cast(d.doc_id AS VARCHAR), cast(d.size AS VARCHAR))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS coin
+  ('0x' || substr(md5(concat_ws(':', 'mix', coalesce(cast(d.doc_id AS VARCHAR), ''), digest, cast(number AS VARCHAR))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS coin
  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, cast(size AS BIGINT) AS size, source_size, target,
  cast(size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken

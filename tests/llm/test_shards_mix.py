@@ -68,27 +68,44 @@ def test_mix(spark, docs):
     rows = [(i, "w " * (i % 7), ["b", "a", None, "ü", "z"][i % 5 if i % 3 else 0]) for i in range(900)]
     rows += [(1000, None, "a"), (1001, "", "empty"), (1002, "w " * 5000, "z"), (None, "w w", "b")] + [(5, "w", "a")] * 3
     table = docs(rows).withColumn("rate", F.lit("old")).withColumn("_source", F.lit(1)).withColumn("copies", F.lit(1))
-    planned = mixing.plan(table).collect()
+    planned = mixing.taken(table).collect()
     assert len(planned) == len(rows)
     size = Counter()
     for _, t, s in rows:
         size[s] += len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     order = sorted((s for s in size if s is not None), key=lambda s: s.encode()) + [None]
     want = dict(zip(order, levels([size[s] for s in order], [1 + i % 3 for i in range(len(order))]), strict=True))
+    of = {(size[s], round(want[s], 6)): s for s in order}
     taken = Counter()
     for r in planned:
-        assert r.source_size == size[r.source]
-        assert r.target == pytest.approx(want[r.source])
+        source = of[r.source_size, round(r.target, 6)]
         rate = r.target / r.source_size if r.source_size else 0
-        assert r.copies in (int(rate), int(rate) + 1) and r.copies <= 3
-        taken[r.source] += r.size * r.copies
+        assert not r.size or r.taken // r.size in (int(rate), int(rate) + 1) and r.taken <= 3 * r.size
+        taken[source] += r.taken
     assert taken["b"] == pytest.approx(want["b"], rel=0.1)
     mixed = mixing.emit(table)
     assert mixed.columns == table.columns
-    assert mixed.count() == sum(r.copies for r in planned)
+    found = Counter()
+    for r in mixed.collect():
+        found[r.source] += len((r.text or "").split())
+    assert found == Counter({s: n for s, n in taken.items() if n})
     assert sorted(map(str, mixing.taken(table).collect())) == sorted(map(str, mixing.taken(table.repartition(5)).collect()))
 
 
+def test_rows_without_ids_have_coins_of_their_own(docs, monkeypatch):
+    """Of equal size, of equal text, one of them a third of all rows."""
+    monkeypatch.setattr(mixing, "CHUNK", 50)
+    rows = [(None, f"text {i} here", "a") for i in range(400)] + [(None, "the same text", "b")] * 400 + [(i, "w " * 20, "c") for i in range(300)]
+    table = docs(rows)
+    got = mixing.taken(table).collect()
+    assert len(got) == len(rows)
+    for size, target in {(r.source_size, r.target) for r in got}:
+        assert sum(r.taken for r in got if r.target == target) == pytest.approx(target, rel=0.1)
+    again = mixing.taken(table.repartition(7)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    assert mixing.emit(table).groupBy("source").count().collect() and mixing.emit(table).count() == sum(r.taken // r.size for r in got)
+
+
 def test_mix_of_nothing(docs):
     assert mixing.taken(docs([])).collect() == []
     assert mixing.emit(docs([(1, None), (2, " ")])).collect() == []
