@@ -18,6 +18,7 @@ import functools
 import hashlib
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 import tiktoken
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from tallyward.llm.tables import ddl, fresh, text_or_empty, without
 from tallyward.llm.words import release, slices
 
-LEAF = 4096
+LEAF = 256  # code points, or tokens in decoding
 PIECE = 2 << 20  # bytes of text whose tokens are held at a time
 # between the two characters found here, a match of the pattern always ends
 _SEAM = regex.compile(r"\S\s|\p{L}[^\p{L}\s]|\p{N}[^\p{N}\s]|[^\s\p{L}\p{N}]\p{N}")
@@ -39,6 +40,8 @@ class Codec:
     """Encoder and decoder for a rank file and a pre-token pattern."""
 
     def __init__(self, path: str, pattern: str):
+        if pattern != public_tokenizers.PATTERN:
+            raise ValueError("the seams between pre-tokens are known for public_tokenizers.PATTERN only")
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})

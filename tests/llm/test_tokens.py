@@ -32,6 +32,23 @@ def test_tree_equals_library(texts):
             assert c.decode(want, leaf) == text.encode()
 
 
+def test_ordinary_texts_are_joined(monkeypatch):
+    """A page of prose goes through halves and joins, and joins look at a small part of it."""
+    c = byte_bpe.codec(BPE, P.PATTERN)
+    text = "Some ordinary words, 12 or so, that follow each other. " * 60
+    joins, seen = [], []
+    join, encode = c._join, c.bpe.encode_ordinary
+    monkeypatch.setattr(c, "_join", lambda *a: joins.append(1) or join(*a))
+    monkeypatch.setattr(c, "bpe", type("Spy", (), {"encode_ordinary": lambda self, t: seen.append(len(t)) or encode(t), "_encode_single_piece": c.bpe._encode_single_piece})())
+    assert c.encode(text) == encode(text)
+    assert len(joins) >= 8 and max(seen) <= byte_bpe.LEAF and sum(seen) < 1.2 * len(text)
+
+
+def test_other_patterns_are_refused():
+    with pytest.raises(ValueError, match="seams"):
+        byte_bpe.Codec(BPE, r"\S+|\s+")
+
+
 def test_encode_frames(spark, odd, docs):
     c = byte_bpe.codec(BPE, P.PATTERN)
     named = odd.withColumn("_text", F.lit(7)).withColumn("n_tokens", F.lit("old")).withColumn("ids", F.lit(1))
