@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyward.llm import sanitise
+from tallyward.llm.tables import stored
 from tests.llm.conftest import ODD
 
 PLAIN = {
@@ -101,7 +102,7 @@ def test_near_copies_are_one_class(docs):
     r = random.Random(3)
     base = [[f"w{r.randrange(10**6)}" for _ in range(80)] for _ in range(5)]
     rows = [(10 * g + i, " ".join([*base[g][:40], "x@y.org", *base[g][40:], f"end{i}"])) for g in range(5) for i in range(4)]
-    found = sanitise.find(docs(rows)).localCheckpoint()
+    found = stored(sanitise.find(docs(rows)), "found")
     named = sanitise._classes(found).join(found.select("_key", "doc_id"), "_key").collect()
     classes = {r["class"]: sorted(x.doc_id for x in named if x["class"] == r["class"]) for r in named}
     assert sorted(classes.values()) == [[10 * g + i for i in range(4)] for g in range(5)]
