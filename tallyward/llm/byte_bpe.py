@@ -29,7 +29,7 @@ from tallyward.llm.tables import ddl, fresh, text_or_empty, without
 from tallyward.llm.words import release, slices
 
 LEAF = 256  # code points, or tokens in decoding
-PIECE = 2 << 20  # bytes of text whose tokens are held at a time
+PIECE = 1 << 20  # bytes of text whose tokens are held at a time
 # between the two characters found here, a match of the pattern always ends
 _SEAM = regex.compile(r"\S\s|\p{L}[^\p{L}\s]|\p{N}[^\p{N}\s]|[^\s\p{L}\p{N}]\p{N}")
 _RUN = regex.compile(r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+")

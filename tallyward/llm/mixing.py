@@ -57,10 +57,13 @@ def _copies(seed: str, number) -> Column:
     return (whole + (_coin(seed, number) < F.col("rate") - whole).cast("long")).cast("long")
 
 
-def _with_targets(sized: DataFrame) -> DataFrame:
+def _sides(sized: DataFrame) -> DataFrame:
     table = stored(targets(sized.select("source", "size")), "mix-sources")
     side = table.select(F.col("source").alias("_source"), "source_size", "target", "rate")
-    side = F.broadcast(side) if table.count() <= SMALL else side
+    return F.broadcast(side) if table.count() <= SMALL else side
+
+
+def _with_targets(sized: DataFrame, side: DataFrame) -> DataFrame:
     return sized.join(side, sized["source"].eqNullSafe(side["_source"]), "left").drop("_source")
 
 
@@ -80,7 +83,8 @@ def taken(docs: DataFrame, seed: str = SEED) -> DataFrame:
     id, source and text have numbers of their own, so that each has a coin of its own, also without ids. A null source
     is a source, the last one; a source without words has target 0 and no copies. Other columns are ignored.
     """
-    records = _with_targets(_sized(docs)).groupBy(*_RECORD, "source_size", "target", "rate").agg(F.count("*").alias("rows"))
+    sized = _sized(docs)
+    records = _with_targets(sized, _sides(sized)).groupBy(*_RECORD, "source_size", "target", "rate").agg(F.count("*").alias("rows"))
     rows = _numbered(records).withColumn("copies", _copies(seed, F.col("number")))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
@@ -91,9 +95,11 @@ def emit(docs: DataFrame, seed: str = SEED) -> DataFrame:
     Of rows alike in id, source and text one stands for all, as often as they are taken together.
     """
     row = fresh(docs, "_row")
-    sized = _with_targets(_sized(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row)))
+    narrow = _sized(docs)
+    side = _sides(narrow)
+    sized = _with_targets(_sized(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row)), side)
     key = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _RECORD], *[F.col(c).isNull() for c in _RECORD])
-    repeated = _with_targets(_sized(docs)).groupBy(*_RECORD, "rate").agg(F.count("*").alias("rows")).filter("rows > 1")
+    repeated = _with_targets(narrow, side).groupBy(*_RECORD, "rate").agg(F.count("*").alias("rows")).filter("rows > 1")
     repeated = _numbered(repeated).withColumn("copies", _copies(seed, F.col("number"))).groupBy(*_RECORD).agg(F.sum("copies").alias("together"))
     repeated = stored(repeated.select(key.alias("_key"), "together"), "mix-repeated")  # rows without an id, as a rule
     sized = sized.withColumn("_key", key).join(repeated, "_key", "left")

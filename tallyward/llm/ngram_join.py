@@ -28,6 +28,8 @@ BLOCK_BYTES = 2 << 20  # of text, or more where there are many hash ranges; a bl
 LOW = np.uint64((1 << 40) - 1)
 HOT = 128  # a token of more nodes is compared block by block
 BLOCK = 512  # nodes
+SMALL = 100_000  # so many labels, of 16 bytes, may be broadcast
+SALTS = 16  # shares of the rows of one label
 HEAD, SINGLE, SHARED, HELD = 0, 1, 2, 3
 
 _BLOCK = "bucket int, block long, kind int, n int, payload binary"
@@ -286,8 +288,13 @@ def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
     ends = ends.unionByName(ends.select(F.col("to").alias("label"), F.col("label").alias("to")))
     over = ends.groupBy("label").agg(F.min("to").alias("to")).filter("to < label")
     on = over.select(F.col("label").alias("to"), F.col("to").alias("on"))
-    over = over.join(on, "to", "left").select("label", F.coalesce("on", "to").alias("to"))
-    return rows.join(over, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
+    over = stored(over.join(on, "to", "left").select("label", F.coalesce("on", "to").alias("to")), "ngram-labels")
+    if over.count() <= SMALL:
+        return rows.join(F.broadcast(over), "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
+    # many rows may have one label: they are dealt out by a salt, for which the table of labels comes several times
+    over = over.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    return salted.join(over, ["label", "salt"], "left").withColumn("label", F.coalesce("to", "label")).drop("to", "salt")
 
 
 def _compare(num: int, den: int):

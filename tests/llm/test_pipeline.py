@@ -6,10 +6,13 @@ import duckdb
 import public_tokenizers as P
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import corpus_pipeline
 from tallyward.llm import byte_bpe, mixing, queries, sanitise, toxicity
 from tallyward.llm.tables import read, stored
+from tests.llm.conftest import ODD
 from tests.llm.test_ngram_join import components
 from tests.llm.test_sanitise import base
 
@@ -53,7 +56,7 @@ def test_stages(spark, data, stages):
 
 def test_registered():
     names = entry.queries()
-    assert [n for n in names if re.match(r"op\d+_", n)] == [*queries.queries()] and len(queries.queries()) == 10
+    assert [n for n in names if re.match(r"op\d+_", n)] == [*queries.queries()] and len(queries.queries()) == 13
     assert "pipeline" in names
     assert sanitise.KINDS[:4] == ("email", "ip", "card", "phone")
 
@@ -61,7 +64,8 @@ def test_registered():
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, data, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{data}/{table}.parquet'")
     want = con.sql(queries.oracle_sql()[name])
     got = queries.queries()[name](spark, data)
     columns = sorted(got.columns)
@@ -75,3 +79,24 @@ def test_query_equals_sql(spark, data, name):
 def test_query_has_every_row(spark, data, name):
     table = "pages" if name.startswith("op3") else "documents"
     assert queries.queries()[name](spark, data).count() == read(spark, data, table).count()
+
+
+def test_stages_take_odd_tables(spark, data, docs):
+    """Nulls, empty and long texts, ties and repeated rows, columns of clashing names, and an empty table."""
+    given = read(spark, data, "documents").limit(40)
+    clash = {"_row": F.lit(1), "_key": F.lit("k"), "size": F.lit(2.5), "copies": F.lit(0), "token": F.lit("t"), "n_tokens": F.lit(True), "score": F.lit(0)}
+    odd = given.unionByName(docs(ODD)).withColumns(clash)
+    nulls = docs([(None, None)] * 3).withColumns({c: F.lit(None).cast(t) for c, t in docs([]).dtypes}).withColumns(clash)
+    for table in (odd.unionByName(nulls), odd.limit(0)):
+        out = stored(table, "odd")
+        for name, stage in corpus_pipeline.STAGES:
+            before, out = out, stored(stage(spark, out, data), f"odd-{name}")
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert out.columns == before.columns
+            rows, kept = before.count(), out.count()
+            assert kept <= rows if name in ("toxicity", "near-duplicates") else kept == rows if name != "mix" else kept <= 3 * rows
+        assert {"doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"} <= set(out.columns)
+        if table.count():
+            assert out.filter("doc_id = 4").count() >= 0 and out.filter("doc_id IS NOT NULL").count() > 20
+        else:
+            assert out.count() == 0
