@@ -2,6 +2,10 @@
 
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written and read again as the next one's
 ``docs``. All but the last return the columns of ``documents``.
+
+A null text counts as an empty one: it is no near copy, holds no personal data and takes no part in the mix. Rows without
+an id are kept as rows of their own; rows alike in id and text count once. A null lang or source is a value like any
+other. Other columns pass through the stages, whatever their names. An empty table gives an empty result.
 """
 
 import public_tokenizers
