@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.llm import words as W
-from tallyward.llm.components import components
+from tallyward.llm.stars import components
 from tallyward.llm.tables import fresh, partitions, stored, text_or_empty
 
 SIZE, NUM, DEN = 5, 75, 100
@@ -414,7 +414,8 @@ def link(docs: DataFrame, size: int = SIZE, num: int = NUM, den: int = DEN, roun
     found = links[0].select("a", "b")
     for more in links[1:]:
         found = found.unionByName(more.select("a", "b"))
-    labels = components(found, "a", "b")
+    # written first: verifying and joining stars in one task would need two Python workers at once
+    labels = components(stored(found, "ngram-links"), "a", "b")
     placed = nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_set = placed.select("k1", "k2", "n", "root").join(named, "root").drop("root")

@@ -8,7 +8,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tallyward.llm import ngram_join, words
+from tallyward.llm import components as native
+from tallyward.llm import ngram_join, stars, words
 from tests.llm.conftest import ODD
 
 
@@ -101,3 +102,19 @@ def test_word_arrays():
     assert [s.num_rows for s in words.slices(batch, "t", 3)] == [1, 3, 1, 1]
     assert sum(s.num_rows for s in words.slices(batch, "t", 1000)) == 6
     assert np.array_equal(w.text, [0, 0, 0, 3, 4, 4, 5, 5])
+
+
+@pytest.mark.parametrize("solve", [stars.components, native.components])
+def test_components(spark, solve):
+    """Long chains, stars, loops and repeated edges, dealt out over partitions."""
+    r = random.Random(7)
+    edges = [(k, k + 1) for k in range(1, 60)] + [(100, k) for k in range(101, 300)] + [(k, k) for k in range(400, 405)]
+    edges += [(r.randrange(500, 900), r.randrange(500, 900)) for _ in range(250)] + [(1, 2), (2, 1), (-5, 700)]
+    r.shuffle(edges)
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    got = {x.node: x.root for x in solve(spark.createDataFrame(edges, "a long, b long").repartition(6), "a", "b").collect()}
+    assert got == {x: low for x, low in root.items() if any(x in e and e[0] != e[1] for e in edges)}
+    assert solve(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
