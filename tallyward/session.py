@@ -1,14 +1,11 @@
 """Session builder and the shared work folder."""
 
 import os
-import tempfile
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
-
 
 def build(app: str = "tallyward", cpus: str = "*", **conf) -> SparkSession:
     """Local session for tests and benchmarks; a cluster brings its own settings."""
@@ -32,18 +29,14 @@ def build(app: str = "tallyward", cpus: str = "*", **conf) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without it; it then gets a folder of its own.
+    Only a local session may go without it; it then works below its warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="tallyward-")
-    return _local_folders[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
