@@ -70,7 +70,7 @@ def _with_targets(sized: DataFrame, side: DataFrame) -> DataFrame:
 def _numbered(records: DataFrame) -> DataFrame:
     """Records with their number of ``rows`` as that many rows, numbered; many rows of one record are dealt out."""
     chunks = records.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("rows") - 1) / CHUNK).cast("int"))))
-    chunks = chunks.repartition(partitions(records.sparkSession), "digest", "chunk")
+    chunks = chunks.repartition(partitions(records.sparkSession), "doc_id", "digest", "chunk")
     here = F.col("chunk").cast("long") * CHUNK
     return chunks.withColumn("number", F.explode(F.sequence(here, F.least(here + CHUNK, F.col("rows")) - 1)))
 
