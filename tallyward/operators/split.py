@@ -11,8 +11,11 @@ Ids are expected to be unique; rows that share an id fall on the same side.
 """
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 from math import ceil
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,14 +136,137 @@ def plain_split(
     return take_by_hash(df, proportional(share), f"validation:{seed}", out, among=among)
 
 
-def three_way_split(df: DataFrame, label: str = "is_fraud", seed: int = 42) -> DataFrame:
-    """64 / 16 / 20: stratified test rows, then plain validation rows out of train."""
-    parted = plain_split(
-        stratified_split(df, label, 0.2, seed), 0.2, seed, "_validation", F.col("split") == "train"
-    )
-    return parted.withColumn("split", F.when(F.col("_validation"), "validation").otherwise(F.col("split"))).drop(
-        "_validation"
+_BITS = 60  # of a hash: its first 15 hex digits
+_CELL_BITS = 8  # each pass cuts what is open of both hash orders into 256 parts
+_CELLS = 1 << _CELL_BITS
+
+
+@dataclass
+class _Search:
+    """What is known of both cutoffs after some passes; all counts are exact."""
+
+    bits: int = _BITS
+    low: dict = field(default_factory=dict)  # per class: hashes below are test, the next ``1 << bits`` open, the others train
+    left: dict = field(default_factory=dict)  # per class: test rows among its open ones
+    train: int = 0  # rows known to be train
+    floor: int = 0  # validation ends among the ``1 << floor_bits`` hashes from here on
+    floor_bits: int = _BITS
+    below: int = 0  # rows known to be train under the floor
+
+
+def _open_rows(keyed: DataFrame, at: _Search) -> DataFrame:
+    """Rows that still matter, with ``a``: their open part of the test order (256: train), and ``b``: their part of the
+    validation order (-1 below, 256 above)."""
+    v, w = (F.conv(F.substring(c, 1, _BITS // 4), 16, 10).cast("long") for c in ("h", "g"))
+    test = v - _by_class({c: F.lit(x) for c, x in at.low.items()}).cast("long") if at.low else v
+    part = F.shiftright("_test", max(0, at.bits - _CELL_BITS))
+    place = F.shiftright("_validation", max(0, at.floor_bits - _CELL_BITS))
+    rows = keyed.withColumns({"_test": test, "_validation": w - F.lit(at.floor)}).filter("_test >= 0").select(
+        "c", "h", "g", "i", F.when(F.col("_test") < F.lit(1 << at.bits), part).otherwise(_CELLS).cast("int").alias("a"),
+        F.when(F.col("_validation") < 0, -1).otherwise(F.least(place, F.lit(_CELLS))).cast("int").alias("b"),
     )
+    return rows.filter((F.col("a") < _CELLS) | F.col("b").between(0, _CELLS - 1))
+
+
+def _narrowed(cells: pd.DataFrame, at: _Search, share: float) -> tuple[_Search, int]:
+    """The search after a pass that counted rows by (c, a, b), and how many rows it leaves."""
+    now = _Search(at.bits - _CELL_BITS, dict(at.low), dict(at.left), at.train)
+    sure, unknown = np.zeros(_CELLS + 2, "int64"), np.zeros(_CELLS + 2, "int64")  # train and open rows by b, from -1 on
+    for c, counts in _classes(cells):
+        grid = np.zeros((_CELLS + 1, _CELLS + 2), "int64")
+        np.add.at(grid, (counts["a"].to_numpy(), counts["b"].to_numpy() + 1), counts["n"].to_numpy())
+        upto = grid[:_CELLS].sum(1).cumsum()
+        edge = int(np.searchsorted(upto, at.left[c]))  # the part the quota ends in
+        now.left[c] -= int(upto[edge - 1]) if edge else 0
+        now.low[c] = at.low.get(c, 0) + (edge << now.bits)
+        unknown += grid[edge]
+        sure += grid[edge + 1:].sum(0)
+        now.train += int(grid[edge + 1:_CELLS].sum())
+    open_rows = int(unknown.sum())
+    fewest = at.below + sure.cumsum()
+    most = fewest + unknown.cumsum()
+    # ids that occur twice may leave a test quota short, so the number of train rows is known within bounds only
+    quotas = (ceil(n * share) for n in (now.train + open_rows - sum(now.left.values()), now.train + open_rows))
+    begin = min(max(int(np.searchsorted(most, next(quotas))), 1), _CELLS)
+    end = min(max(int(np.searchsorted(fewest, next(quotas))), begin), _CELLS)
+    part = max(0, at.floor_bits - _CELL_BITS)
+    wide = (end - begin).bit_length()
+    now.floor, now.floor_bits = at.floor + ((begin - 1) << part), part + wide
+    now.below = int(fewest[begin - 1])
+    return now, open_rows + int(sure[begin:begin + (1 << wide)].sum())
+
+
+def _classes(rows: pd.DataFrame):
+    for c, part in rows.groupby("c", dropna=False):
+        yield None if pd.isna(c) else getattr(c, "item", lambda c=c: c)(), part
+
+
+def _last(rows: pd.DataFrame, order: list[str], quota: int, before: int) -> tuple[tuple, pd.Series]:
+    """The last (hash, id) within the quota, and which rows are; ``before`` is the hash they all come after."""
+    rows = rows.sort_values(order)
+    inside = rows["n"].cumsum() <= quota
+    taken = rows[inside]
+    last = (f"{before:0{_BITS // 4}x}", "") if taken.empty else tuple(taken[order].iloc[-1])
+    return last, inside
+
+
+def _joint_cutoffs(keyed: DataFrame, quota: Quota, share: float, max_classes: int) -> tuple[dict, tuple | None]:
+    """Both cutoffs from joint counts: per class the last (hash, id) of the test rows, and that of the validation rows, a
+    ``share`` of the others.
+
+    A pass counts rows by class and by 256 parts of either order (at most 65,536 numbers a class reach the driver). The
+    part a test quota ends in leaves few rows open, so the validation quota is known to end in one or two parts as well.
+    Later passes look at these rows only, until they are few.
+    """
+    at, rows = _Search(), None
+    while rows is None or (rows > _SMALL_BUCKET and at.bits > _CELL_BITS):
+        counted = _open_rows(keyed, at).groupBy("c", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+        cells = counted.limit((max_classes + 1) * _CELLS * _CELLS).toPandas()
+        if rows is None:
+            sizes = {c: int(part["n"].sum()) for c, part in _classes(cells)}
+            if len(sizes) > max_classes:
+                raise ValueError(f"too many classes to split by: {len(sizes)}")
+            at.left = {c: min(n, sizes[c]) for c, n in quota(sizes).items()}
+        at, rows = _narrowed(cells, at, share)
+    # copies of an id are one row here
+    rest = _open_rows(keyed, at).groupBy("c", "h", "g", "i", "a", "b").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    test, open_ = {c: (f"{x:0{_BITS // 4}x}", "") for c, x in at.low.items()}, rest["a"] < _CELLS
+    is_test = pd.Series(False, rest.index)
+    for c, part in _classes(rest[open_]):
+        test[c], inside = _last(part, ["h", "i"], at.left[c], at.low[c])
+        is_test[inside[inside].index] = True
+    others = rest[~is_test]
+    n = at.train + int(others.loc[open_, "n"].sum()) if len(others) else at.train
+    take = ceil(n * share)
+    if take >= n:
+        return test, None
+    left = take - at.below - int(others.loc[open_ & (others["b"] < 0), "n"].sum())
+    near = others[others["b"].between(0, _CELLS - 1)].groupby(["g", "i"], as_index=False)["n"].sum()  # of all classes
+    return test, _last(near, ["g", "i"], left, at.floor)[0]
+
+
+def _upto(h: Column, i: Column, last: tuple) -> Column:
+    return (h < last[0]) | ((h == last[0]) & (i <= last[1]))
+
+
+def three_way_split(
+    df: DataFrame, label: str = "is_fraud", seed: int = 42, test: float = 0.2, validation: float = 0.2,
+    id_column: str = "transaction_id", max_classes: int = MAX_CLASSES,
+) -> DataFrame:
+    """64 / 16 / 20: stratified test rows, then plain validation rows out of train.
+
+    The rows of ``stratified_split`` followed by ``plain_split``, found together. Rows without an id are train rows that
+    no quota counts.
+    """
+    c, i = F.col(label), F.col(id_column)
+    h, g = hash_key(id_column, str(seed)), hash_key(id_column, f"validation:{seed}")
+    keyed = df.filter(i.isNotNull()).select(c.alias("c"), h.alias("h"), g.alias("g"), i.alias("i"))
+    test_last, last = _joint_cutoffs(keyed, proportional(test), validation, max_classes)
+    is_test = F.lit(False)
+    for value, edge in test_last.items():
+        is_test = F.when(c.eqNullSafe(F.lit(value)), _upto(h, i, edge)).otherwise(is_test)
+    is_validation = i.isNotNull() if last is None else _upto(g, i, last)
+    return df.withColumn("split", F.when(is_test, "test").when(is_validation, "validation").otherwise("train"))
 
 
 def class_ratio_sample(

@@ -84,3 +84,46 @@ def test_seeds_differ(labelled):
 def test_too_many_classes(labelled):
     with pytest.raises(ValueError, match="classes"):
         split.stratified_split(labelled.withColumn("is_fraud", F.col("transaction_id")))
+
+
+def one_after_the_other(df):
+    parted = split.stratified_split(df)
+    marked = split.plain_split(parted, 0.2, 42, "v", F.col("split") == "train")
+    return {(r.transaction_id, r.is_fraud, "validation" if r.v else r.split) for r in marked.collect()}
+
+
+@pytest.mark.parametrize("small", [100_000, 300, 1])
+@pytest.mark.parametrize("kind", ["plain", "classes", "repeated", "hot", "one", "empty"])
+def test_both_quotas_from_joint_counts(spark, labelled, monkeypatch, small, kind):
+    monkeypatch.setattr(split, "_SMALL_BUCKET", small)
+    n = F.substring("transaction_id", 2, 6).cast("int")
+    df = {
+        "plain": labelled,
+        "classes": labelled.withColumn("is_fraud", F.when(n % 5 == 0, F.lit(None)).when(n % 5 < 3, F.lit("a")).otherwise(F.lit("b"))),
+        "repeated": labelled.withColumn("transaction_id", F.concat(F.lit("R"), (n % 97).cast("string"))),
+        "hot": labelled.withColumn("transaction_id", F.when(n % 3 == 0, F.lit("SAME")).otherwise(F.col("transaction_id"))),
+        "one": labelled.limit(1),
+        "empty": labelled.limit(0),
+    }[kind]
+    got = split.three_way_split(df).collect()
+    assert len(got) == df.count()
+    assert {(r.transaction_id, r.is_fraud, r.split) for r in got} == one_after_the_other(df)
+
+
+def test_both_quotas_take_two_passes(labelled, monkeypatch):
+    seen = []
+    looked = split._open_rows
+    monkeypatch.setattr(split, "_open_rows", lambda keyed, at: seen.append(at.bits) or looked(keyed, at))
+    split.three_way_split(labelled)
+    assert seen == [60, 52]
+    seen.clear()
+    monkeypatch.setattr(split, "_SMALL_BUCKET", 60)  # some 16 of 2,003 rows are open after a pass, and 13 in two parts
+    split.three_way_split(labelled)
+    assert seen == [60, 52]
+
+
+def test_rows_without_an_id_train(labelled):
+    none = labelled.limit(10).withColumn("transaction_id", F.lit(None).cast("string"))
+    got = split.three_way_split(labelled.unionByName(none)).collect()
+    assert Counter(r.split for r in got) == {"test": 401, "validation": 321, "train": 1291}
+    assert {r.split for r in got if r.transaction_id is None} == {"train"}
