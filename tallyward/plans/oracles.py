@@ -361,6 +361,17 @@ def oracle_sql() -> dict[str, str]:
     )
     time_text = f"""CASE WHEN event_id % 131 = 0 THEN NULL WHEN event_id % 137 = 0 THEN NULL
  WHEN event_id % 139 = 0 THEN NULL ELSE date_trunc('second', ts) END"""
+    manifest = (
+        "numeric_part AS (SELECT * FROM (VALUES " + ", ".join(
+            f"({i}, '{n}')" for i, n in enumerate(S.NUMERIC_FEATURES, 1)) + ") m(position, feature))",
+        "vocabulary AS (" + " UNION ".join(
+            f"SELECT {i} AS block, '{c}' AS name, {c} AS value FROM tx WHERE {c} IS NOT NULL"
+            for i, c in enumerate(("device_type", "card_type", "status", "location"))) + ")",
+        "one_hot_part AS (SELECT *, row_number() OVER (ORDER BY block, value) AS place FROM vocabulary)",
+    )
+    features = f"""SELECT cast(position AS int) AS position, feature, 'numeric' AS kind FROM numeric_part
+UNION ALL SELECT cast({len(S.NUMERIC_FEATURES)} + place AS int), name || '_' || regexp_replace(lower(value), '[^a-z0-9]+', '_', 'g'),
+ 'categorical' FROM one_hot_part"""
     return {
         "load_profile": _with(select=f"SELECT count(*) AS rows, {_r('avg(cast(is_fraud AS int)) * 100')} AS fraud_percent FROM tx"),
         "time_features": _with(select=f"SELECT transaction_id, {_calendar()} FROM tx"),
@@ -564,17 +575,13 @@ UNION ALL SELECT 'frauds', cast(count(*) FILTER (is_fraud) AS double) FROM parte
 UNION ALL SELECT * FROM (VALUES ('unscored', 0.0e0), ('failed_scores', 0.0e0), ('roc_auc', 1.0e0), ('detection_rate', 1.0e0), ('true_positive_rate', 1.0e0),
  ('precision', 1.0e0)) m"""),
         "tuning_trials": """SELECT cast(5 AS bigint) AS trials, cast(1 AS bigint) AS best_trials, count(*) > 0 AS best_is_greatest,
- count(*) > 0 AS areas_are_areas, count(*) > 0 AS settings_in_range FROM events""",
+ count(*) > 0 AS areas_are_areas, count(*) > 0 AS settings_in_range,
+ count(*) > 0 AS rounds_in_range FROM events""",
         "model_parameters": _with(select="""SELECT transaction_id, 2 AS entries, 'status,card' AS names, status,
  cast(NULL AS varchar) AS private FROM tx"""),
-        "manifest": _with(
-            "numeric_part AS (SELECT * FROM (VALUES " + ", ".join(
-                f"({i}, '{n}')" for i, n in enumerate(S.NUMERIC_FEATURES, 1)) + ") m(position, feature))",
-            "vocabulary AS (" + " UNION ".join(
-                f"SELECT {i} AS block, '{c}' AS name, {c} AS value FROM tx WHERE {c} IS NOT NULL"
-                for i, c in enumerate(("device_type", "card_type", "status", "location"))) + ")",
-            "one_hot_part AS (SELECT *, row_number() OVER (ORDER BY block, value) AS place FROM vocabulary)",
-            select=f"""SELECT cast(position AS int) AS position, feature, 'numeric' AS kind FROM numeric_part
-UNION ALL SELECT cast({len(S.NUMERIC_FEATURES)} + place AS int), name || '_' || regexp_replace(lower(value), '[^a-z0-9]+', '_', 'g'),
- 'categorical' FROM one_hot_part"""),
+        "manifest": _with(*manifest, select=f"""SELECT position, feature, kind FROM ({features}) m"""),
+        "model_metadata": _with(*manifest, select=f"""SELECT 'feature' AS kind, feature AS name, cast(position AS varchar) AS value FROM ({features}) m
+UNION ALL SELECT * FROM (VALUES ('model', 'name', 'fraud-trees'), ('model', 'job', 'trial-1'), ('setting', 'maxDepth', '5'),
+ ('setting', 'stepSize', '0.1'), ('setting', 'minInfoGain', '0.0'), ('setting', 'minInstancesPerNode', '1'),
+ ('setting', 'subsamplingRate', '0.8'), ('setting', 'featureSubsetStrategy', '"auto"'), ('setting', 'maxIter', '100')) s"""),
     }

@@ -668,6 +668,22 @@ def model_parameters(spark, folder):
     )
 
 
+def model_metadata(spark, folder):
+    """Name, job, public settings and features of a model's metadata, written and read back, one row each."""
+    frame = features.batch(tx(spark, folder))
+    made = columns.manifest_of(columns.model_columns(frame))
+    settings = training.Parameters(maxDepth=5).as_dict() | {"_job_id": "j-1"}
+    path = new_folder(spark, "metadata")
+    side_files.write_small(side_files.metadata_row(spark, "fraud-trees", "trial-1", settings, made, 0.0), path)
+    kept = side_files.read_metadata(spark, path)
+    part = lambda kind, name, value: F.struct(F.lit(kind).alias("kind"), name.alias("name"), value.alias("value"))
+    return kept.select(F.inline(F.concat(
+        F.array(part("model", F.lit("name"), F.col("model_name")), part("model", F.lit("job"), F.col("training_job"))),
+        F.transform(F.map_entries("hyperparameters"), lambda e: part("setting", e["key"], e["value"])),
+        F.transform("feature_info.feature_names", lambda f, i: part("feature", f, (i + 1).cast("string"))),
+    )))
+
+
 # --- models ----------------------------------------------------------------
 
 _MODELS: dict[tuple[str, str], tuple] = {}
@@ -726,4 +742,5 @@ def tuning_trials(spark, folder):
         F.count("*").alias("trials"), F.count_if("best").alias("best_trials"),
         (F.max(F.when(F.col("best"), F.col("auc"))) == F.max("auc")).alias("best_is_greatest"),
         F.every(F.col("auc").between(0.5, 1.0)).alias("areas_are_areas"), F.every(in_range).alias("settings_in_range"),
+        F.every(F.col("rounds").between(1, p("maxIter"))).alias("rounds_in_range"),
     )

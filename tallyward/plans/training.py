@@ -7,9 +7,11 @@ from multiprocessing.pool import ThreadPool
 from statistics import NormalDist
 
 import numpy as np
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from tallyward.session import ensure_checkpoints, new_folder
 
 POSITIVE_WEIGHT = 10.0
 ROUNDS = 100
+PATIENCE = 10
 
 
 @dataclass
@@ -45,6 +48,10 @@ class Trial:
     auc: float
     model: PipelineModel = field(repr=False)
 
+    @property
+    def rounds(self) -> int:
+        return self.model.stages[-1].getNumTrees
+
 
 # what is searched: the six ranges, as a unit cube
 RANGES = {
@@ -123,11 +130,9 @@ def complete(df: DataFrame, names: list[str]) -> DataFrame:
     return df.fillna(0, subset=names)
 
 
-def estimator(names: list[str], parameters: Parameters, seed: int = 42, validate: bool = True) -> Pipeline:
-    early = {"validationIndicatorCol": "is_validation"} if validate else {}
+def estimator(names: list[str], parameters: Parameters, seed: int = 42) -> Pipeline:
     trees = GBTClassifier(
-        labelCol="label", featuresCol="features", weightCol="weight", lossType="logistic", seed=seed, **early,
-        **parameters.as_dict(),
+        labelCol="label", featuresCol="features", weightCol="weight", lossType="logistic", seed=seed, **parameters.as_dict(),
     )
     return Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), trees])
 
@@ -158,12 +163,6 @@ def _for_fit(matrix: DataFrame) -> DataFrame:
     return weighted(kept).withColumn("is_validation", F.col("split") == "validation")
 
 
-def train(matrix: DataFrame, names: list[str], parameters: Parameters | None = None, seed: int = 42) -> PipelineModel:
-    """One fit with early stop on the validation rows."""
-    ensure_checkpoints(matrix.sparkSession)
-    return estimator(names, parameters or Parameters(), seed).fit(_for_fit(matrix))
-
-
 def patient_rounds(losses: list[float], patience: int) -> int:
     """Rounds up to the best one before ``patience`` rounds in a row brought no lower validation loss."""
     best = 0
@@ -175,28 +174,42 @@ def patient_rounds(losses: list[float], patience: int) -> int:
     return best + 1
 
 
-def train_patiently(
-    matrix: DataFrame, names: list[str], parameters: Parameters | None = None, seed: int = 42, patience: int = 10
+def first_trees(model: PipelineModel, rounds: int) -> PipelineModel:
+    """The model as it was after so many rounds: its first trees with their weights, every setting kept."""
+    trees = model.stages[-1]
+    if rounds >= trees.getNumTrees:
+        return model
+    grown, jvm = trees._java_obj.trees(), SparkContext._gateway.jvm
+    kept = JavaWrapper._new_java_array(
+        [grown[i] for i in range(rounds)], jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel)
+    weights = JavaWrapper._new_java_array([float(w) for w in trees.treeWeights[:rounds]], jvm.double)
+    made = JavaWrapper._new_java_obj("org.apache.spark.ml.classification.GBTClassificationModel", trees.uid, kept, weights)
+    return PipelineModel([*model.stages[:-1], trees._copyValues(GBTClassificationModel(made))])
+
+
+def _fit_patiently(rows: DataFrame, names: list[str], parameters: Parameters, seed: int, patience: int) -> PipelineModel:
+    whole = estimator(names, parameters, seed).fit(rows.filter(~F.col("is_validation")))
+    held_out = whole.stages[0].transform(rows.filter("is_validation"))
+    if held_out.isEmpty():
+        return whole
+    return first_trees(whole, patient_rounds(whole.stages[-1].evaluateEachIteration(held_out), patience))
+
+
+def train(
+    matrix: DataFrame, names: list[str], parameters: Parameters | None = None, seed: int = 42, patience: int = PATIENCE
 ) -> PipelineModel:
-    """One fit that stops after ``patience`` rounds without gain, not at the first one.
+    """One fit, cut back to its best round before ``patience`` rounds without a lower validation loss.
 
-    All rounds are grown once and judged on the validation rows; where they went too far the trees are grown again up
-    to the best round. Equal seeds give equal first trees, so that is the model as it was at that round.
+    All rounds are grown once; one pass over the validation rows gives the loss after each of them. Without validation
+    rows every round stays.
     """
     ensure_checkpoints(matrix.sparkSession)
-    parameters = parameters or Parameters()
-    rows = _for_fit(matrix)
-    seen = rows.filter("NOT is_validation").withColumn("is_validation", F.lit(False))
-    whole = estimator(names, parameters, seed, validate=False).fit(seen)
-    held_out = whole.stages[0].transform(rows.filter("is_validation"))
-    rounds = patient_rounds(whole.stages[-1].evaluateEachIteration(held_out), patience)
-    if rounds == parameters.maxIter:
-        return whole
-    return estimator(names, Parameters(**{**parameters.as_dict(), "maxIter": rounds}), seed, validate=False).fit(seen)
+    return _fit_patiently(_for_fit(matrix), names, parameters or Parameters(), seed, patience)
 
 
 def tune(
-    matrix: DataFrame, names: list[str], trials: int = 5, parallel: int = 2, seed: int = 42, rounds: int = ROUNDS
+    matrix: DataFrame, names: list[str], trials: int = 5, parallel: int = 2, seed: int = 42, rounds: int = ROUNDS,
+    patience: int = PATIENCE,
 ) -> list[Trial]:
     """Search that learns from its trials, best exact validation AUC first; ``parallel`` fits share the cluster."""
     ensure_checkpoints(matrix.sparkSession)
@@ -206,7 +219,7 @@ def tune(
 
     def run(point: list[float]) -> tuple[Parameters, float, PipelineModel]:
         parameters = at_point(point, rounds)
-        model = estimator(names, parameters, seed).fit(rows)
+        model = _fit_patiently(rows, names, parameters, seed, patience)
         found = evaluate.roc_auc(score(model, held_out, names)).first().roc_auc  # the exact area, as the tables have it
         return parameters, 0.0 if found is None else found, model
 
@@ -222,10 +235,10 @@ def tune(
 
 def trial_table(spark: SparkSession, trials: list[Trial]) -> DataFrame:
     rows = [
-        (t.number, float(t.auc), i == 0, {k: str(v) for k, v in t.parameters.as_dict().items()})
+        (t.number, float(t.auc), i == 0, t.rounds, {k: str(v) for k, v in t.parameters.as_dict().items()})
         for i, t in enumerate(trials)
     ]
-    return spark.createDataFrame(rows, "trial int, auc double, best boolean, parameters map<string,string>")
+    return spark.createDataFrame(rows, "trial int, auc double, best boolean, rounds int, parameters map<string,string>")
 
 
 def score(model: PipelineModel, df: DataFrame, names: list[str], threshold: float = 0.5) -> DataFrame:

@@ -116,6 +116,15 @@ def read_user_partials(spark: SparkSession, path: str, users: DataFrame | None =
         return spark.createDataFrame([], S.USER_PARTIALS)
 
 
+METADATA = T.StructType([
+    T.StructField("model_name", T.StringType()),
+    T.StructField("training_job", T.StringType()),
+    T.StructField("hyperparameters", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("creation_time", T.DoubleType()),
+    T.StructField("feature_info", S.MANIFEST),
+])
+
+
 def metadata_row(
     spark: SparkSession, name: str, job: str, parameters: dict[str, object], manifest: dict[str, list[str]],
     created: float,
@@ -123,12 +132,9 @@ def metadata_row(
     """Model metadata with the public parameters only (no key that starts with ``_``)."""
     rows = [(name, job, {k: json.dumps(v) for k, v in parameters.items()}, created,
              tuple(manifest[f.name] for f in S.MANIFEST.fields))]
-    schema = T.StructType([
-        T.StructField("model_name", T.StringType()),
-        T.StructField("training_job", T.StringType()),
-        T.StructField("hyperparameters", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("creation_time", T.DoubleType()),
-        T.StructField("feature_info", S.MANIFEST),
-    ])
-    df = spark.createDataFrame(rows, schema)
+    df = spark.createDataFrame(rows, METADATA)
     return df.withColumn("hyperparameters", public_entries(F.col("hyperparameters")))
+
+
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(METADATA).json(path)

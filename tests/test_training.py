@@ -63,16 +63,38 @@ def test_search_puts_the_best_first(spark, fitted):
     assert len(trials) == 2 and trials[0].auc >= trials[1].auc
     table = training.trial_table(spark, trials).collect()
     assert [r.best for r in table] == [True, False]
+    assert [r.rounds for r in table] == [t.model.stages[-1].getNumTrees for t in trials]
 
 
 def test_patience(fitted):
     assert training.patient_rounds([5, 4, 4.5, 4.2, 3, 6, 6, 6], 3) == 5
     assert training.patient_rounds([5, 4, 4.5, 4.2, 3], 2) == 2
     assert training.patient_rounds([3, 2, 1], 1) == 3
+
+
+def test_one_fit_is_cut_back(spark, fitted):
+    """What is left are the first trees of the whole fit: the same scores as a fit of so many rounds, also once saved."""
+    matrix, names, _ = fitted
+    settings = training.Parameters(maxDepth=7, stepSize=0.9, maxIter=12)
+    whole = training.train(matrix, names, settings, patience=12)
+    model = training.train(matrix, names, settings, patience=2)
+    rows = training._for_fit(matrix)
+    grown = training.estimator(names, settings).fit(rows.filter("NOT is_validation"))
+    losses = grown.stages[-1].evaluateEachIteration(grown.stages[0].transform(rows.filter("is_validation")))
+    rounds = training.patient_rounds(losses, 2)
+    assert model.stages[-1].getNumTrees == rounds < 12 and whole.stages[-1].getNumTrees == training.patient_rounds(losses, 12)
+    again = training.estimator(names, training.Parameters(maxDepth=7, stepSize=0.9, maxIter=rounds)).fit(rows.filter("NOT is_validation"))
+    scores = lambda m: {r.transaction_id: r.score for r in training.score(m, matrix, names).collect()}
+    assert scores(model) == scores(again)
+    model.write().save(path := new_folder(spark, "cut"))
+    assert scores(PipelineModel.load(path)) == scores(again)
+    assert model.stages[-1].getMaxDepth() == 7 and model.stages[-1].getLabelCol() == "label"
+
+
+def test_no_validation_rows(fitted):
     matrix, names, _ = fitted
-    model = training.train_patiently(matrix, names, training.Parameters(maxDepth=7, stepSize=0.9, maxIter=8), patience=2)
-    assert 1 <= model.stages[-1].getNumTrees <= 8
-    assert training.metrics(training.score(model, matrix.filter("split = 'test'"), names)).count() > 5
+    model = training.train(matrix.filter("split != 'validation'"), names, training.Parameters(maxDepth=2, maxIter=3))
+    assert model.stages[-1].getNumTrees == 3
 
 
 def test_search_is_repeatable_and_in_range():
