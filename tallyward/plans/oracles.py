@@ -565,6 +565,8 @@ UNION ALL SELECT 'rejects', count(*) FROM wire WHERE reason <> 'valid'""",
  CASE WHEN reason IS NULL THEN is_fraud END AS is_fraud, reason FROM marked"""),
         "publish_round_trip": _with(select=f"""SELECT transaction_id AS key, transaction_id, user_id, {_ISO} AS timestamp,
  {_r('amount')} AS amount, device_type, location, is_vpn, card_type, status FROM tx"""),
+        "log_replay": _with(select=f"""SELECT transaction_id, user_id, {_ISO} AS timestamp, {_r('amount')} AS amount, is_vpn,
+ 'valid' AS reason FROM tx"""),
         "libsvm_round_trip": _with(*_FRAME_CTES, select="SELECT cast(is_fraud AS int) AS label, " + ", ".join(
             f"{_r(f'coalesce(cast({n} AS double), 0)')} AS {n}" for n in _MODEL_NAMES
         ) + " FROM frame"),

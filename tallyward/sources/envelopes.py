@@ -4,11 +4,12 @@ Bad input never fails a batch: each unreadable record becomes a row of the rejec
 table with a reason, and the rest goes on.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward import schemas as S
 from tallyward.functions import amounts, codec
+from tallyward.sources import shard_log
 
 VALID = "valid"
 
@@ -26,8 +27,24 @@ def publish(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def envelope(data, df: DataFrame) -> DataFrame:
+    return df.select(_line(data).alias("value"))
+
+
+def _line(data) -> Column:
     record = F.struct(F.struct(data.alias("data")).alias("kinesis"))
-    return df.select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("value"))
+    return F.to_json(F.struct(F.array(record).alias("Records")))
+
+
+def publish_to_log(df: DataFrame, path: str, at: int | None = None) -> int:
+    """Messages as envelope lines of a log in shards, see ``shard_log``."""
+    messages = publish_form(df)
+    return shard_log.append(messages.select("key", _line(F.base64(F.encode("value", "UTF-8"))).alias("value")), path, at)
+
+
+def read_log(spark: SparkSession, path: str, start: str = "latest", hours: float | None = None,
+             records: int = shard_log.RECORDS) -> DataFrame:
+    """Envelope lines of a log in shards as a stream with positions of its own."""
+    return parse(shard_log.read_stream(spark, path, start, hours, records).select("value"))
 
 
 def read_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:

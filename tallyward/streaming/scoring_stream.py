@@ -62,13 +62,15 @@ def handle(
 
 def start(
     spark: SparkSession, places: Places, scorer: Scorer, now: Column | None = None, learn: bool = False,
-    files_per_batch: int = 100, once: bool = False,
+    files_per_batch: int = 100, once: bool = False, lines: DataFrame | None = None,
 ) -> StreamingQuery:
     """Start the scoring stream; ``once`` works off what is there and stops.
 
-    With ``learn`` the statistics are those of the learning stream, see ``start_learning``.
+    ``lines`` are other envelopes than the files in their place, as from ``envelopes.read_log``; of such a log ``once``
+    works off one batch, so it is read with ``records=0`` then. With ``learn`` the statistics are those of the learning stream, see ``start_learning``.
     """
-    lines = envelopes.read_stream(spark, places.at("envelopes"), files_per_batch)
+    if lines is None:
+        lines = envelopes.read_stream(spark, places.at("envelopes"), files_per_batch)
     started = int(time.time() * 1000)
     writer = (
         lines.writeStream.option("checkpointLocation", places.at("checkpoint"))
