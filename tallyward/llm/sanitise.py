@@ -91,30 +91,40 @@ def _words(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
 
 
-def _contexts(text: Column, found: dict[str, Column]) -> Column:
-    """Per entity: its name, and the words near it that are no part of an entity."""
+def _every(found: dict[str, Column]) -> Column:
+    """All entities of a text."""
 
     def of(kind: str):
         return lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["match"].alias("match"))
 
-    every = F.concat(*[F.transform(c, of(k)) for k, c in found.items()])
+    return F.concat(*[F.transform(c, of(k)) for k, c in found.items()])
+
 
+def _reached(text: Column, every: Column) -> Column:
+    """Each entity with the text to its ``left`` and ``right`` and the ``others`` (itself too) that may hold a word of it."""
     def one(e: Column) -> Column:
+        others = F.filter(every, lambda x: (x["start"] < e["end"] + CONTEXT) & (e["start"] - CONTEXT < x["end"]))
         lo = F.greatest(F.lit(0), e["start"] - CONTEXT)
-        left = F.substring(text, lo + 1, e["start"] - lo)
-        right = F.substring(text, e["end"] + 1, F.lit(CONTEXT))
+        return F.struct(
+            F.xxhash64(e["kind"], F.lower(e["match"])).alias("entity"), lo.alias("lo"), e["end"].alias("end"), others.alias("others"),
+            F.substring(text, lo + 1, e["start"] - lo).alias("left"), F.substring(text, e["end"] + 1, F.lit(CONTEXT)).alias("right"))
+
+    return F.transform(every, one)
 
+
+def _contexts(reached: Column) -> Column:
+    """Per entity: its name, and the words near it that are no part of an entity."""
+    def one(e: Column) -> Column:
         def near(part: Column, offset: Column, whole: Column) -> Column:
             words = F.filter(_matches(part, TERM), lambda w: whole | (w["start"] > 0) & (w["end"] < F.char_length(part)))
-            free = F.filter(words, lambda w: ~F.exists(every, lambda x: (x["start"] < w["end"] + offset) & (w["start"] + offset < x["end"])))
+            free = F.filter(words, lambda w: ~F.exists(e["others"], lambda x: (x["start"] < w["end"] + offset) & (w["start"] + offset < x["end"])))
             return F.transform(free, lambda w: F.lower(w["match"]))
 
-        return F.struct(
-            F.xxhash64(e["kind"], F.lower(e["match"])).alias("entity"),
-            # a word cut off at the outer edge isn't known
-            F.array_distinct(F.concat(near(left, lo, lo == 0), near(right, e["end"], F.char_length(right) < CONTEXT))).alias("words"))
+        left, right = near(e["left"], e["lo"], e["lo"] == 0), near(e["right"], e["end"], F.char_length(e["right"]) < CONTEXT)
+        # a word cut off at the outer edge isn't known
+        return F.struct(e["entity"].alias("entity"), F.array_distinct(F.concat(left, right)).alias("words"))
 
-    return F.when(F.size(every) > 0, F.transform(every, one))
+    return F.when(F.size(reached) > 0, F.transform(reached, one))
 
 
 def _together(found: dict[str, Column]) -> Column:
@@ -134,11 +144,14 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = docs.withColumn("_t", text_or_empty(text))
     found = {k: F.col(f"_{k}") for k in PATTERNS}
     rows = rows.select("*", *[entities(t, k).alias(f"_{k}") for k in PATTERNS])
+    # columns of their own, so that lambdas name them instead of working them out anew
+    rows = rows.select("*", _every(found).alias("_every"))
+    rows = rows.select("*", _reached(t, F.col("_every")).alias("_reached"))
     spans = _together(found)
     kept = [c for c in docs.columns if c != text]
     held = F.size(F.concat(*found.values())) > 0
     return rows.select(
-        *kept, F.md5(t.cast("binary")).alias("_key"), spans.alias("_base"), _contexts(t, found).alias("_contexts"),
+        *kept, F.md5(t.cast("binary")).alias("_key"), spans.alias("_base"), _contexts(F.col("_reached")).alias("_contexts"),
         F.when(held, _words(t)).alias("_terms"), F.when(held, _shingles(t)).alias("_shingles"),
         F.regexp_count(t, F.lit(TERM)).cast("long").alias("_words"))
 
