@@ -14,6 +14,8 @@ content. Words at or above a threshold are protected as well, in every text and
 functions only.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,8 @@ DISCLOSURE = 0.95
 UNSEEN = 0.5  # so many texts are taken to have the word without the entity
 SHINGLE, ALIKE = 3, 0.75  # near copies share so much of their runs of words
 BANDS, IN_BAND = 16, 4  # smallest hashes that near copies are looked up by
-SMALL = 100_000  # so many words may be broadcast
+SMALL = 4 << 20  # bytes of words that may be broadcast
+PIECE = 2_048  # code points (CONTEXT at least) after which a text is cut, at the next place that nothing is matched across
 TERM = r"\p{L}{2,}"
 # The patterns match what the plain ones in the contract match, but never go back over a run of characters:
 # a match can only begin where such a run begins, or where the last match ended.
@@ -36,10 +39,34 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",  # shorter ones are dropped anyway
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+# Behind a character that no pattern takes, or between a blank and a letter.
+_CUT = r"(?:(?<=[^\p{L}0-9._%+@\x20()-])|(?<=\x20)(?=\p{L})|\z)"
 _HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 _MATCH = "array<struct<start:int,end:int,match:string>>"
+_PIECES = "array<struct<at:int,text:string>>"
+
+
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _pieces(text: Column) -> Column:
+    """The text in pieces that no match reaches across, each with the place (``at``) where it begins.
+
+    All that compares the matches of a text with each other stays within a piece and its neighbours, so the work grows with the
+    text, not with its square. Only a run without any place to cut stays whole.
+    """
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_PIECES).alias("out"))
+
+    def add(acc: Column, piece: Column) -> Column:
+        one = F.struct(acc["at"].alias("at"), piece.alias("text"))
+        return F.struct((acc["at"] + F.char_length(piece)).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+    cut = F.aggregate(F.regexp_extract_all(text, F.lit(rf"(?s).{{{PIECE},}}?{_CUT}|.+"), F.lit(0)), begin, add)["out"]
+    return F.when(F.char_length(text) <= PIECE, F.array(F.struct(F.lit(0).alias("at"), text.alias("text")))).otherwise(cut)
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -91,25 +118,55 @@ def _words(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
 
 
-def _every(found: dict[str, Column]) -> Column:
-    """All entities of a text."""
+def _found(piece: Column) -> Column:
+    """The entities of all kinds in a piece, by start, then kind."""
+
+    def of(i: int):
+        return lambda m: F.struct(m["start"].alias("start"), F.lit(i).alias("kind"), m["end"].alias("end"), m["match"].alias("match"))
 
-    def of(kind: str):
-        return lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["match"].alias("match"))
+    return F.sort_array(F.concat(*[F.transform(entities(piece, k), of(i)) for i, k in enumerate(PATTERNS)]))
 
-    return F.concat(*[F.transform(c, of(k)) for k, c in found.items()])
 
+def _moved(spans: Column, by: Column) -> Column:
+    return F.transform(spans, lambda s: F.struct((s["start"] + by).alias("start"), s["kind"].alias("kind"), (s["end"] + by).alias("end")))
 
-def _reached(text: Column, every: Column) -> Column:
-    """Each entity with the text to its ``left`` and ``right`` and the ``others`` (itself too) that may hold a word of it."""
-    def one(e: Column) -> Column:
-        others = F.filter(every, lambda x: (x["start"] < e["end"] + CONTEXT) & (e["start"] - CONTEXT < x["end"]))
-        lo = F.greatest(F.lit(0), e["start"] - CONTEXT)
-        return F.struct(
-            F.xxhash64(e["kind"], F.lower(e["match"])).alias("entity"), lo.alias("lo"), e["end"].alias("end"), others.alias("others"),
-            F.substring(text, lo + 1, e["start"] - lo).alias("left"), F.substring(text, e["end"] + 1, F.lit(CONTEXT)).alias("right"))
 
-    return F.transform(every, one)
+def _reached(pieces: Column, found: Column) -> Column:
+    """Each entity with the text to its ``left`` and ``right`` and the ``others`` (itself too) that may hold a word of it.
+
+    Places are those of the piece with what lies ``CONTEXT`` either side of it.
+    """
+    names = F.array(*[F.lit(k) for k in PATTERNS])
+
+    def of_piece(f: Column, i: Column) -> Column:
+        own, last, following = F.get(pieces, i), F.get(pieces, i - 1), F.get(pieces, i + 1)
+        before = F.coalesce(F.right(last["text"], F.lit(CONTEXT)), F.lit(""))
+        after = F.coalesce(F.left(following["text"], F.lit(CONTEXT)), F.lit(""))
+        by = F.char_length(before)
+
+        def beside(j: Column, at: Column) -> Column:
+            moved = F.coalesce(_moved(F.get(found, j), at - own["at"] + by), F.array().cast(_SPAN))
+            return F.filter(moved, lambda x: (x["end"] > 0) & (x["start"] < by + F.char_length(own["text"]) + CONTEXT))
+
+        wide = F.struct(
+            F.concat(before, own["text"], after).alias("text"), by.alias("by"),
+            F.concat(beside(i - 1, last["at"]), _moved(f, by), beside(i + 1, following["at"])).alias("near"))
+
+        def within(w: Column) -> Column:
+            def one(e: Column) -> Column:
+                start, end = e["start"] + w["by"], e["end"] + w["by"]
+                lo = F.greatest(F.lit(0), start - CONTEXT)
+                others = F.filter(w["near"], lambda x: (x["start"] < end + CONTEXT) & (start - CONTEXT < x["end"]))
+                return F.struct(
+                    F.xxhash64(F.element_at(names, e["kind"] + 1), F.lower(e["match"])).alias("entity"), lo.alias("lo"), end.alias("end"),
+                    ((i == 0) & (lo == 0)).alias("first"), others.alias("others"),
+                    F.substring(w["text"], lo + 1, start - lo).alias("left"), F.substring(w["text"], end + 1, F.lit(CONTEXT)).alias("right"))
+
+            return F.transform(f, one)
+
+        return F.when(F.size(f) > 0, _named(wide, within))
+
+    return F.flatten(F.array_compact(F.transform(found, of_piece)))
 
 
 def _contexts(reached: Column) -> Column:
@@ -120,19 +177,17 @@ def _contexts(reached: Column) -> Column:
             free = F.filter(words, lambda w: ~F.exists(e["others"], lambda x: (x["start"] < w["end"] + offset) & (w["start"] + offset < x["end"])))
             return F.transform(free, lambda w: F.lower(w["match"]))
 
-        left, right = near(e["left"], e["lo"], e["lo"] == 0), near(e["right"], e["end"], F.char_length(e["right"]) < CONTEXT)
+        left, right = near(e["left"], e["lo"], e["first"]), near(e["right"], e["end"], F.char_length(e["right"]) < CONTEXT)
         # a word cut off at the outer edge isn't known
         return F.struct(e["entity"].alias("entity"), F.array_distinct(F.concat(left, right)).alias("words"))
 
     return F.when(F.size(reached) > 0, F.transform(reached, one))
 
 
-def _together(found: dict[str, Column]) -> Column:
-    """The matches of all kinds as spans, by start, then kind."""
-    def of(i: int):
-        return lambda m: F.struct(m["start"].alias("start"), F.lit(i).alias("kind"), m["end"].alias("end"))
-
-    return F.array_sort(F.concat(*[F.transform(c, of(i)) for i, c in enumerate(found.values())]))
+def _in_pieces(rows: DataFrame) -> DataFrame:
+    """The rows with their text ``_t`` cut into ``_pieces`` and the entities ``_found`` in each."""
+    rows = rows.select("*", _pieces(F.col("_t")).alias("_pieces"))
+    return rows.select("*", F.transform("_pieces", lambda p: _found(p["text"])).alias("_found"))
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -141,17 +196,15 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     Of texts that hold an entity all words are kept, and the shingles that tell near copies.
     """
     t = F.col("_t")
-    rows = docs.withColumn("_t", text_or_empty(text))
-    found = {k: F.col(f"_{k}") for k in PATTERNS}
-    rows = rows.select("*", *[entities(t, k).alias(f"_{k}") for k in PATTERNS])
+    pieces, found = F.col("_pieces"), F.col("_found")
+    rows = _in_pieces(docs.withColumn("_t", text_or_empty(text)))
+    base = F.flatten(F.transform(F.arrays_zip(pieces, found), lambda x: _moved(x["_found"], x["_pieces"]["at"])))
     # columns of their own, so that lambdas name them instead of working them out anew
-    rows = rows.select("*", _every(found).alias("_every"))
-    rows = rows.select("*", _reached(t, F.col("_every")).alias("_reached"))
-    spans = _together(found)
+    rows = rows.select("*", base.alias("_base"), _reached(pieces, found).alias("_reached"))
     kept = [c for c in docs.columns if c != text]
-    held = F.size(F.concat(*found.values())) > 0
+    held = F.size("_base") > 0
     return rows.select(
-        *kept, F.md5(t.cast("binary")).alias("_key"), spans.alias("_base"), _contexts(F.col("_reached")).alias("_contexts"),
+        *kept, F.md5(t.cast("binary")).alias("_key"), "_base", _contexts(F.col("_reached")).alias("_contexts"),
         F.when(held, _words(t)).alias("_terms"), F.when(held, _shingles(t)).alias("_shingles"),
         F.regexp_count(t, F.lit(TERM)).cast("long").alias("_words"))
 
@@ -163,8 +216,7 @@ def _shingles(text: Column) -> Column:
         last = F.greatest(F.size(words) - SHINGLE, F.lit(0))
         return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, SHINGLE))))
 
-    # the words are named once, so that they are not found anew for every run
-    return F.element_at(F.transform(F.array(F.regexp_extract_all(F.lower(text), F.lit(r"\S+"), F.lit(0))), runs), 1)
+    return _named(F.regexp_extract_all(F.lower(text), F.lit(r"\S+"), F.lit(0)), runs)
 
 
 def _classes(found: DataFrame) -> DataFrame:
@@ -207,11 +259,11 @@ def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFra
     )
     pairs = stored(pairs, "disclosing")
     words = pairs.select("word").distinct()
-    n = words.count()
-    if not n:
+    size = words.agg(F.sum(F.octet_length("word") + 32)).first()[0]
+    if not size:
         return None
     corpus = docs.select(F.explode(_words(text_or_empty(text))).alias("word"))
-    if n <= SMALL:
+    if size <= SMALL:
         counts = corpus.join(F.broadcast(words), "word", "left_semi").groupBy("word").agg(F.count("*").alias("all"))
     else:
         counts = corpus.groupBy("word").agg(F.count("*").alias("all")).join(words, "word", "left_semi")
@@ -233,29 +285,33 @@ def protect(docs: DataFrame, text: str = "text") -> DataFrame:
     extra = _extra(docs, disclosing(docs, found, text), text)
     if extra is None:
         return found.withColumn("_spans", F.col("_base"))
-    return found.join(extra, "_key", "left").withColumn("_spans", _with_extra(F.col("_base"))).drop("_extra")
-
-
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= SMALL else df
+    more = F.flatten(F.transform("_extra", lambda x: _moved(x["spans"], x["at"])))
+    spans = F.sort_array(F.concat("_base", F.coalesce(more, F.array().cast(_SPAN))))
+    return found.join(extra, "_key", "left").withColumn("_spans", spans).drop("_extra")
 
 
 def _extra(docs: DataFrame, flagged: DataFrame | None, text: str = "text") -> DataFrame | None:
-    """``_key, _extra``: where texts hold disclosing words, with or without the entity, a row per text."""
+    """``_key, _extra``: where texts hold disclosing words, with or without the entity, a row per text.
+
+    ``_extra`` has the pieces (``piece``, ``at``) with such words, in order, and the ``spans`` within each. Which sides of
+    the joins are broadcast is left to the planner, which goes by bytes.
+    """
     if flagged is None:
         return None
     flagged = stored(flagged.select("word").distinct(), "disclosing-words")
     t = text_or_empty(text)
-    texts = docs.select(t.alias("_t"), F.md5(t.cast("binary")).alias("_key"))
-    held = texts.select("_key", F.explode(F.array_distinct(_words(F.col("_t")))).alias("word"))
-    held = held.join(_small(flagged), "word", "left_semi").groupBy("_key").agg(F.collect_set("word").alias("held"))
+    pieces = docs.select(F.md5(t.cast("binary")).alias("_key"), F.posexplode(_pieces(t)).alias("piece", "p"))
+    pieces = pieces.select("_key", "piece", "p.at", "p.text")
+    held = pieces.select("_key", "piece", F.explode(F.array_distinct(_words(F.col("text")))).alias("word"))
+    held = held.join(flagged, "word", "left_semi").groupBy("_key", "piece").agg(F.collect_set("word").alias("held"))
     held = stored(held, "disclosing-texts")
-    placed = texts.join(_small(held), "_key").select("_key", _places(F.col("_t"), F.col("held")).alias("_extra"))
-    return _small(stored(placed.groupBy("_key").agg(F.any_value("_extra").alias("_extra")), "disclosed"))
+    placed = pieces.join(held, ["_key", "piece"]).select("_key", "piece", "at", _places(F.col("text"), F.col("held")).alias("spans"))
+    placed = placed.groupBy("_key", "piece").agg(F.any_value("at").alias("at"), F.any_value("spans").alias("spans"))
+    return stored(placed.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("piece", "at", "spans"))).alias("_extra")), "disclosed")
 
 
 def _places(text: Column, held: Column) -> Column:
-    """The spans of these words in a text."""
+    """The spans of these words in a piece where they are no part of an entity."""
     found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
     begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
@@ -268,14 +324,9 @@ def _places(text: Column, held: Column) -> Column:
 
     # what comes after the last word has no word
     zipped = F.filter(F.arrays_zip(F.split(text, TERM, -1).alias("0"), found.alias("1")), lambda x: x["1"].isNotNull())
-    return F.aggregate(zipped, begin, add)["out"]
-
-
-def _with_extra(base: Column) -> Column:
-    """The spans with the disclosing words that are no part of an entity."""
-    extra = F.coalesce(F.col("_extra"), F.array().cast(_SPAN))
-    free = F.filter(extra, lambda w: ~F.exists(base, lambda x: (x["start"] < w["end"]) & (w["start"] < x["end"])))
-    return F.array_sort(F.concat(base, free))
+    every = F.aggregate(zipped, begin, add)["out"]
+    return _named(_found(text), lambda found: F.filter(
+        every, lambda w: ~F.exists(found, lambda x: (x["start"] < w["end"]) & (w["start"] < x["end"]))))
 
 
 def listed(spans: Column) -> Column:
@@ -298,7 +349,7 @@ def spans(docs: DataFrame) -> DataFrame:
 
 
 def cleaned(text: Column, spans: Column) -> Column:
-    """The text with its entities generalised to ``[EMAIL]`` and so on and its disclosing words removed.
+    """The piece with its entities generalised to ``[EMAIL]`` and so on and its disclosing words removed.
 
     Spans that overlap go together, under the name of the first.
     """
@@ -310,8 +361,8 @@ def cleaned(text: Column, spans: Column) -> Column:
         piece = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.element_at(names, s["kind"] + 1))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(new, piece).otherwise(acc["out"]).alias("out"))
 
-    done = F.aggregate(spans, begin, add)
-    return F.when(F.size(spans) > 0, F.concat(done["out"], F.substring(text, done["at"] + 1, F.char_length(text)))).otherwise(text)
+    whole = _named(F.aggregate(spans, begin, add), lambda d: F.concat(d["out"], F.substring(text, d["at"] + 1, F.char_length(text))))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
 
 
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -325,11 +376,19 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     extra = _extra(plain, disclosing(plain, found))
     row = fresh(docs, "_row")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), text_or_empty(f"`{text}`").alias("_t"))
-    rows = rows.select("*", *[entities(F.col("_t"), k).alias(f"_{k}") for k in PATTERNS])
-    spans = _together({k: F.col(f"_{k}") for k in PATTERNS})
+    rows = _in_pieces(rows)
+    none = F.array().cast(_SPAN)
     if extra is not None:
         rows = rows.withColumn("_key", F.md5(F.col("_t").cast("binary"))).join(extra, "_key", "left")
-        spans = _with_extra(spans)
-    done = rows.select(row, spans.alias("_spans"), "_t").select(row, cleaned(F.col("_t"), F.col("_spans")).alias("_t"))
+
+    def clean(x: Column, i: Column) -> Column:
+        spans = _moved(x["_found"], F.lit(0))
+        if extra is not None:
+            at = F.array_position(F.col("_extra")["piece"], i).cast("int") - 1
+            spans = F.sort_array(F.concat(spans, F.coalesce(F.get(F.col("_extra")["spans"], at), none)))
+        return _named(spans, lambda s: cleaned(x["_pieces"]["text"], s))
+
+    whole = F.array_join(F.transform(F.arrays_zip("_pieces", "_found"), clean), "")
+    done = rows.select(row, whole.alias("_t"))
     old = F.col(row)[text]
     return done.select(*[F.when(old.isNotNull(), F.col("_t")).alias(c) if c == text else F.col(row)[c].alias(c) for c in docs.columns])

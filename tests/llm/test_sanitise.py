@@ -135,3 +135,31 @@ def test_overlaps_and_nothing(docs):
     assert got[0] == "a [EMAIL] b [PHONE], [CARD]"
     assert sanitise.spans(docs([])).collect() == []
     assert sanitise.sanitise(docs([])).collect() == []
+
+
+def test_pieces_change_nothing(docs, monkeypatch):
+    """Long texts whole, in the usual pieces and in small ones: the same spans, contexts over borders included."""
+    r = random.Random(8)
+    words = ["zorblax", "quuxbar", "so", "and", "of it,", "é", "漢字", "ann@mail.org", "bob@mail.org", "10.0.0.1", "+1 (366) 555-9807", "4111 1111 1111 1111", "\n", "\t", "😀"]
+    rows = [(i, " ".join(r.choice(words + PARTS) for _ in range(900))) for i in range(40)]
+    rows += [(100 + i, "".join(r.choice(PARTS) for _ in range(3000))) for i in range(5)]
+    rows += [(200, f"fillera Zorblax ann@mail.org{' ' * 3000}zorblax, " + "and so it was of " * 3000), (300, None)]
+
+    def spans():
+        return {r.doc_id: r.spans for r in sanitise.spans(docs(rows)).collect()}, {r.doc_id: r.text for r in sanitise.sanitise(docs(rows)).collect()}
+
+    usual = spans()
+    assert usual[0][200].startswith("term:8:15,email:16:28,term:3028:3035")
+    for i, t in rows:
+        assert ",".join(s for s in usual[0][i].split(",") if not s.startswith("term")) == listed(base(t or ""))
+    for size in (100, 10**8):
+        monkeypatch.setattr(sanitise, "PIECE", size)
+        assert spans() == usual
+
+
+def test_many_entities_in_one_text(docs):
+    """20,000 addresses, each with a word of its own beside it, in one text."""
+    text = " ".join(f"so and zorb{i} user{i}@mail.org" for i in range(20_000))
+    got = sanitise.spans(docs([(1, text)])).first()
+    assert got.n_email == 20_000
+    assert got.base_sha256 == hashlib.sha256(listed(base(text)).encode()).hexdigest()
