@@ -28,7 +28,7 @@ DISCLOSURE = 0.95
 UNSEEN = 0.5  # so many texts are taken to have the word without the entity
 SHINGLE, ALIKE = 3, 0.75  # near copies share so much of their runs of words
 BANDS, IN_BAND = 16, 4  # smallest hashes that near copies are looked up by
-SMALL = 4 << 20  # bytes of words that may be broadcast
+SMALL = 64 << 20  # bytes that may be broadcast
 PIECE = 2_048  # code points (CONTEXT at least) after which a text is cut, at the next place that nothing is matched across
 TERM = r"\p{L}{2,}"
 # The patterns match what the plain ones in the contract match, but never go back over a run of characters:
@@ -191,20 +191,21 @@ def _in_pieces(rows: DataFrame) -> DataFrame:
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
-    """What each row's text holds by pattern alone, stored: ``key`` (of the text), ``base`` spans, contexts, words.
+    """What each row's text holds by pattern alone, stored: ``key`` (of the text), spans by piece, contexts, words.
 
     Of texts that hold an entity all words are kept, and the shingles that tell near copies.
     """
     t = F.col("_t")
     pieces, found = F.col("_pieces"), F.col("_found")
     rows = _in_pieces(docs.withColumn("_t", text_or_empty(text)))
-    base = F.flatten(F.transform(F.arrays_zip(pieces, found), lambda x: _moved(x["_found"], x["_pieces"]["at"])))
+    parts = F.transform(F.arrays_zip(pieces, found), lambda x: F.struct(
+        x["_pieces"]["at"].alias("at"), _moved(x["_found"], F.lit(0)).alias("spans")))
     # columns of their own, so that lambdas name them instead of working them out anew
-    rows = rows.select("*", base.alias("_base"), _reached(pieces, found).alias("_reached"))
+    rows = rows.select("*", parts.alias("_parts"), _reached(pieces, found).alias("_reached"))
     kept = [c for c in docs.columns if c != text]
-    held = F.size("_base") > 0
+    held = F.size("_reached") > 0
     return rows.select(
-        *kept, F.md5(t.cast("binary")).alias("_key"), "_base", _contexts(F.col("_reached")).alias("_contexts"),
+        *kept, F.md5(t.cast("binary")).alias("_key"), "_parts", _contexts(F.col("_reached")).alias("_contexts"),
         F.when(held, _words(t)).alias("_terms"), F.when(held, _shingles(t)).alias("_shingles"),
         F.regexp_count(t, F.lit(TERM)).cast("long").alias("_words"))
 
@@ -283,36 +284,42 @@ def protect(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     found = stored(find(docs, text), "entities")
     extra = _extra(docs, disclosing(docs, found, text), text)
+    base = F.flatten(F.transform("_parts", lambda p: _moved(p["spans"], p["at"])))
     if extra is None:
-        return found.withColumn("_spans", F.col("_base"))
-    more = F.flatten(F.transform("_extra", lambda x: _moved(x["spans"], x["at"])))
-    spans = F.sort_array(F.concat("_base", F.coalesce(more, F.array().cast(_SPAN))))
-    return found.join(extra, "_key", "left").withColumn("_spans", spans).drop("_extra")
+        return found.select("*", base.alias("_base"), base.alias("_spans")).drop("_parts")
+    spans = F.flatten(F.transform("_parts", lambda p, i: _moved(_with_extra(p["spans"], i), p["at"])))
+    return found.join(extra, "_key", "left").select("*", base.alias("_base"), spans.alias("_spans")).drop("_extra", "_parts")
+
+
+def _few(df: DataFrame, size: Column) -> DataFrame:
+    """The rows, for broadcast if their bytes are few."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= SMALL else df
 
 
 def _extra(docs: DataFrame, flagged: DataFrame | None, text: str = "text") -> DataFrame | None:
     """``_key, _extra``: where texts hold disclosing words, with or without the entity, a row per text.
 
-    ``_extra`` has the pieces (``piece``, ``at``) with such words, in order, and the ``spans`` within each. Which sides of
-    the joins are broadcast is left to the planner, which goes by bytes.
+    ``_extra`` has the pieces with such words, in order, and the ``spans`` within each. Texts are dealt by
+    their digest only when the lists of words to look for in them pass ``SMALL`` bytes.
     """
     if flagged is None:
         return None
-    flagged = stored(flagged.select("word").distinct(), "disclosing-words")
+    flagged = _few(stored(flagged.select("word").distinct(), "disclosing-words"), F.octet_length("word") + 32)
     t = text_or_empty(text)
     pieces = docs.select(F.md5(t.cast("binary")).alias("_key"), F.posexplode(_pieces(t)).alias("piece", "p"))
-    pieces = pieces.select("_key", "piece", "p.at", "p.text")
+    pieces = pieces.select("_key", "piece", "p.text")
     held = pieces.select("_key", "piece", F.explode(F.array_distinct(_words(F.col("text")))).alias("word"))
     held = held.join(flagged, "word", "left_semi").groupBy("_key", "piece").agg(F.collect_set("word").alias("held"))
-    held = stored(held, "disclosing-texts")
-    placed = pieces.join(held, ["_key", "piece"]).select("_key", "piece", "at", _places(F.col("text"), F.col("held")).alias("spans"))
-    placed = placed.groupBy("_key", "piece").agg(F.any_value("at").alias("at"), F.any_value("spans").alias("spans"))
-    return stored(placed.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("piece", "at", "spans"))).alias("_extra")), "disclosed")
+    held = _few(stored(held, "disclosing-texts"), 64 + F.octet_length(F.array_join("held", "")) + 16 * F.size("held"))
+    placed = pieces.join(held, ["_key", "piece"]).select("_key", "piece", _places(F.col("text"), F.col("held")).alias("spans"))
+    placed = placed.groupBy("_key", "piece").agg(F.any_value("spans").alias("spans"))
+    extra = stored(placed.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("piece", "spans"))).alias("_extra")), "disclosed")
+    return _few(extra, 64 + F.aggregate("_extra", F.lit(0), lambda a, x: a + 64 + 32 * F.size(x["spans"])))
 
 
-def _places(text: Column, held: Column) -> Column:
-    """The spans of these words in a piece where they are no part of an entity."""
-    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+def _places(piece: Column, held: Column) -> Column:
+    """The spans of these words in a piece."""
+    found = F.regexp_extract_all(piece, F.lit(TERM), F.lit(0))
     begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
     def add(acc: Column, x: Column) -> Column:
@@ -323,10 +330,16 @@ def _places(text: Column, held: Column) -> Column:
         return F.struct(end.alias("at"), out.alias("out"))
 
     # what comes after the last word has no word
-    zipped = F.filter(F.arrays_zip(F.split(text, TERM, -1).alias("0"), found.alias("1")), lambda x: x["1"].isNotNull())
-    every = F.aggregate(zipped, begin, add)["out"]
-    return _named(_found(text), lambda found: F.filter(
-        every, lambda w: ~F.exists(found, lambda x: (x["start"] < w["end"]) & (w["start"] < x["end"]))))
+    zipped = F.filter(F.arrays_zip(F.split(piece, TERM, -1).alias("0"), found.alias("1")), lambda x: x["1"].isNotNull())
+    return F.aggregate(zipped, begin, add)["out"]
+
+
+def _with_extra(spans: Column, piece: Column) -> Column:
+    """A piece's spans with the disclosing words that are no part of an entity."""
+    at = F.array_position(F.col("_extra")["piece"], piece).cast("int") - 1
+    extra = F.coalesce(F.get(F.col("_extra")["spans"], at), F.array().cast(_SPAN))
+    free = F.filter(extra, lambda w: ~F.exists(spans, lambda x: (x["start"] < w["end"]) & (w["start"] < x["end"])))
+    return F.sort_array(F.concat(spans, free))
 
 
 def listed(spans: Column) -> Column:
@@ -377,16 +390,15 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     row = fresh(docs, "_row")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), text_or_empty(f"`{text}`").alias("_t"))
     rows = _in_pieces(rows)
-    none = F.array().cast(_SPAN)
     if extra is not None:
         rows = rows.withColumn("_key", F.md5(F.col("_t").cast("binary"))).join(extra, "_key", "left")
 
     def clean(x: Column, i: Column) -> Column:
+        def done(spans: Column) -> Column:
+            return cleaned(x["_pieces"]["text"], spans)
+
         spans = _moved(x["_found"], F.lit(0))
-        if extra is not None:
-            at = F.array_position(F.col("_extra")["piece"], i).cast("int") - 1
-            spans = F.sort_array(F.concat(spans, F.coalesce(F.get(F.col("_extra")["spans"], at), none)))
-        return _named(spans, lambda s: cleaned(x["_pieces"]["text"], s))
+        return done(spans) if extra is None else _named(_named(spans, lambda s: _with_extra(s, i)), done)
 
     whole = F.array_join(F.transform(F.arrays_zip("_pieces", "_found"), clean), "")
     done = rows.select(row, whole.alias("_t"))
