@@ -340,17 +340,36 @@ def _train(texts: pa.Array, y: np.ndarray) -> Network:
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic fit of the label to the worst window's logit, lightly held back; the slope is never negative."""
+    """Logistic fit of the label to the worst window's logit, lightly held back; the slope is never negative.
+
+    The logits are centred and scaled first, and a Newton step is halved until it lowers the loss: where the classes are
+    all but apart, whole steps run back and forth over the fit.
+    """
+    middle, spread = x.mean(), x.std() or 1.0
+    u, held = (x - middle) / spread, 0.1 / spread**2
+
+    def loss(a: float, b: float) -> float:
+        m = a * u + b
+        return float((np.logaddexp(0, m) - y * m).sum() + held / 2 * a * a + 0.005 * b * b)
+
     a, b = 1.0, 0.0
-    for _ in range(50):
-        q = _sigmoid(a * x + b)
+    now = loss(a, b)
+    for _ in range(100):
+        q = _sigmoid(a * u + b)
         w = q * (1 - q) + 1e-6
-        ga, gb = ((q - y) * x).sum() + 0.1 * a, (q - y).sum() + 0.01 * b
-        haa, hab, hbb = (w * x * x).sum() + 0.1, (w * x).sum(), w.sum() + 0.01
+        ga, gb = ((q - y) * u).sum() + held * a, (q - y).sum() + 0.01 * b
+        haa, hab, hbb = (w * u * u).sum() + held, (w * u).sum(), w.sum() + 0.01
         det = haa * hbb - hab * hab
         da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
-        a, b = max(1e-3, a - np.clip(da, -1, 1)), b - np.clip(db, -2, 2)
-    return float(a), float(b)
+        step = 1.0
+        while step > 1e-6 and not (then := loss(max(1e-3, a - step * da), b - step * db)) < now:
+            step /= 2
+        if step <= 1e-6:
+            break
+        gained, now, a, b = now - then, then, max(1e-3, a - step * da), b - step * db
+        if gained < 1e-9:
+            break
+    return float(a / spread), float(b - a * middle / spread)
 
 
 def held_out():

@@ -104,6 +104,19 @@ def test_network_learns():
     assert all(0 <= x <= 1 for x in net.scores(pa.array([None, "", " ", "." * 5000], pa.string()).fill_null("")))
 
 
+def test_calibration_settles():
+    """Logits far from 0 whose classes are all but apart: the score is 0.5 between them, at the fit's lowest loss."""
+    rng = np.random.default_rng(5)
+    y = (np.arange(960) % 10 == 0).astype(float)
+    x = np.where(y == 1, rng.normal(6.8, 0.3, 960), np.where(rng.random(960) < 0.1, rng.normal(5.7, 0.15, 960), rng.normal(-3, 2, 960)))
+    a, b = toxicity._calibrate(x, y)
+    high = a * x + b >= 0
+    assert 5.9 < -b / a < 6.5 and high[y == 1].mean() > 0.95 and high[y == 0].mean() < 0.01
+    # a shift of the logits moves the fit along
+    assert np.allclose(np.array(toxicity._calibrate(x - 40, y)), [a, b + 40 * a], rtol=1e-4)
+    assert toxicity._calibrate(np.full(4, 6.0), np.array([0.0, 1, 0, 1]))[0] > 0
+
+
 def test_gradients():
     rng = np.random.default_rng(1)
     net = toxicity._train(*planted(3, 40))
