@@ -7,6 +7,7 @@ from multiprocessing.pool import ThreadPool
 from statistics import NormalDist
 
 import numpy as np
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -18,11 +19,13 @@ from pyspark.sql import functions as F
 from tallyward import schemas as S
 from tallyward.operators import columns, evaluate, scoring, split
 from tallyward.plans import features
-from tallyward.session import ensure_checkpoints, new_folder
+from tallyward.session import ensure_checkpoints, local_table, new_folder
 
 POSITIVE_WEIGHT = 10.0
 ROUNDS = 100
 PATIENCE = 10
+# Rows of a part of the matrix in a fit: a part is one task of every level of every tree.
+LEAST_PART, MOST_PART = 10_000, 1_000_000
 
 
 @dataclass
@@ -158,9 +161,18 @@ def prepare(df: DataFrame, fit_on: str = "all", seed: int = 42) -> tuple[DataFra
     return written(matrix, "matrix"), names, fitted
 
 
+def parts_for(rows: int, cores: int) -> int:
+    """Even parts for the cores: one each, more where they would be large, fewer where they would be tiny."""
+    fewest = -(-rows // LEAST_PART)
+    return max(1, fewest) if fewest < cores else cores * -(-rows // (cores * MOST_PART))
+
+
 def _for_fit(matrix: DataFrame) -> DataFrame:
+    """Rows to fit on and to validate by, dealt evenly: the written files are few and uneven, and every level of every
+    tree waits for its largest part."""
     kept = matrix.filter(F.col("split") != "test")
-    return weighted(kept).withColumn("is_validation", F.col("split") == "validation")
+    parts = parts_for(kept.count(), matrix.sparkSession.sparkContext.defaultParallelism)
+    return weighted(kept).withColumn("is_validation", F.col("split") == "validation").repartition(parts)
 
 
 def patient_rounds(losses: list[float], patience: int) -> int:
@@ -251,7 +263,13 @@ def score(model: PipelineModel, df: DataFrame, names: list[str], threshold: floa
 
 
 def metrics(scored: DataFrame) -> DataFrame:
-    """(metric, value) rows: AUC, business rates and positive rates of scored rows."""
+    """(metric, value) rows: AUC, business rates and positive rates of scored rows.
+
+    The rows are read many times, so what the tables need of them is written once; the metrics, one row each, are part of
+    the plan then.
+    """
+    spark = scored.sparkSession
+    scored = written(scored.select(S.LABEL, "score", "flagged", "error"), "scored")
     cm = evaluate.confusion(scored)
     tables = [
         evaluate.roc_auc(scored).select("roc_auc"), evaluate.business(cm), evaluate.positive_rates(cm), evaluate.unscored(scored),
@@ -263,4 +281,5 @@ def metrics(scored: DataFrame) -> DataFrame:
         ])))
         for t in tables
     ]
-    return reduce(DataFrame.unionByName, parts)
+    rows = [(r.metric, r.value) for r in reduce(DataFrame.unionByName, parts).collect()]
+    return local_table(spark, rows, pa.schema([("metric", pa.string()), ("value", pa.float64())]))

@@ -66,6 +66,31 @@ def test_search_puts_the_best_first(spark, fitted):
     assert [r.rounds for r in table] == [t.model.stages[-1].getNumTrees for t in trials]
 
 
+def test_parts_of_a_fit(spark, fitted, monkeypatch):
+    """Even parts, whatever files the matrix is in: few files kept most cores idle."""
+    assert [training.parts_for(n, 12) for n in (0, 640, 25_000, 384_000, 3_000_000, 13_000_000, 23_000_000)] == [1, 1, 3, 12, 12, 24, 24]
+    matrix, _, _ = fitted
+    monkeypatch.setattr(training, "LEAST_PART", 50)
+    rows = training._for_fit(matrix.coalesce(1))
+    sizes = rows.filter("NOT is_validation").rdd.glom().map(len).collect()
+    assert len(sizes) == spark.sparkContext.defaultParallelism and sum(sizes) == 640 and max(sizes) <= 1.1 * min(sizes)
+
+
+def test_metrics_score_each_row_once(spark, fitted):
+    matrix, names, model = fitted
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = matrix.filter("split = 'test'")
+    scored = training.score(model, rows.mapInArrow(passed, rows.schema), names)
+    made = training.metrics(scored)
+    assert made.count() == made.distinct().count() == len(made.collect()) and seen.value == 200
+
+
 def test_patience(fitted):
     assert training.patient_rounds([5, 4, 4.5, 4.2, 3, 6, 6, 6], 3) == 5
     assert training.patient_rounds([5, 4, 4.5, 4.2, 3], 2) == 2
