@@ -37,13 +37,14 @@ def parse(lines: DataFrame) -> DataFrame:
     texts = lines.select(F.col("value").alias("raw"), problem.alias("problem"))
     read = codec.with_record(texts, F.when(F.col("problem").isNull(), F.col("raw")), S.HISTORY, "r")
     named = read.select("raw", "problem", F.col("r").isNull().alias("_broken"), *[F.col(f"r.{f.name}").alias(f.name) for f in S.HISTORY.fields])
-    return named.withColumns({"ts": clock.parse_or_null(F.col("timestamp")), "reason": (
+    timed = named.withColumn("ts", clock.parse_or_null(F.col("timestamp")))
+    return timed.withColumn("reason", (
         F.when(F.col("problem").isNotNull(), F.col("problem"))
         .when(F.col("_broken"), codec.unread(F.col("raw"), S.HISTORY))
         .when(F.col(S.LABEL).isNull(), "no_label")
-        .when(F.col("timestamp").isNotNull() & clock.parse_or_null(F.col("timestamp")).isNull(), "bad_time")
+        .when(F.col("timestamp").isNotNull() & F.col("ts").isNull(), "bad_time")
         .when(~amounts.in_range(F.col("amount")), "bad_amount")
-    )}).drop("_broken", "problem")
+    )).drop("_broken", "problem")
 
 
 def read_json(spark: SparkSession, path: str, array_document: bool | None = False) -> DataFrame:

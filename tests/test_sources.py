@@ -77,6 +77,16 @@ def test_no_record_is_lost(spark, tmp_path):
     assert [r for r, _ in rejects] == ["bad_json"] * 2 + ["cut_off"] + ["extra_data"] * 6
 
 
+def test_texts_are_put_together_once(spark, tmp_path):
+    """Where no record is too long, pieces meet their places once, and what looks at the texts reads them as written."""
+    path = tmp_path / "a.json"
+    path.write_text('[{"a": "x\\"]}{[", "b": [1, {"c": "]"}]}, {"a": "\\\\"}]')
+    found = documents.records(spark, [str(path)])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "array_join" not in plan
+    assert sorted(r.value for r in found.collect()) == ['{"a": "\\\\"}', '{"a": "x\\"]}{[", "b": [1, {"c": "]"}]}']
+
+
 def test_long_records_are_given_in_pieces(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(documents, "RECORD_BYTES", 2000)
     path = tmp_path / "d.json"
