@@ -1,6 +1,7 @@
 """Text in and out: base64, JSON, names, formats."""
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,14 +37,23 @@ def is_one_value(text: Column) -> Column:
     return F.coalesce(read[CORRUPT].isNull() & (F.size(read["r"]) == 1) & whole, F.lit(False))
 
 
-def with_record(df: DataFrame, text: Column, schema: T.StructType, out: str) -> DataFrame:
-    """Adds ``out``: the text as a record of the declared types, null where it is no such record and nothing else."""
-    read, whole = _read(text, schema.simpleString())
-    # inline makes Spark read the text once for all fields
-    made = df.select("*", F.inline(F.array(F.struct(read.alias("_read"), text.alias("_of")))))
-    _, whole = _read(F.col("_of"), "string")
-    fine = F.col(f"_read.{CORRUPT}").isNull() & (F.size("_read.r") == 1) & whole
-    return made.withColumn(out, F.when(fine, F.col("_read.r")[0])).drop("_read", "_of")
+def with_record(df: DataFrame, text: Column, schema: T.StructType, out: str,
+                otherwise: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Adds ``out``: the text as a record of the declared types, null where it is no such record and nothing else.
+
+    ``otherwise`` gives the record of a text that is none, from that text.
+    """
+    read, _ = _read(text, schema.simpleString())
+
+    def record(r: Column) -> Column:
+        _, whole = _read(r["_of"], "string")
+        fine = r["_read"][CORRUPT].isNull() & (F.size(r["_read"]["r"]) == 1) & whole
+        found = F.when(fine, r["_read"]["r"][0])
+        return F.struct((found if otherwise is None else F.coalesce(found, otherwise(r["_of"]))).alias(out))
+
+    # inline makes Spark read and check the text once, whatever is asked of the record: an expression would be worked
+    # out again for each field and each filter
+    return df.select("*", F.inline(F.transform(F.array(F.struct(read.alias("_read"), text.alias("_of"))), record)))
 
 
 def unread(text: Column, schema: T.StructType) -> Column:

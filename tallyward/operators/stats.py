@@ -12,6 +12,7 @@ from tallyward.functions.amounts import LIMB, UNITS, limbs, mean_of
 from tallyward.operators.skew import attach
 
 _SUMS = ["high", "low", "high_high", "high_low", "low_low"]  # of the two parts of each amount, and of their products
+GIVEN = ["transaction_id", "user_id", "amount", "is_vpn"]  # what the sums are made of
 PARTIAL_COLUMNS = ["user_id", "n", "n_amount", *_SUMS, "lowest", "highest", "n_vpn", "vpn"]
 _WIDE = "decimal(38,0)"
 

@@ -58,11 +58,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def parse(lines: DataFrame, column: str = "value") -> DataFrame:
     """Envelope text of one column to envelope fields; the text stays beside them."""
-    text = F.col(column)
-    read = codec.with_record(lines, text, S.ENVELOPE, "_envelope")
     # one value, but with a field of another type: what can be read of it counts
-    partly = F.when(F.col("_envelope").isNull() & codec.is_one_value(text), F.from_json(text, S.ENVELOPE))
-    return read.select(*lines.columns, F.inline(F.array(F.coalesce("_envelope", partly, F.lit(None).cast(S.ENVELOPE)))))
+    read = codec.with_record(lines, F.col(column), S.ENVELOPE, "_envelope", lambda text: F.when(
+        codec.is_one_value(text), F.from_json(text, S.ENVELOPE)))
+    return read.select(*lines.columns, *[F.col(f"_envelope.{f.name}").alias(f.name) for f in S.ENVELOPE.fields])
 
 
 def route(envelopes: DataFrame) -> DataFrame:

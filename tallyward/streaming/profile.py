@@ -104,7 +104,7 @@ def start(spark: SparkSession, source: str, path: str, checkpoint: str, base: st
     """Learn from the envelopes at ``source``: valid records, each id once."""
     valid = envelopes.accepted(envelopes.decode(envelopes.read_stream(spark, source, files_per_batch)))
     writer = (
-        once_per_id(valid, horizon).writeStream.option("checkpointLocation", checkpoint)
+        once_per_id(valid.select(*stats.GIVEN), horizon).writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, batch_id: learn(batch, batch_id, path, base, merge_every=merge_every))
     )
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -164,6 +164,21 @@ def test_merges_keep_the_sums(spark, tx):
     assert rows_of(profile.current(spark, path, users=users)) == rows_of(stats.user_stats(tx.join(users.distinct(), "user_id", "left_semi")))
 
 
+def test_records_are_checked_once_and_learned_by_what_the_sums_need(spark, record, tx):
+    """A filter on the reason brings no second check of a record's text; the learning stream deals the fields of the sums only."""
+    rows = record(*[{"transaction_id": f"T{i}", "user_id": "UX", "amount": 4.0, "location": "London, UK"} for i in range(3)])
+    places = places_for(spark, tx, rows)
+    accepted = envelopes.accepted(envelopes.decode(envelopes.read(spark, places.at("envelopes"))))
+    plan = accepted._jdf.queryExecution().optimizedPlan().toString()
+    every = envelopes.decode(envelopes.read(spark, places.at("envelopes")))._jdf.queryExecution().optimizedPlan().toString()
+    # the envelope, the rest of it, the record; and, in the reason alone, why a record gave nothing
+    assert plan.count("jsonObjectKeys") <= 3 and every.count("jsonObjectKeys") <= 4
+    query = scoring_stream.start_learning(spark, places, once=True)
+    query.awaitTermination()
+    assert "location" not in query._jsq.streamingQuery().lastExecution().optimizedPlan().output().toString()
+    assert profile.current(spark, places.at("profile")).first().user_transaction_count == 3
+
+
 def test_the_state_forgets_what_is_older_than_the_horizon(spark, record, tx):
     row = {"transaction_id": "T1", "user_id": "UX", "amount": 4.0}
     places = places_for(spark, tx, record(row))
