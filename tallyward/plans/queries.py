@@ -4,6 +4,8 @@ Queries give full doubles; ``rounded`` brings a result to the 10 decimals at whi
 is compared with another engine.
 """
 
+from multiprocessing.pool import ThreadPool
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -699,19 +701,31 @@ def model_metadata(spark, folder):
 
 # --- models ----------------------------------------------------------------
 
-_MODELS: dict[tuple[str, str], tuple] = {}
+_MATRICES: dict[tuple[str, str], tuple] = {}
+_MODELS: dict[tuple[str, str], str] = {}
+
+
+def _prepared(spark, folder):
+    """Matrix and names; made once per session and data folder. Its passes read the rows as even files: an events file is
+    read by as many tasks as it has row groups."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _MATRICES:
+        rows = tx(spark, folder)
+        parts = training.parts_for(rows.count(), spark.sparkContext.defaultParallelism)
+        matrix, names, _ = training.prepare(training.written(rows.repartition(parts), "transactions"))
+        _MATRICES[key] = (matrix, names)
+    return _MATRICES[key]
 
 
 def _trained(spark, folder):
     """Matrix, names and fitted model; trained once per session and data folder."""
+    matrix, names = _prepared(spark, folder)
     key = (spark.sparkContext.applicationId, folder)
     if key not in _MODELS:
-        matrix, names, _ = training.prepare(tx(spark, folder))
         path = new_folder(spark, "model")
         training.train(matrix, names).write().overwrite().save(path)
-        _MODELS[key] = (matrix, names, path)
-    matrix, names, path = _MODELS[key]
-    return matrix, names, training.PipelineModel.load(path)
+        _MODELS[key] = path
+    return matrix, names, training.PipelineModel.load(_MODELS[key])
 
 
 def scored_by_trees(spark, folder) -> DataFrame:
@@ -747,8 +761,11 @@ def gbt_metrics(spark, folder):
 
 def tuning_trials(spark, folder):
     """Number of trials, how many are the best, whether that has the greatest area, and whether all settings are in range."""
-    matrix, names, _ = _trained(spark, folder)
-    trials = training.trial_table(spark, training.tune(matrix, names))
+    matrix, names = _prepared(spark, folder)
+    with ThreadPool(1) as pool:  # the fit with the usual settings runs beside the search, whose rounds of fits leave cores idle
+        usual = pool.apply_async(_trained, (spark, folder))
+        trials = training.trial_table(spark, training.tune(matrix, names))
+        usual.get()
     p = lambda n: F.col("parameters")[n].cast("double")
     in_range = p("maxDepth").between(3, 10) & p("stepSize").between(0.01, 0.3) & p("subsamplingRate").between(0.5, 1.0)
     return trials.agg(

@@ -167,12 +167,23 @@ def parts_for(rows: int, cores: int) -> int:
     return max(1, fewest) if fewest < cores else cores * -(-rows // (cores * MOST_PART))
 
 
-def _for_fit(matrix: DataFrame) -> DataFrame:
+def _for_fit(matrix: DataFrame, fits: int = 1) -> DataFrame:
     """Rows to fit on and to validate by, dealt evenly: the written files are few and uneven, and every level of every
-    tree waits for its largest part."""
+    tree waits for its largest part. ``fits`` at a time get a share of the cores each, so that none waits for another's tasks."""
     kept = matrix.filter(F.col("split") != "test")
-    parts = parts_for(kept.count(), matrix.sparkSession.sparkContext.defaultParallelism)
-    return weighted(kept).withColumn("is_validation", F.col("split") == "validation").repartition(parts)
+    cores = max(1, matrix.sparkSession.sparkContext.defaultParallelism // fits)
+    return weighted(kept).withColumn("is_validation", F.col("split") == "validation").repartition(parts_for(kept.count(), cores))
+
+
+def _vectors(matrix: DataFrame, names: list[str], fits: int = 1) -> tuple[DataFrame, DataFrame]:
+    """The rows to fit on and those to validate by, as vectors and checkpointed: a fit reads its rows several times, and every
+    task of every level carries the plan behind them."""
+    rows = _for_fit(matrix, fits)
+    assembler = VectorAssembler(inputCols=names, outputCol="features")
+    return tuple(
+        assembler.transform(rows.filter(which)).select("label", "weight", "features").checkpoint()
+        for which in (~F.col("is_validation"), F.col("is_validation"))
+    )
 
 
 def patient_rounds(losses: list[float], patience: int) -> int:
@@ -199,9 +210,11 @@ def first_trees(model: PipelineModel, rounds: int) -> PipelineModel:
     return PipelineModel([*model.stages[:-1], trees._copyValues(GBTClassificationModel(made))])
 
 
-def _fit_patiently(rows: DataFrame, names: list[str], parameters: Parameters, seed: int, patience: int) -> PipelineModel:
-    whole = estimator(names, parameters, seed).fit(rows.filter(~F.col("is_validation")))
-    held_out = whole.stages[0].transform(rows.filter("is_validation"))
+def _fit_patiently(
+    rows: DataFrame, held_out: DataFrame, names: list[str], parameters: Parameters, seed: int, patience: int
+) -> PipelineModel:
+    assembler, trees = estimator(names, parameters, seed).getStages()
+    whole = PipelineModel([assembler, trees.fit(rows)])
     if held_out.isEmpty():
         return whole
     return first_trees(whole, patient_rounds(whole.stages[-1].evaluateEachIteration(held_out), patience))
@@ -216,7 +229,7 @@ def train(
     rows every round stays.
     """
     ensure_checkpoints(matrix.sparkSession)
-    return _fit_patiently(_for_fit(matrix), names, parameters or Parameters(), seed, patience)
+    return _fit_patiently(*_vectors(matrix, names), names, parameters or Parameters(), seed, patience)
 
 
 def tune(
@@ -225,19 +238,22 @@ def tune(
 ) -> list[Trial]:
     """Search that learns from its trials, best exact validation AUC first; ``parallel`` fits share the cluster."""
     ensure_checkpoints(matrix.sparkSession)
-    rows = _for_fit(matrix)
-    held_out = rows.filter("is_validation")
+    held_out = matrix.filter(F.col("split") == "validation")
+    dealt: dict[int, tuple[DataFrame, DataFrame]] = {}  # by how many fits there are at a time
     done: list[Trial] = []
 
-    def run(point: list[float]) -> tuple[Parameters, float, PipelineModel]:
+    def run(point: list[float], vectors: tuple[DataFrame, DataFrame]) -> tuple[Parameters, float, PipelineModel]:
         parameters = at_point(point, rounds)
-        model = _fit_patiently(rows, names, parameters, seed, patience)
+        model = _fit_patiently(*vectors, names, parameters, seed, patience)
         found = evaluate.roc_auc(score(model, held_out, names)).first().roc_auc  # the exact area, as the tables have it
         return parameters, 0.0 if found is None else found, model
 
     with ThreadPool(parallel) as pool:
         def judge(points: list[list[float]]) -> list[float]:
-            for parameters, auc, model in pool.map(run, points):
+            fits = len(points)
+            if fits not in dealt:
+                dealt[fits] = _vectors(matrix, names, fits)
+            for parameters, auc, model in pool.starmap(run, [(p, dealt[fits]) for p in points]):
                 done.append(Trial(len(done) + 1, parameters, auc, model))
             return [t.auc for t in done[-len(points):]]
 

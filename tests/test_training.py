@@ -1,4 +1,5 @@
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -76,6 +77,38 @@ def test_parts_of_a_fit(spark, fitted, monkeypatch):
     assert len(sizes) == spark.sparkContext.defaultParallelism and sum(sizes) == 640 and max(sizes) <= 1.1 * min(sizes)
 
 
+def test_fits_at_a_time_share_the_cores(spark, fitted, monkeypatch):
+    """Rows of a fit come from the shared folder, without the plan that made them, in parts for its share of the cores."""
+    matrix, names, _ = fitted
+    monkeypatch.setattr(training, "LEAST_PART", 50)
+    for fits, parts in ((1, 8), (2, 4), (3, 2), (20, 1)):
+        rows, held_out = training._vectors(matrix, names, fits)
+        sizes = rows.rdd.glom().map(len).collect()
+        assert len(sizes) == parts and sum(sizes) == 640 and max(sizes) <= 1.1 * min(sizes) and held_out.count() == 160
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Scan ExistingRDD" in plan and "FileScan" not in plan and "Exchange" not in plan
+    settings = training.Parameters(maxDepth=4, maxIter=3)
+    plain = training.estimator(names, settings).fit(training._for_fit(matrix, fits).filter("NOT is_validation"))
+    made = training._fit_patiently(rows, held_out, names, settings, 42, 3)
+    grown = lambda m: [t.toDebugString.split("\n", 1)[1] for t in m.stages[-1].trees]
+    assert grown(made) == grown(plain)[:len(grown(made))]
+
+
+def test_usual_fit_runs_beside_the_search(spark, data, monkeypatch):
+    both, train, tune = threading.Barrier(2), training.train, training.tune
+
+    def met(work):
+        both.wait(120)
+        return work()
+
+    monkeypatch.setattr(q, "_MODELS", {})
+    monkeypatch.setattr(q, "_MATRICES", {}, raising=False)
+    monkeypatch.setattr(training, "train", lambda m, n: met(lambda: train(m, n, training.Parameters(maxDepth=2, maxIter=2))))
+    monkeypatch.setattr(training, "tune", lambda m, n: met(lambda: tune(m, n, rounds=2)))
+    got = q.tuning_trials(spark, data).first()
+    assert got.trials == 5 and got.best_trials == 1 and all(got[2:]) and len(q._MODELS) == 1
+
+
 def test_metrics_score_each_row_once(spark, fitted):
     matrix, names, model = fitted
     seen = spark.sparkContext.accumulator(0)
